@@ -38,7 +38,6 @@ def document_scan(bank: Bank) -> DataFrame:
 def bronze_events(bank: Bank) -> str:
     folder = bank.new_folder("bronze")
     events = bank.table("events").select("event_id", "user_id", "event_type", "ts")
-    # one output folder per day: gather each day's rows before they are written
     dated = events.withColumn("load_date", F.to_date("ts").cast("string"))
     writers.write_days(dated, folder)
     return folder

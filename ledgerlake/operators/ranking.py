@@ -1,8 +1,9 @@
 """Dense numbering of whole tables without a single-task sort.
 
 Rows are range partitioned on the full order, so even one group holding a third of the
-table is spread over many tasks. Each task numbers its own slice and adds the number of
-rows in the slices before it; only one count per slice (or per group and slice) is summed.
+table is spread over many tasks. Each task numbers its own slice; a row's number is that
+plus the rows in the slices before it. Only one count per slice, or per group and slice,
+is summed up.
 """
 
 from __future__ import annotations
@@ -15,29 +16,36 @@ from pyspark.sql import functions as F
 from ledgerlake.session import cut_lineage
 
 _SLICE = "_slice"
+_PLACE = "_place"
 _BEFORE = "_before"
+# monotonically_increasing_id: partition number above, row number in the partition below
+_PLACE_BITS = 33
 
 
 def _sliced(df: DataFrame, order: Sequence[str]) -> DataFrame:
-    # the slice bounds come from a sample, so they are fixed before they are used twice
-    ranged = df.repartitionByRange(*[F.col(name) for name in order])
-    return cut_lineage(ranged.withColumn(_SLICE, F.spark_partition_id()))
+    """Rows with their slice and their place in it.
+
+    The slice bounds come from a sample, so the result is stored before it is used twice.
+    """
+    columns = [F.col(name) for name in order]
+    ranged = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    rows = cut_lineage(ranged.withColumn("_row", F.monotonically_increasing_id()))
+    return rows.select(
+        *df.columns,
+        F.shiftright("_row", _PLACE_BITS).alias(_SLICE),
+        F.col("_row").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1)).alias(_PLACE),
+    )
 
 
 def sequential_id(df: DataFrame, order: Sequence[str], name: str = "id") -> DataFrame:
     """Ids 1..n over the whole table in the given order, which must be total."""
-    rows = _sliced(df, order)
+    rows = _sliced(df.drop(name) if name in df.columns else df, order)
     sizes = rows.groupBy(_SLICE).agg(F.count(F.lit(1)).alias("_size"))
-    # one row per slice: the only unpartitioned window, bounded by the partition count
+    # one row per slice: the window and the broadcast are bounded by the partition count
     running = Window.orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     before = sizes.select(_SLICE, F.coalesce(F.sum("_size").over(running), F.lit(0)).alias(_BEFORE))
-    position = F.row_number().over(Window.partitionBy(_SLICE).orderBy(*order)).cast("long")
-    return (
-        rows.withColumn(name, position)
-        .join(before, _SLICE)
-        .withColumn(name, F.col(name) + F.col(_BEFORE))
-        .drop(_SLICE, _BEFORE)
-    )
+    numbered = rows.join(F.broadcast(before), _SLICE)
+    return numbered.withColumn(name, F.col(_BEFORE) + F.col(_PLACE) + 1).drop(_SLICE, _PLACE, _BEFORE)
 
 
 def ordinal_in_group(
@@ -45,20 +53,18 @@ def ordinal_in_group(
 ) -> DataFrame:
     """Numbers 0..n-1 inside each group, with a large group split over many tasks."""
     rows = _sliced(df, [*group, *order])
-    sizes = rows.groupBy(*group, _SLICE).agg(F.count(F.lit(1)).alias("_size"))
+    pieces = rows.groupBy(*group, _SLICE).agg(
+        F.count(F.lit(1)).alias("_size"), F.min(_PLACE).alias("_first")
+    )
     running = (
         Window.partitionBy(*group).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     )
-    before = sizes.select(
+    shift = F.coalesce(F.sum("_size").over(running), F.lit(0)) - F.col("_first")
+    before = pieces.select(
         *[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)],
         F.col(_SLICE).alias("_s"),
-        F.coalesce(F.sum("_size").over(running), F.lit(0)).alias(_BEFORE),
+        shift.alias(_BEFORE),
     )
-    position = F.row_number().over(Window.partitionBy(*group, _SLICE).orderBy(*order)).cast("long")
     same = [F.col(g).eqNullSafe(F.col(f"_g{i}")) for i, g in enumerate(group)]
-    return (
-        rows.withColumn(name, position - 1)
-        .join(before, [*same, F.col(_SLICE) == F.col("_s")])
-        .withColumn(name, F.col(name) + F.col(_BEFORE))
-        .select(*df.columns, name)
-    )
+    joined = rows.join(before, [*same, F.col(_SLICE) == F.col("_s")])
+    return joined.withColumn(name, F.col(_PLACE) + F.col(_BEFORE)).select(*df.columns, name)

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerlake.operators.quality import apply_pii_policy, check, not_null
+from ledgerlake.operators.quality import Rules, apply_pii_policy, check, not_null
 from ledgerlake.plans import gold
 from ledgerlake.plans.silver import refine
 from ledgerlake.schemas import SILVER, Table
@@ -33,6 +34,9 @@ GOLD_KEYS = {
 }
 
 
+AT_ONCE = 4
+
+
 @dataclass(frozen=True)
 class Lake:
     """Where the layers are, and what to do on the way."""
@@ -41,18 +45,26 @@ class Lake:
     silver: str
     gold: str
     dead_letters: str
+    rules: Mapping[str, Rules] = field(default_factory=dict)  # table -> further quality rules
     pii: Mapping[str, Mapping[str, str]] = field(default_factory=dict)  # table -> policy
     serving: Mapping[str, str] | None = None  # JDBC options
 
 
-def run_all(tasks: Mapping[str, Callable[[], object]]) -> dict[str, object]:
-    """Run every task even if some fail, then raise one error that names them all."""
+def run_all(tasks: Mapping[str, Callable[[], object]], at_once: int = AT_ONCE) -> dict[str, object]:
+    """Run every task, some side by side, even if one fails; then raise one error for all.
+
+    The tasks only submit Spark jobs: several small tables share the cluster, and a large
+    one is not held up by them.
+    """
     done, failed = {}, {}
-    for name, task in tasks.items():
-        try:
-            done[name] = task()
-        except Exception as error:  # noqa: BLE001 - collected and raised below
-            failed[name] = error
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        running = {name: pool.submit(task) for name, task in tasks.items()}
+        for name, future in running.items():
+            error = future.exception()
+            if error is None:
+                done[name] = future.result()
+            else:
+                failed[name] = error
     if failed:
         raise RuntimeError("; ".join(f"{name}: {error}" for name, error in failed.items()))
     return done
@@ -65,7 +77,7 @@ def silver_table(spark: SparkSession, lake: Lake, table: Table, load_date: str |
     if read_if_exists(spark, folder) is None:
         return None
     df = scan_bronze(spark, base) if load_date is None else scan_bronze_day(spark, base, load_date)
-    good, bad = check(df, not_null(*table.keys))
+    good, bad = check(df, {**not_null(*table.keys), **lake.rules.get(table.name, {})})
     write_dead_letters(bad, f"{lake.dead_letters}/{table.name}/load_date={load_date or 'all'}", mode="overwrite")
     rows = snapshot_versioned(refine(good, table, ("load_date",)))
     if table.name in lake.pii:

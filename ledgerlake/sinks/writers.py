@@ -21,11 +21,16 @@ def counted(df: DataFrame) -> tuple[DataFrame, Observation]:
 def append_bronze(df: DataFrame, path: str, load_date: str | None = None) -> int:
     """Add one day's snapshot; writing the same day again replaces only that day."""
     day = F.lit(load_date) if load_date else F.current_date().cast("string")
-    return write_days(df.withColumn("load_date", day), path)
+    return _replace_days(df.withColumn("load_date", day), path)
 
 
 def write_days(df: DataFrame, path: str) -> int:
     """Write rows that carry their load_date, replacing exactly the days they hold."""
+    # files of an even size per day: small days share a task, a large one is split
+    return _replace_days(df.hint("rebalance", "load_date"), path)
+
+
+def _replace_days(df: DataFrame, path: str) -> int:
     rows, seen = counted(df)
     writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy("load_date").parquet(path)
