@@ -15,6 +15,10 @@ from ledgerlake.operators.latest import latest_by
 from ledgerlake.session import new_folder, tune
 
 
+# opened tables by session and path: a path is listed and its footer read only once
+_OPENED: dict[tuple[str, str], DataFrame] = {}
+
+
 class Bank:
     """Lazy access to one data folder."""
 
@@ -23,7 +27,11 @@ class Bank:
         self.folder = folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        key = (self.spark.sparkContext.applicationId, path)
+        if key not in _OPENED:
+            _OPENED[key] = self.spark.read.parquet(path)
+        return _OPENED[key]
 
     def new_folder(self, name: str) -> str:
         return new_folder(self.spark, name)
@@ -81,15 +89,23 @@ class Bank:
         )
 
     @cached_property
-    def transactions_raw(self) -> DataFrame:
-        """Every revision; the id repeats. The three l_ columns order revisions totally."""
+    def merchants(self) -> DataFrame:
         places = self.table("nation").join(
             self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left"
         )
-        merchants = self.table("supplier").join(places, F.col("s_nationkey") == F.col("n_nationkey"), "left")
-        joined = self.table("lineitem").join(merchants, F.col("l_suppkey") == F.col("s_suppkey"), "inner")
+        return self.table("supplier").join(places, F.col("s_nationkey") == F.col("n_nationkey"), "left")
+
+    @cached_property
+    def lines(self) -> DataFrame:
+        """Line items of known merchants, with the id their revisions share."""
+        known = self.table("supplier").select(F.col("s_suppkey").alias("l_suppkey"))
+        lines = self.table("lineitem").join(known, "l_suppkey", "left_semi")
+        return lines.select("*", F.expr("l_orderkey * 10 + l_linenumber").alias("id"))
+
+    def as_transactions(self, lines: DataFrame) -> DataFrame:
+        joined = lines.join(self.merchants, F.col("l_suppkey") == F.col("s_suppkey"), "inner")
         return joined.selectExpr(
-            "l_orderkey * 10 + l_linenumber AS id",
+            "id",
             "l_orderkey AS card_id",
             "year(l_shipdate) AS year",
             "month(l_shipdate) AS month",
@@ -111,10 +127,16 @@ class Bank:
             "l_discount",
         )
 
+    @cached_property
+    def transactions_raw(self) -> DataFrame:
+        """Every revision; the id repeats. The three l_ columns order revisions totally."""
+        return self.as_transactions(self.lines)
+
     @cached_property
     def revisions(self) -> DataFrame:
-        """Current revision per transaction, with the ordering columns."""
-        return latest_by(self.transactions_raw, ["id"], ["transaction_date"], ["l_partkey", "l_suppkey"])
+        """Current revision per transaction, found on the narrow rows and then widened."""
+        current = latest_by(self.lines, ["id"], ["l_shipdate"], ["l_partkey", "l_suppkey"])
+        return self.as_transactions(current)
 
     @cached_property
     def transactions(self) -> DataFrame:

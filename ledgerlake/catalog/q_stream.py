@@ -132,8 +132,12 @@ def loaded_lake(bank: Bank) -> jobs.Lake:
     """All eight sources landed in Bronze, Silver and Gold built from them."""
     folder = bank.new_folder("lake")
     lake = jobs.Lake(*(f"{folder}/{layer}" for layer in ("bronze", "silver", "gold", "dead")))
-    for source, df in bank.bronze().items():
-        write_days(df, f"{lake.bronze}/{source}")
+    jobs.run_all(
+        {
+            source: (lambda s=source, rows=df: write_days(rows, f"{lake.bronze}/{s}"))
+            for source, df in bank.bronze().items()
+        }
+    )
     return lake
 
 

@@ -15,7 +15,7 @@ from ledgerlake.plans.silver import refine
 from ledgerlake.schemas import SILVER, Table
 from ledgerlake.session import tune
 from ledgerlake.sinks.writers import load_serving, write_dead_letters, write_sorted
-from ledgerlake.sources.readers import read_if_exists, scan_bronze, scan_bronze_day
+from ledgerlake.sources.readers import if_exists, scan_bronze, scan_bronze_day
 from ledgerlake.sources.tables import (
     RETENTION_HOURS,
     TARGET_BYTES,
@@ -73,16 +73,17 @@ def run_all(tasks: Mapping[str, Callable[[], object]], at_once: int = AT_ONCE) -
 def silver_table(spark: SparkSession, lake: Lake, table: Table, load_date: str | None) -> Written | None:
     """One Silver table from its Bronze folder; None where nothing has been loaded."""
     base = f"{lake.bronze}/{table.source}"
-    folder = base if load_date is None else f"{base}/load_date={load_date}"
-    if read_if_exists(spark, folder) is None:
+    df = if_exists(
+        lambda: scan_bronze(spark, base) if load_date is None else scan_bronze_day(spark, base, load_date)
+    )
+    if df is None:
         return None
-    df = scan_bronze(spark, base) if load_date is None else scan_bronze_day(spark, base, load_date)
     good, bad = check(df, {**not_null(*table.keys), **lake.rules.get(table.name, {})})
     write_dead_letters(bad, f"{lake.dead_letters}/{table.name}/load_date={load_date or 'all'}", mode="overwrite")
     rows = snapshot_versioned(refine(good, table, ("load_date",)))
     if table.name in lake.pii:
         rows = apply_pii_policy(rows, lake.pii[table.name])
-    return upsert_table(rows, f"{lake.silver}/{table.name}", table.keys, VERSION)
+    return upsert_table(rows, f"{lake.silver}/{table.name}", table.keys, VERSION, unique=True)
 
 
 def run_silver(spark: SparkSession, lake: Lake, load_date: str | None = None) -> dict[str, Written | None]:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -75,17 +75,14 @@ def scan_bronze_day(spark: SparkSession, base: str, load_date: str) -> DataFrame
 
 def scan_existing(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:
     """The tables that exist; a missing path is skipped, every other error is raised."""
-    found = {}
-    for name, path in paths.items():
-        df = read_if_exists(spark, path)
-        if df is not None:
-            found[name] = df
-    return found
+    found = {name: if_exists(lambda p=path: spark.read.parquet(p)) for name, path in paths.items()}
+    return {name: df for name, df in found.items() if df is not None}
 
 
-def read_if_exists(spark: SparkSession, path: str) -> DataFrame | None:
+def if_exists(scan: Callable[[], DataFrame]) -> DataFrame | None:
+    """The scan's result, or None where its path does not exist."""
     try:
-        return spark.read.parquet(path)
+        return scan()
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return None

@@ -7,9 +7,10 @@ folder of plain parquet writes, each complete once Spark has left its `_SUCCESS`
     <table>/v=00000002-part    the latest row per key of one upsert
 
 An upsert writes only its own rows, so its cost does not depend on the table's size. A
-read takes the last full write and lets the parts after it replace the keys they name;
-as those keys are few, Spark broadcasts them by their measured size and the full state is
-not shuffled. `compact` folds the parts in, `vacuum` removes folders out of use. One
+read takes the last full write and lets the parts after it replace the keys they name.
+While the parts are small, only the rows of those keys are compared and the rest of the
+full state passes through, unshuffled when Spark finds the keys small enough to broadcast;
+otherwise everything is compared in one exchange. `compact` folds the parts in, `vacuum` removes folders out of use. One
 writer per table.
 """
 
@@ -19,6 +20,7 @@ import math
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +32,8 @@ DELETED = "_deleted"
 MAX_PARTS = 48
 TARGET_BYTES = 1 << 30
 RETENTION_HOURS = 168
+# parts are few when the full state holds more than this many times their bytes
+FEW_CHANGES = 4
 
 
 @dataclass(frozen=True)
@@ -136,16 +140,24 @@ def _state(
         return base
     if not keys:
         raise ValueError("a table with parts is read by its keys")
-    changes = [_numbered(spark.read.parquet(v.path), v.number) for v in parts]
-    merged = changes[0]
-    for change in changes[1:]:
-        merged = merged.unionByName(change, allowMissingColumns=True)
-    touched = merged.select(*keys).distinct()
-    untouched = base.join(touched, list(keys), "left_anti")
-    contested = _numbered(base.join(touched, list(keys), "left_semi"), active[0].number)
-    rows = contested.unionByName(merged, allowMissingColumns=True)
+    merged = reduce(
+        lambda a, b: a.unionByName(b, allowMissingColumns=True),
+        [_numbered(spark.read.parquet(v.path), v.number) for v in parts],
+    )
+    sizes = [_bytes(spark, v.path) for v in active]
+    contested, untouched = base, None
+    if sum(sizes[1:]) * FEW_CHANGES < sizes[0]:
+        touched = merged.select(*keys).distinct()
+        untouched = base.join(touched, list(keys), "left_anti")
+        contested = base.join(touched, list(keys), "left_semi")
+    rows = _numbered(contested, active[0].number).unionByName(merged, allowMissingColumns=True)
     newest = latest_by(rows, keys, _precedence(order)).drop("_v")
-    return untouched.unionByName(newest, allowMissingColumns=True)
+    return newest if untouched is None else untouched.unionByName(newest, allowMissingColumns=True)
+
+
+def _bytes(spark: SparkSession, path: str) -> int:
+    fs, location = _files(spark, path)
+    return fs.getContentSummary(location).getLength()
 
 
 def _numbered(df: DataFrame, number: int) -> DataFrame:
@@ -168,14 +180,18 @@ def upsert_table(
     order: Sequence[str] | None = None,
     ties: Sequence[str] = (),
     max_parts: int = MAX_PARTS,
+    unique: bool = False,
 ) -> Written:
     """Merge rows into a table by key, or create it; batch and stream both end here.
 
-    With `order`, a row that is older than the stored one changes nothing, so a replayed
+    Repeated keys are first reduced to their newest row, unless the caller knows they are
+    `unique`. With `order`, a row that is older than the stored one changes nothing, so a replayed
     or late batch is harmless. A null key is an error. Rows marked `_deleted` delete.
     """
     spark = df.sparkSession
-    source = latest_by(_with_keys(df, keys), keys, list(order or ()), ties)
+    source = _with_keys(df, keys)
+    if not unique:
+        source = latest_by(source, keys, list(order or ()), ties)
     if delta_available(spark):
         return _upsert_delta(source, path, keys, order)
     active = _in_force(versions(spark, path), None)
@@ -253,10 +269,7 @@ def compact(
         DeltaTable.forPath(spark, path).optimize().executeCompaction()
         return DeltaTable.forPath(spark, path).history(1).select("version").first()["version"]
     active = _in_force(versions(spark, path), None)
-    size = 0
-    for v in active:
-        fs, location = _files(spark, v.path)
-        size += fs.getContentSummary(location).getLength()
+    size = sum(_bytes(spark, v.path) for v in active)
     state = _state(spark, active, keys, order)
     if forget_deleted and DELETED in state.columns:
         state = state.where(~F.col(DELETED))
