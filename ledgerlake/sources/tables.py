@@ -218,9 +218,7 @@ def _write(df: DataFrame, path: str, full: bool, files: int | None = None) -> Wr
     spark = df.sparkSession
     number = _next_number(spark, path)
     seen = Observation()
-    rows = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    if files:
-        rows = rows.repartition(files)
+    rows = (df.repartition(files) if files else df).observe(seen, F.count(F.lit(1)).alias("rows"))
     target = f"{path}/v={number:08d}-{'full' if full else 'part'}"
     rows.write.mode("overwrite").parquet(target)
     return Written(number, seen.get["rows"])

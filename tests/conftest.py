@@ -25,3 +25,11 @@ def spark(tmp_path_factory):
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+
+
+@pytest.fixture
+def many_tasks(spark):
+    """Keep all shuffle partitions, which are otherwise merged for small test data."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    yield spark
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
