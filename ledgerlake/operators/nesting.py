@@ -30,10 +30,19 @@ def nest_children(
     """
     numbered = ordinal_in_group(child, [child_key], order, "_ordinal")
     page = F.floor(F.col("_ordinal") / page_size).cast("long")
-    arrays = numbered.groupBy(F.col(child_key).alias("_child_key"), page.alias("page")).agg(
+    arrays = numbered.groupBy(F.col(child_key).alias("_child_key"), page.alias("_page")).agg(
         _ordered_array(F.col("_ordinal"), fields).alias(name)
     )
-    return _attach(parent, arrays, parent_key, name, paged=True)
+    # pages are laid out on the parent side first, so that the arrays are joined by
+    # (parent, page) and those of one large parent are spread over many tasks
+    last = F.floor((F.count(F.lit(1)) - 1) / page_size).cast("long").alias("_last")
+    lasts = child.groupBy(F.col(child_key).alias("_owner")).agg(last)
+    paged = parent.join(lasts, parent[parent_key] == lasts["_owner"], "left").select(
+        *[parent[c] for c in parent.columns if c != name],
+        F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_last", F.lit(0)))).alias("page"),
+    )
+    match = [paged[parent_key] == arrays["_child_key"], paged["page"] == arrays["_page"]]
+    return _attach(paged, arrays, match, name)
 
 
 def nest_recent(
@@ -52,7 +61,7 @@ def nest_recent(
     arrays = recent.groupBy(F.col(child_key).alias("_child_key")).agg(
         _ordered_array(F.struct(*oldest), fields).alias(name)
     )
-    return _attach(parent, arrays, parent_key, name, paged=False)
+    return _attach(parent, arrays, [parent[parent_key] == arrays["_child_key"]], name)
 
 
 def _ordered_array(order: Column, fields: Sequence[str]) -> Column:
@@ -60,10 +69,8 @@ def _ordered_array(order: Column, fields: Sequence[str]) -> Column:
     return F.transform(F.array_sort(pairs), lambda pair: pair["_row"])
 
 
-def _attach(parent: DataFrame, arrays: DataFrame, key: str, name: str, paged: bool) -> DataFrame:
+def _attach(parent: DataFrame, arrays: DataFrame, match: list[Column], name: str) -> DataFrame:
     kind = arrays.schema[name].dataType
     columns = [parent[c] for c in parent.columns if c != name]
-    if paged:
-        columns.append(F.coalesce(arrays["page"], F.lit(0)).alias("page"))
     filled = F.coalesce(arrays[name], F.array().cast(kind)).alias(name)
-    return parent.join(arrays, parent[key] == arrays["_child_key"], "left").select(*columns, filled)
+    return parent.join(arrays, match, "left").select(*columns, filled)

@@ -20,7 +20,6 @@ import math
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -140,10 +139,7 @@ def _state(
         return base
     if not keys:
         raise ValueError("a table with parts is read by its keys")
-    merged = reduce(
-        lambda a, b: a.unionByName(b, allowMissingColumns=True),
-        [_numbered(spark.read.parquet(v.path), v.number) for v in parts],
-    )
+    merged = _parts(spark, parts)
     sizes = [_bytes(spark, v.path) for v in active]
     contested, untouched = base, None
     if sum(sizes[1:]) * FEW_CHANGES < sizes[0]:
@@ -155,6 +151,13 @@ def _state(
     return newest if untouched is None else untouched.unionByName(newest, allowMissingColumns=True)
 
 
+def _parts(spark: SparkSession, parts: Sequence[Version]) -> DataFrame:
+    """All parts as one scan, each row with the number of the write it came by."""
+    df = spark.read.option("mergeSchema", "true").parquet(*[v.path for v in parts])
+    number = F.regexp_extract("_metadata.file_path", r"/v=(\d+)-part/", 1).cast("int")
+    return df.select(*df.columns, number.alias("_v"))
+
+
 def _bytes(spark: SparkSession, path: str) -> int:
     fs, location = _files(spark, path)
     return fs.getContentSummary(location).getLength()
