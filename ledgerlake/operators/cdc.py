@@ -77,21 +77,26 @@ def decode_payload(
     What cannot be decoded is labelled here, before the struct is expanded, so it never
     becomes an all-null row with a null key.
     """
-    known = F.col(schema_id).isin(*schemas)
-    decoded = F.lit(None).cast(reader)
-    broken = F.lit(False)
     decode = _decode_avro if format == "avro" else _decode_json
-    for number, writer in schemas.items():
-        value, failed = decode(F.col(payload), writer)
-        mine = F.col(schema_id) == number
-        decoded = F.when(mine, _as_reader(value, writer, reader)).otherwise(decoded)
-        broken = F.when(mine, failed).otherwise(broken)
+    own = {n: F.col(schema_id) == n for n in schemas}
+    # each payload is parsed once, by its own schema, in a projection of its own: read
+    # inside the branches below, it would be parsed again for every field
+    parsed = df.withColumns(
+        {f"_parsed_{n}": decode(F.when(own[n], F.col(payload)), writer) for n, writer in schemas.items()}
+    )
+    data = F.lit(None).cast(reader)
+    readable = F.lit(False)
+    for n, writer in schemas.items():
+        value = F.col(f"_parsed_{n}")
+        data = F.when(own[n], _as_reader(value, writer, reader)).otherwise(data)
+        readable = F.when(own[n], _is_readable(value, format)).otherwise(readable)
+    known = F.coalesce(F.col(schema_id).isin(*schemas), F.lit(False))
     problem = (
         F.when(F.col("bad_frame"), "bad frame")
-        .when(~known | F.col(schema_id).isNull(), "unknown schema id")
-        .when(broken, "undecodable payload")
+        .when(~known, "unknown schema id")
+        .when(~readable, "undecodable payload")
     )
-    return df.withColumns({"data": decoded, "problem": problem})
+    return parsed.select(*df.columns, data.alias("data"), problem.alias("problem"))
 
 
 def expand(df: DataFrame, *metadata: str) -> tuple[DataFrame, DataFrame]:
@@ -111,19 +116,25 @@ def _as_reader(value: Column, writer: T.StructType, reader: T.StructType) -> Col
     )
 
 
-def _decode_json(payload: Column, writer: T.StructType) -> tuple[Column, Column]:
-    corrupt = "_corrupt_record"
-    schema = T.StructType([*writer.fields, T.StructField(corrupt, T.StringType())])
-    text = F.try_validate_utf8(payload.cast("string"))
-    value = F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
-    return value, text.isNull() | value.isNull() | value[corrupt].isNotNull()
+_CORRUPT = "_corrupt_record"
+
+
+def _decode_json(payload: Column, writer: T.StructType) -> Column:
+    schema = T.StructType([*writer.fields, T.StructField(_CORRUPT, T.StringType())])
+    # text that is no UTF-8 has to fail as a payload and not as a job
+    text = F.coalesce(F.try_validate_utf8(payload.cast("string")), F.when(payload.isNotNull(), ""))
+    return F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
 
 
-def _decode_avro(payload: Column, writer: T.StructType) -> tuple[Column, Column]:
+def _decode_avro(payload: Column, writer: T.StructType) -> Column:
     from pyspark.sql.avro.functions import from_avro
 
-    value = from_avro(payload, avro_schema(writer), {"mode": "PERMISSIVE"})
-    return value, value.isNull()
+    return from_avro(payload, avro_schema(writer), {"mode": "PERMISSIVE"})
+
+
+def _is_readable(value: Column, format: str) -> Column:
+    readable = value.isNotNull()
+    return readable if format == "avro" else readable & value[_CORRUPT].isNull()
 
 
 def avro_schema(schema: T.StructType, name: str = "row") -> str:
