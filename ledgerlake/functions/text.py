@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 # Postal codes that mean "unknown" after padding.
 UNKNOWN_ZIPS = ("", "nan", "00nan", "00000")
+# Characters that money text carries besides the number.
+MONEY_NOISE = "$, \t\r\n"
 VISIBLE_DIGITS = 4
 MASK = "***"
 DESCRIPTION_LENGTH = 255
@@ -14,13 +16,14 @@ DESCRIPTION_LENGTH = 255
 
 def clean_currency(value: Column, default: float | None = None) -> Column:
     """`$1,234.50` as a double; text that is no number becomes `default`."""
-    number = F.regexp_replace(value, r"[$,\s]", "").try_cast("double")
+    number = F.translate(value, MONEY_NOISE, "").try_cast("double")
     return number if default is None else F.coalesce(number, F.lit(default))
 
 
 def strip_decimal(value: Column) -> Column:
     """Drop the `.0` that a float-typed file adds to a code."""
-    return F.regexp_replace(F.trim(value), r"\.0$", "")
+    code = F.trim(value)
+    return F.when(code.endswith(".0"), F.left(code, F.length(code) - 2)).otherwise(code)
 
 
 def pad_left(value: Column, width: int) -> Column:

@@ -29,11 +29,9 @@ def month_year(value: Column) -> Column:
 
 def compose_ts(year: Column, month: Column, day: Column, clock: Column) -> Column:
     """Timestamp from separate year, month, day and `HH:MM` columns."""
-    text = F.format_string(
-        "%04d-%02d-%02d %s:00",
-        year.try_cast("int"), month.try_cast("int"), day.try_cast("int"), clock,
-    )
-    return F.try_to_timestamp(text, F.lit("yyyy-MM-dd H:mm:ss"))
+    hour, minute = (F.split_part(clock, F.lit(":"), F.lit(i)).try_cast("int") for i in (1, 2))
+    whole = (part.try_cast("int") for part in (year, month, day))
+    return F.try_make_timestamp(*whole, hour, minute, F.lit(0))
 
 
 def minus_minutes(value: Column, minutes: Column | int) -> Column:
