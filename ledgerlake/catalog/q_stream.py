@@ -7,6 +7,7 @@ from ledgerlake.catalog import topic
 from ledgerlake.catalog.bank import SECOND_DAY, Bank
 from ledgerlake.catalog.registry import query
 from ledgerlake.plans import jobs
+from ledgerlake.schemas import SILVER
 from ledgerlake.sinks.writers import write_days
 from ledgerlake.sources import readers, tables
 from ledgerlake.streaming import changes, queries
@@ -150,6 +151,32 @@ def silver_to_gold(bank: Bank) -> DataFrame:
     return bank.spark.read.parquet(f"{lake.gold}/gold_user_behavior_summary")
 
 
+@query("stream_to_gold", "SELECT * FROM fx_gold_fraud")
+def stream_to_gold(bank: Bank) -> DataFrame:
+    """Eight topics streamed side by side into Silver, then Gold from the streamed tables."""
+    folder = bank.new_folder("lake")
+    lake = jobs.Lake(*(f"{folder}/{layer}" for layer in ("bronze", "silver", "gold", "dead")))
+    sources = dict(zip(SILVER, (bank.customers, bank.cards, bank.transactions, bank.logins, bank.devices,
+                                bank.fraud, bank.notices, bank.audits)))
+    jobs.run_all(
+        {
+            name: (lambda n=name, rows=df: topic.table_messages(rows, SILVER[n]).write.parquet(f"{folder}/topics/{n}"))
+            for name, df in sources.items()
+        }
+    )
+    running = queries.start_all(
+        {name: readers.read_changes(bank.spark, {"path": f"{folder}/topics/{name}"}) for name in sources},
+        lake.silver,
+        {name: {1: changes.wire_schema(SILVER[name])} for name in sources},
+        f"{folder}/checkpoints",
+        queries.ONCE,
+    )
+    for one in running:
+        one.awaitTermination()
+    jobs.run_gold(bank.spark, lake)
+    return bank.spark.read.parquet(f"{lake.gold}/gold_fraud_analysis")
+
+
 @query("silver_to_gold_replayed", "SELECT * FROM fx_gold_fraud")
 def silver_to_gold_replayed(bank: Bank) -> DataFrame:
     """Days loaded one by one, the last one twice, then maintenance before Gold."""

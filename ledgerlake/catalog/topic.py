@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerlake.catalog.bank import Bank
-from ledgerlake.schemas import SILVER, struct
+from ledgerlake.schemas import SILVER, Table, struct
+from ledgerlake.streaming.changes import wire_schema
 
 TABLE = SILVER["silver_postgres_customers"]
 FILES = 4
@@ -70,3 +72,24 @@ def write_topic(bank: Bank, folder: str, part: Column | None = None, mode: str =
     rows = messages(bank) if part is None else messages(bank).where(part)
     rows.repartitionByRange(FILES, "offset").write.mode(mode).parquet(folder)
     return folder
+
+
+def table_messages(df: DataFrame, table: Table) -> DataFrame:
+    """Any Silver table's rows as messages that create them, in its wire types."""
+    columns = []
+    for name, wire in ((f.name, f.dataType) for f in wire_schema(table).fields if f.name in df.columns):
+        value = F.col(name)
+        if isinstance(df.schema[name].dataType, T.TimestampType):
+            text = F.date_format(value, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+            value = F.unix_micros(value) if isinstance(wire, T.LongType) else text
+        columns.append(value.alias(name))
+    payload = F.to_json(F.struct(*columns, F.lit("c").alias("op"), F.lit(1).cast("long").alias("ts_ms")))
+    key = F.col(table.keys[0])
+    return df.select(
+        F.encode(key.cast("string"), "UTF-8").alias("key"),
+        frame(payload, F.lit(1)).alias("value"),
+        F.lit(table.name).alias("topic"),
+        F.lit(0).alias("partition"),
+        F.xxhash64(key).alias("offset"),
+        F.lit(None).cast("timestamp").alias("timestamp"),
+    )

@@ -15,7 +15,7 @@ from ledgerlake.plans.silver import refine
 from ledgerlake.schemas import SILVER, Table
 from ledgerlake.session import tune
 from ledgerlake.sinks.writers import load_serving, write_dead_letters, write_sorted
-from ledgerlake.sources.readers import if_exists, scan_bronze, scan_bronze_day
+from ledgerlake.sources.readers import if_exists, register_views, scan_bronze, scan_bronze_day
 from ledgerlake.sources.tables import (
     RETENTION_HOURS,
     TARGET_BYTES,
@@ -100,6 +100,12 @@ def read_silver(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
     return df.select([c for c in table.schema.names if c in df.columns])
 
 
+def silver_views(spark: SparkSession, lake: Lake) -> list[str]:
+    """Register every Silver table that exists as a view of its name."""
+    present = [name for name in SILVER if exists(spark, f"{lake.silver}/{name}")]
+    return register_views({name: read_silver(spark, lake, name) for name in present})
+
+
 def run_gold(spark: SparkSession, lake: Lake) -> dict[str, int]:
     tune(spark)
 

@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake.functions.times import archive_day
-from ledgerlake.schemas import Table
+from ledgerlake.operators.cdc import schema_for
+from ledgerlake.schemas import SILVER, Table
 from ledgerlake.sinks.writers import write_dead_letters
 from ledgerlake.sources.tables import MAX_PARTS, upsert_table
 from ledgerlake.streaming.changes import VERSION, decode, split
@@ -74,6 +75,25 @@ def start_upsert(
     )
 
 
+def start_all(
+    streams: Mapping[str, DataFrame],
+    silver: str,
+    schemas: Mapping[str, Mapping[int, T.StructType]],
+    checkpoints: str,
+    trigger: Mapping[str, object] = EVERY_FIVE_MINUTES,
+    dead_letters: str | None = None,
+) -> list[StreamingQuery]:
+    """One independent query per Silver table; a missing schema stops all before any starts."""
+    found = {name: schema_for(schemas, name) for name in streams}
+    return [
+        start_upsert(
+            stream, f"{silver}/{name}", SILVER[name], found[name], f"{checkpoints}/{name}", trigger,
+            f"{dead_letters}/{name}" if dead_letters else None,
+        )
+        for name, stream in streams.items()
+    ]
+
+
 def risk_alerts(events: DataFrame, threshold: int = ALERT_THRESHOLD) -> DataFrame:
     return events.where(F.col("risk_score") > threshold)
 

@@ -44,6 +44,13 @@ def test_bad_rows_go_to_dead_letters(spark, tmp_path):
     assert rows(dead, "name", "reasons") == [("", ["name is empty"]), ("b", ["id is null"])]
 
 
+def test_silver_views_answer_sql(spark, lake):
+    append_bronze(customers(spark, (1, "a", "e", None)), f"{lake.bronze}/postgres/customers", "2024-01-01")
+    jobs.run_silver(spark, lake)
+    assert jobs.silver_views(spark, lake) == ["silver_postgres_customers"]
+    assert spark.sql("SELECT name FROM silver_postgres_customers").first()[0] == "a"
+
+
 def test_one_failure_does_not_stop_the_others_but_is_raised():
     ran = []
 

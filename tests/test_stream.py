@@ -127,6 +127,11 @@ def test_no_schema_is_an_error_before_start(spark, lake):
         queries.start_upsert(None, lake.table, TABLE, {}, "cp")
 
 
+def test_start_all_checks_every_schema_first(spark, lake):
+    with pytest.raises(ValueError, match="no schema"):
+        queries.start_all({TABLE.name: None}, lake.table, {}, "cp")
+
+
 def test_alerts_pass_only_high_scores(spark, tmp_path):
     spark.createDataFrame([(1, 80), (2, 81), (3, None)], "transaction_id long, risk_score int").write.parquet(str(tmp_path / "in"))
     schema = spark.read.parquet(str(tmp_path / "in")).schema
