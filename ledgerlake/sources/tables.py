@@ -170,8 +170,9 @@ def _numbered(df: DataFrame, number: int) -> DataFrame:
 def _precedence(order: Sequence[str] | None) -> list[Column]:
     if not order:  # the last write wins
         return [F.desc("_v")]
-    # the newer row wins, whenever it was written; on a tie the first one written stays
-    return [*[F.col(name).desc_nulls_last() for name in order], F.asc("_v")]
+    # the newer row wins, whenever it was written; a tie is a repeat of the same change or
+    # the replay of a corrected load date, so the later write counts
+    return [*[F.col(name).desc_nulls_last() for name in order], F.desc("_v")]
 
 
 # --- writing ------------------------------------------------------------------------
@@ -188,8 +189,9 @@ def upsert_table(
     """Merge rows into a table by key, or create it; batch and stream both end here.
 
     Repeated keys are first reduced to their newest row, unless the caller knows they are
-    `unique`. With `order`, a row that is older than the stored one changes nothing, so a replayed
-    or late batch is harmless. A null key is an error. Rows marked `_deleted` delete.
+    `unique`. With `order`, a row that is older than the stored one changes nothing, so a
+    replayed or late batch is harmless; an equal one replaces it, so that a load date can be
+    redone. A null key is an error. Rows marked `_deleted` delete.
     """
     spark = df.sparkSession
     source = _with_keys(df, keys)
@@ -241,7 +243,7 @@ def _upsert_delta(source: DataFrame, path: str, keys: Sequence[str], order: Sequ
         if order:
             left = ", ".join(f"s.`{c}`" for c in order)
             right = ", ".join(f"t.`{c}`" for c in order)
-            newer = f"struct({left}) > struct({right})"
+            newer = f"struct({left}) >= struct({right})"
         table = DeltaTable.forPath(spark, path)
         merge = table.alias("t").merge(source.alias("s"), same_key)
         merge.whenMatchedUpdateAll(condition=newer).whenNotMatchedInsertAll().execute()

@@ -29,6 +29,18 @@ def test_missing_tables_are_skipped_and_days_merge(spark, lake):
     assert df.columns == SILVER["silver_postgres_customers"].schema.names
 
 
+def test_corrected_day_can_be_replayed(spark, lake):
+    base = f"{lake.bronze}/postgres/customers"
+    append_bronze(customers(spark, (1, "wrong", "e", None), (2, "b", "e", None)), base, "2024-01-01")
+    append_bronze(customers(spark, (2, "b2", "e", None)), base, "2024-01-02")
+    for day in ("2024-01-01", "2024-01-02"):
+        jobs.run_silver(spark, lake, day)
+    append_bronze(customers(spark, (1, "right", "e", None), (2, "late", "e", None)), base, "2024-01-01")
+    jobs.run_silver(spark, lake, "2024-01-01")
+    got = rows(jobs.read_silver(spark, lake, "silver_postgres_customers"), "id", "name")
+    assert got == [(1, "right"), (2, "b2")]
+
+
 def test_bad_rows_go_to_dead_letters(spark, tmp_path):
     lake = jobs.Lake(
         *(str(tmp_path / n) for n in ("bronze", "silver", "gold", "dead")),
