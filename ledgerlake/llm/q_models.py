@@ -1 +1,36 @@
-"""Queries on trained models, searches and near duplicates."""
+"""Queries on tokenizers, trained models, searches and near duplicates."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerlake.llm import language, packing
+from ledgerlake.llm.common import fold, table
+from ledgerlake.llm.registry import query
+
+
+def tokenizer_path() -> str:
+    """Where each machine keeps the public vocabulary that the packing query uses."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op1_best_fit_packing")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    pieces = packing.tokenize(docs, tokenizer_path(), carry=["doc_id"], keep_ids=False)
+    return packing.pack(pieces)
+
+
+def held_out(key: str, parts: int, rest: int) -> Column:
+    """Rows that no model learns from; a null key is one of them."""
+    return F.coalesce(fold(key, parts) == rest, F.lit(True))
+
+
+@query("op3_language_id")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").withColumn("held_out", held_out("doc_id", 5, 0))
+    identifier = language.learn(docs.where(~F.col("held_out")))
+    return language.identify(docs, identifier, carry=["doc_id", "held_out"])
