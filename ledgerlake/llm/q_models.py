@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import language, packing
+from ledgerlake.llm import ann, language, packing
 from ledgerlake.llm.common import fold, table
 from ledgerlake.llm.registry import query
 
@@ -34,3 +34,8 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").withColumn("held_out", held_out("doc_id", 5, 0))
     identifier = language.learn(docs.where(~F.col("held_out")))
     return language.identify(docs, identifier, carry=["doc_id", "held_out"])
+
+
+@query("op7_adaptive_scan")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    return ann.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
