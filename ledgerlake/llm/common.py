@@ -125,3 +125,27 @@ def batches(rows: Iterator[pa.RecordBatch], most: int = 16 << 20) -> Iterator[pa
         step = max(1, -(-batch.num_rows // parts))
         for at in range(0, batch.num_rows, step):
             yield batch.slice(at, step)
+
+
+def runs(rows: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.Table]:
+    """Tables of consecutive rows that agree on `keys`, from a sorted stream of batches."""
+    held: list[pa.RecordBatch] = []
+    last = None
+    for batch in rows:
+        if not batch.num_rows:
+            continue
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in keys]
+        change = np.zeros(batch.num_rows, bool)
+        for c in columns:
+            change[1:] |= c[1:] != c[:-1]
+        change[0] = last is None or any(c[0] != x for c, x in zip(columns, last, strict=True))
+        cuts = np.flatnonzero(change)
+        if held and (not len(cuts) or cuts[0] > 0):
+            held.append(batch.slice(0, int(cuts[0]) if len(cuts) else batch.num_rows))
+        for at, to in zip(cuts, [*cuts[1:], batch.num_rows], strict=True):
+            if held:
+                yield pa.Table.from_batches(held)
+            held = [batch.slice(int(at), int(to - at))]
+        last = [c[-1] for c in columns]
+    if held:
+        yield pa.Table.from_batches(held)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import ann, language, packing
+from ledgerlake.llm import ann, language, neardup, packing
 from ledgerlake.llm.common import fold, table
 from ledgerlake.llm.registry import query
 
@@ -39,3 +39,9 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_adaptive_scan")
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return ann.search(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query("op8_near_duplicates")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    found = neardup.classes(table(spark, folder, "documents"))
+    return found.select("doc_id", "class_id", "class_key")
