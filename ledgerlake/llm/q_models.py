@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import ann, language, neardup, packing
+from ledgerlake.llm import ann, language, neardup, packing, substrings
 from ledgerlake.llm.common import fold, table
 from ledgerlake.llm.registry import query
 
@@ -45,3 +48,15 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     found = neardup.classes(table(spark, folder, "documents"))
     return found.select("doc_id", "class_id", "class_key")
+
+
+def digest(words: Sequence[bytes]) -> str:
+    return hashlib.sha256(b" ".join(words)).hexdigest()
+
+
+@query("op10_repeated_passages")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = substrings.remove_repeats(docs, carry=["doc_id"], kept="kept_sha256", render=digest)
+    none = F.coalesce("kept_sha256", F.lit(digest([])))  # a null text keeps no words
+    return found.withColumn("kept_sha256", none)
