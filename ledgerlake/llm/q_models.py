@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.llm import ann, language, neardup, packing, substrings
+from ledgerlake.llm import ann, language, lm, neardup, packing, substrings
 from ledgerlake.llm.common import fold, table
 from ledgerlake.llm.registry import query
 
@@ -60,3 +60,10 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     found = substrings.remove_repeats(docs, carry=["doc_id"], kept="kept_sha256", render=digest)
     none = F.coalesce("kept_sha256", F.lit(digest([])))  # a null text keeps no words
     return found.withColumn("kept_sha256", none)
+
+
+@query("op4_context_mixing")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    scored = lm.score(docs, ~held_out("doc_id", 7, 2), carry=["doc_id"])
+    return scored.withColumn("held_out", held_out("doc_id", 7, 2))
