@@ -18,11 +18,11 @@ LIVE = f"""SELECT id, kind AS name, amount AS total_debt, epoch_ms(ts_ms) AS cre
   FROM ({RANKED}) q WHERE rn = 1 AND op <> 'd'"""
 
 
-def follow(bank: Bank, source: str, path: str, checkpoint: str, dead_letters: str | None = None) -> None:
+def follow(bank: Bank, source: str, path: str, checkpoint: str, dead_letters: str, **more) -> None:
     """Stream the topic folder into the table until its present end is reached."""
     stream = readers.read_changes(bank.spark, {"path": source, "maxFilesPerTrigger": "2"})
     running = queries.start_upsert(
-        stream, path, topic.TABLE, topic.SCHEMAS, checkpoint, queries.ONCE, dead_letters
+        stream, path, topic.TABLE, topic.SCHEMAS, checkpoint, dead_letters, queries.ONCE, **more
     )
     running.awaitTermination()
 
@@ -35,7 +35,7 @@ def current(bank: Bank, path: str) -> DataFrame:
 def stream_upsert(bank: Bank) -> DataFrame:
     folder = bank.new_folder("stream")
     source = topic.write_topic(bank, f"{folder}/topic")
-    follow(bank, source, f"{folder}/table", f"{folder}/checkpoint")
+    follow(bank, source, f"{folder}/table", f"{folder}/checkpoint", f"{folder}/dead")
     return current(bank, f"{folder}/table")
 
 
@@ -46,8 +46,8 @@ def stream_restart(bank: Bank) -> DataFrame:
     late = F.col("partition") == F.when(F.col("offset") % 3 == 0, 0).otherwise(1)
     for part in (~late, late):
         source = topic.write_topic(bank, f"{folder}/topic", part)
-        follow(bank, source, f"{folder}/table", f"{folder}/checkpoint")
-    follow(bank, source, f"{folder}/table", f"{folder}/checkpoint-lost")
+        follow(bank, source, f"{folder}/table", f"{folder}/checkpoint", f"{folder}/dead")
+    follow(bank, source, f"{folder}/table", f"{folder}/checkpoint-lost", f"{folder}/dead-again")
     return current(bank, f"{folder}/table")
 
 
@@ -60,7 +60,7 @@ def stream_dead_letters(bank: Bank) -> DataFrame:
     folder = bank.new_folder("stream")
     source = topic.write_topic(bank, f"{folder}/topic")
     follow(bank, source, f"{folder}/table", f"{folder}/checkpoint", f"{folder}/dead")
-    return bank.spark.read.parquet(f"{folder}/dead").select("offset", "problem")
+    return bank.spark.read.parquet(f"{folder}/dead/messages").select("offset", "problem")
 
 
 @query("stream_equals_batch", f"SELECT l.*, CAST(2 AS BIGINT) AS copies FROM ({LIVE}) l")
@@ -68,8 +68,8 @@ def stream_equals_batch(bank: Bank) -> DataFrame:
     """Each row with the number of paths that produced it, which has to be two."""
     folder = bank.new_folder("stream")
     source = topic.write_topic(bank, f"{folder}/topic")
-    follow(bank, source, f"{folder}/streamed", f"{folder}/checkpoint")
-    queries.merge_batch(topic.TABLE, f"{folder}/batched", topic.SCHEMAS)(bank.spark.read.parquet(source), 0)
+    follow(bank, source, f"{folder}/streamed", f"{folder}/checkpoint", f"{folder}/dead")
+    queries.merge_batch(topic.TABLE, f"{folder}/batched", topic.SCHEMAS, f"{folder}/dead-batch")(bank.spark.read.parquet(source), 0)
     both = current(bank, f"{folder}/streamed").unionByName(current(bank, f"{folder}/batched"))
     return both.groupBy(*SHOWN).agg(F.count(F.lit(1)).alias("copies"))
 
@@ -88,7 +88,7 @@ def hybrid_merge(bank: Bank) -> DataFrame:
     folder = bank.new_folder("hybrid")
     path = f"{folder}/table"
     source = topic.write_topic(bank, f"{folder}/topic")
-    follow(bank, source, path, f"{folder}/checkpoint")
+    follow(bank, source, path, f"{folder}/checkpoint", f"{folder}/dead")
     snapshot = bank.customers.withColumn("load_date", F.lit("2024-01-15"))
     tables.upsert_table(changes.snapshot_versioned(snapshot), path, topic.TABLE.keys, changes.VERSION)
     return current(bank, path).select("id", "name")
@@ -148,7 +148,7 @@ def silver_to_gold(bank: Bank) -> DataFrame:
     lake = loaded_lake(bank)
     jobs.run_silver(bank.spark, lake)
     jobs.run_gold(bank.spark, lake)
-    return bank.spark.read.parquet(f"{lake.gold}/gold_user_behavior_summary")
+    return jobs.read_gold(bank.spark, lake, "gold_user_behavior_summary")
 
 
 @query("stream_to_gold", "SELECT * FROM fx_gold_fraud")
@@ -164,9 +164,10 @@ def stream_to_gold(bank: Bank) -> DataFrame:
             for name, df in sources.items()
         }
     )
-    running = queries.start_all(
-        {name: readers.read_changes(bank.spark, {"path": f"{folder}/topics/{name}"}) for name in sources},
-        lake.silver,
+    running = jobs.stream(
+        bank.spark,
+        lake,
+        {name: {"path": f"{folder}/topics/{name}"} for name in sources},
         {name: {1: changes.wire_schema(SILVER[name])} for name in sources},
         f"{folder}/checkpoints",
         queries.ONCE,
@@ -174,7 +175,7 @@ def stream_to_gold(bank: Bank) -> DataFrame:
     for one in running:
         one.awaitTermination()
     jobs.run_gold(bank.spark, lake)
-    return bank.spark.read.parquet(f"{lake.gold}/gold_fraud_analysis")
+    return jobs.read_gold(bank.spark, lake, "gold_fraud_analysis")
 
 
 @query("silver_to_gold_replayed", "SELECT * FROM fx_gold_fraud")
@@ -185,4 +186,4 @@ def silver_to_gold_replayed(bank: Bank) -> DataFrame:
         jobs.run_silver(bank.spark, lake, day)
     jobs.maintain(bank.spark, lake)
     jobs.run_gold(bank.spark, lake)
-    return bank.spark.read.parquet(f"{lake.gold}/gold_fraud_analysis")
+    return jobs.read_gold(bank.spark, lake, "gold_fraud_analysis")

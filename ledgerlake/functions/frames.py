@@ -24,9 +24,11 @@ def fill_strings(df: DataFrame) -> DataFrame:
 
 
 def hash_sample(df: DataFrame, key: str, percent: float = 30.0) -> DataFrame:
-    """Repeatable sample: the same keys every time, decided by the first md5 byte."""
-    bound = format(round(256 * percent / 100), "02x")
-    return df.where(F.substring(F.md5(F.col(key).cast("string")), 1, 2) < bound)
+    """Repeatable sample: the same keys every time, decided by the first md5 byte; a null key is left out below 100."""
+    bound = round(256 * percent / 100)
+    if not 0 <= bound <= 256:
+        raise ValueError(f"a share lies between 0 and 100: {percent}")
+    return df if bound == 256 else df.where(hash_number(F.col(key), 0) < bound)
 
 
 def hash_number(key: Column, position: int) -> Column:

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 UNKNOWN_ZIPS = ("", "nan", "00nan", "00000")
 # Characters that money text carries besides the number.
 MONEY_NOISE = "$, \t\r\n"
+# a plain decimal number, with an exponent at most: not `nan`, `Infinity` or `12d`
+MONEY_FORM = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
 VISIBLE_DIGITS = 4
 MASK = "***"
 DESCRIPTION_LENGTH = 255
@@ -16,7 +18,8 @@ DESCRIPTION_LENGTH = 255
 
 def clean_currency(value: Column, default: float | None = None) -> Column:
     """`$1,234.50` as a double; text that is no number becomes `default`."""
-    number = F.translate(value, MONEY_NOISE, "").try_cast("double")
+    text = F.translate(value, MONEY_NOISE, "")
+    number = F.when(text.rlike(MONEY_FORM), text.try_cast("double"))
     return number if default is None else F.coalesce(number, F.lit(default))
 
 

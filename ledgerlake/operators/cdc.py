@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -40,10 +41,28 @@ def unwrap_relational(
     return df.select(F.coalesce(state, F.col(before)).alias("_row"), *rest).select("_row.*", *rest)
 
 
-def unwrap_document(df: DataFrame, after: str, schema: T.StructType) -> DataFrame:
-    """Same for a document change, whose new state is JSON text."""
-    rest = [c for c in df.columns if c != after]
-    return df.select(F.from_json(after, schema).alias("_row"), *rest).select("_row.*", *rest)
+def unwrap_document(
+    df: DataFrame, after: str, schema: T.StructType, key: str | None = None, name: str = "_id"
+) -> DataFrame:
+    """Same for a document change, whose new state is JSON text.
+
+    A delete has no new state; with `key`, the column of the message key, its document's
+    `name` is taken from there, so that the delete can be merged.
+    """
+    rest = [c for c in df.columns if c not in (after, key)]
+    row = F.from_json(after, schema)
+    if key is None:
+        return df.select(row.alias("_row"), *rest).select("_row.*", *rest)
+    out = df.select(row.alias("_row"), document_key(F.col(key)).alias("_from_key"), *rest)
+    own = F.coalesce(f"_row.{name}", F.col("_from_key").try_cast(schema[name].dataType)).alias(name)
+    return out.select(*[own if n == name else F.col(f"_row.{n}") for n in schema.names], *rest)
+
+
+def document_key(key: Column) -> Column:
+    """The document id in a message key, `{"id": ...}`; an object id is unwrapped."""
+    text = key.cast("string")
+    own = F.get_json_object(text, "$.id")
+    return F.coalesce(F.get_json_object(own, "$['$oid']"), F.get_json_object(own, "$"), own)
 
 
 def apply_delete_policy(df: DataFrame, op: str = "op", policy: str = "drop") -> DataFrame:
@@ -65,7 +84,7 @@ def schema_for(subjects: Mapping[str, Mapping[int, T.StructType]], subject: str)
 
 def decode_payload(
     df: DataFrame,
-    schemas: Mapping[int, T.StructType],
+    schemas: Mapping[int, T.StructType | str],
     reader: T.StructType,
     payload: str = "payload",
     schema_id: str = "schema_id",
@@ -73,6 +92,9 @@ def decode_payload(
 ) -> DataFrame:
     """Decode each payload with the writer schema its header names.
 
+    A writer schema is a StructType for JSON payloads, and for Avro the schema's own text as
+    the registry gives it, which is the only right one to read with.
+
     Adds `data`, a struct of the `reader` columns, and `problem`, null for a good message.
     What cannot be decoded is labelled here, before the struct is expanded, so it never
     becomes an all-null row with a null key.
@@ -100,14 +122,14 @@ def decode_payload(
 
 
 def expand(df: DataFrame, *metadata: str) -> tuple[DataFrame, DataFrame]:
-    """(good rows as columns, bad messages as they arrived with their problem)."""
+    """(good rows as columns, bad messages as they arrived with their problem and what was read)."""
     good = df.where(F.col("problem").isNull()).select("data.*", *metadata)
-    bad = df.where(F.col("problem").isNotNull()).drop("data")
+    bad = df.where(F.col("problem").isNotNull())
     return good, bad
 
 
-def _as_reader(value: Column, writer: T.StructType, reader: T.StructType) -> Column:
-    names = set(writer.names)
+def _as_reader(value: Column, writer: T.StructType | str, reader: T.StructType) -> Column:
+    names = set(writer.names if isinstance(writer, T.StructType) else _avro_names(writer))
     return F.struct(
         *[
             (value[f.name].try_cast(f.dataType) if f.name in names else F.lit(None).cast(f.dataType)).alias(f.name)
@@ -116,6 +138,10 @@ def _as_reader(value: Column, writer: T.StructType, reader: T.StructType) -> Col
     )
 
 
+def _avro_names(writer: str) -> list[str]:
+    return [f["name"] for f in json.loads(writer)["fields"]]
+
+
 _CORRUPT = "_corrupt_record"
 
 
@@ -126,28 +152,12 @@ def _decode_json(payload: Column, writer: T.StructType) -> Column:
     return F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
 
 
-def _decode_avro(payload: Column, writer: T.StructType) -> Column:
+def _decode_avro(payload: Column, writer: str) -> Column:
     from pyspark.sql.avro.functions import from_avro
 
-    return from_avro(payload, avro_schema(writer), {"mode": "PERMISSIVE"})
+    return from_avro(payload, writer, {"mode": "PERMISSIVE"})
 
 
 def _is_readable(value: Column, format: str) -> Column:
     readable = value.isNotNull()
     return readable if format == "avro" else readable & value[_CORRUPT].isNull()
-
-
-def avro_schema(schema: T.StructType, name: str = "row") -> str:
-    """The nullable Avro record matching a flat schema, as JSON text."""
-    import json
-
-    # Avro names of the Spark types a change row may hold.
-    kinds = {
-        "string": "string", "long": "long", "integer": "int", "double": "double",
-        "timestamp": {"type": "long", "logicalType": "timestamp-micros"}, "boolean": "boolean",
-    }
-    fields = [
-        {"name": f.name, "type": ["null", kinds.get(f.dataType.typeName(), "string")], "default": None}
-        for f in schema.fields
-    ]
-    return json.dumps({"type": "record", "name": name, "fields": fields})

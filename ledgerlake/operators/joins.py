@@ -8,33 +8,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-# a group of this many matching rows is no burden for the task that holds its key
-MANY = 100_000
-
-
 def left_join_many(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
     """Left join onto a right side that may hold many rows of one key.
 
     Adaptive execution can split a hot key on both sides of an inner join but only on the
-    left side of an outer one. So the largest group on the right is measured first, by a
-    job over its key column alone. Up to `MANY` rows the plain left join does it in one
-    pass. Beyond, matches come from an inner join and the rows without one from an anti
-    join on the distinct keys, which reads `left` twice.
+    left side of an outer one. So matches come from an inner join, and the rows without one
+    from an anti join on the distinct keys; both share the exchange of `left`.
     """
-    if largest_group(right, right_key) <= MANY:
-        other = right.withColumnRenamed(right_key, "_key")
-        return left.join(other, left[left_key] == other["_key"], "left").drop("_key")
-    return left_join_split(left, right, left_key, right_key)
-
-
-def largest_group(df: DataFrame, key: str) -> int:
-    """Rows of the most frequent key; counts are combined before the shuffle."""
-    sizes = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return sizes.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
-
-
-def left_join_split(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
-    """The same left join as inner and anti part, in which any hot key can be split."""
     extra = [name for name in right.columns if name != right_key]
     other = right.withColumnRenamed(right_key, "_key")
     matched = left.join(other, left[left_key] == other["_key"], "inner").drop("_key")

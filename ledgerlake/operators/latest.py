@@ -31,10 +31,21 @@ def top_n_by(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int
 def latest_by(
     df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], ties: Sequence[str] = ()
 ) -> DataFrame:
-    """One row per key: the one with the highest order columns, nulls last, then ties."""
+    """One row per key: the one with the highest order columns, nulls last, then ties.
+
+    What is still equal is decided by a hash over the whole row, so the answer does not
+    depend on how the rows are partitioned.
+    """
     columns = [o if isinstance(o, Column) else F.col(o).desc_nulls_last() for o in order]
     columns += newest_first(df, ties)
-    return top_n_by(df, keys, columns, 1) if columns else df.dropDuplicates(list(keys))
+    return top_n_by(df, keys, [*columns, row_hash(df)], 1)
+
+
+def row_hash(df: DataFrame) -> Column:
+    """A number from all columns of a row; maps, which have no order, by their JSON."""
+    return F.xxhash64(
+        *[F.to_json(F.struct(f.name)) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in df.schema.fields]
+    )
 
 
 def event_order(df: DataFrame, candidates: Sequence[str]) -> list[Column]:
@@ -52,7 +63,7 @@ def event_order(df: DataFrame, candidates: Sequence[str]) -> list[Column]:
 def dedup_events(
     df: DataFrame, keys: Sequence[str], candidates: Sequence[str], ties: Sequence[str] = ()
 ) -> DataFrame:
-    """Latest event per key, or any one where no time column exists."""
+    """Latest event per key; where no time column exists, the same one every time."""
     return latest_by(df, keys, event_order(df, candidates), ties)
 
 

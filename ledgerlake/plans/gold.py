@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.functions.times import to_ts
 from ledgerlake.operators.joins import left_join_many
-from ledgerlake.operators.latest import latest_by, mode_by
+from ledgerlake.operators.latest import event_order, latest_by, mode_by
 from ledgerlake.schemas import EVENT_TIME, GOLD_FRAUD_ANALYSIS, GOLD_USER_BEHAVIOR_SUMMARY
 
 # What stands for "nothing known" in the Gold tables.
@@ -35,8 +35,9 @@ SUMMARY_DEFAULTS = {
     "total_failed_logins": 0,
     "primary_device_os": "Unknown",
 }
-# amounts are money with two decimals: exact sums do not depend on the order of rows
-MONEY = "decimal(18,2)"
+# sums of decimals do not depend on the order of rows; wide enough for any amount below 1e22,
+# and for more decimals than money has, so that rounding happens once, on the sum
+MONEY = "decimal(38,6)"
 
 
 def latest_notification(notices: DataFrame) -> DataFrame:
@@ -73,8 +74,8 @@ def with_risk(transactions: DataFrame, fraud: DataFrame, latest_only: bool = Fal
     """Add score and reason; several events of a transaction give several rows."""
     events = fraud.select("transaction_id", "risk_score", "fraud_reason")
     if latest_only:
-        time = [name for name in (*EVENT_TIME[1:], "_id") if name in fraud.columns]
-        events = latest_by(fraud, ["transaction_id"], time).select(events.columns)
+        time = event_order(fraud, EVENT_TIME[1:])
+        events = latest_by(fraud, ["transaction_id"], time, ("_id",)).select(events.columns)
         return transactions.join(events, "transaction_id", "left")
     return left_join_many(transactions, events, "transaction_id", "transaction_id")
 
@@ -105,16 +106,18 @@ def tx_stats(transactions: DataFrame, cards: DataFrame) -> DataFrame:
     """Counts and amounts per customer.
 
     Transactions are summed per card before the join, so the fact rows themselves are
-    never shuffled and a busy card arrives as one row per map task.
+    never shuffled and a busy card arrives as one row per map task. An amount beyond the
+    decimal is neither summed nor averaged; `beyond_money` lists such rows.
     """
+    amount = F.col("amount").try_cast(MONEY)
     per_card = transactions.groupBy("card_id").agg(
         F.count("id").alias("n"),
-        F.count("amount").alias("n_amount"),
-        F.sum(F.col("amount").cast(MONEY)).alias("spent"),
+        F.count(amount).alias("n_amount"),
+        F.try_sum(amount).alias("spent"),
         F.count_if(F.col("is_fraud") == "Yes").alias("fraud"),
     )
     owned = per_card.join(cards.select(F.col("id").alias("card_id"), "customer_id"), "card_id", "inner")
-    total = F.sum("spent").cast("double")
+    total = F.round(F.try_sum("spent"), 2).cast("double")
     return owned.groupBy("customer_id").agg(
         F.sum("n").alias("total_transactions"),
         total.alias("total_amount_spent"),
@@ -123,6 +126,11 @@ def tx_stats(transactions: DataFrame, cards: DataFrame) -> DataFrame:
     )
 
 
+def beyond_money(transactions: DataFrame) -> DataFrame:
+    """Transactions whose amount no sum can hold: report them beside the statistics."""
+    return transactions.where(F.col("amount").isNotNull() & F.col("amount").try_cast(MONEY).isNull())
+
+
 def login_stats(logins: DataFrame, any_case: bool = False) -> DataFrame:
     """Failed logins per user; sources spell the status in two ways, hence `any_case`."""
     status = F.lower("status") if any_case else F.col("status")

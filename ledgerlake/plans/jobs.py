@@ -3,30 +3,46 @@
 from __future__ import annotations
 
 import argparse
+import json
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake.operators.quality import Rules, apply_pii_policy, check, not_null
 from ledgerlake.plans import gold
 from ledgerlake.plans.silver import refine
 from ledgerlake.schemas import SILVER, Table
 from ledgerlake.session import tune
-from ledgerlake.sinks.writers import load_serving, write_dead_letters, write_sorted
-from ledgerlake.sources.readers import if_exists, register_views, scan_bronze, scan_bronze_day
+from ledgerlake.sinks.writers import append_bronze, load_serving, sorted_rows, write_dead_letters
+from ledgerlake.sources.readers import (
+    if_exists,
+    read_changes,
+    read_csv,
+    read_documents,
+    read_jdbc,
+    register_views,
+    scan_bronze,
+    scan_bronze_day,
+)
 from ledgerlake.sources.tables import (
     RETENTION_HOURS,
     TARGET_BYTES,
     Written,
     compact,
     exists,
+    read_replaced,
     read_table,
+    replace_table,
     upsert_table,
     vacuum,
 )
 from ledgerlake.streaming.changes import VERSION, snapshot_versioned
+from ledgerlake.streaming.queries import EVERY_FIVE_MINUTES, await_any, start_all
 
 GOLD_KEYS = {
     "gold_fraud_analysis": ("customer_id", "transaction_date"),
@@ -78,11 +94,14 @@ def silver_table(spark: SparkSession, lake: Lake, table: Table, load_date: str |
     )
     if df is None:
         return None
+    policy = lake.pii.get(table.name)
     good, bad = check(df, {**not_null(*table.keys), **lake.rules.get(table.name, {})})
-    write_dead_letters(bad, f"{lake.dead_letters}/{table.name}/load_date={load_date or 'all'}", mode="overwrite")
-    rows = snapshot_versioned(refine(good, table, ("load_date",)))
-    if table.name in lake.pii:
-        rows = apply_pii_policy(rows, lake.pii[table.name])
+    # refused rows still have the source's columns; the policy names the Silver ones
+    sources = {table.renames.get(name, name): action for name, action in (policy or {}).items()}
+    write_dead_letters(
+        apply_pii_policy(bad, sources), f"{lake.dead_letters}/{table.name}/load_date={load_date or 'all'}", mode="overwrite"
+    )
+    rows = apply_pii_policy(snapshot_versioned(refine(good, table, ("load_date",))), policy or {})
     return upsert_table(rows, f"{lake.silver}/{table.name}", table.keys, VERSION, unique=True)
 
 
@@ -106,6 +125,10 @@ def silver_views(spark: SparkSession, lake: Lake) -> list[str]:
     return register_views({name: read_silver(spark, lake, name) for name in present})
 
 
+def read_gold(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
+    return read_replaced(spark, f"{lake.gold}/{name}")
+
+
 def run_gold(spark: SparkSession, lake: Lake) -> dict[str, int]:
     tune(spark)
 
@@ -113,10 +136,10 @@ def run_gold(spark: SparkSession, lake: Lake) -> dict[str, int]:
         return read_silver(spark, lake, name)
 
     def store(name: str, df: DataFrame) -> int:
-        path = f"{lake.gold}/{name}"
-        rows = write_sorted(df, path, GOLD_KEYS[name])
+        # beside the last good table, which readers keep until this one is complete
+        rows = replace_table(sorted_rows(df, GOLD_KEYS[name]), f"{lake.gold}/{name}").rows
         if lake.serving:
-            load_serving(spark.read.parquet(path), lake.serving, name)
+            load_serving(read_gold(spark, lake, name), lake.serving, name)
         return rows
 
     transactions = silver("silver_postgres_transactions")
@@ -144,7 +167,10 @@ def maintain(
     target_bytes: int = TARGET_BYTES,
     hours: float = RETENTION_HOURS,
 ) -> dict[str, object]:
-    """Compact and vacuum every Silver table that exists; one failure stops no other."""
+    """Compact and vacuum every Silver table that exists; one failure stops no other.
+
+    Also the old states of the Gold tables are removed after the retention period.
+    """
 
     def work(table: Table) -> list[int] | None:
         path = f"{lake.silver}/{table.name}"
@@ -153,19 +179,85 @@ def maintain(
         compact(spark, path, table.keys, VERSION, target_bytes)
         return vacuum(spark, path, hours)
 
-    return run_all({name: (lambda t=table: work(t)) for name, table in SILVER.items()})
+    tasks = {name: (lambda t=table: work(t)) for name, table in SILVER.items()}
+    gold_tables = {name: (lambda n=name: vacuum(spark, f"{lake.gold}/{n}", hours)) for name in GOLD_KEYS}
+    return run_all({**tasks, **gold_tables})
+
+
+def ingest(lake: Lake, sources: Mapping[str, Callable[[], DataFrame]], load_date: str) -> dict[str, object]:
+    """Land each source's snapshot in its Bronze folder under one load date.
+
+    `sources` maps a Bronze folder (postgres/cards) to the reader of its table. A failing
+    source holds up no other; its error is raised when all have ended.
+    """
+    return run_all(
+        {name: (lambda n=name, r=read: append_bronze(r(), f"{lake.bronze}/{n}", load_date)) for name, read in sources.items()}
+    )
+
+
+def stream(
+    spark: SparkSession,
+    lake: Lake,
+    topics: Mapping[str, Mapping[str, str]],
+    schemas: Mapping[str, Mapping[int, T.StructType]],
+    checkpoints: str,
+    trigger: Mapping[str, object] = EVERY_FIVE_MINUTES,
+) -> list[StreamingQuery]:
+    """All Silver streams under the lake's rules and policies; `topics` are reader options by table."""
+    streams = {name: read_changes(spark, options) for name, options in topics.items()}
+    return start_all(
+        streams, lake.silver, schemas, checkpoints, f"{lake.dead_letters}/stream", trigger, lake.rules, lake.pii
+    )
+
+
+def reader(spark: SparkSession, source: Mapping[str, object]) -> Callable[[], DataFrame]:
+    """The reader a job's settings describe: jdbc, documents or csv."""
+    kind = source["kind"]
+    if kind == "jdbc":
+        split = source.get("partition")
+        return lambda: read_jdbc(spark, source["options"], source["table"], tuple(split) if split else None)
+    if kind == "documents":
+        schema = T._parse_datatype_string(source["schema"]) if "schema" in source else None
+        return lambda: read_documents(spark, source["location"], schema)
+    if kind == "csv":
+        return lambda: read_csv(spark, source["path"], T._parse_datatype_string(source["schema"]))
+    raise ValueError(f"unknown kind of source: {kind}")
+
+
+def configured(settings: Mapping[str, object], folders: Mapping[str, str]) -> Lake:
+    """A lake with the rules (SQL text by label), policies and serving options of a settings file."""
+    rules = {t: {label: F.expr(text) for label, text in own.items()} for t, own in settings.get("rules", {}).items()}
+    return Lake(**folders, rules=rules, pii=settings.get("pii", {}), serving=settings.get("serving"))
 
 
 def main() -> None:
-    parser = argparse.ArgumentParser(description="Silver and Gold for one load date")
-    parser.add_argument("--execution-date", help="YYYY-MM-DD; all loaded days when left out")
+    parser = argparse.ArgumentParser(description="Jobs of the lake")
+    parser.add_argument("job", nargs="?", default="batch", choices=("ingest", "batch", "stream", "maintain"))
+    parser.add_argument("--execution-date", help="YYYY-MM-DD; for batch, all loaded days when left out")
     for layer in ("bronze", "silver", "gold", "dead-letters"):
         parser.add_argument(f"--{layer}", required=True, help="folder")
+    parser.add_argument("--checkpoints", help="folder of the streams' checkpoints")
+    parser.add_argument("--settings", help="JSON file: sources, topics, schemas, rules, pii, serving")
     args = parser.parse_args()
-    spark = SparkSession.builder.appName("ledgerlake").getOrCreate()
-    lake = Lake(args.bronze, args.silver, args.gold, args.dead_letters)
-    run_silver(spark, lake, args.execution_date)
-    run_gold(spark, lake)
+    spark = tune(SparkSession.builder.appName("ledgerlake").getOrCreate())
+    text = "\n".join(r.value for r in spark.read.text(args.settings).collect()) if args.settings else "{}"
+    settings = json.loads(text)
+    folders = {"bronze": args.bronze, "silver": args.silver, "gold": args.gold, "dead_letters": args.dead_letters}
+    lake = configured(settings, folders)
+    if args.job == "ingest":
+        ingest(lake, {n: reader(spark, s) for n, s in settings["sources"].items()}, args.execution_date)
+    elif args.job == "batch":
+        run_silver(spark, lake, args.execution_date)
+        run_gold(spark, lake)
+    elif args.job == "stream":
+        schemas = {
+            name: {int(n): T._parse_datatype_string(ddl) for n, ddl in own.items()}
+            for name, own in settings["schemas"].items()
+        }
+        stream(spark, lake, settings["topics"], schemas, args.checkpoints)
+        await_any(spark)
+    else:
+        maintain(spark, lake)
 
 
 if __name__ == "__main__":

@@ -2,21 +2,37 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+
 from pyspark.sql import DataFrame
 
 from ledgerlake.operators.conform import conform
-from ledgerlake.operators.latest import event_order, latest_by
+from ledgerlake.operators.latest import event_order, latest_by, newest_first
+from ledgerlake.operators.quality import Rules, apply_pii_policy, check, not_null
 from ledgerlake.schemas import SILVER, Table
 
 META = ("load_date", "_deleted", "offset", "ts_ms")
 
 
 def refine(df: DataFrame, table: Table, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Deduplicate and conform one source; the same rules for snapshots and streams."""
-    latest = latest_by(df, table.keys, event_order(df, table.order), table.ties)
+    """Deduplicate and conform one source; the same rules for snapshots and streams.
+
+    The later load wins, as it does where days are loaded one by one: a correction may move
+    an event's time back. Within a load the later event wins.
+    """
+    loaded = newest_first(df, ("load_date",))
+    latest = latest_by(df, table.keys, [*loaded, *event_order(df, table.order)])
     return conform(latest, table.schema, table.renames, keep)
 
 
+def settle(
+    df: DataFrame, keys: Sequence[str], rules: Rules | None = None, policy: Mapping[str, str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """(rows to merge, refused rows with their reasons), both under the personal-data policy."""
+    good, bad = check(df, {**not_null(*keys), **(rules or {})})
+    return apply_pii_policy(good, policy or {}), apply_pii_policy(bad, policy or {})
+
+
 def customers(df: DataFrame) -> DataFrame:
     return refine(df, SILVER["silver_postgres_customers"])
 

@@ -91,7 +91,6 @@ class Table:
     schema: T.StructType
     keys: tuple[str, ...]
     order: tuple[str, ...]  # candidates for the event time, first present one is used
-    ties: tuple[str, ...] = ("load_date",)
     renames: dict[str, str] = field(default_factory=dict)  # Silver column -> source column
 
 

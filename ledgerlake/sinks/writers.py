@@ -55,13 +55,17 @@ def load_serving(df: DataFrame, options: Mapping[str, str], table: str) -> int:
 
 def write_sorted(df: DataFrame, path: str, keys: Sequence[str]) -> int:
     """Range-partitioned and sorted by `keys`, so that a reader's filter skips files."""
-    columns = [F.col(key) for key in keys]
     # counted behind the exchange: finding the ranges reads the rows in front of it twice
-    rows, seen = counted(df.repartitionByRange(*columns).sortWithinPartitions(*columns))
+    rows, seen = counted(sorted_rows(df, keys))
     rows.write.mode("overwrite").parquet(path)
     return seen.get["rows"]
 
 
+def sorted_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    columns = [F.col(key) for key in keys]
+    return df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+
+
 def write_dead_letters(df: DataFrame, path: str, mode: str = "append") -> int:
     rows, seen = counted(df)
     rows.write.mode(mode).parquet(path)

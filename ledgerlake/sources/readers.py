@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgerlake.operators.conform import convert
+
 # The columns a topic delivers, whether it is read from a broker or from its file copy.
 TOPIC = T.StructType(
     [
@@ -28,7 +31,10 @@ def read_jdbc(
     table: str,
     partition: tuple[str, int, int, int] | None = None,
 ) -> DataFrame:
-    """Snapshot of a table; `partition` is (column, lower, upper, number of readers)."""
+    """Snapshot of a table; `partition` is (column, lower, upper, number of readers).
+
+    Without it one task reads the whole table, which is for small tables only.
+    """
     reader = spark.read.format("jdbc").options(**options).option("dbtable", table)
     if partition:
         reader = reader.options(**jdbc_split(*partition))
@@ -61,10 +67,52 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def scan_bronze(spark: SparkSession, base: str, load_date: str | None = None) -> DataFrame:
-    """One day of a snapshot table, or all; the filter prunes folders and keeps load_date."""
-    df = spark.read.option("mergeSchema", "true").parquet(base)
-    df = df.withColumn("load_date", F.col("load_date").cast("string"))
-    return df if load_date is None else df.where(F.col("load_date") == load_date)
+    """One day of a snapshot table, or all, with load_date.
+
+    Sources drift: a score is a whole number on one day and has decimals on the next, a
+    place is a document and then text. Days of one schema are one scan, known by one footer
+    of each day; a column whose type differs between them is widened where both are numbers
+    and becomes text otherwise (JSON for a nested value), which conforming reads again.
+    """
+    days = _days(spark, base) if load_date is None else [load_date]
+    groups: dict[str, list[str]] = {}
+    for day in days:
+        groups.setdefault(spark.read.parquet(f"{base}/load_date={day}").schema.json(), []).append(day)
+    scans = []
+    for some in groups.values():
+        df = spark.read.option("basePath", base).parquet(*[f"{base}/load_date={day}" for day in some])
+        scans.append(df.withColumn("load_date", F.col("load_date").cast("string")))
+    if not scans:
+        return spark.read.parquet(base)  # the reader's own error for a missing or empty table
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), _same_types(scans))
+
+
+def _days(spark: SparkSession, base: str) -> list[str]:
+    location = spark._jvm.org.apache.hadoop.fs.Path(base)
+    fs = location.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(location):
+        return []
+    names = (s.getPath().getName() for s in fs.listStatus(location))
+    return sorted(name.removeprefix("load_date=") for name in names if name.startswith("load_date="))
+
+
+def _same_types(scans: Sequence[DataFrame]) -> list[DataFrame]:
+    kinds: dict[str, set[T.DataType]] = {}
+    for df in scans:
+        for f in df.schema.fields:
+            kinds.setdefault(f.name, set()).add(f.dataType)
+    mixed = {name: found for name, found in kinds.items() if len(found) > 1}
+    out = []
+    for df in scans:
+        columns = {}
+        for name in mixed.keys() & set(df.columns):
+            if all(isinstance(kind, T.NumericType) for kind in mixed[name]):
+                whole = all(isinstance(kind, T.IntegralType) for kind in mixed[name])
+                columns[name] = F.col(name).cast("long" if whole else "double")
+            else:
+                columns[name] = convert(F.col(name), df.schema[name].dataType, T.StringType())
+        out.append(df.withColumns(columns) if columns else df)
+    return out
 
 
 def scan_bronze_day(spark: SparkSession, base: str, load_date: str) -> DataFrame:

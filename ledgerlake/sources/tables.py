@@ -7,11 +7,15 @@ folder of plain parquet writes, each complete once Spark has left its `_SUCCESS`
     <table>/v=00000002-part    the latest row per key of one upsert
 
 An upsert writes only its own rows, so its cost does not depend on the table's size. A
-read takes the last full write and lets the parts after it replace the keys they name.
-While the parts are small, only the rows of those keys are compared and the rest of the
-full state passes through, unshuffled when Spark finds the keys small enough to broadcast;
-otherwise everything is compared in one exchange. `compact` folds the parts in, `vacuum` removes folders out of use. One
-writer per table.
+read takes the last full write and lets the parts after it replace the keys they name: only
+the rows of those keys are compared, the rest of the full state passes through. Folding the
+parts in is the work of `compact` alone; `vacuum` removes folders out of use.
+
+Writers may run side by side. Each claims its number by creating a file that must not exist
+yet, and writes to a folder that must not exist either. A full write holds what was complete
+below its number and later parts are read on top of it, so a compaction that finds a lower
+number claimed but not complete gives up with an error, and none of the rows is lost. A
+write that failed for good keeps its number claimed until `abandon` releases it.
 """
 
 from __future__ import annotations
@@ -20,7 +24,9 @@ import math
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,11 +34,13 @@ from ledgerlake.operators.latest import latest_by
 
 SUCCESS = "_SUCCESS"
 DELETED = "_deleted"
-MAX_PARTS = 48
 TARGET_BYTES = 1 << 30
 RETENTION_HOURS = 168
-# parts are few when the full state holds more than this many times their bytes
-FEW_CHANGES = 4
+CLAIMS = "_claims"
+
+
+class UnfinishedWrite(RuntimeError):
+    """A lower number is claimed and not complete; its writer runs, or failed."""
 
 
 @dataclass(frozen=True)
@@ -87,13 +95,43 @@ def versions(spark: SparkSession, path: str) -> list[Version]:
 
 def _in_force(found: Sequence[Version], version: int | None) -> list[Version]:
     upto = [v for v in found if version is None or v.number <= version]
-    start = max((i for i, v in enumerate(upto) if v.full), default=None)
-    return [] if start is None else upto[start:]
+    # before the first full write is complete, the parts beside it are the state
+    start = max((i for i, v in enumerate(upto) if v.full), default=0)
+    return upto[start:]
+
+
+def _claimed(spark: SparkSession, path: str) -> set[int]:
+    fs, folder = _files(spark, f"{path}/{CLAIMS}")
+    claims = {int(s.getPath().getName()) for s in fs.listStatus(folder)} if fs.exists(folder) else set()
+    return claims | {int(n[2:].split("-")[0]) for n in _folders(spark, path) if n.startswith("v=")}
+
+
+def _claim(spark: SparkSession, path: str) -> int:
+    """The next number, taken by a create that fails where another writer was first."""
+    number = max(_claimed(spark, path), default=0) + 1
+    while True:
+        fs, mark = _files(spark, f"{path}/{CLAIMS}/{number:08d}")
+        try:
+            fs.create(mark, False).close()
+            return number
+        except Py4JJavaError as error:
+            if not fs.exists(mark):
+                raise error
+            number += 1
+
 
+def unfinished(spark: SparkSession, path: str) -> list[int]:
+    """Numbers that are claimed and not complete."""
+    return sorted(_claimed(spark, path) - {v.number for v in versions(spark, path)})
 
-def _next_number(spark: SparkSession, path: str) -> int:
-    taken = [int(name[2:].split("-")[0]) for name in _folders(spark, path) if name.startswith("v=")]
-    return max(taken, default=0) + 1
+
+def abandon(spark: SparkSession, path: str, number: int) -> None:
+    """Give up a write that will not be finished: its claim and whatever it has written."""
+    if number not in unfinished(spark, path):
+        raise ValueError(f"{number} is not an unfinished write of {path}")
+    for name in (f"{CLAIMS}/{number:08d}", f"v={number:08d}-part", f"v={number:08d}-full"):
+        fs, location = _files(spark, f"{path}/{name}")
+        fs.delete(location, True)
 
 
 # --- reading ------------------------------------------------------------------------
@@ -133,29 +171,37 @@ def _live(df: DataFrame) -> DataFrame:
 def _state(
     spark: SparkSession, active: Sequence[Version], keys: Sequence[str], order: Sequence[str] | None
 ) -> DataFrame:
-    base = spark.read.parquet(active[0].path)
-    parts = active[1:]
+    base = spark.read.parquet(active[0].path) if active[0].full else None
+    parts = active[1:] if base is not None else list(active)
     if not parts:
         return base
     if not keys:
         raise ValueError("a table with parts is read by its keys")
     merged = _parts(spark, parts)
-    sizes = [_bytes(spark, v.path) for v in active]
-    contested, untouched = base, None
-    if sum(sizes[1:]) * FEW_CHANGES < sizes[0]:
-        touched = merged.select(*keys).distinct()
-        untouched = base.join(touched, list(keys), "left_anti")
-        contested = base.join(touched, list(keys), "left_semi")
-    rows = _numbered(contested, active[0].number).unionByName(merged, allowMissingColumns=True)
+    if base is None:
+        return latest_by(merged, keys, _precedence(order)).drop("_v")
+    touched = merged.select(*keys).distinct()
+    untouched = base.join(touched, list(keys), "left_anti")
+    contested = _numbered(base.join(touched, list(keys), "left_semi"), active[0].number)
+    rows = contested.unionByName(merged, allowMissingColumns=True)
     newest = latest_by(rows, keys, _precedence(order)).drop("_v")
-    return newest if untouched is None else untouched.unionByName(newest, allowMissingColumns=True)
+    return untouched.unionByName(newest, allowMissingColumns=True)
 
 
 def _parts(spark: SparkSession, parts: Sequence[Version]) -> DataFrame:
-    """All parts as one scan, each row with the number of the write it came by."""
-    df = spark.read.option("mergeSchema", "true").parquet(*[v.path for v in parts])
-    number = F.regexp_extract("_metadata.file_path", r"/v=(\d+)-part/", 1).cast("int")
-    return df.select(*df.columns, number.alias("_v"))
+    """All parts, each row with the number of the write it came by.
+
+    Parts of one schema are one scan; one footer of each part is read, not all of them.
+    """
+    groups: dict[str, list[str]] = {}
+    for v in parts:
+        groups.setdefault(spark.read.parquet(v.path).schema.json(), []).append(v.path)
+    scans = []
+    for paths in groups.values():
+        df = spark.read.parquet(*paths)
+        number = F.regexp_extract("_metadata.file_path", r"/v=(\d+)-part/", 1).cast("int")
+        scans.append(df.select(*df.columns, number.alias("_v")))
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
 def _bytes(spark: SparkSession, path: str) -> int:
@@ -183,7 +229,6 @@ def upsert_table(
     keys: Sequence[str],
     order: Sequence[str] | None = None,
     ties: Sequence[str] = (),
-    max_parts: int = MAX_PARTS,
     unique: bool = False,
 ) -> Written:
     """Merge rows into a table by key, or create it; batch and stream both end here.
@@ -199,17 +244,22 @@ def upsert_table(
         source = latest_by(source, keys, list(order or ()), ties)
     if delta_available(spark):
         return _upsert_delta(source, path, keys, order)
-    active = _in_force(versions(spark, path), None)
-    if not active:
-        return _write(source, path, full=True)
-    if len(active) > max_parts:
-        compact(spark, path, keys, order)
-    return _write(source, path, full=False)
+    number = _claim(spark, path)
+    # only the very first write may stand for the whole state
+    return _write(source, path, number, full=number == 1)
 
 
-def overwrite_table(df: DataFrame, path: str) -> Written:
-    """Write a whole new state; readers see it once it is complete."""
-    return _write(df, path, full=True)
+def replace_table(df: DataFrame, path: str) -> Written:
+    """Write a whole new state beside the old one; readers see it once it is complete."""
+    return _write(df, path, _claim(df.sparkSession, path), full=True)
+
+
+def read_replaced(spark: SparkSession, path: str) -> DataFrame:
+    """The last complete state of a table that is always replaced whole."""
+    full = [v for v in versions(spark, path) if v.full]
+    if not full:
+        raise FileNotFoundError(f"no complete version of {path}")
+    return spark.read.parquet(full[-1].path)
 
 
 def _with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -219,13 +269,11 @@ def _with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumns(checked)
 
 
-def _write(df: DataFrame, path: str, full: bool, files: int | None = None) -> Written:
-    spark = df.sparkSession
-    number = _next_number(spark, path)
+def _write(df: DataFrame, path: str, number: int, full: bool, files: int | None = None) -> Written:
     seen = Observation()
     rows = (df.repartition(files) if files else df).observe(seen, F.count(F.lit(1)).alias("rows"))
     target = f"{path}/v={number:08d}-{'full' if full else 'part'}"
-    rows.write.mode("overwrite").parquet(target)
+    rows.write.mode("errorifexists").parquet(target)
     return Written(number, seen.get["rows"])
 
 
@@ -271,12 +319,17 @@ def compact(
 
         DeltaTable.forPath(spark, path).optimize().executeCompaction()
         return DeltaTable.forPath(spark, path).history(1).select("version").first()["version"]
-    active = _in_force(versions(spark, path), None)
+    number = _claim(spark, path)
+    open_below = [n for n in unfinished(spark, path) if n < number]
+    if open_below:
+        abandon(spark, path, number)
+        raise UnfinishedWrite(f"{path}: {open_below} are claimed and not complete")
+    active = _in_force([v for v in versions(spark, path) if v.number < number], None)
     size = sum(_bytes(spark, v.path) for v in active)
     state = _state(spark, active, keys, order)
     if forget_deleted and DELETED in state.columns:
         state = state.where(~F.col(DELETED))
-    return _write(state, path, full=True, files=max(1, math.ceil(size / target_bytes))).version
+    return _write(state, path, number, full=True, files=max(1, math.ceil(size / target_bytes))).version
 
 
 def vacuum(

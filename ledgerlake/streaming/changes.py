@@ -25,6 +25,7 @@ OFFSET = "_offset"
 DELETED = "_deleted"
 VERSION = (CHANGED_AT, OFFSET)
 NO_OFFSET = -1
+MESSAGE_TIME = "_message_time"
 
 
 def wire_schema(table: Table) -> T.StructType:
@@ -51,15 +52,21 @@ def split(decoded: DataFrame, table: Table) -> tuple[DataFrame, DataFrame]:
     for key in table.keys:
         no_key = no_key | F.col(f"data.{key}").isNull()
     labelled = decoded.withColumn("problem", F.coalesce("problem", F.when(no_key, "null key")))
-    good, bad = expand(labelled, "offset")
-    return versioned(good, table), bad
+    sent = F.col("timestamp") if "timestamp" in decoded.columns else F.lit(None)
+    good, bad = expand(labelled.withColumn(MESSAGE_TIME, sent.cast("timestamp")), "offset", MESSAGE_TIME)
+    return versioned(good, table), bad.drop(MESSAGE_TIME)
 
 
 def versioned(rows: DataFrame, table: Table) -> DataFrame:
-    """Conformed rows of change messages with their version columns."""
+    """Conformed rows of change messages with their version columns.
+
+    Connectors send the time of the change only where they are told to; without it the time
+    of the message counts, so a live change still beats an earlier snapshot.
+    """
+    sent = [F.col(MESSAGE_TIME)] if MESSAGE_TIME in rows.columns else []
     stamped = rows.withColumns(
         {
-            CHANGED_AT: F.timestamp_millis("ts_ms"),
+            CHANGED_AT: F.coalesce(F.timestamp_millis("ts_ms"), *sent),
             OFFSET: F.col("offset").cast("long"),
             DELETED: F.coalesce(F.col("op") == DELETE, F.lit(False)),
         }

@@ -10,11 +10,14 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake.functions.times import archive_day
+from ledgerlake.functions.text import hash_pii, mask_card
 from ledgerlake.operators.cdc import schema_for
+from ledgerlake.operators.quality import Rules
+from ledgerlake.plans.silver import settle
 from ledgerlake.schemas import SILVER, Table
 from ledgerlake.sinks.writers import write_dead_letters
-from ledgerlake.sources.tables import MAX_PARTS, upsert_table
-from ledgerlake.streaming.changes import VERSION, decode, split
+from ledgerlake.sources.tables import upsert_table
+from ledgerlake.streaming.changes import DELETED, VERSION, decode, split
 
 # Cadence of the Silver streams and the score that raises an alert.
 EVERY_FIVE_MINUTES = {"processingTime": "5 minutes"}
@@ -26,14 +29,18 @@ def merge_batch(
     table: Table,
     path: str,
     schemas: Mapping[int, T.StructType],
-    dead_letters: str | None = None,
-    max_parts: int = MAX_PARTS,
+    dead_letters: str,
+    rules: Rules | None = None,
+    pii: Mapping[str, str] | None = None,
     format: str = "json",
 ) -> Callable[[DataFrame, int], None]:
     """The work of one micro-batch; safe to repeat, and any failure stops the query.
 
-    The merge keeps the newest version of each key, so a replayed batch changes nothing,
-    and the dead letters of a batch are written under its id.
+    The merge keeps the newest version of each key, so a replayed batch changes nothing. The
+    batch's dead letters are written under its id: messages that cannot be read or merged in
+    `messages`, rows that break a rule in `rows`. Rules and the personal-data policy are the
+    ones the batch job applies; under a policy a message that was read but has no key keeps
+    its problem and its masked data instead of its bytes. A delete is not held to the rules.
     """
 
     def apply(messages: DataFrame, batch_id: int) -> None:
@@ -42,30 +49,46 @@ def merge_batch(
         decoded = decode(messages, table, schemas, format).persist()
         try:
             rows, bad = split(decoded, table)
-            upsert_table(rows, path, table.keys, VERSION, max_parts=max_parts)
-            if dead_letters:
-                write_dead_letters(bad, f"{dead_letters}/batch={batch_id}", mode="overwrite")
+            held = {name: rule | F.col(DELETED) for name, rule in (rules or {}).items()}
+            good, refused = settle(rows, table.keys, held, pii)
+            upsert_table(good, path, table.keys, VERSION)
+            write_dead_letters(_unseen(bad, pii), f"{dead_letters}/messages/batch={batch_id}", mode="overwrite")
+            if held:
+                write_dead_letters(refused, f"{dead_letters}/rows/batch={batch_id}", mode="overwrite")
         finally:
             decoded.unpersist()
 
     return apply
 
 
+def _unseen(bad: DataFrame, pii: Mapping[str, str] | None) -> DataFrame:
+    """Dead letters without clear values of a table that has a policy."""
+    if not pii:
+        return bad.drop("data")
+    readable = F.col("data").isNotNull()
+    shown = {"mask": mask_card, "hash": hash_pii}
+    names = [n for n in bad.schema["data"].dataType.names if pii.get(n) != "drop"]
+    values = [(shown[pii[n]](F.col(f"data.{n}")) if n in pii else F.col(f"data.{n}")).alias(n) for n in names]
+    masked = bad.withColumn("masked", F.when(readable, F.to_json(F.struct(*values))))
+    return masked.withColumns({n: F.when(~readable, F.col(n)) for n in ("key", "value", "payload") if n in bad.columns}).drop("data")
+
+
 def start_upsert(
     stream: DataFrame,
     path: str,
     table: Table,
     schemas: Mapping[int, T.StructType],
     checkpoint: str,
+    dead_letters: str,
     trigger: Mapping[str, object] = EVERY_FIVE_MINUTES,
-    dead_letters: str | None = None,
-    max_parts: int = MAX_PARTS,
+    rules: Rules | None = None,
+    pii: Mapping[str, str] | None = None,
     format: str = "json",
 ) -> StreamingQuery:
     """Topic to Silver table; each table has its own query and its own checkpoint."""
     if not schemas:
         raise ValueError(f"no schema for {table.name}")
-    apply = merge_batch(table, path, schemas, dead_letters, max_parts, format)
+    apply = merge_batch(table, path, schemas, dead_letters, rules, pii, format)
     return (
         stream.writeStream.queryName(table.name)
         .foreachBatch(apply)
@@ -80,15 +103,17 @@ def start_all(
     silver: str,
     schemas: Mapping[str, Mapping[int, T.StructType]],
     checkpoints: str,
+    dead_letters: str,
     trigger: Mapping[str, object] = EVERY_FIVE_MINUTES,
-    dead_letters: str | None = None,
+    rules: Mapping[str, Rules] | None = None,
+    pii: Mapping[str, Mapping[str, str]] | None = None,
 ) -> list[StreamingQuery]:
     """One independent query per Silver table; a missing schema stops all before any starts."""
     found = {name: schema_for(schemas, name) for name in streams}
     return [
         start_upsert(
-            stream, f"{silver}/{name}", SILVER[name], found[name], f"{checkpoints}/{name}", trigger,
-            f"{dead_letters}/{name}" if dead_letters else None,
+            stream, f"{silver}/{name}", SILVER[name], found[name], f"{checkpoints}/{name}",
+            f"{dead_letters}/{name}", trigger, (rules or {}).get(name), (pii or {}).get(name),
         )
         for name, stream in streams.items()
     ]

@@ -47,17 +47,20 @@ def test_left_join_split_equals_left_join(spark):
     left = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, "d")], "k int, x string")
     right = spark.createDataFrame([(1, 10), (1, 11), (3, 12), (None, 13), (9, 14)], "k int, y int")
     expected = sorted([(1, "a", 10), (1, "a", 11), (2, "b", None), (3, "c", 12), (None, "d", None)], key=repr)
-    assert rows(joins.left_join_split(left, right, "k", "k").select("k", "x", "y")) == expected
     assert rows(joins.left_join_many(left, right, "k", "k").select("k", "x", "y")) == expected
 
 
-def test_left_join_takes_the_split_for_a_hot_key(spark, monkeypatch):
-    monkeypatch.setattr(joins, "MANY", 1)
-    left = spark.createDataFrame([(1, "a"), (2, "b")], "k int, x string")
+def test_left_join_has_one_form_and_starts_no_job(spark, tmp_path):
+    spark.range(10).selectExpr("id % 3 AS k", "id AS x").write.parquet(str(tmp_path / "l"))
+    left = spark.read.parquet(str(tmp_path / "l"))
     right = spark.createDataFrame([(1, 10), (1, 11)], "k int, y int")
+    group = "left-join-plan"
+    spark.sparkContext.setJobGroup(group, "")
     out = joins.left_join_many(left, right, "k", "k")
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup(group)
+    spark.sparkContext._jsc.sc().clearJobGroup()
     assert "Union" in out._jdf.queryExecution().toString()
-    assert rows(out) == sorted([(1, "a", 10), (1, "a", 11), (2, "b", None)], key=repr)
+    assert out.count() == 7 + 3 * 2
 
 
 def test_orphans_ignore_null_references(spark):

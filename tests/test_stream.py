@@ -39,7 +39,7 @@ class Lake:
     def run(self, checkpoint="cp", **more):
         stream = read_changes(self.spark, {"path": self.topic, "maxFilesPerTrigger": "1"})
         query = queries.start_upsert(
-            stream, self.table, TABLE, SCHEMAS, str(self.root / checkpoint), queries.ONCE, self.dead, **more
+            stream, self.table, TABLE, SCHEMAS, str(self.root / checkpoint), self.dead, queries.ONCE, **more
         )
         query.awaitTermination()
 
@@ -80,7 +80,7 @@ def test_bad_messages_go_to_dead_letters_and_good_ones_through(spark, lake):
     publish(spark, lake.topic, [message(1, "c", 10), "not json", json.dumps({"name": "no id", "ts_ms": 1})], 0)
     lake.run()
     assert lake.state() == [(1, "c10")]
-    assert rows(spark.read.parquet(lake.dead), "offset", "problem") == [(1, "undecodable payload"), (2, "null key")]
+    assert rows(spark.read.parquet(f"{lake.dead}/messages"), "offset", "problem") == [(1, "undecodable payload"), (2, "null key")]
 
 
 def test_failing_merge_fails_the_query_and_loses_nothing(spark, lake, monkeypatch):
@@ -100,7 +100,7 @@ def test_failing_merge_fails_the_query_and_loses_nothing(spark, lake, monkeypatc
 
 def test_empty_batch_writes_nothing(spark, lake):
     empty = spark.createDataFrame([], TOPIC)
-    queries.merge_batch(TABLE, lake.table, SCHEMAS)(empty, 0)
+    queries.merge_batch(TABLE, lake.table, SCHEMAS, lake.dead)(empty, 0)
     assert not tables.exists(spark, lake.table)
 
 
@@ -115,6 +115,34 @@ def test_late_snapshot_does_not_undo_a_change(spark, lake):
     assert lake.state() == [(1, "u1706000000000"), (2, "snapshot"), (3, "snapshot")]
 
 
+def test_a_change_without_its_own_time_beats_an_earlier_snapshot(spark, lake):
+    snapshot = spark.createDataFrame([(1, "snapshot", "2024-01-15")], "id long, name string, load_date string")
+    tables.upsert_table(snapshot_versioned(snapshot), lake.table, TABLE.keys, VERSION)
+    value = frame(F.lit('{"id": 1, "name": "live"}'), F.lit(1))
+    messages = spark.range(1).select(value.alias("value"), F.lit(5).cast("long").alias("offset"))
+    sent = messages.withColumn("timestamp", F.lit("2024-01-16 10:00:00").cast("timestamp"))
+    queries.merge_batch(TABLE, lake.table, SCHEMAS, lake.dead)(sent, 0)
+    assert lake.state() == [(1, "live")]
+
+
+def test_rules_and_policy_hold_in_the_stream(spark, lake):
+    payloads = [
+        json.dumps({"id": 1, "name": "x", "email": "a@b.c", "op": "c", "ts_ms": 1}),
+        json.dumps({"id": 2, "name": None, "email": "d@e.f", "op": "c", "ts_ms": 1}),
+        json.dumps({"email": "g@h.i", "ts_ms": 1}),
+        json.dumps({"id": 1, "op": "d", "ts_ms": 0}),
+    ]
+    publish(spark, lake.topic, payloads, 0)
+    lake.run(rules={"named": F.col("name").isNotNull()}, pii={"email": "hash"})
+    assert lake.state() == [(1, "x")]
+    assert rows(spark.read.parquet(f"{lake.dead}/rows"), "id") == [(2,)]
+    bad = spark.read.parquet(f"{lake.dead}/messages").collect()
+    assert [b.problem for b in bad] == ["null key"] and bad[0].value is None and "email" in bad[0].masked
+    told = [spark.read.parquet(f"{lake.dead}/{part}") for part in ("rows", "messages")]
+    told.append(tables.read_table(spark, lake.table, TABLE.keys, VERSION))
+    assert not any("@" in str(r) for df in told for r in df.collect())
+
+
 def test_epoch_micros_become_a_timestamp(spark, lake):
     publish(spark, lake.topic, [message(1, "c", 1704067200000)], 0)
     lake.run()
@@ -124,12 +152,12 @@ def test_epoch_micros_become_a_timestamp(spark, lake):
 
 def test_no_schema_is_an_error_before_start(spark, lake):
     with pytest.raises(ValueError, match="no schema"):
-        queries.start_upsert(None, lake.table, TABLE, {}, "cp")
+        queries.start_upsert(None, lake.table, TABLE, {}, "cp", "dead")
 
 
 def test_start_all_checks_every_schema_first(spark, lake):
     with pytest.raises(ValueError, match="no schema"):
-        queries.start_all({TABLE.name: None}, lake.table, {}, "cp")
+        queries.start_all({TABLE.name: None}, lake.table, {}, "cp", "dead")
 
 
 def test_alerts_pass_only_high_scores(spark, tmp_path):
