@@ -2,6 +2,7 @@
 
 from ledgerlake.catalog import (  # noqa: F401 - importing a module registers its queries
     q_cdc,
+    q_changes,
     q_functions,
     q_gold,
     q_io,
