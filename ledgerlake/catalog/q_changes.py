@@ -11,7 +11,7 @@ from ledgerlake.catalog.q_stream import RANKED, current, follow
 from ledgerlake.catalog.registry import query
 from ledgerlake.operators import cdc
 from ledgerlake.operators.conform import conform
-from ledgerlake.plans import gold, jobs
+from ledgerlake.plans import clean, gold, jobs
 from ledgerlake.schemas import SILVER, struct
 from ledgerlake.sinks.writers import append_bronze
 from ledgerlake.sources import readers, tables
@@ -189,3 +189,74 @@ def ingest_to_gold(bank: Bank) -> DataFrame:
     jobs.run_silver(bank.spark, lake, "2024-01-05")
     jobs.run_gold(bank.spark, lake)
     return jobs.read_gold(bank.spark, lake, "gold_user_behavior_summary")
+
+
+def _as_file(df: DataFrame, names: dict[str, str]) -> DataFrame:
+    """The columns a raw file has, all as text."""
+    return df.select([F.expr(expression).cast("string").alias(name) for name, expression in names.items()])
+
+
+@query(
+    "clean_customers",
+    """SELECT * EXCLUDE (email, created_at, phone, apartment),
+         concat(replace(lower(name), ' ', '.'), '.', CAST(id AS VARCHAR), '@example.com') AS email,
+         CAST(NULL AS TIMESTAMP) AS created_at, CAST(NULL AS VARCHAR) AS phone, apartment
+       FROM fx_customers""",
+)
+def clean_customers(bank: Bank) -> DataFrame:
+    """A raw customer file: money with signs, counts and codes that a float column has touched."""
+    raw = _as_file(
+        bank.customers,
+        {
+            "User": "id", "Person": "name", "Current Age": "concat(current_age, '.0')", "Retirement Age": "retirement_age",
+            "Birth Year": "birth_year", "Birth Month": "birth_month", "Gender": "gender", "Address": "address",
+            "Apartment": "concat(apartment, '.0')", "City": "city", "State": "state", "Zipcode": "concat(int(zipcode), '.0')",
+            "Latitude": "latitude", "Longitude": "longitude",
+            "Per Capita Income - Zipcode": "concat('$', per_capita_income_zipcode)",
+            "Yearly Income - Person": "concat('$', yearly_income)", "Total Debt": "concat(' $', total_debt, ' ')",
+            "FICO Score": "fico_score", "Num Credit Cards": "num_credit_cards",
+        },
+    )
+    return clean.tidy_customers(raw.unionByName(raw))
+
+
+@query(
+    "clean_cards",
+    """SELECT * EXCLUDE (id, created_at), CAST(NULL AS BIGINT) AS id,
+         strptime(acct_open_date, '%m/%Y') AS created_at FROM fx_cards""",
+)
+def clean_cards(bank: Bank) -> DataFrame:
+    raw = _as_file(
+        bank.cards,
+        {
+            "User": "customer_id", "CARD INDEX": "card_index", "Card Brand": "card_brand", "Card Type": "card_type",
+            "Card Number": "card_number", "Expires": "expires", "CVV": "concat(int(cvv), '.0')", "Has Chip": "has_chip",
+            "Cards Issued": "cards_issued", "Credit Limit": "concat('$', credit_limit)",
+            "Acct Open Date": "acct_open_date", "Year PIN last Changed": "concat(year_pin_last_changed, '.0')",
+            "Card on Dark Web": "card_on_dark_web",
+        },
+    )
+    return clean.tidy_cards(raw.unionByName(raw))
+
+
+@query(
+    "profile_stored",
+    """SELECT id AS _id, name, coalesce(n_cards, 0) AS n_cards, least(coalesce(n_tx, 0), 10) AS n_recent
+       FROM fx_customers c
+       LEFT JOIN (SELECT customer_id, count(*) AS n_cards FROM fx_cards GROUP BY 1) k ON k.customer_id = c.id
+       LEFT JOIN (SELECT customer_id, count(*) AS n_tx FROM fx_transactions t JOIN fx_cards x ON x.id = t.card_id
+                  GROUP BY 1) n ON n.customer_id = c.id""",
+)
+def profile_stored(bank: Bank) -> DataFrame:
+    """The stored profile after Silver, with the number of cards and of recent transactions."""
+    folder = bank.new_folder("profile")
+    lake = jobs.Lake(*(f"{folder}/{layer}" for layer in ("bronze", "silver", "gold", "dead")))
+    for name, df in (("customers", bank.customers), ("cards", bank.cards), ("transactions", bank.transactions)):
+        append_bronze(df, f"{lake.bronze}/postgres/{name}", "2024-01-05")
+        jobs.silver_table(bank.spark, lake, SILVER[f"silver_postgres_{name}"], "2024-01-05")
+    jobs.run_profile(bank.spark, lake)
+    rows = tables.read_replaced(bank.spark, f"{lake.gold}/customer_profile")
+    sized = rows.select("_id", "name", "page", F.size("cards").alias("c"), F.size("recent_transactions").alias("r"))
+    return sized.groupBy("_id", "name").agg(
+        F.sum("c").alias("n_cards"), F.max(F.when(F.col("page") == 0, F.col("r"))).cast("long").alias("n_recent")
+    )

@@ -136,12 +136,15 @@ def customer_profile(customers: DataFrame, cards: DataFrame, transactions: DataF
         [F.desc("date"), F.desc("transaction_id")], ["date", "transaction_id"], RECENT,
     )
     masked = cards.withColumn("card_number", mask_card(F.col("card_number")))
-    return nest_children(
+    paged = nest_children(
         recent, masked, "_id", "customer_id", "cards",
         ["card_index", "card_brand", "card_type", "card_number", "expires", "has_chip", "cards_issued",
          "credit_limit", "acct_open_date", "year_pin_last_changed", "card_on_dark_web", "status"],
         ["card_index"],
     )
+    # (_id, page) is the key; the recent list stands on the first page only
+    none = F.array().cast(paged.schema["recent_transactions"].dataType)
+    return paged.withColumn("recent_transactions", F.when(F.col("page") == 0, F.col("recent_transactions")).otherwise(none))
 
 
 def _recent_fields(transactions: DataFrame) -> DataFrame:

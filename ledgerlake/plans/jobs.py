@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from ledgerlake.operators.derive import customer_profile
 from ledgerlake.operators.quality import Rules, apply_pii_policy, check, not_null
 from ledgerlake.plans import gold
 from ledgerlake.plans.silver import refine
@@ -161,6 +162,15 @@ def run_gold(spark: SparkSession, lake: Lake) -> dict[str, int]:
     )
 
 
+def run_profile(spark: SparkSession, lake: Lake) -> int:
+    """Rebuild the nested customer profile from Silver, beside the last good one; key (_id, page)."""
+    cards = read_silver(spark, lake, "silver_postgres_cards")
+    owners = cards.select(F.col("id").alias("card_id"), "customer_id")
+    transactions = read_silver(spark, lake, "silver_postgres_transactions").join(owners, "card_id")
+    profile = customer_profile(read_silver(spark, lake, "silver_postgres_customers"), cards, transactions)
+    return replace_table(profile, f"{lake.gold}/customer_profile").rows
+
+
 def maintain(
     spark: SparkSession,
     lake: Lake,
@@ -180,7 +190,8 @@ def maintain(
         return vacuum(spark, path, hours)
 
     tasks = {name: (lambda t=table: work(t)) for name, table in SILVER.items()}
-    gold_tables = {name: (lambda n=name: vacuum(spark, f"{lake.gold}/{n}", hours)) for name in GOLD_KEYS}
+    replaced = (*GOLD_KEYS, "customer_profile")
+    gold_tables = {name: (lambda n=name: vacuum(spark, f"{lake.gold}/{n}", hours)) for name in replaced}
     return run_all({**tasks, **gold_tables})
 
 
@@ -232,7 +243,7 @@ def configured(settings: Mapping[str, object], folders: Mapping[str, str]) -> La
 
 def main() -> None:
     parser = argparse.ArgumentParser(description="Jobs of the lake")
-    parser.add_argument("job", nargs="?", default="batch", choices=("ingest", "batch", "stream", "maintain"))
+    parser.add_argument("job", nargs="?", default="batch", choices=("ingest", "batch", "profile", "stream", "maintain"))
     parser.add_argument("--execution-date", help="YYYY-MM-DD; for batch, all loaded days when left out")
     for layer in ("bronze", "silver", "gold", "dead-letters"):
         parser.add_argument(f"--{layer}", required=True, help="folder")
@@ -249,6 +260,8 @@ def main() -> None:
     elif args.job == "batch":
         run_silver(spark, lake, args.execution_date)
         run_gold(spark, lake)
+    elif args.job == "profile":
+        run_profile(spark, lake)
     elif args.job == "stream":
         schemas = {
             name: {int(n): T._parse_datatype_string(ddl) for n, ddl in own.items()}
