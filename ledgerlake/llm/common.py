@@ -61,22 +61,32 @@ def prefix(df: DataFrame, names: Sequence[str], text: str, alias: str = "_text")
     return df.select(*[quoted(n) for n in names], quoted(text).cast("string").alias(alias))
 
 
-class WordHashes:
+class Numbered(dict):
+    """Numbers for keys in the order they are met."""
+
+    def __missing__(self, key) -> int:
+        row = self[key] = len(self)
+        return row
+
+    def rows(self, keys: Sequence) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, keys), np.int64, len(keys))
+
+
+class WordHashes(dict):
     """64-bit hashes of words, remembered for the words of one task up to a fixed number."""
 
     def __init__(self, most: int = 500_000):
-        self.known: dict[bytes, int] = {}
+        super().__init__()
         self.most = most
 
+    def __missing__(self, word: bytes) -> int:
+        found = self[word] = xxhash.xxh3_64_intdigest(word)
+        return found
+
     def __call__(self, words: list[bytes]) -> np.ndarray:
-        known = self.known
-        missing = set(words).difference(known)
-        if missing:
-            if len(known) + len(missing) > self.most:
-                known.clear()
-                missing = set(words)
-            known.update((w, xxhash.xxh3_64_intdigest(w)) for w in missing)
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        if len(self) > self.most:
+            self.clear()
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -12,9 +12,9 @@ The pieces are stored once, in the shared folder, because their total decides th
 groups; a lost task reads them again and packs the same way.
 
 Encoding goes word by word with a memory of encoded words: the tokenizer drops white space
-and never joins across it, so a text's ids are its words' ids in a row. A word that is
-Latin letters and then ASCII punctuation is encoded as these two, in lower case, which is
-what the tokenizer's own rules do. A test holds this against encoding whole texts.
+and never joins across it, so a text's ids are its words' ids in a row. New words are
+encoded many at a time, with a special token between them. A test holds this against
+encoding whole texts.
 
 Defined cases: a null or empty text is the end id alone; repeated documents are packed each;
 an empty table has no pieces. Input columns named like an output column are replaced.
@@ -23,10 +23,11 @@ an empty table has no pieces. Input columns named like an output column are repl
 from __future__ import annotations
 
 import math
-import re
+import os
 import zlib
 from array import array
 from collections.abc import Iterator, Sequence
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import batches, beside, carried, prefix, quoted, schema_of, texts_of
+from ledgerlake.llm.common import Numbered, batches, beside, carried, prefix, quoted, schema_of, texts_of
 from ledgerlake.session import cut_lineage
 
 MAX_TOKENS = 4096
@@ -43,76 +44,55 @@ GROUP_TOKENS = 8 << 20
 MADE = "piece int, start long, length long, ids_crc32 long"
 
 _SEPARATOR = "<|endoftext|>"
-_LATIN_WORD = re.compile(r"([A-Za-zª-į]+)([!-/:-@\[-`{-~]*)")
 
 
 class Encoder:
-    """Ids of texts, with bounded memories of white-space words and of their parts."""
+    """Ids of texts, with a bounded memory of the words of earlier ones."""
 
     def __init__(self, path: str, most: int = 1_000_000):
         from tokenizers import Tokenizer
 
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has its own tasks
         self.tokenizer, self.most = Tokenizer.from_file(path), most
-        self._forget()
-
-    def _forget(self) -> None:
-        self.words: dict[bytes, int] = {}  # to a row of `at`
-        self.at, self.ids = array("q", [0]), array("I")  # where a word's ids begin and end
-        self.parts: dict[str, list[int]] = {}
-
-    def _learn_parts(self, parts: list[str]) -> None:
-        marked = [p for p in parts if "<|" in p]  # may hold a special token
-        for p in marked:
-            self.parts[p] = self.tokenizer.encode(p, add_special_tokens=False).ids
-        plain = [p for p in parts if "<|" not in p]
-        mark = self.tokenizer.token_to_id(_SEPARATOR)
-        for k in range(0, len(plain), 256):
-            some = plain[k : k + 256]
-            if mark is None:
-                each = [e.ids for e in self.tokenizer.encode_batch(some, add_special_tokens=False)]
-            else:
-                ids = self.tokenizer.encode(_SEPARATOR.join(some), add_special_tokens=False).ids
-                cuts = [-1, *[i for i, x in enumerate(ids) if x == mark], len(ids)]
-                each = [ids[a + 1 : b] for a, b in zip(cuts, cuts[1:], strict=False)]
-            self.parts.update(zip(some, each, strict=True))
-
-    def _learn(self, words: set[bytes]) -> None:
-        if len(self.words) + len(words) > self.most:
-            self._forget()
-        split = []
-        for word in words:
-            text = word.decode("utf-8", "replace")
-            m = _LATIN_WORD.fullmatch(text)
-            if m and m[1].isalpha():
-                split.append((word, [m[1].lower(), m[2]] if m[2] else [m[1].lower()]))
-            else:
-                split.append((word, [text]))
-        self._learn_parts(sorted({p for _, parts in split for p in parts if p not in self.parts}))
-        for word, parts in split:
-            self.words[word] = len(self.at) - 1
-            for p in parts:
-                self.ids.extend(self.parts[p])
-            self.at.append(len(self.ids))
-
-    def __call__(self, texts: list[bytes | None], end: int) -> Iterator[np.ndarray]:
+        self.mark = self.tokenizer.token_to_id(_SEPARATOR)
+        self.rows = Numbered()
+        self.sizes, self.ids = array("q"), array("I")  # of the words, by row
+
+    def _encode(self, words: list[bytes]) -> None:
+        """Append the ids of words, which are new."""
+        texts = [w.decode("utf-8", "replace") for w in words]
+        for at in range(0, len(texts), 1 << 14):
+            groups = [texts[k : k + 64] for k in range(at, min(at + (1 << 14), len(texts)), 64)]
+            joined = [_SEPARATOR.join(g) for g in groups]
+            for group, whole, found in zip(groups, joined, self._ids(joined), strict=True):
+                if self.mark is None or whole.count("<|") != len(group) - 1:
+                    for own in self._ids(group):  # some word may hold a special token itself
+                        self.ids.frombytes(own.tobytes())
+                        self.sizes.append(len(own))
+                else:
+                    cuts = np.flatnonzero(found == self.mark)
+                    self.ids.frombytes(found[found != self.mark].tobytes())
+                    self.sizes.frombytes((np.diff(np.r_[-1, cuts, len(found)]) - 1).astype(np.int64).tobytes())
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def __call__(self, texts: list[bytes | None], end: int) -> list[np.ndarray]:
         """The ids of each text, followed by the end id."""
-        for text in texts:
-            words = text.split() if text else []
-            missing = set(words).difference(self.words)
-            if missing:
-                if len(self.words) + len(missing) > self.most:
-                    missing = set(words)
-                self._learn(missing)
-            yield np.append(self._gather(words), np.uint32(end)).astype("<u4")
-
-    def _gather(self, words: list[bytes]) -> np.ndarray:
-        row = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
-        at = np.frombuffer(self.at, np.int64)
-        if not len(row) or not len(self.ids):
-            return np.empty(0, np.uint32)
-        start, size = at[row], at[row + 1] - at[row]
-        before = np.cumsum(size) - size
-        return np.frombuffer(self.ids, np.uint32)[np.repeat(start - before, size) + np.arange(size.sum())]
+        if len(self.rows) > self.most:
+            self.rows, self.sizes, self.ids = Numbered(), array("q"), array("I")
+        known = len(self.rows)
+        rows = [self.rows.rows(text.split() if text else ()) for text in texts]
+        self._encode(list(islice(self.rows, known, None)))
+        sizes, ids = np.array(self.sizes, np.int64), np.array(self.ids, np.uint32)
+        starts = np.cumsum(sizes) - sizes
+        return [np.append(_gathered(ids, starts[r], sizes[r]), np.uint32(end)).astype("<u4") for r in rows]
+
+
+def _gathered(ids: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The stretches of ids, one after another."""
+    before = np.cumsum(size) - size
+    return ids[np.repeat(start - before, size) + np.arange(size.sum())]
 
 
 _ENCODERS: dict[str, Encoder] = {}
