@@ -10,7 +10,8 @@ contexts. The size of the model follows the sample, not the corpus.
 The language with the lowest cross-entropy per character wins. A fifth of the sample, kept
 out of the counts, calibrates two things: the temperature of the softmax that turns the
 cross-entropies into `score`, and for each language the spread of the cross-entropy by
-length. A text beyond `strictness` times the largest deviation seen is `rejected`.
+length. A text beyond `strictness` times the deviation that a share `USUAL` of them keeps to
+is `rejected`.
 
 Defined cases: a null text, or one without a letter, is `und` with score 0 and rejected; an
 empty or unlabelled sample makes every text `und`. Texts are read whole; equal texts get
@@ -24,6 +25,7 @@ import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -31,12 +33,14 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import batches, beside, carried, prefix, quoted, schema_of
+from ledgerlake.llm.common import Numbered, batches, beside, carried, prefix, quoted, schema_of
 
 ORDER = 5
 PER_LANGUAGE = 1500  # labelled texts of each language in the sample
 MOST_LANGUAGES = 256
-STRICTNESS = 1.5
+MOST_WORDS = 300_000  # words, or grams, that a worker remembers before it starts anew
+STRICTNESS = 4.0
+USUAL = 0.995
 UNKNOWN = "und"
 MADE = "lang_pred string, score double, cross_entropy double, rejected boolean"
 NAMES = ("lang_pred", "score", "cross_entropy", "rejected")
@@ -118,6 +122,20 @@ def grams_of(word: str, order: int) -> list[str]:
     return [padded[i : i + order] for i in range(len(word) + 1)]
 
 
+class _Memory:
+    """Numbered keys with a row of values each; what a worker has met so far."""
+
+    def __init__(self, width: int):
+        self.rows, self.values = Numbered(), np.empty((0, width))
+
+    def new(self) -> list[str]:
+        """Keys that have no values yet."""
+        return list(islice(self.rows, len(self.values), None))
+
+    def add(self, values: np.ndarray) -> None:
+        self.values = np.concatenate([self.values, values])
+
+
 @dataclass
 class Identifier:
     """The models of all languages with their calibration."""
@@ -131,30 +149,33 @@ class Identifier:
 
     def costs(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Bits of each text under each language, and the number of symbols scored."""
-        known: dict[str, int] = {}
-        per_text = [letters(t) if t else [] for t in texts]
-        rows = [np.fromiter((known.setdefault(w, len(known)) for w in ws), np.int64, len(ws)) for ws in per_text]
-        bits, symbols = self._words(list(known))
-        cost, size = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts))
-        for i, row in enumerate(rows):
-            if len(row):
-                cost[i], size[i] = bits[row].sum(axis=0), symbols[row].sum()
-        return cost, size
-
-    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        words = [_only_letters(w) for w in words]
-        symbols = np.array([len(w) + 1 if w else 0 for w in words], float)
-        bits = np.zeros((len(words), len(self.languages)))
-        known: dict[str, int] = {}
-        place = [known.setdefault(g, len(known)) for w in words if w for g in grams_of(w, self.order)]
-        if place:
-            grams, owner = list(known), np.repeat(np.arange(len(words)), symbols.astype(int))
+        words, grams = self.__dict__.setdefault("_met", (_Memory(len(self.languages) + 1), _Memory(len(self.languages))))
+        if len(words.rows) > MOST_WORDS or len(grams.rows) > MOST_WORDS:
+            words, grams = self._met = (_Memory(len(self.languages) + 1), _Memory(len(self.languages)))
+        rows = [words.rows.rows(letters(t) if t else ()) for t in texts]
+        new = [_only_letters(w) for w in words.new()]
+        parts = [grams.rows.rows(grams_of(w, self.order)) for w in new if w]
+        grams.add(self._bits(grams.new()))
+        values = np.zeros((len(new), len(self.languages) + 1))
+        values[[i for i, w in enumerate(new) if w]] = np.array([[*grams.values[p].sum(axis=0), len(p)] for p in parts]).reshape(
+            len(parts), -1 if parts else len(self.languages) + 1
+        )
+        words.add(values)
+        sums = np.array([words.values[r].sum(axis=0) for r in rows]).reshape(len(rows), len(self.languages) + 1)
+        return sums[:, :-1], sums[:, -1]
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "_met"}
+
+    def _bits(self, grams: list[str]) -> np.ndarray:
+        """Bits of each gram's last symbol under each language."""
+        out = np.zeros((len(grams), len(self.languages)))
+        if grams:
             suffixes = [_hashes([g[self.order - k :] for g in grams]) for k in range(1, self.order + 1)]
             contexts = [_hashes([g[self.order - k : -1] for g in grams]) for k in range(1, self.order + 1)]
             for j, model in enumerate(self.models):
-                each = -np.log2(model.probability(suffixes, contexts))
-                bits[:, j] = np.bincount(owner, each[place], minlength=len(words))
-        return bits, symbols
+                out[:, j] = -np.log2(model.probability(suffixes, contexts))
+        return out
 
     def predict(self, texts: Sequence[str | None]) -> list[tuple[str, float, float | None, bool]]:
         cost, size = self.costs(texts)
@@ -180,7 +201,8 @@ class Identifier:
         rate = cost / np.maximum(size, 1)[:, None]
         self.usual = []
         for k in range(len(self.languages)):
-            mine, n = rate[own == k, k], size[own == k]
+            mine = (own == k) & (rate[:, k] == rate.min(axis=1))
+            mine, n = rate[mine, k], size[mine]
             if len(mine) < 8:  # too few to calibrate; such a language rejects nothing
                 self.usual.append((0.0, 1e9, 0.0))
                 continue
@@ -188,9 +210,9 @@ class Identifier:
             large = mine[n >= np.median(n)]
             self.usual.append((middle, max(float(large.std()), 0.02), max(float(((mine - middle) * np.sqrt(n)).std()), 0.1)))
         if len(own):
-            self.limit = strictness * max(
-                3.0, *[self.deviation(k, r[k], n) for k, r, n in zip(own, rate, size, strict=True)]
-            )
+            # a text that another language explains better is mislabelled and says nothing of its own
+            far = [self.deviation(k, r[k], n) for k, r, n in zip(own, rate, size, strict=True) if r[k] == r.min()]
+            self.limit = strictness * max(3.0, float(np.quantile(far, USUAL)) if far else 0.0)
             best = rate - rate.min(axis=1, keepdims=True)
             losses = {}
             for t in 2.0 ** np.arange(-1, 7, 0.5):
@@ -260,7 +282,7 @@ def identify(docs: DataFrame, identifier: Identifier, text: str = "text", carry:
     shared = docs.sparkSession.sparkContext.broadcast(identifier)
 
     def predict(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches(rows):
+        for batch in batches(rows, 4 << 20):
             found = shared.value.predict(batch.column("_text").to_pylist())
             columns = list(zip(*found, strict=True)) if found else [[]] * len(NAMES)
             kinds = (pa.string(), pa.float64(), pa.float64(), pa.bool_())
