@@ -5,21 +5,24 @@ words by hash, so equal windows own equal phrases, and about one phrase in fourt
 is owned by any window. The steps:
 
 1. count the owned phrases of all documents and keep those that stand in two places or more;
-2. compile them, in shards of bounded size, into pyahocorasick automata, and stream all
-   documents through every shard to locate the phrases; documents are buffered, so only one
-   automaton is in a worker's memory, and it is kept for as long as one shard is enough;
-3. windows whose own phrase was located are counted by a 96-bit hash of their words, and
+2. send them out in shards of bounded size; every task takes its documents in buffers,
+   compiles those recurring phrases that the buffer's documents own into a pyahocorasick
+   automaton, and streams the buffer through it to locate every place of the phrases;
+3. windows whose own phrase was located are counted by a 64-bit hash of their words, and
    those that stand in two places or more are confirmed as recurring passages;
 4. words covered by a recurring passage are removed.
 
 A document without a located phrase is finished in step 2; only the others are stored, with
 a row number, and join their confirmed windows. Counting combines before its shuffle and
 the join onto the counts can be split by adaptive execution, so a passage that a third of
-all documents share lands in no single task. The shards, and with them the scans of step 2,
-grow with the amount of recurring text.
+all documents share lands in no single task. An automaton follows the size
+of a buffer; only the search for a buffer's phrases among the shards grows with the amount
+of recurring text.
 
 Automata read words as two letters each from an alphabet of 64 (a 12-bit hash), as the
 library searches a node's edges one by one; step 3 decides, so a chance hit costs nothing.
+Before a stretch of text goes through an automaton, a bitmap of the first halves of its
+phrases tells where none can begin.
 
 Defined cases: a null or empty text has no words and stays as it is; a text shorter than a
 window loses nothing; repeated rows are documents of their own, so each loses all its
@@ -43,7 +46,6 @@ from ledgerlake.llm.common import (
     batches,
     beside,
     carried,
-    mixed,
     prefix,
     quoted,
     schema_of,
@@ -55,8 +57,8 @@ from ledgerlake.session import cut_lineage
 
 WINDOW = 35
 PHRASE = 8
-SHARD_PHRASES = 400_000  # in one automaton, about 0.7 KB each
-BUFFER_BYTES = 64 << 20
+SHARD_PHRASES = 4 << 20  # in one broadcast, 16 bytes each
+BUFFER_BYTES = 16 << 20  # of text for one automaton
 
 _LETTERS = np.arange(0x30, 0x70, dtype=np.uint8)
 _NEVER = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -90,8 +92,17 @@ def owned_phrases(hashes: np.ndarray, window: int) -> np.ndarray:
     return letters_of(hashes)[2 * at[:, None] + np.arange(2 * PHRASE)]
 
 
+_KEY = np.dtype(f"S{2 * PHRASE}")  # no letter is zero, so such strings keep their length
+
+
+def distinct_phrases(sequences: Sequence[np.ndarray], window: int) -> tuple[np.ndarray, np.ndarray]:
+    """The owned phrases of some documents, and in how many places each is owned."""
+    rows = [np.empty((0, 2 * PHRASE), np.uint8), *[owned_phrases(s, window) for s in sequences]]
+    return np.unique(np.ascontiguousarray(np.concatenate(rows)).view(_KEY).ravel(), return_counts=True)
+
+
 class Locator:
-    """One shard's automaton."""
+    """The automaton of a buffer's phrases, and a bitmap of how they begin."""
 
     def __init__(self, phrases: bytes):
         self.automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
@@ -99,23 +110,60 @@ class Locator:
         for at in range(0, len(phrases), size):
             self.automaton.add_word(phrases[at : at + size].decode("latin1"))
         self.automaton.make_automaton()
+        self.begins = np.zeros(1 << _BITMAP_BITS, bool)
+        self.begins[_beginnings(np.frombuffer(phrases, np.uint8))[::PHRASE]] = True
 
     def places(self, letters: np.ndarray) -> list[int]:
         """Word places at which a phrase of the shard begins."""
+        found: list[int] = []
         if not len(self.automaton):
-            return []
-        ends = (end + 1 for end, _ in self.automaton.iter(letters.tobytes().decode("latin1")))
-        return [end // 2 - PHRASE for end in ends if not end % 2]
+            return found
+        may = np.flatnonzero(self.begins[_beginnings(letters)[: len(letters) // 2 - PHRASE + 1]])
+        if not len(may):
+            return found
+        text = letters.tobytes().decode("latin1")
+        # places closer than a phrase make one stretch
+        cuts = np.flatnonzero(np.diff(may) > PHRASE) + 1
+        for first, last in zip(may[np.r_[0, cuts]].tolist(), may[np.r_[cuts - 1, len(may) - 1]].tolist(), strict=True):
+            ends = (end + 1 for end, _ in self.automaton.iter(text, 2 * first, 2 * (last + PHRASE)))
+            found += [end // 2 - PHRASE for end in ends if not end % 2]
+        return found
+
+
+_BITMAP_BITS = 22
+
+
+def _beginnings(letters: np.ndarray) -> np.ndarray:
+    """For every place, a hash of the first half of a phrase that begins there."""
+    half = PHRASE // 2
+    n = len(letters) // 2
+    code = (letters[0::2].astype(np.uint64) << np.uint64(8)) | letters[1::2]
+    code = np.concatenate([code, np.zeros(half, np.uint64)])
+    out = np.zeros(n, np.uint64)
+    for k in range(half):
+        out = (out + code[k : k + n]) * np.uint64(0x9E3779B97F4A7C15)
+    return (out >> np.uint64(64 - _BITMAP_BITS)).astype(np.int64)
 
 
-_LOCATOR: dict[str, Locator] = {}  # of the shard a worker used last
+_SHARDS: dict[str, np.ndarray] = {}  # sorted phrases of the shard a worker used last
 
 
-def _locator(key: str, phrases) -> Locator:
-    if key not in _LOCATOR:
-        _LOCATOR.clear()
-        _LOCATOR[key] = Locator(phrases.value)
-    return _LOCATOR[key]
+def _sorted_shard(key: str, phrases) -> np.ndarray:
+    if key not in _SHARDS:
+        _SHARDS.clear()
+        _SHARDS[key] = np.sort(np.frombuffer(phrases.value, _KEY))
+    return _SHARDS[key]
+
+
+def _recurring(own: np.ndarray, shards: Sequence[tuple[str, object]]) -> bytes:
+    """Those of the phrases that are in one of the shards, one after another."""
+    found = []
+    for key, phrases in shards:
+        known = _sorted_shard(key, phrases)
+        if len(known) and len(own):
+            at = np.minimum(np.searchsorted(known, own), len(known) - 1)
+            found.append(own[known[at] == own].tobytes())
+    return b"".join(found)
 
 
 def recurring_phrases(docs: DataFrame, text: str, window: int) -> DataFrame:
@@ -124,14 +172,8 @@ def recurring_phrases(docs: DataFrame, text: str, window: int) -> DataFrame:
     def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = WordHashes()
         for batch in batches(rows):
-            found = [np.empty((0, 2 * PHRASE), np.uint8)]
-            for data in texts_of(batch.column("_text")):
-                words = data.split() if data else []
-                if len(words) >= window:
-                    found.append(owned_phrases(hashed(words), window))
-            # no letter is zero, so fixed-width byte strings keep their length
-            keys = np.ascontiguousarray(np.concatenate(found)).view(f"S{2 * PHRASE}").ravel()
-            phrases, times = np.unique(keys, return_counts=True)
+            sequences = [_sequence(t, hashed, window) for t in texts_of(batch.column("_text"))]
+            phrases, times = distinct_phrases([s for s in sequences if s is not None], window)
             yield pa.RecordBatch.from_arrays([pa.array(phrases.tolist(), pa.binary()), pa.array(times, pa.int64())], names=["phrase", "n"])
 
     counted = prefix(docs, [], text).mapInArrow(count, "phrase binary, n long")
@@ -178,17 +220,12 @@ def remove_repeats(
     ]
 
     def locate(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed, order = WordHashes(), list(shards)
+        hashed = WordHashes()
         for buffer in _buffers(rows):
             sequences = [_sequence(t, hashed, window) for batch in buffer for t in texts_of(batch.column("_text"))]
-            letters = [letters_of(s) if s is not None else None for s in sequences]
-            places: list[list[int]] = [[] for _ in sequences]
-            for key, phrases in order:
-                locator = _locator(key, phrases)
-                for found, own in zip(places, letters, strict=True):
-                    if own is not None:
-                        found += locator.places(own)
-            order.reverse()  # the next buffer begins with the automaton at hand
+            own, _ = distinct_phrases([s for s in sequences if s is not None], window)
+            locator = Locator(_recurring(own, shards))
+            places = [locator.places(letters_of(s)) if s is not None else [] for s in sequences]
             at = 0
             for batch in buffer:
                 to = at + batch.num_rows
@@ -255,44 +292,35 @@ def _buffers(rows: Iterator[pa.RecordBatch]) -> Iterator[list[pa.RecordBatch]]:
         yield held
 
 
-def _windows(data: bytes, starts: bytes, hashed: WordHashes, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    hashes, at = hashed(data.split()), np.frombuffer(starts, "<i4")
-    second = window_hashes(mixed(hashes ^ np.uint64(0xA5A5A5A5A5A5A5A5)), window)[at]
-    return window_hashes(hashes, window)[at].view(np.int64), second.astype(np.uint32).view(np.int32), at
+def _windows(data: bytes, starts: bytes, hashed: WordHashes, window: int) -> tuple[np.ndarray, np.ndarray]:
+    at = np.frombuffer(starts, "<i4")
+    return window_hashes(hashed(data.split()), window)[at].view(np.int64), at
 
 
 def confirmed(affected: DataFrame, window: int) -> DataFrame:
     """(_row, starts): for each row the windows that stand in two places or more."""
 
+    def hashes(batch: pa.RecordBatch, hashed: WordHashes) -> list[tuple[np.ndarray, np.ndarray]]:
+        pairs = zip(texts_of(batch.column("_left")), batch.column("_starts").to_pylist(), strict=True)
+        return [_windows(data, starts, hashed, window) for data, starts in pairs]
+
     def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = WordHashes()
         for batch in batches(rows):
-            each = [
-                _windows(d, s, hashed, window)
-                for d, s in zip(texts_of(batch.column("_left")), batch.column("_starts").to_pylist(), strict=True)
-            ]
-            if each:
-                keys = np.rec.fromarrays([np.concatenate([e[0] for e in each]), np.concatenate([e[1] for e in each])], names="a,b")
-                some, times = np.unique(keys, return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(some.a), pa.array(some.b), pa.array(times, pa.int64())], names=["a", "b", "n"]
-                )
+            each = [key for key, _ in hashes(batch, hashed)]
+            some, times = np.unique(np.concatenate(each or [np.empty(0, np.int64)]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(times, pa.int64())], names=["key", "n"])
 
     def each_place(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = WordHashes()
-        for batch in batches(rows):
-            for row, d, s in zip(
-                batch.column("_row").to_pylist(),
-                texts_of(batch.column("_left")),
-                batch.column("_starts").to_pylist(),
-                strict=True,
-            ):
-                a, b, at = _windows(d, s, hashed, window)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(a), pa.array(b), pa.array(np.full(len(a), row, np.int64)), pa.array(at)], names=["a", "b", "_row", "start"]
-                )
-
-    counted = affected.select("_left", "_starts").mapInArrow(count, "a long, b int, n long")
-    recurring = counted.groupBy("a", "b").agg(F.sum("n").alias("n")).where("n > 1").select("a", "b")
-    places = affected.mapInArrow(each_place, "a long, b int, _row long, start int")
-    return places.join(recurring, ["a", "b"]).groupBy("_row").agg(F.collect_list("start").alias("starts"))
+        for batch in batches(rows, 2 << 20):
+            each = hashes(batch, hashed)
+            if each:
+                row = np.repeat(batch.column("_row").to_numpy(), [len(key) for key, _ in each])
+                columns = [np.concatenate([e[0] for e in each]), row, np.concatenate([e[1] for e in each])]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["key", "_row", "start"])
+
+    counted = affected.select("_left", "_starts").mapInArrow(count, "key long, n long")
+    recurring = counted.groupBy("key").agg(F.sum("n").alias("n")).where("n > 1").select("key")
+    places = affected.mapInArrow(each_place, "key long, _row long, start int")
+    return places.join(recurring, "key").groupBy("_row").agg(F.collect_list("start").alias("starts"))
