@@ -6,12 +6,15 @@ has `BANDS` parts; each takes the `PICKS` smallest of the five-word shingles, la
 their occurrence, under its own hash, and keeps them in the order of the text. Two contents
 with the same part in some band are candidates.
 
-Within a bucket the contents are walked in order: each one is paired with the leaders whose
-sketch agrees with its own in at least `AGREE` bands, and becomes a leader itself unless one
-agrees in `ABSORB` bands. Buckets beyond `CHUNK` contents are walked in chunks; the leaders
-of all chunks then meet again in finer buckets, keyed by one more part of their sketches,
-until every bucket is small. So no group is held whole, its pairs are never listed, and no
-content is left out.
+Within a bucket the contents are walked in order: each one is paired with the earlier one,
+and with the earlier leader, whose sketch agrees with its own in most bands (`AGREE` at
+least), and becomes a leader itself unless one agrees in `ABSORB` bands. Classes need no
+more than these pairs, of which each content has two at most in a bucket. A content of which
+no pair proves to be a link is then tried with every content that it shares a bucket and
+`AGREE` bands with. Buckets beyond `CHUNK` contents are walked in chunks; the leaders of all
+chunks then meet again in finer buckets, keyed by one more part of their sketches, until
+every bucket is small. So no group is held whole, its pairs are never listed, and no content
+is left out.
 
 A pair is a link when its shingles have a Jaccard similarity of 0.8 or more and a banded
 alignment of the word sequences confirms the order: an edit distance of at most a fifth of
@@ -32,14 +35,13 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import (
     WordHashes,
     batches,
     beside,
-    carried,
     mixed,
     prefix,
     quoted,
@@ -56,7 +58,7 @@ SIMILAR = 0.8
 BANDS = 16
 PICKS = 3
 AGREE = 3
-ABSORB = 9
+ABSORB = 6
 CHUNK = 2048
 
 _SEEDS = mixed(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
@@ -155,16 +157,16 @@ def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILAR) -> bool:
 def walk(content: Sequence[bytes], sketches: np.ndarray) -> tuple[list[tuple[int, int]], list[int]]:
     """Pairs (leader, member) of one bucket's contents, and its leaders."""
     order = sorted(range(len(content)), key=content.__getitem__)
-    leaders: list[int] = []
-    known = np.empty((len(order), sketches.shape[1]), sketches.dtype)
+    ranked = sketches[order]
+    leads = np.zeros(len(order), bool)
     pairs: list[tuple[int, int]] = []
-    for i in order:
-        agree = (known[: len(leaders)] == sketches[i]).sum(axis=1)
-        pairs += [(leaders[j], i) for j in np.flatnonzero(agree >= AGREE)]
-        if not len(agree) or agree.max() < ABSORB:
-            known[len(leaders)] = sketches[i]
-            leaders.append(i)
-    return pairs, leaders
+    for i, row in enumerate(order):
+        agree = (ranked[:i] == ranked[i]).sum(axis=1)
+        led = np.where(leads[:i], agree, 0)
+        best = {int(a.argmax()) for a in (agree, led) if i and a.max() >= AGREE}
+        pairs += [(order[k], row) for k in best]
+        leads[i] = not i or led.max() < ABSORB
+    return pairs, [row for row, lead in zip(order, leads, strict=True) if lead]
 
 
 _PAIR = "a binary, b binary"
@@ -188,15 +190,24 @@ def _contents(docs: DataFrame, text: str) -> DataFrame:
     return cut_lineage(sketched, "sketches")
 
 
-def candidates(contents: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """Distinct pairs (a, b) of contents to verify, from (content, sketch)."""
-    part = F.substring(F.col("sketch"), F.col("band") * 4 + 1, F.lit(4))
+def shared_buckets(contents: DataFrame) -> DataFrame:
+    """(content, bucket, band, size, sketch) for every bucket with several of the contents."""
     bands = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band")
     entries = contents.where("sketch is not null").select("content", "sketch", bands)
-    keyed = entries.select("content", "band", F.xxhash64("band", part).alias("bucket"))
+    keyed = entries.select("content", "band", F.xxhash64("band", _part()).alias("bucket"))
     shared = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     known = contents.select("content", "sketch")
-    current = cut_lineage(keyed.join(shared, "bucket").join(known, "content"), "buckets")
+    return cut_lineage(keyed.join(shared, "bucket").join(known, "content"), "buckets")
+
+
+def _part() -> Column:
+    """The sketch's part for a row's band."""
+    return F.substring(F.col("sketch"), F.col("band") * 4 + 1, F.lit(4))
+
+
+def candidates(buckets: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """Distinct pairs (a, b) of contents to verify, a before b."""
+    current = buckets
     found: list[DataFrame] = []
     while True:
         chunks = F.ceil(F.col("size") / chunk).cast("int")
@@ -212,7 +223,7 @@ def candidates(contents: DataFrame, chunk: int = CHUNK) -> DataFrame:
             break
         later = F.explode(F.sequence(F.col("band") + 1, F.lit(BANDS - 1))).alias("band")
         finer = left.select(F.col("a").alias("content"), "sketch", F.col("bucket").alias("old"), later)
-        finer = finer.withColumn("bucket", F.xxhash64("old", "band", part)).drop("old")
+        finer = finer.withColumn("bucket", F.xxhash64("old", "band", _part())).drop("old")
         sizes = finer.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
         current = cut_lineage(finer.join(sizes, "bucket"), "finer")
     pairs = found[0]
@@ -221,6 +232,31 @@ def candidates(contents: DataFrame, chunk: int = CHUNK) -> DataFrame:
     return pairs.distinct()
 
 
+def retried(buckets: DataFrame, contents: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """Pairs of the given contents with all they share a bucket and enough bands with."""
+    asking = buckets.join(contents, "content", "leftsemi").withColumn("asks", F.lit(True))
+    asked = buckets.join(asking.select("bucket").distinct(), "bucket", "leftsemi").withColumn("asks", F.lit(False))
+    chunks = F.ceil(F.col("size") / chunk).cast("int")
+    every = F.explode(F.sequence(F.lit(0), chunks - 1))
+    dealt = asking.withColumn("part", every).unionByName(asked.withColumn("part", F.pmod(F.xxhash64("content"), chunks)))
+    dealt = dealt.select("bucket", "part", "content", "sketch", "asks").repartition("bucket", "part")
+
+    def meet(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for run in runs(rows, ["bucket", "part"]):
+            content, raw = run.column("content").to_pylist(), run.column("sketch").to_pylist()
+            sketches = np.frombuffer(b"".join(raw), "<u4").reshape(len(raw), -1)
+            asks = run.column("asks").to_numpy()
+            out = set()
+            for i in np.flatnonzero(asks):
+                alike = (sketches == sketches[i]).sum(axis=1) >= AGREE
+                out |= {tuple(sorted((content[i], content[j]))) for j in np.flatnonzero(alike) if content[i] != content[j]}
+            pairs = sorted(out)
+            columns = [pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
+
+    return dealt.sortWithinPartitions("bucket", "part").mapInArrow(meet, _PAIR).distinct()
+
+
 def _walk_runs(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ("a", "b", "bucket", "band", "size", "sketch")
     kinds = (pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
@@ -263,9 +299,8 @@ def verified(pairs: DataFrame, docs: DataFrame, text: str) -> DataFrame:
             kept = [similar(np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")) for a, b in zip(x, y, strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-    wanted = pairs.select(F.col("a").alias("content")).union(pairs.select("b")).distinct()
     told = prefix(docs, [], text).mapInArrow(sequences, "content binary, words binary")
-    told = cut_lineage(told.join(wanted, "content", "leftsemi").dropDuplicates(["content"]), "sequences")
+    told = cut_lineage(told.join(_ends(pairs), "content", "leftsemi").dropDuplicates(["content"]), "sequences")
     # members first: a leader of very many members then meets them without travelling with each
     with_b = pairs.join(told.select(F.col("content").alias("b"), F.col("words").alias("y")), "b")
     both = with_b.join(told.select(F.col("content").alias("a"), F.col("words").alias("x")), "a")
@@ -292,6 +327,10 @@ def components(links: DataFrame) -> DataFrame:
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(roots)
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("content")).union(pairs.select("b")).distinct()
+
+
 def _known(rows: DataFrame, docs: DataFrame) -> DataFrame:
     """(content, least, root, name): each content's smallest id, its class and the class's smallest id."""
     contents = (
@@ -300,8 +339,12 @@ def _known(rows: DataFrame, docs: DataFrame) -> DataFrame:
         .agg(F.min("_id").alias("least"), F.min("sketch").alias("sketch"))
     )
     contents = cut_lineage(contents, "contents")
-    links = verified(candidates(contents.select("content", "sketch")), docs, "text")
-    roots = components(links).withColumnRenamed("node", "content")
+    buckets = shared_buckets(contents.select("content", "sketch"))
+    pairs = cut_lineage(candidates(buckets), "pairs")
+    links = cut_lineage(verified(pairs, docs, "text"), "verified")
+    alone = _ends(pairs).join(_ends(links), "content", "leftanti")
+    again = cut_lineage(retried(buckets, alone).join(pairs, ["a", "b"], "leftanti"), "again")
+    roots = components(links.union(verified(again, docs, "text"))).withColumnRenamed("node", "content")
     known = contents.select("content", "least").join(roots, "content", "left")
     known = known.withColumn("root", F.coalesce("root", "content"))
     names = known.groupBy("root").agg(F.min("least").alias("name"))
@@ -329,14 +372,15 @@ def keep_one(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> Data
     known = _known(_contents(slim, "text"), slim)
     # of the contents that hold the class's smallest id, the smallest
     chosen = known.where(F.col("least").eqNullSafe(F.col("name"))).groupBy("root").agg(F.min("content").alias("_content"))
-    names = [quoted(n) for n in docs.columns]
+    columns = docs.columns
+    names = [quoted(n) for n in columns]
 
     def add(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(rows):
             content = [content_of(words_of(t), t) for t in texts_of(batch.column("_text"))]
-            yield beside(batch, docs.columns, {"_content": pa.array(content, pa.binary())})
+            yield beside(batch, columns, {"_content": pa.array(content, pa.binary())})
 
-    keyed = prefix(docs, docs.columns, text).mapInArrow(add, schema_of(docs, docs.columns, "_content binary"))
+    keyed = prefix(docs, columns, text).mapInArrow(add, schema_of(docs, columns, "_content binary"))
     alone = keyed.where("_content is null").select(*names)
     row = F.min(F.struct(quoted(ident).isNull(), quoted(ident), F.struct(*names).alias("row"))).alias("best")
     first = keyed.where("_content is not null").groupBy("_content").agg(row)
