@@ -9,7 +9,6 @@ from ledgerlake.catalog.bank import Bank
 from ledgerlake.catalog.q_merge import REVISION, REVISION_COLUMNS
 from ledgerlake.catalog.registry import query
 from ledgerlake.functions import archive_day, clean_currency, clean_zip, nested_to_json
-from ledgerlake.operators.latest import latest_by
 from ledgerlake.sinks import writers
 from ledgerlake.sources import readers, tables
 
