@@ -8,13 +8,16 @@ with the same part in some band are candidates.
 
 Within a bucket the contents are walked in order: each one is paired with the earlier one,
 and with the earlier leader, whose sketch agrees with its own in most bands (`AGREE` at
-least), and becomes a leader itself unless one agrees in `ABSORB` bands. Classes need no
-more than these pairs, of which each content has two at most in a bucket. A content of which
-no pair proves to be a link is then tried with every content that it shares a bucket and
-`AGREE` bands with. Buckets beyond `CHUNK` contents are walked in chunks; the leaders of all
-chunks then meet again in finer buckets, keyed by one more part of their sketches, until
-every bucket is small. So no group is held whole, its pairs are never listed, and no content
-is left out.
+least), and becomes a leader itself unless one agrees in `ABSORB` bands. Buckets beyond
+`CHUNK` contents are walked in chunks; the leaders of all chunks then meet again in finer
+buckets, keyed by one more part of their sketches, until every bucket is small. These pairs,
+two at most for a content and bucket, only find most links cheaply. Their links are closed
+into components, and then every two contents of different components that share a bucket and
+`AGREE` bands are tried, in the bucket of the first band they agree in, unless links found
+there have joined their components meanwhile. A bucket is dealt into chunks for that, and
+each task holds two of them; pairs inside the bucket's largest component are not dealt. So
+no group is held whole, its pairs are never listed, and only pairs inside one class are
+skipped.
 
 A pair is a link when its shingles have a Jaccard similarity of 0.8 or more and a banded
 alignment of the word sequences confirms the order: an edit distance of at most a fifth of
@@ -39,6 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import (
+    Numbered,
     WordHashes,
     batches,
     beside,
@@ -142,9 +146,17 @@ def edit_distance(a: np.ndarray, b: np.ndarray, most: int) -> int:
     return most if reach.get(goal, -1) >= len(a) else most + 1
 
 
+def shingle_set(words: np.ndarray) -> np.ndarray:
+    return np.unique(shingles(words.astype(np.uint64)))
+
+
 def similar(a: np.ndarray, b: np.ndarray, least: float = SIMILAR) -> bool:
     """The decision on a pair of word-hash sequences."""
-    x, y = (np.unique(shingles(s.astype(np.uint64))) for s in (a, b))
+    return alike(shingle_set(a), shingle_set(b), a, b, least)
+
+
+def alike(x: np.ndarray, y: np.ndarray, a: np.ndarray, b: np.ndarray, least: float = SIMILAR) -> bool:
+    """The decision on sequences a and b with shingle sets x and y."""
     if min(len(x), len(y)) < least * max(len(x), len(y)):
         return False
     common = len(np.intersect1d(x, y, assume_unique=True))
@@ -175,28 +187,31 @@ _PAIR = "a binary, b binary"
 def _contents(docs: DataFrame, text: str) -> DataFrame:
     """Distinct contents with their sketch, and the smallest id of their documents."""
     names = ["_id"]
+    made = "content binary, sketch binary, words int"
 
     def make(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = WordHashes()
         for batch in batches(rows):
-            content, parts = [], []
+            content, parts, sizes = [], [], []
             for data in texts_of(batch.column("_text")):
                 words = words_of(data)
                 content.append(content_of(words, data))
                 parts.append(sketch(shingles(hashed(words))).tobytes() if words else None)
-            yield beside(batch, names, {"content": pa.array(content, pa.binary()), "sketch": pa.array(parts, pa.binary())})
+                sizes.append(len(words))
+            columns = {"content": pa.array(content, pa.binary()), "sketch": pa.array(parts, pa.binary()), "words": pa.array(sizes, pa.int32())}
+            yield beside(batch, names, columns)
 
-    sketched = prefix(docs, names, text).mapInArrow(make, schema_of(docs, names, "content binary, sketch binary"))
+    sketched = prefix(docs, names, text).mapInArrow(make, schema_of(docs, names, made))
     return cut_lineage(sketched, "sketches")
 
 
 def shared_buckets(contents: DataFrame) -> DataFrame:
-    """(content, bucket, band, size, sketch) for every bucket with several of the contents."""
+    """(content, bucket, band, size, sketch, words) for every bucket with several of the contents."""
     bands = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band")
     entries = contents.where("sketch is not null").select("content", "sketch", bands)
     keyed = entries.select("content", "band", F.xxhash64("band", _part()).alias("bucket"))
     shared = keyed.groupBy("bucket").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    known = contents.select("content", "sketch")
+    known = contents.select("content", "sketch", "words")
     return cut_lineage(keyed.join(shared, "bucket").join(known, "content"), "buckets")
 
 
@@ -232,31 +247,6 @@ def candidates(buckets: DataFrame, chunk: int = CHUNK) -> DataFrame:
     return pairs.distinct()
 
 
-def retried(buckets: DataFrame, contents: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """Pairs of the given contents with all they share a bucket and enough bands with."""
-    asking = buckets.join(contents, "content", "leftsemi").withColumn("asks", F.lit(True))
-    asked = buckets.join(asking.select("bucket").distinct(), "bucket", "leftsemi").withColumn("asks", F.lit(False))
-    chunks = F.ceil(F.col("size") / chunk).cast("int")
-    every = F.explode(F.sequence(F.lit(0), chunks - 1))
-    dealt = asking.withColumn("part", every).unionByName(asked.withColumn("part", F.pmod(F.xxhash64("content"), chunks)))
-    dealt = dealt.select("bucket", "part", "content", "sketch", "asks").repartition("bucket", "part")
-
-    def meet(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for run in runs(rows, ["bucket", "part"]):
-            content, raw = run.column("content").to_pylist(), run.column("sketch").to_pylist()
-            sketches = np.frombuffer(b"".join(raw), "<u4").reshape(len(raw), -1)
-            asks = run.column("asks").to_numpy()
-            out = set()
-            for i in np.flatnonzero(asks):
-                alike = (sketches == sketches[i]).sum(axis=1) >= AGREE
-                out |= {tuple(sorted((content[i], content[j]))) for j in np.flatnonzero(alike) if content[i] != content[j]}
-            pairs = sorted(out)
-            columns = [pa.array([p[k] for p in pairs], pa.binary()) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
-
-    return dealt.sortWithinPartitions("bucket", "part").mapInArrow(meet, _PAIR).distinct()
-
-
 def _walk_runs(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = ("a", "b", "bucket", "band", "size", "sketch")
     kinds = (pa.binary(), pa.binary(), pa.int64(), pa.int32(), pa.int64(), pa.binary())
@@ -279,8 +269,8 @@ def _walk_runs(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
-def verified(pairs: DataFrame, docs: DataFrame, text: str) -> DataFrame:
-    """The pairs that are links, judged on the whole word sequences."""
+def told(wanted: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """(content, words) for the wanted contents: their whole word sequences as 32-bit hashes."""
 
     def sequences(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = WordHashes()
@@ -293,20 +283,138 @@ def verified(pairs: DataFrame, docs: DataFrame, text: str) -> DataFrame:
                     words.append((hashed(own) & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(content, pa.binary()), pa.array(words, pa.binary())], names=["content", "words"])
 
+    own = prefix(docs, [], text).mapInArrow(sequences, "content binary, words binary")
+    return cut_lineage(own.join(wanted, "content", "leftsemi").dropDuplicates(["content"]), "sequences")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """The pairs that are links, judged on the whole word sequences."""
+
     def confirm(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             x, y = batch.column("x").to_pylist(), batch.column("y").to_pylist()
             kept = [similar(np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")) for a, b in zip(x, y, strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))
 
-    told = prefix(docs, [], text).mapInArrow(sequences, "content binary, words binary")
-    told = cut_lineage(told.join(_ends(pairs), "content", "leftsemi").dropDuplicates(["content"]), "sequences")
+    words = told(_ends(pairs), docs, text)
     # members first: a leader of very many members then meets them without travelling with each
-    with_b = pairs.join(told.select(F.col("content").alias("b"), F.col("words").alias("y")), "b")
-    both = with_b.join(told.select(F.col("content").alias("a"), F.col("words").alias("x")), "a")
+    with_b = pairs.join(words.select(F.col("content").alias("b"), F.col("words").alias("y")), "b")
+    both = with_b.join(words.select(F.col("content").alias("a"), F.col("words").alias("x")), "a")
     return both.select("a", "b", "x", "y").mapInArrow(confirm, _PAIR)
 
 
+def dealt(buckets: DataFrame, roots: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """The contents of all buckets with several components, for every cell they take part in.
+
+    A cell (bucket, low, high) holds two of the bucket's chunks, or one with itself. Chunks
+    below the largest component's meet all chunks, its own chunks only those below, so
+    that any two contents of different components are in exactly one cell. A long text
+    counts as several, so that a cell is bounded in words too.
+    """
+    side = max(1, chunk // 2)
+    weight = F.sum(1 + F.floor(F.col("words") / 1024)).alias("weight")
+    named = buckets.drop("size").join(roots, "content", "left").withColumn("root", F.coalesce("root", "content"))
+    parts = named.groupBy("bucket", "root").agg(weight).groupBy("bucket")
+    shape = parts.agg(F.max(F.struct("weight", "root")).alias("most"), F.sum("weight").alias("weight"), F.count(F.lit(1)).alias("n"))
+    shape = shape.where("n > 1").select(
+        "bucket",
+        F.col("most.root").alias("main"),
+        F.ceil(F.col("most.weight") / side).cast("int").alias("mains"),
+        F.ceil((F.col("weight") - F.col("most.weight")) / side).cast("int").alias("rests"),
+    )
+    own, hashed = F.col("root") == F.col("main"), F.xxhash64("content")
+    part = F.when(own, F.col("rests") + F.pmod(hashed, F.col("mains"))).otherwise(F.pmod(hashed, F.col("rests"))).cast("int")
+    last = F.col("rests") + F.when(own, 0).otherwise(F.col("mains")) - 1
+    placed = named.join(shape, "bucket").withColumn("part", part).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    cell = [F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high")]
+    return placed.select("bucket", *cell, "part", "band", "content", "root", "sketch", F.col("words").alias("size"))
+
+
+_CELL = ["bucket", "low", "high"]
+_MEETING = "bucket long, low int, high int, part int, band int, content binary, root binary, sketch binary, size int"
+
+
+def _celled(rows: DataFrame) -> DataFrame:
+    return rows.repartition(*_CELL).sortWithinPartitions(*_CELL)
+
+
+def meetings(cell: pa.Table) -> Iterator[tuple[int, np.ndarray]]:
+    """For rows of a cell, the other rows to try, best agreement first.
+
+    They are of another component, agree in enough bands, of which this bucket's is the
+    first, and are not longer or shorter than the allowed edits.
+    """
+    raw = cell.column("sketch").to_pylist()
+    sketches = np.frombuffer(b"".join(raw), "<u4").reshape(len(raw), -1)
+    size, part, root = cell.column("size").to_numpy(), cell.column("part").to_numpy(), Numbered().rows(cell.column("root").to_pylist())
+    low, high, band = (cell.column(n)[0].as_py() for n in ("low", "high", "band"))
+    facing = np.flatnonzero(part == high)
+    for i in np.flatnonzero(part == low):
+        rows = facing if low != high else facing[facing > i]
+        most = ((1 - SIMILAR) * np.maximum(size[rows], size[i]) + 1e-9).astype(np.int64)
+        rows = rows[(root[rows] != root[i]) & (np.abs(size[rows] - size[i]) <= most)]
+        same = sketches[rows] == sketches[i]
+        agree = same.sum(axis=1)
+        kept = (agree >= AGREE) & (same.argmax(axis=1) == band)
+        if kept.any():
+            yield int(i), rows[kept][np.argsort(-agree[kept], kind="stable")]
+
+
+def _met_runs(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows of each cell that have others to try."""
+    held: list[pa.Table] = []
+    count = 0
+    for cell in runs(rows, _CELL):
+        met = np.zeros(cell.num_rows, bool)
+        for i, others in meetings(cell):
+            met[i] = True
+            met[others] = True
+        if met.any():
+            held.append(cell.filter(pa.array(met)))
+            count += held[-1].num_rows
+        if count > CHUNK:
+            yield from pa.concat_tables(held).combine_chunks().to_batches()
+            held, count = [], 0
+    if held:
+        yield from pa.concat_tables(held).combine_chunks().to_batches()
+
+
+def _joined_runs(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The links of each cell that join components, which are fewer than its components."""
+    for cell in runs(rows, _CELL):
+        content, root = cell.column("content").to_pylist(), Numbered().rows(cell.column("root").to_pylist()).tolist()
+        words = [np.frombuffer(w, "<u4") for w in cell.column("words").to_pylist()]
+        sets: dict[int, np.ndarray] = {}
+        parent = list(range(len(content)))
+        links = []
+
+        def top(k: int, parent: list[int] = parent) -> int:
+            while parent[k] != k:
+                parent[k] = k = parent[parent[k]]
+            return k
+
+        for i, others in meetings(cell):
+            for j in others.tolist():
+                x, y = top(root[i]), top(root[j])
+                if x == y:
+                    continue
+                for k in (i, j):
+                    if k not in sets:
+                        sets[k] = shingle_set(words[k])
+                if alike(sets[i], sets[j], words[i], words[j]):
+                    parent[x] = y
+                    links.append(sorted((content[i], content[j])))
+        if links:
+            yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in links], pa.binary()) for k in (0, 1)], names=["a", "b"])
+
+
+def joining(buckets: DataFrame, roots: DataFrame, docs: DataFrame, text: str, chunk: int = CHUNK) -> DataFrame:
+    """Links (a, b) between the components, after which no candidates of two classes are a link."""
+    met = cut_lineage(_celled(dealt(buckets, roots, chunk)).mapInArrow(_met_runs, _MEETING), "meetings")
+    words = told(met.select("content").distinct(), docs, text)
+    return cut_lineage(_celled(met.join(words, "content")).mapInArrow(_joined_runs, _PAIR), "joining")
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root) for every node of the links; roots are the smallest nodes of their component."""
     edges = cut_lineage(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u != v").distinct(), "links")
@@ -331,31 +439,31 @@ def _ends(pairs: DataFrame) -> DataFrame:
     return pairs.select(F.col("a").alias("content")).union(pairs.select("b")).distinct()
 
 
-def _known(rows: DataFrame, docs: DataFrame) -> DataFrame:
+def _known(rows: DataFrame, docs: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """(content, least, root, name): each content's smallest id, its class and the class's smallest id."""
     contents = (
         rows.where("content is not null")
         .groupBy("content")
-        .agg(F.min("_id").alias("least"), F.min("sketch").alias("sketch"))
+        .agg(F.min("_id").alias("least"), F.min("sketch").alias("sketch"), F.min("words").alias("words"))
     )
     contents = cut_lineage(contents, "contents")
-    buckets = shared_buckets(contents.select("content", "sketch"))
-    pairs = cut_lineage(candidates(buckets), "pairs")
-    links = cut_lineage(verified(pairs, docs, "text"), "verified")
-    alone = _ends(pairs).join(_ends(links), "content", "leftanti")
-    again = cut_lineage(retried(buckets, alone).join(pairs, ["a", "b"], "leftanti"), "again")
-    roots = components(links.union(verified(again, docs, "text"))).withColumnRenamed("node", "content")
+    buckets = shared_buckets(contents.drop("least"))
+    pairs = cut_lineage(candidates(buckets, chunk), "pairs")
+    roots = components(verified(pairs, docs, "text")).withColumnRenamed("node", "content")
+    more = joining(buckets, roots, docs, "text", chunk)
+    if not more.isEmpty():
+        roots = components(roots.toDF("a", "b").union(more)).withColumnRenamed("node", "content")
     known = contents.select("content", "least").join(roots, "content", "left")
     known = known.withColumn("root", F.coalesce("root", "content"))
     names = known.groupBy("root").agg(F.min("least").alias("name"))
     return known.join(names, "root")
 
 
-def classes(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> DataFrame:
+def classes(docs: DataFrame, ident: str = "doc_id", text: str = "text", chunk: int = CHUNK) -> DataFrame:
     """(id, class_id, class_key) for every document; the key is null for a null or empty text."""
     slim = docs.select(quoted(ident).alias("_id"), quoted(text).cast("string").alias("text"))
     rows = _contents(slim, "text")
-    own = rows.select("_id", "content").join(_known(rows, slim), "content", "left")
+    own = rows.select("_id", "content").join(_known(rows, slim, chunk), "content", "left")
     return own.select(
         F.col("_id").alias(ident),
         F.when(F.col("content").isNull(), F.col("_id")).otherwise(F.col("name")).alias("class_id"),

@@ -404,6 +404,48 @@ def test_near_duplicate_families_and_awkward_rows(spark, awkward, nothing):
     assert neardup.classes(nothing).count() == 0 and neardup.keep_one(nothing).count() == 0
 
 
+def _edited(rng, words, edits):
+    own = list(words)
+    for _ in range(edits):
+        own[rng.randrange(len(own))] = f"w{rng.randrange(3000)}"
+    return own
+
+
+def _linked_classes(texts):
+    """Classes of all candidates that are links, by trying every pair: {id: smallest id}."""
+    hashed = {d: neardup.WordHashes()(decontaminate.words_of(t.encode())) for d, t in texts.items()}
+    parts = {d: neardup.sketch(neardup.shingles(h)) for d, h in hashed.items()}
+    cut = {d: (h & np.uint64(0xFFFFFFFF)).astype("<u4") for d, h in hashed.items()}
+    root = {d: d for d in texts}
+
+    def find(d):
+        while root[d] != d:
+            d = root[d]
+        return d
+
+    ids = sorted(texts)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            if find(a) != find(b) and (parts[a] == parts[b]).sum() >= neardup.AGREE and neardup.similar(cut[a], cut[b]):
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    return {d: find(d) for d in ids}
+
+
+def test_near_duplicate_families_joined_by_a_bridge(spark):
+    texts = {}
+    for case in range(25):
+        rng = random.Random(case)
+        first = [f"w{rng.randrange(3000)}" for _ in range(300)]
+        second = _edited(rng, first, 8)
+        bridge = [b if k % 2 else a for k, (a, b) in enumerate(zip(first, second, strict=True))]
+        family = [_edited(rng, base, 2) for base in (first, second) for _ in range(8)] + [bridge]
+        for i, words in enumerate(family):
+            texts[case * 100 + i] = " ".join(f"c{case}{w}" for w in words)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    assert {r.doc_id: r.class_id for r in neardup.classes(docs).collect()} == _linked_classes(texts)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(0, 3), max_size=14), st.lists(st.integers(0, 3), max_size=14), st.integers(0, 9))
 def test_banded_distance(a, b, most):
