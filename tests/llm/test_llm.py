@@ -446,6 +446,23 @@ def test_near_duplicate_families_joined_by_a_bridge(spark):
     assert {r.doc_id: r.class_id for r in neardup.classes(docs).collect()} == _linked_classes(texts)
 
 
+def test_near_duplicate_cells_are_small_and_every_pair_meets_once(spark):
+    names = [i.to_bytes(2, "big") for i in range(200)]
+    schema = "content binary, bucket long, band int, size long, sketch binary, words int"
+    buckets = spark.createDataFrame([(n, 7, 0, 200, b"\0" * 64, 10) for n in names], schema)
+    roots = {n: names[0] if i < 120 else n for i, n in enumerate(names)}
+    known = spark.createDataFrame([(n, names[0]) for n in names[:120]], "content binary, root binary")
+    cells, met = {}, Counter()
+    for r in neardup.dealt(buckets, known, chunk=32).collect():
+        cells.setdefault((r.low, r.high), []).append((bytes(r.content), r.part))
+    for (low, high), held in cells.items():
+        assert len(held) < 100
+        for i, (a, p) in enumerate(held):
+            met.update(frozenset((a, b)) for b, q in held[i + 1 :] if {p, q} == {low, high} and roots[a] != roots[b])
+    pairs = {frozenset((a, b)) for a in names for b in names if roots[a] != roots[b]}
+    assert met == Counter(pairs)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(0, 3), max_size=14), st.lists(st.integers(0, 3), max_size=14), st.integers(0, 9))
 def test_banded_distance(a, b, most):
