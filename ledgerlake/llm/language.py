@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.llm.common import Numbered, batches, beside, carried, prefix, quoted, schema_of
+from ledgerlake.session import cut_lineage
 
 ORDER = 5
 PER_LANGUAGE = 1500  # labelled texts of each language in the sample
@@ -234,7 +235,7 @@ def learn(
     per_language: int = PER_LANGUAGE,
     strictness: float = STRICTNESS,
 ) -> Identifier:
-    """An identifier from at most `per_language` texts of each language.
+    """An identifier from at most `per_language` different texts of each language.
 
     Only gram counts of the sample and its calibration fifth reach the driver; both are
     bounded by the sample.
@@ -242,7 +243,10 @@ def learn(
     rows = labelled.select(quoted(text).cast("string").alias("t"), quoted(lang).cast("string").alias("l"))
     rows = rows.where("t is not null and l is not null").withColumn("h", F.xxhash64("t"))
     first = Window.partitionBy("l").orderBy("h")
-    sample = rows.withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_language).drop("k")
+    # copies are one text: hashes are made distinct and chosen before any text moves
+    chosen = rows.select("l", "h").distinct().withColumn("k", F.row_number().over(first)).where(F.col("k") <= per_language)
+    sample = rows.join(F.broadcast(chosen.drop("k")), ["l", "h"]).dropDuplicates(["l", "t"])
+    sample = cut_lineage(sample, "sample")
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(parts):

@@ -206,6 +206,16 @@ def test_language_awkward_rows(spark, awkward, nothing):
     assert language.identify(strange, identifier).first().rejected
 
 
+def test_language_sample_counts_different_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang is not null and text is not null")
+    docs = docs.select("doc_id", "text", "lang").dropDuplicates(["text"]).limit(300).localCheckpoint()
+    first = docs.groupBy("lang").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    copies = first.select(F.explode(F.expr("sequence(9000L, 9100L)")).alias("doc_id"), "text", "lang")
+    said = [language.identify(docs, language.learn(d, per_language=40)).collect() for d in (docs, docs.unionByName(copies))]
+    scores = [{r.doc_id: (r.lang_pred, round(r.cross_entropy, 9)) for r in rows} for rows in said]
+    assert scores[0] == scores[1]
+
+
 # --- language model
 
 
