@@ -152,7 +152,7 @@ def runs(rows: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[pa.Tab
         cuts = np.flatnonzero(change)
         if held and (not len(cuts) or cuts[0] > 0):
             held.append(batch.slice(0, int(cuts[0]) if len(cuts) else batch.num_rows))
-        for at, to in zip(cuts, [*cuts[1:], batch.num_rows], strict=True):
+        for at, to in zip(cuts, np.append(cuts[1:], batch.num_rows)[: len(cuts)], strict=True):
             if held:
                 yield pa.Table.from_batches(held)
             held = [batch.slice(int(at), int(to - at))]

@@ -9,16 +9,25 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from ledgerlake.llm import QUERIES, clustering, divergence, quality
+from ledgerlake.llm import QUERIES, clustering, common, divergence, quality
 
 LONG = "Längst word " * 30_000 + "end"
 DOCS = "doc_id long, text string, lang string, source string, value string, rank int, entries string"
 
 
+def test_runs_go_on_over_batches_without_a_change():
+    keys = [1] * 7 + [2] * 2 + [3]
+    for size in (1, 2, 3, 20):
+        parts = [keys[i : i + size] for i in range(0, len(keys), size)]
+        batches = [pa.RecordBatch.from_pydict({"k": pa.array(p, pa.int64())}) for p in parts]
+        assert [t.column("k").to_pylist() for t in common.runs(iter(batches), ["k"])] == [[1] * 7, [2] * 2, [3]]
+
+
 # --- source divergence
 
 
