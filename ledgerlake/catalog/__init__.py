@@ -6,6 +6,7 @@ from ledgerlake.catalog import (  # noqa: F401 - importing a module registers it
     q_functions,
     q_gold,
     q_io,
+    q_kept,
     q_merge,
     q_quality,
     q_silver,

@@ -15,10 +15,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake.operators.derive import customer_profile
 from ledgerlake.operators.quality import Rules, apply_pii_policy, check, not_null
+from ledgerlake.operators.relations import Constraints
 from ledgerlake.plans import gold
+from ledgerlake.plans.gate import declared, gate
+from ledgerlake.plans.incremental import GROUPS, INPUTS, Source, Step, bring_up
 from ledgerlake.plans.silver import refine
 from ledgerlake.schemas import SILVER, Table
-from ledgerlake.session import tune
+from ledgerlake.session import cut_lineage, tune
 from ledgerlake.sinks.writers import append_bronze, load_serving, sorted_rows, write_dead_letters
 from ledgerlake.sources.readers import (
     if_exists,
@@ -35,15 +38,20 @@ from ledgerlake.sources.tables import (
     TARGET_BYTES,
     Written,
     compact,
+    compact_groups,
     exists,
-    read_replaced,
+    in_force,
+    read_groups,
     read_table,
+    replace_all_groups,
     replace_table,
     upsert_table,
     vacuum,
+    versions,
 )
 from ledgerlake.streaming.changes import VERSION, snapshot_versioned
 from ledgerlake.streaming.queries import EVERY_FIVE_MINUTES, await_any, start_all
+from ledgerlake.streaming.replay import Replayed, replay
 
 GOLD_KEYS = {
     "gold_fraud_analysis": ("customer_id", "transaction_date"),
@@ -65,6 +73,9 @@ class Lake:
     rules: Mapping[str, Rules] = field(default_factory=dict)  # table -> further quality rules
     pii: Mapping[str, Mapping[str, str]] = field(default_factory=dict)  # table -> policy
     serving: Mapping[str, str] | None = None  # JDBC options
+    constraints: Mapping[str, Constraints] = field(default_factory=dict)  # table -> what Gold relies on
+    sealed: str | None = None  # restricted folder for the bytes of unreadable messages under a policy
+    buckets: Mapping[str, int] = field(default_factory=dict)  # table -> number of key buckets
 
 
 def run_all(tasks: Mapping[str, Callable[[], object]], at_once: int = AT_ONCE) -> dict[str, object]:
@@ -103,7 +114,8 @@ def silver_table(spark: SparkSession, lake: Lake, table: Table, load_date: str |
         apply_pii_policy(bad, sources), f"{lake.dead_letters}/{table.name}/load_date={load_date or 'all'}", mode="overwrite"
     )
     rows = apply_pii_policy(snapshot_versioned(refine(good, table, ("load_date",))), policy or {})
-    return upsert_table(rows, f"{lake.silver}/{table.name}", table.keys, VERSION, unique=True)
+    buckets = lake.buckets.get(table.name)
+    return upsert_table(rows, f"{lake.silver}/{table.name}", table.keys, VERSION, unique=True, buckets=buckets)
 
 
 def run_silver(spark: SparkSession, lake: Lake, load_date: str | None = None) -> dict[str, Written | None]:
@@ -127,25 +139,36 @@ def silver_views(spark: SparkSession, lake: Lake) -> list[str]:
 
 
 def read_gold(spark: SparkSession, lake: Lake, name: str) -> DataFrame:
-    return read_replaced(spark, f"{lake.gold}/{name}")
+    return read_groups(spark, f"{lake.gold}/{name}", [GROUPS[name]])
+
+
+SHARED = ("silver_postgres_transactions", "silver_postgres_cards", "silver_postgres_customers")
 
 
 def run_gold(spark: SparkSession, lake: Lake) -> dict[str, int]:
+    """Rebuild both Gold tables; rows that break the lake's constraints are set aside first."""
     tune(spark)
+    # what each table is built from is listed before anything is read
+    notes = {n: json.dumps({i: Source(spark, lake.silver, i).names for i in INPUTS[n]}) for n in GOLD_KEYS}
 
     def silver(name: str) -> DataFrame:
-        return read_silver(spark, lake, name)
+        df = read_silver(spark, lake, name)
+        path = f"{lake.silver}/{name}"
+        # both Gold tables read it: parts are merged once
+        merged = name in SHARED and name not in lake.constraints and len(in_force(spark, versions(spark, path))) > 1
+        return cut_lineage(df, name) if merged else df
 
     def store(name: str, df: DataFrame) -> int:
         # beside the last good table, which readers keep until this one is complete
-        rows = replace_table(sorted_rows(df, GOLD_KEYS[name]), f"{lake.gold}/{name}").rows
+        path = f"{lake.gold}/{name}"
+        rows = replace_all_groups(sorted_rows(df, GOLD_KEYS[name]), path, "" if lake.constraints else notes[name]).rows
         if lake.serving:
             load_serving(read_gold(spark, lake, name), lake.serving, name)
         return rows
 
-    transactions = silver("silver_postgres_transactions")
-    cards = silver("silver_postgres_cards")
-    customers = silver("silver_postgres_customers")
+    tables = {name: silver(name) for name in SHARED}
+    checked = gate(tables, lake.constraints, lake.dead_letters, lake.pii) if lake.constraints else {}
+    transactions, cards, customers = (checked[n].good if n in checked else tables[n] for n in SHARED)
     fraud = gold.fraud_analysis(
         transactions, cards, customers,
         silver("silver_mongo_fraud_events"), silver("silver_mongo_notification_logs"),
@@ -162,6 +185,39 @@ def run_gold(spark: SparkSession, lake: Lake) -> dict[str, int]:
     )
 
 
+def update_gold(spark: SparkSession, lake: Lake) -> dict[str, Step]:
+    """Bring both Gold tables up to Silver's changes since the last run; rebuild what cannot be."""
+    if lake.constraints:
+        raise ValueError("constraints are judged over whole tables: run_gold")
+    tune(spark)
+
+    def work(name: str) -> Step:
+        step = bring_up(spark, lake.silver, f"{lake.gold}/{name}", name, lambda df: sorted_rows(df, GOLD_KEYS[name]))
+        if lake.serving and step.touched != 0:
+            load_serving(read_gold(spark, lake, name), lake.serving, name)
+        return step
+
+    return run_all({name: (lambda n=name: work(n)) for name in GOLD_KEYS})
+
+
+def replay_letters(
+    spark: SparkSession, lake: Lake, schemas: Mapping[str, Mapping[int, T.StructType]]
+) -> dict[str, Replayed]:
+    """Apply the streams' dead letters that the schemas can read now, table by table."""
+    tune(spark)
+
+    def work(name: str) -> Replayed:
+        dead = f"{lake.dead_letters}/stream/{name}"
+        # under a policy the letters hold no bytes; those lie in the sealed folder
+        letters = f"{lake.sealed}/{name}" if lake.sealed and lake.pii.get(name) else f"{dead}/messages"
+        return replay(
+            spark, letters, f"{dead}/ledger", SILVER[name], f"{lake.silver}/{name}", schemas[name], dead,
+            lake.rules.get(name), lake.pii.get(name),
+        )
+
+    return run_all({name: (lambda n=name: work(n)) for name in schemas})
+
+
 def run_profile(spark: SparkSession, lake: Lake) -> int:
     """Rebuild the nested customer profile from Silver, beside the last good one; key (_id, page)."""
     cards = read_silver(spark, lake, "silver_postgres_cards")
@@ -179,19 +235,25 @@ def maintain(
 ) -> dict[str, object]:
     """Compact and vacuum every Silver table that exists; one failure stops no other.
 
-    Also the old states of the Gold tables are removed after the retention period.
+    Gold tables are folded too, and their old states are removed after the retention period.
     """
 
     def work(table: Table) -> list[int] | None:
         path = f"{lake.silver}/{table.name}"
         if not exists(spark, path):
             return None
-        compact(spark, path, table.keys, VERSION, target_bytes)
+        compact(spark, path, table.keys, VERSION, target_bytes, buckets=lake.buckets.get(table.name))
         return vacuum(spark, path, hours)
 
     tasks = {name: (lambda t=table: work(t)) for name, table in SILVER.items()}
-    replaced = (*GOLD_KEYS, "customer_profile")
-    gold_tables = {name: (lambda n=name: vacuum(spark, f"{lake.gold}/{n}", hours)) for name in replaced}
+
+    def gold_work(name: str) -> list[int]:
+        path = f"{lake.gold}/{name}"
+        if name in GROUPS:
+            compact_groups(spark, path, [GROUPS[name]])
+        return vacuum(spark, path, hours)
+
+    gold_tables = {name: (lambda n=name: gold_work(n)) for name in (*GOLD_KEYS, "customer_profile")}
     return run_all({**tasks, **gold_tables})
 
 
@@ -217,7 +279,8 @@ def stream(
     """All Silver streams under the lake's rules and policies; `topics` are reader options by table."""
     streams = {name: read_changes(spark, options) for name, options in topics.items()}
     return start_all(
-        streams, lake.silver, schemas, checkpoints, f"{lake.dead_letters}/stream", trigger, lake.rules, lake.pii
+        streams, lake.silver, schemas, checkpoints, f"{lake.dead_letters}/stream", trigger, lake.rules, lake.pii,
+        lake.sealed, lake.buckets,
     )
 
 
@@ -238,12 +301,16 @@ def reader(spark: SparkSession, source: Mapping[str, object]) -> Callable[[], Da
 def configured(settings: Mapping[str, object], folders: Mapping[str, str]) -> Lake:
     """A lake with the rules (SQL text by label), policies and serving options of a settings file."""
     rules = {t: {label: F.expr(text) for label, text in own.items()} for t, own in settings.get("rules", {}).items()}
-    return Lake(**folders, rules=rules, pii=settings.get("pii", {}), serving=settings.get("serving"))
+    return Lake(
+        **folders, rules=rules, pii=settings.get("pii", {}), serving=settings.get("serving"),
+        constraints=declared() if settings.get("gate") else {}, sealed=settings.get("sealed"),
+        buckets=settings.get("buckets", {}),
+    )
 
 
 def main() -> None:
     parser = argparse.ArgumentParser(description="Jobs of the lake")
-    parser.add_argument("job", nargs="?", default="batch", choices=("ingest", "batch", "profile", "stream", "maintain"))
+    parser.add_argument("job", nargs="?", default="batch", choices=("ingest", "batch", "update", "profile", "stream", "replay", "maintain"))
     parser.add_argument("--execution-date", help="YYYY-MM-DD; for batch, all loaded days when left out")
     for layer in ("bronze", "silver", "gold", "dead-letters"):
         parser.add_argument(f"--{layer}", required=True, help="folder")
@@ -255,18 +322,23 @@ def main() -> None:
     settings = json.loads(text)
     folders = {"bronze": args.bronze, "silver": args.silver, "gold": args.gold, "dead_letters": args.dead_letters}
     lake = configured(settings, folders)
+    schemas = {
+        name: {int(n): T._parse_datatype_string(ddl) for n, ddl in own.items()}
+        for name, own in settings.get("schemas", {}).items()
+    }
     if args.job == "ingest":
         ingest(lake, {n: reader(spark, s) for n, s in settings["sources"].items()}, args.execution_date)
     elif args.job == "batch":
         run_silver(spark, lake, args.execution_date)
         run_gold(spark, lake)
+    elif args.job == "update":
+        run_silver(spark, lake, args.execution_date)
+        update_gold(spark, lake)
     elif args.job == "profile":
         run_profile(spark, lake)
+    elif args.job == "replay":
+        replay_letters(spark, lake, schemas)
     elif args.job == "stream":
-        schemas = {
-            name: {int(n): T._parse_datatype_string(ddl) for n, ddl in own.items()}
-            for name, own in settings["schemas"].items()
-        }
         stream(spark, lake, settings["topics"], schemas, args.checkpoints)
         await_any(spark)
     else:

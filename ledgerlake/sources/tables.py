@@ -3,30 +3,36 @@
 Where the Delta package is on the classpath it does the merge. Without it a table is a
 folder of plain parquet writes, each complete once Spark has left its `_SUCCESS` file:
 
-    <table>/v=00000001-full    the whole state
-    <table>/v=00000002-part    the latest row per key of one upsert
+    <table>/v=00000001-part-<writer>    the latest row per key of one upsert
+    <table>/v=00000002-full-<writer>    the whole state
+    <table>/_folded/<full write>        the names of the writes that a full one holds
 
 An upsert writes only its own rows, so its cost does not depend on the table's size. A
-read takes the last full write and lets the parts after it replace the keys they name: only
-the rows of those keys are compared, the rest of the full state passes through. Folding the
-parts in is the work of `compact` alone; `vacuum` removes folders out of use.
-
-Writers may run side by side. Each claims its number by creating a file that must not exist
-yet, and writes to a folder that must not exist either. A full write holds what was complete
-below its number and later parts are read on top of it, so a compaction that finds a lower
-number claimed but not complete gives up with an error, and none of the rows is lost. A
-write that failed for good keeps its number claimed until `abandon` releases it.
+read takes the last full write and lets the parts that it does not hold replace the keys
+they name: only the rows of those keys are compared, the rest of the full state passes
+through. Folding the parts in is the work of `compact` alone; `vacuum` removes folders out
+of use. With `buckets` a write is laid out in folders by a hash of the key, and a read opens
+only the buckets of the full state that some part has touched; the others go through as
+they are.
+
+Writers may run side by side and need no lock: a write is known by its number and its
+writer's own id, so two that take the same number both count, also on stores where a create
+is not exclusive. A full write says by name what it holds, so a part that ends later, under
+whatever number, is read on top of it. A write that failed has no `_SUCCESS` and is nothing
+to anyone; one that is named by its caller (a stream's query and batch) is taken over by the
+retry, or found complete and not written again.
 """
 
 from __future__ import annotations
 
 import math
+import re
 import time
-from collections.abc import Sequence
+import uuid
+from collections.abc import Collection, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,11 +42,10 @@ SUCCESS = "_SUCCESS"
 DELETED = "_deleted"
 TARGET_BYTES = 1 << 30
 RETENTION_HOURS = 168
-CLAIMS = "_claims"
-
-
-class UnfinishedWrite(RuntimeError):
-    """A lower number is claimed and not complete; its writer runs, or failed."""
+FOLDED = "_folded"
+MOST_BUCKETS = 4096
+_BUCKET = "_bucket_"
+_WRITE = "_v"
 
 
 @dataclass(frozen=True)
@@ -50,11 +55,16 @@ class Version:
     path: str
     committed_ms: int
 
+    @property
+    def name(self) -> str:
+        return self.path.rsplit("/", 1)[1]
+
 
 @dataclass(frozen=True)
 class Written:
     version: int
     rows: int
+    again: bool = False  # it was complete already
 
 
 def delta_available(spark: SparkSession) -> bool:
@@ -79,59 +89,63 @@ def _folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(location) if s.isDirectory())
 
 
-def versions(spark: SparkSession, path: str) -> list[Version]:
-    """Complete writes, oldest first."""
-    found = []
-    for name in _folders(spark, path):
-        if not name.startswith("v="):
-            continue
-        fs, marker = _files(spark, f"{path}/{name}/{SUCCESS}")
-        if fs.exists(marker):
-            number, kind = name[2:].split("-")
-            when = fs.getFileStatus(marker).getModificationTime()
-            found.append(Version(int(number), kind == "full", f"{path}/{name}", when))
-    return found
+def _writes(spark: SparkSession, path: str) -> list[str]:
+    return [name for name in _folders(spark, path) if name.startswith("v=")]
 
 
-def _in_force(found: Sequence[Version], version: int | None) -> list[Version]:
-    upto = [v for v in found if version is None or v.number <= version]
-    # before the first full write is complete, the parts beside it are the state
-    start = max((i for i, v in enumerate(upto) if v.full), default=0)
-    return upto[start:]
+def _number(name: str) -> int:
+    return int(name[2:].split("-")[0])
 
 
-def _claimed(spark: SparkSession, path: str) -> set[int]:
-    fs, folder = _files(spark, f"{path}/{CLAIMS}")
-    claims = {int(s.getPath().getName()) for s in fs.listStatus(folder)} if fs.exists(folder) else set()
-    return claims | {int(n[2:].split("-")[0]) for n in _folders(spark, path) if n.startswith("v=")}
+def _complete(spark: SparkSession, path: str, name: str) -> Version | None:
+    fs, marker = _files(spark, f"{path}/{name}/{SUCCESS}")
+    if not fs.exists(marker):
+        return None
+    when = fs.getFileStatus(marker).getModificationTime()
+    return Version(_number(name), name.split("-")[1] == "full", f"{path}/{name}", when)
 
 
-def _claim(spark: SparkSession, path: str) -> int:
-    """The next number, taken by a create that fails where another writer was first."""
-    number = max(_claimed(spark, path), default=0) + 1
-    while True:
-        fs, mark = _files(spark, f"{path}/{CLAIMS}/{number:08d}")
-        try:
-            fs.create(mark, False).close()
-            return number
-        except Py4JJavaError as error:
-            if not fs.exists(mark):
-                raise error
-            number += 1
+def versions(spark: SparkSession, path: str) -> list[Version]:
+    """Complete writes, oldest first."""
+    found = (_complete(spark, path, name) for name in _writes(spark, path))
+    return [v for v in found if v is not None]
 
 
-def unfinished(spark: SparkSession, path: str) -> list[int]:
-    """Numbers that are claimed and not complete."""
-    return sorted(_claimed(spark, path) - {v.number for v in versions(spark, path)})
+def _put_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, location = _files(spark, path)
+    stream = fs.create(location, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
 
 
-def abandon(spark: SparkSession, path: str, number: int) -> None:
-    """Give up a write that will not be finished: its claim and whatever it has written."""
-    if number not in unfinished(spark, path):
-        raise ValueError(f"{number} is not an unfinished write of {path}")
-    for name in (f"{CLAIMS}/{number:08d}", f"v={number:08d}-part", f"v={number:08d}-full"):
-        fs, location = _files(spark, f"{path}/{name}")
-        fs.delete(location, True)
+def _get_text(spark: SparkSession, path: str) -> str | None:
+    fs, location = _files(spark, path)
+    if not fs.exists(location):
+        return None
+    stream = fs.open(location)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def folded(spark: SparkSession, full: Version) -> set[str]:
+    """Names of the writes that a full one holds."""
+    table, name = full.path.rsplit("/", 1)
+    text = _get_text(spark, f"{table}/{FOLDED}/{name}")
+    return set((text or "").split("\n")) - {""}
+
+
+def in_force(spark: SparkSession, found: Sequence[Version], version: int | None = None) -> list[Version]:
+    """The last full write and the parts that it does not hold; without one, all parts."""
+    upto = [v for v in found if version is None or v.number <= version]
+    full = [v for v in upto if v.full]
+    if not full:
+        return upto
+    held = folded(spark, full[-1])
+    return [full[-1], *[v for v in upto if not v.full and v.name not in held]]
 
 
 # --- reading ------------------------------------------------------------------------
@@ -143,13 +157,18 @@ def read_table(
     order: Sequence[str] | None = None,
     version: int | None = None,
     deleted: bool = False,
+    within: Collection[str] | None = None,
 ) -> DataFrame:
-    """Current rows, or those of an earlier version; `deleted` shows deleted keys too."""
+    """Current rows, or those of an earlier version; `deleted` shows deleted keys too.
+
+    `within` names writes and leaves all others out: the state some reader saw before.
+    """
     if delta_available(spark):
         reader = spark.read.format("delta")
         df = (reader.option("versionAsOf", version) if version is not None else reader).load(path)
     else:
-        active = _in_force(versions(spark, path), version)
+        found = [v for v in versions(spark, path) if within is None or v.name in within]
+        active = in_force(spark, found, version)
         if not active:
             raise FileNotFoundError(f"no complete version of {path}")
         df = _state(spark, active, keys, order)
@@ -161,7 +180,7 @@ def exists(spark: SparkSession, path: str) -> bool:
         from delta.tables import DeltaTable
 
         return DeltaTable.isDeltaTable(spark, path)
-    return bool(_in_force(versions(spark, path), None))
+    return bool(versions(spark, path))
 
 
 def _live(df: DataFrame) -> DataFrame:
@@ -171,36 +190,59 @@ def _live(df: DataFrame) -> DataFrame:
 def _state(
     spark: SparkSession, active: Sequence[Version], keys: Sequence[str], order: Sequence[str] | None
 ) -> DataFrame:
-    base = spark.read.parquet(active[0].path) if active[0].full else None
-    parts = active[1:] if base is not None else list(active)
+    """The first write with the others on top; each holds a key once."""
+    base, parts = spark.read.parquet(active[0].path), list(active[1:])
     if not parts:
-        return base
+        return base.drop(*_bucket_columns(base))
     if not keys:
         raise ValueError("a table with parts is read by its keys")
-    merged = _parts(spark, parts)
-    if base is None:
-        return latest_by(merged, keys, _precedence(order)).drop("_v")
-    touched = merged.select(*keys).distinct()
-    untouched = base.join(touched, list(keys), "left_anti")
-    contested = _numbered(base.join(touched, list(keys), "left_semi"), active[0].number)
+    merged = read_parts(spark, parts)
+    alone = None
+    buckets = _bucket_columns(base)
+    if len(buckets) == 1 and buckets == _bucket_columns(merged):
+        # folder names tell which buckets the parts touch; the scan skips the others' files here
+        touched = sorted(_buckets_of(spark, parts))
+        alone = base.where(~F.col(buckets[0]).isin(touched)).drop(*buckets)
+        base = base.where(F.col(buckets[0]).isin(touched))
+    base, merged = base.drop(*buckets), merged.drop(*_bucket_columns(merged))
+    changed = merged.select(*keys).distinct()
+    untouched = base.join(changed, list(keys), "left_anti")
+    contested = base.join(changed, list(keys), "left_semi").withColumn(_WRITE, F.lit(""))
     rows = contested.unionByName(merged, allowMissingColumns=True)
-    newest = latest_by(rows, keys, _precedence(order)).drop("_v")
-    return untouched.unionByName(newest, allowMissingColumns=True)
+    newest = latest_by(rows, keys, _precedence(order)).drop(_WRITE)
+    state = untouched.unionByName(newest, allowMissingColumns=True)
+    return state if alone is None else state.unionByName(alone, allowMissingColumns=True)
 
 
-def _parts(spark: SparkSession, parts: Sequence[Version]) -> DataFrame:
-    """All parts, each row with the number of the write it came by.
+def _bucket_columns(df: DataFrame) -> list[str]:
+    return [name for name in df.columns if name.startswith(_BUCKET)]
+
+
+def _buckets_of(spark: SparkSession, parts: Sequence[Version]) -> set[int]:
+    names = (name for v in parts for name in _folders(spark, v.path) if name.startswith(_BUCKET))
+    return {int(name.split("=")[1]) for name in names}
+
+
+def read_parts(spark: SparkSession, parts: Sequence[Version]) -> DataFrame:
+    """All rows of some writes, each with the name of the write it came by.
 
     Parts of one schema are one scan; one footer of each part is read, not all of them.
     """
     groups: dict[str, list[str]] = {}
+    columns: dict[str, list[str]] = {}
     for v in parts:
-        groups.setdefault(spark.read.parquet(v.path).schema.json(), []).append(v.path)
+        df = spark.read.parquet(v.path)
+        # folders below several roots are read from the table's folder, which adds the column v
+        alone = v.path if _bucket_columns(df) and "v" in df.columns else ""
+        kind = df.schema.json() + alone
+        groups.setdefault(kind, []).append(v.path)
+        columns[kind] = df.columns
     scans = []
-    for paths in groups.values():
-        df = spark.read.parquet(*paths)
-        number = F.regexp_extract("_metadata.file_path", r"/v=(\d+)-part/", 1).cast("int")
-        scans.append(df.select(*df.columns, number.alias("_v")))
+    for kind, paths in groups.items():
+        root = paths[0].rsplit("/", 1)[0]
+        df = spark.read.option("basePath", root).parquet(*paths) if len(paths) > 1 else spark.read.parquet(*paths)
+        name = F.regexp_extract("_metadata.file_path", r"/v=(\d+-part[^/]*)/", 1)
+        scans.append(df.select(*columns[kind], name.alias(_WRITE)))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
@@ -209,16 +251,12 @@ def _bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(location).getLength()
 
 
-def _numbered(df: DataFrame, number: int) -> DataFrame:
-    return df.withColumn("_v", F.lit(number))
-
-
 def _precedence(order: Sequence[str] | None) -> list[Column]:
     if not order:  # the last write wins
-        return [F.desc("_v")]
+        return [F.desc(_WRITE)]
     # the newer row wins, whenever it was written; a tie is a repeat of the same change or
     # the replay of a corrected load date, so the later write counts
-    return [*[F.col(name).desc_nulls_last() for name in order], F.desc("_v")]
+    return [*[F.col(name).desc_nulls_last() for name in order], F.desc(_WRITE)]
 
 
 # --- writing ------------------------------------------------------------------------
@@ -230,6 +268,8 @@ def upsert_table(
     order: Sequence[str] | None = None,
     ties: Sequence[str] = (),
     unique: bool = False,
+    writer: str | None = None,
+    buckets: int | None = None,
 ) -> Written:
     """Merge rows into a table by key, or create it; batch and stream both end here.
 
@@ -237,6 +277,10 @@ def upsert_table(
     `unique`. With `order`, a row that is older than the stored one changes nothing, so a
     replayed or late batch is harmless; an equal one replaces it, so that a load date can be
     redone. A null key is an error. Rows marked `_deleted` delete.
+
+    `writer` names the write: a retry under the same name takes the place of a try that
+    failed, and is not written again after one that did not. All writes of a table have to
+    agree on `buckets`; where they do not, reads compare keys without skipping any.
     """
     spark = df.sparkSession
     source = _with_keys(df, keys)
@@ -244,14 +288,16 @@ def upsert_table(
         source = latest_by(source, keys, list(order or ()), ties)
     if delta_available(spark):
         return _upsert_delta(source, path, keys, order)
-    number = _claim(spark, path)
-    # only the very first write may stand for the whole state
-    return _write(source, path, number, full=number == 1)
+    name = _name(spark, path, "part", writer)
+    done = _complete(spark, path, name)
+    if done is not None:
+        return Written(done.number, spark.read.parquet(done.path).count(), again=True)
+    return _write(source, path, name, keys=keys, buckets=buckets)
 
 
 def replace_table(df: DataFrame, path: str) -> Written:
     """Write a whole new state beside the old one; readers see it once it is complete."""
-    return _write(df, path, _claim(df.sparkSession, path), full=True)
+    return _write_full(df, path, versions(df.sparkSession, path))
 
 
 def read_replaced(spark: SparkSession, path: str) -> DataFrame:
@@ -269,12 +315,51 @@ def _with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.withColumns(checked)
 
 
-def _write(df: DataFrame, path: str, number: int, full: bool, files: int | None = None) -> Written:
+def _name(spark: SparkSession, path: str, kind: str, writer: str | None = None) -> str:
+    """A folder of the next number, or the one that this writer has begun before."""
+    taken = _writes(spark, path)
+    own = re.sub(r"[^A-Za-z0-9_.]", "_", writer) if writer else uuid.uuid4().hex[:16]
+    for name in taken:
+        if name.endswith(f"-{kind}-{own}"):
+            return name
+    number = max(map(_number, taken), default=0) + 1
+    return f"v={number:08d}-{kind}-{own}"
+
+
+def bucket_of(keys: Sequence[str], buckets: int) -> Column:
+    """The bucket of a key; by its text, so that an int and a long of one value agree."""
+    return F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(buckets)).cast("int")
+
+
+def _write(
+    df: DataFrame,
+    path: str,
+    name: str,
+    files: int | None = None,
+    keys: Sequence[str] = (),
+    buckets: int | None = None,
+) -> Written:
     seen = Observation()
-    rows = (df.repartition(files) if files else df).observe(seen, F.count(F.lit(1)).alias("rows"))
-    target = f"{path}/v={number:08d}-{'full' if full else 'part'}"
-    rows.write.mode("errorifexists").parquet(target)
-    return Written(number, seen.get["rows"])
+    folders: list[str] = []
+    if buckets:
+        if not 0 < buckets <= MOST_BUCKETS:
+            raise ValueError(f"between 1 and {MOST_BUCKETS} buckets, not {buckets}")
+        folders = [f"{_BUCKET}{buckets}"]
+        # even files: small buckets share a task, a large one is split
+        df = df.withColumn(folders[0], bucket_of(keys, buckets)).hint("rebalance", folders[0])
+    elif files:
+        df = df.repartition(files)
+    rows = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    rows.write.partitionBy(*folders).mode("overwrite").parquet(f"{path}/{name}")
+    return Written(_number(name), seen.get["rows"])
+
+
+def _write_full(df: DataFrame, path: str, held: Sequence[Version], **more) -> Written:
+    """A whole state in place of the writes `held`, which are noted down before it counts."""
+    spark = df.sparkSession
+    name = _name(spark, path, "full")
+    _put_text(spark, f"{path}/{FOLDED}/{name}", "\n".join(v.name for v in held))
+    return _write(df, path, name, **more)
 
 
 def _upsert_delta(source: DataFrame, path: str, keys: Sequence[str], order: Sequence[str] | None) -> Written:
@@ -299,6 +384,64 @@ def _upsert_delta(source: DataFrame, path: str, keys: Sequence[str], order: Sequ
     return Written(log["version"], seen.get["rows"])
 
 
+# --- groups of rows -------------------------------------------------------------------
+
+def replace_groups(
+    df: DataFrame, touched: DataFrame, path: str, keys: Sequence[str], note: str = ""
+) -> Written:
+    """Replace all rows of the `touched` keys by those in df, which may be none or several.
+
+    `note` is kept with the write, for whoever goes on from here.
+    """
+    spark = df.sparkSession
+    marks = touched.select(*keys).distinct().withColumn(DELETED, F.lit(True))
+    rows = df.withColumn(DELETED, F.lit(False)).unionByName(marks, allowMissingColumns=True)
+    name = _name(spark, path, "part")
+    _put_text(spark, f"{path}/_notes/{name}", note)
+    return _write(rows, path, name)
+
+
+def replace_all_groups(df: DataFrame, path: str, note: str = "") -> Written:
+    """A whole new state of such a table."""
+    spark = df.sparkSession
+    name = _name(spark, path, "full")
+    _put_text(spark, f"{path}/{FOLDED}/{name}", "\n".join(v.name for v in versions(spark, path)))
+    _put_text(spark, f"{path}/_notes/{name}", note)
+    return _write(df, path, name)
+
+
+def renote(spark: SparkSession, path: str, note: str) -> None:
+    """Give the last complete write another note."""
+    _put_text(spark, f"{path}/_notes/{versions(spark, path)[-1].name}", note)
+
+
+def compact_groups(spark: SparkSession, path: str, keys: Sequence[str]) -> None:
+    """Fold the replaced groups into one full write, which keeps the last note."""
+    if len(in_force(spark, versions(spark, path))) > 1:
+        replace_all_groups(read_groups(spark, path, keys), path, last_note(spark, path) or "")
+
+
+def last_note(spark: SparkSession, path: str) -> str | None:
+    """The note of the last complete write."""
+    found = versions(spark, path)
+    return _get_text(spark, f"{path}/_notes/{found[-1].name}") if found else None
+
+
+def read_groups(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
+    """Current rows: those of a key's last write, if any of it says something about the key."""
+    active = in_force(spark, versions(spark, path))
+    if not active or not active[0].full:
+        raise FileNotFoundError(f"no complete version of {path}")
+    base = spark.read.parquet(active[0].path)
+    if len(active) == 1:
+        return base
+    parts = read_parts(spark, active[1:])
+    last = parts.groupBy(*keys).agg(F.max(_WRITE).alias(_WRITE))
+    rows = _live(parts.join(last, [*keys, _WRITE], "left_semi")).drop(_WRITE)
+    untouched = base.join(last.select(*keys), list(keys), "left_anti")
+    return untouched.unionByName(rows).select(base.columns)
+
+
 # --- maintenance --------------------------------------------------------------------
 
 def compact(
@@ -308,28 +451,27 @@ def compact(
     order: Sequence[str] | None = None,
     target_bytes: int = TARGET_BYTES,
     forget_deleted: bool = False,
+    buckets: int | None = None,
 ) -> int:
-    """Fold all parts into one full write with files of about `target_bytes`.
+    """Fold all complete parts into one full write with files of about `target_bytes`.
 
-    Deleted keys stay marked, so that a late older row cannot bring one back, until a
-    compaction is told to forget them.
+    Writes that run meanwhile, or failed, do not matter: what is not named as folded is
+    read on top. Deleted keys stay marked, so that a late older row cannot bring one back,
+    until a compaction is told to forget them.
     """
     if delta_available(spark):
         from delta.tables import DeltaTable
 
         DeltaTable.forPath(spark, path).optimize().executeCompaction()
         return DeltaTable.forPath(spark, path).history(1).select("version").first()["version"]
-    number = _claim(spark, path)
-    open_below = [n for n in unfinished(spark, path) if n < number]
-    if open_below:
-        abandon(spark, path, number)
-        raise UnfinishedWrite(f"{path}: {open_below} are claimed and not complete")
-    active = _in_force([v for v in versions(spark, path) if v.number < number], None)
+    found = versions(spark, path)
+    active = in_force(spark, found)
     size = sum(_bytes(spark, v.path) for v in active)
     state = _state(spark, active, keys, order)
     if forget_deleted and DELETED in state.columns:
         state = state.where(~F.col(DELETED))
-    return _write(state, path, number, full=True, files=max(1, math.ceil(size / target_bytes))).version
+    files = max(1, math.ceil(size / target_bytes))
+    return _write_full(state, path, found, files=files, keys=keys, buckets=buckets).version
 
 
 def vacuum(
@@ -338,6 +480,7 @@ def vacuum(
     """Remove versions that no read within the retention period needs; returns their numbers.
 
     What is in force now, and what a time-travel read inside the period builds on, stays.
+    What a failed write has left goes too once it is older than the period.
     """
     if delta_available(spark):
         from delta.tables import DeltaTable
@@ -350,13 +493,15 @@ def vacuum(
     # the state that was current when the period began is still readable within it
     before = [v.number for v in found if v.committed_ms < limit]
     oldest = before[-1] if before else (visible[0] if visible else None)
-    needed = {v.number for v in _in_force(found, None)}
+    needed = {v.name for v in in_force(spark, found)}
     for number in [*([oldest] if oldest is not None else []), *visible]:
-        needed.update(v.number for v in _in_force(found, number))
+        needed.update(v.name for v in in_force(spark, found, number))
+    complete = {v.name for v in found}
     removed = []
-    for v in found:
-        if v.number not in needed:
-            fs, location = _files(spark, v.path)
-            fs.delete(location, True)
-            removed.append(v.number)
+    for name in _writes(spark, path):
+        fs, location = _files(spark, f"{path}/{name}")
+        if name in needed or name not in complete and fs.getFileStatus(location).getModificationTime() >= limit:
+            continue
+        fs.delete(location, True)
+        removed.append(_number(name))
     return removed

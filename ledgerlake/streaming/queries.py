@@ -16,6 +16,7 @@ from ledgerlake.operators.quality import Rules
 from ledgerlake.plans.silver import settle
 from ledgerlake.schemas import SILVER, Table
 from ledgerlake.sinks.writers import write_dead_letters
+from ledgerlake.sources.readers import TOPIC
 from ledgerlake.sources.tables import upsert_table
 from ledgerlake.streaming.changes import DELETED, VERSION, decode, split
 
@@ -33,14 +34,19 @@ def merge_batch(
     rules: Rules | None = None,
     pii: Mapping[str, str] | None = None,
     format: str = "json",
+    sealed: str | None = None,
+    buckets: int | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """The work of one micro-batch; safe to repeat, and any failure stops the query.
 
-    The merge keeps the newest version of each key, so a replayed batch changes nothing. The
-    batch's dead letters are written under its id: messages that cannot be read or merged in
-    `messages`, rows that break a rule in `rows`. Rules and the personal-data policy are the
-    ones the batch job applies; under a policy a message that was read but has no key keeps
-    its problem and its masked data instead of its bytes. A delete is not held to the rules.
+    The merge keeps the newest version of each key, so a replayed batch changes nothing. Its
+    write is named by the query and the batch: a retry takes over what a failed try has left
+    and writes nothing again. The batch's dead letters are written under its id: messages
+    that cannot be read or merged in `messages`, rows that break a rule in `rows`. Rules and
+    the personal-data policy are the ones the batch job applies; under a policy no letter
+    holds a message's bytes, only their digest and length, and masked data where it could be
+    read. The bytes go to the `sealed` folder, if the caller names one, from where they can
+    be replayed. A delete is not held to the rules.
     """
 
     def apply(messages: DataFrame, batch_id: int) -> None:
@@ -51,8 +57,11 @@ def merge_batch(
             rows, bad = split(decoded, table)
             held = {name: rule | F.col(DELETED) for name, rule in (rules or {}).items()}
             good, refused = settle(rows, table.keys, held, pii)
-            upsert_table(good, path, table.keys, VERSION)
+            upsert_table(good, path, table.keys, VERSION, writer=_batch_name(messages, batch_id), buckets=buckets)
             write_dead_letters(_unseen(bad, pii), f"{dead_letters}/messages/batch={batch_id}", mode="overwrite")
+            if pii and sealed:
+                raw = bad.select(*[c for c in (*TOPIC.names, "problem") if c in bad.columns])
+                write_dead_letters(raw, f"{sealed}/batch={batch_id}", mode="overwrite")
             if held:
                 write_dead_letters(refused, f"{dead_letters}/rows/batch={batch_id}", mode="overwrite")
         finally:
@@ -61,16 +70,29 @@ def merge_batch(
     return apply
 
 
+def _batch_name(messages: DataFrame, batch_id: int) -> str | None:
+    """The query's own id, which its checkpoint keeps over restarts, and the batch; None outside a stream."""
+    query = messages.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{query}.{batch_id}" if query else None
+
+
 def _unseen(bad: DataFrame, pii: Mapping[str, str] | None) -> DataFrame:
     """Dead letters without clear values of a table that has a policy."""
     if not pii:
         return bad.drop("data")
     readable = F.col("data").isNotNull()
+    hidden = [n for n in ("key", "value", "payload") if n in bad.columns]
     shown = {"mask": mask_card, "hash": hash_pii}
     names = [n for n in bad.schema["data"].dataType.names if pii.get(n) != "drop"]
     values = [(shown[pii[n]](F.col(f"data.{n}")) if n in pii else F.col(f"data.{n}")).alias(n) for n in names]
-    masked = bad.withColumn("masked", F.when(readable, F.to_json(F.struct(*values))))
-    return masked.withColumns({n: F.when(~readable, F.col(n)) for n in ("key", "value", "payload") if n in bad.columns}).drop("data")
+    masked = bad.withColumns(
+        {
+            "masked": F.when(readable, F.to_json(F.struct(*values))),
+            "value_sha256": F.sha2("value", 256),
+            "value_bytes": F.octet_length("value"),
+        }
+    )
+    return masked.withColumns({n: F.lit(None).cast(bad.schema[n].dataType) for n in hidden}).drop("data")
 
 
 def start_upsert(
@@ -84,11 +106,13 @@ def start_upsert(
     rules: Rules | None = None,
     pii: Mapping[str, str] | None = None,
     format: str = "json",
+    sealed: str | None = None,
+    buckets: int | None = None,
 ) -> StreamingQuery:
     """Topic to Silver table; each table has its own query and its own checkpoint."""
     if not schemas:
         raise ValueError(f"no schema for {table.name}")
-    apply = merge_batch(table, path, schemas, dead_letters, rules, pii, format)
+    apply = merge_batch(table, path, schemas, dead_letters, rules, pii, format, sealed, buckets)
     return (
         stream.writeStream.queryName(table.name)
         .foreachBatch(apply)
@@ -107,6 +131,8 @@ def start_all(
     trigger: Mapping[str, object] = EVERY_FIVE_MINUTES,
     rules: Mapping[str, Rules] | None = None,
     pii: Mapping[str, Mapping[str, str]] | None = None,
+    sealed: str | None = None,
+    buckets: Mapping[str, int] | None = None,
 ) -> list[StreamingQuery]:
     """One independent query per Silver table; a missing schema stops all before any starts."""
     found = {name: schema_for(schemas, name) for name in streams}
@@ -114,6 +140,7 @@ def start_all(
         start_upsert(
             stream, f"{silver}/{name}", SILVER[name], found[name], f"{checkpoints}/{name}",
             f"{dead_letters}/{name}", trigger, (rules or {}).get(name), (pii or {}).get(name),
+            sealed=f"{sealed}/{name}" if sealed else None, buckets=(buckets or {}).get(name),
         )
         for name, stream in streams.items()
     ]

@@ -80,55 +80,11 @@ def test_only_compaction_folds_parts(spark, tmp_path):
     path = str(tmp_path / "t")
     for i in range(5):
         put(spark, path, [(1, i, str(i)), (10 + i, 0, "k")])
-    assert [v.full for v in tables.versions(spark, path)] == [True] + [False] * 4
+    assert [v.full for v in tables.versions(spark, path)] == [False] * 5
     tables.compact(spark, path, ["id"], ["t"])
     assert get(spark, path)[0] == (1, 4, "4") and len(get(spark, path)) == 6
 
 
-def test_two_writers_that_saw_the_same_listing_lose_nothing(spark, tmp_path, monkeypatch):
-    path = str(tmp_path / "t")
-    put(spark, path, [(1, 1, "a")])
-    seen = tables._claimed(spark, path)
-    monkeypatch.setattr(tables, "_claimed", lambda *args: seen)
-    put(spark, path, [(2, 1, "b")])
-    put(spark, path, [(3, 1, "c")])
-    assert get(spark, path) == [(1, 1, "a"), (2, 1, "b"), (3, 1, "c")]
-
-
-def test_two_first_writers_lose_nothing(spark, tmp_path, monkeypatch):
-    path = str(tmp_path / "t")
-    monkeypatch.setattr(tables, "_claimed", lambda *args: set())
-    put(spark, path, [(1, 1, "a")])
-    put(spark, path, [(2, 1, "b")])
-    assert get(spark, path) == [(1, 1, "a"), (2, 1, "b")]
-
-
-def test_compaction_beside_a_running_write_gives_up(spark, tmp_path):
-    path = str(tmp_path / "t")
-    put(spark, path, [(1, 1, "a")])
-    put(spark, path, [(2, 1, "b")])
-    marker = tmp_path / "t" / "v=00000002-part" / "_SUCCESS"
-    marker.rename(tmp_path / "held")
-    with pytest.raises(tables.UnfinishedWrite):
-        tables.compact(spark, path, ["id"], ["t"])
-    put(spark, path, [(3, 1, "c")])
-    (tmp_path / "held").rename(marker)
-    tables.compact(spark, path, ["id"], ["t"])
-    assert get(spark, path) == [(1, 1, "a"), (2, 1, "b"), (3, 1, "c")]
-
-
-def test_a_failed_write_is_abandoned_by_name(spark, tmp_path):
-    path = str(tmp_path / "t")
-    put(spark, path, [(1, 1, "a")])
-    number = tables._claim(spark, path)
-    assert tables.unfinished(spark, path) == [number]
-    with pytest.raises(ValueError):
-        tables.abandon(spark, path, 1)
-    tables.abandon(spark, path, number)
-    tables.compact(spark, path, ["id"], ["t"])
-    assert get(spark, path) == [(1, 1, "a")]
-
-
 def test_replaced_table_keeps_the_last_good_state(spark, tmp_path):
     path = str(tmp_path / "t")
     tables.replace_table(spark.range(2), path)
