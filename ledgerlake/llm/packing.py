@@ -12,9 +12,11 @@ The pieces are stored once, in the shared folder, because their total decides th
 groups; a lost task reads them again and packs the same way.
 
 Encoding goes word by word with a memory of encoded words: the tokenizer drops white space
-and never joins across it, so a text's ids are its words' ids in a row. New words are
-encoded many at a time, with a special token between them. A test holds this against
-encoding whole texts.
+and never joins across it, so a text's ids are its words' ids in a row. Where a probe shows
+that the tokenizer also lower-cases and cuts between letters, digits and marks, a new ASCII
+word is put together from such pieces, of which there are far fewer. New pieces are encoded
+many at a time, with a special token between them. A test holds this against encoding whole
+texts.
 
 Defined cases: a null or empty text is the end id alone; repeated documents are packed each;
 an empty table has no pieces. Input columns named like an output column are replaced.
@@ -24,10 +26,10 @@ from __future__ import annotations
 
 import math
 import os
+import re
 import zlib
-from array import array
 from collections.abc import Iterator, Sequence
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -44,6 +46,46 @@ GROUP_TOKENS = 8 << 20
 MADE = "piece int, start long, length long, ids_crc32 long"
 
 _SEPARATOR = "<|endoftext|>"
+_PIECES = re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+")
+
+
+class Growing:
+    """A numpy array that grows at its end; what is there is not copied for each addition."""
+
+    def __init__(self, kind):
+        self.room, self.n = np.empty(1 << 10, kind), 0
+
+    def add(self, more) -> None:
+        to = self.n + len(more)
+        if to > len(self.room):
+            wider = np.empty(max(to, 2 * len(self.room)), self.room.dtype)
+            wider[: self.n] = self.room[: self.n]
+            self.room = wider
+        self.room[self.n : to] = more
+        self.n = to
+
+    @property
+    def values(self) -> np.ndarray:
+        return self.room[: self.n]
+
+
+class Stretches:
+    """Stretches of ids by row, one behind the other."""
+
+    def __init__(self):
+        self.ids, self.starts, self.sizes = Growing(np.uint32), Growing(np.int64), Growing(np.int64)
+
+    def add(self, ids: np.ndarray, sizes) -> None:
+        sizes = np.asarray(sizes, np.int64)
+        self.starts.add(self.ids.n + np.cumsum(sizes) - sizes)
+        self.sizes.add(sizes)
+        self.ids.add(ids)
+
+    def gathered(self, rows: np.ndarray) -> np.ndarray:
+        """The stretches of the rows, one after another."""
+        size = self.sizes.values[rows]
+        before = np.cumsum(size) - size
+        return self.ids.values[np.repeat(self.starts.values[rows] - before, size) + np.arange(size.sum())]
 
 
 class Encoder:
@@ -55,11 +97,39 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has its own tasks
         self.tokenizer, self.most = Tokenizer.from_file(path), most
         self.mark = self.tokenizer.token_to_id(_SEPARATOR)
-        self.rows = Numbered()
-        self.sizes, self.ids = array("q"), array("I")  # of the words, by row
+        self.cuts = self._cuts()
+        self._forget()
+
+    def _forget(self) -> None:
+        self.rows, self.words = Numbered(), Stretches()
+        self.piece_rows, self.pieces = Numbered(), Stretches()
+
+    def _cuts(self) -> bool:
+        """Whether words fall into lower-cased runs of letters, single digits and runs of marks."""
+        before = self.tokenizer.pre_tokenizer
+        if before is None:
+            return False
+        probe = "Ab12,;cD_e<$>(-)#~F"
+        normal = self.tokenizer.normalizer.normalize_str(probe) if self.tokenizer.normalizer else probe
+        found = [normal[a:b] for _, (a, b) in before.pre_tokenize_str(normal)]
+        return normal == probe.lower() and found == [p.decode() for p in _PIECES.findall(probe.lower().encode())]
 
     def _encode(self, words: list[bytes]) -> None:
         """Append the ids of words, which are new."""
+        plain = self.cuts
+        cut = [
+            _PIECES.findall(w.lower()) if plain and w.isascii() and b"'" not in w and b"<|" not in w else [w] for w in words
+        ]
+        known = len(self.piece_rows)
+        rows = self.piece_rows.rows(list(chain.from_iterable(cut)))
+        self._learn(list(islice(self.piece_rows, known, None)))
+        sizes = self.pieces.sizes.values[rows]
+        ends = np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut)))
+        of_word = np.diff(np.r_[0, np.cumsum(sizes)[ends - 1]]) if len(cut) else ends
+        self.words.add(self.pieces.gathered(rows), of_word)
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Append the ids of pieces, or of words that are not cut."""
         texts = [w.decode("utf-8", "replace") for w in words]
         for at in range(0, len(texts), 1 << 14):
             groups = [texts[k : k + 64] for k in range(at, min(at + (1 << 14), len(texts)), 64)]
@@ -67,12 +137,10 @@ class Encoder:
             for group, whole, found in zip(groups, joined, self._ids(joined), strict=True):
                 if self.mark is None or whole.count("<|") != len(group) - 1:
                     for own in self._ids(group):  # some word may hold a special token itself
-                        self.ids.frombytes(own.tobytes())
-                        self.sizes.append(len(own))
+                        self.pieces.add(own, [len(own)])
                 else:
                     cuts = np.flatnonzero(found == self.mark)
-                    self.ids.frombytes(found[found != self.mark].tobytes())
-                    self.sizes.frombytes((np.diff(np.r_[-1, cuts, len(found)]) - 1).astype(np.int64).tobytes())
+                    self.pieces.add(found[found != self.mark], np.diff(np.r_[-1, cuts, len(found)]) - 1)
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -80,19 +148,11 @@ class Encoder:
     def __call__(self, texts: list[bytes | None], end: int) -> list[np.ndarray]:
         """The ids of each text, followed by the end id."""
         if len(self.rows) > self.most:
-            self.rows, self.sizes, self.ids = Numbered(), array("q"), array("I")
+            self._forget()
         known = len(self.rows)
         rows = [self.rows.rows(text.split() if text else ()) for text in texts]
         self._encode(list(islice(self.rows, known, None)))
-        sizes, ids = np.array(self.sizes, np.int64), np.array(self.ids, np.uint32)
-        starts = np.cumsum(sizes) - sizes
-        return [np.append(_gathered(ids, starts[r], sizes[r]), np.uint32(end)).astype("<u4") for r in rows]
-
-
-def _gathered(ids: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
-    """The stretches of ids, one after another."""
-    before = np.cumsum(size) - size
-    return ids[np.repeat(start - before, size) + np.arange(size.sum())]
+        return [np.append(self.words.gathered(r), np.uint32(end)).astype("<u4") for r in rows]
 
 
 _ENCODERS: dict[str, Encoder] = {}
