@@ -24,6 +24,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator, Sequence
+from copy import copy
 from dataclasses import dataclass, field
 from itertools import islice
 
@@ -286,8 +287,9 @@ def identify(docs: DataFrame, identifier: Identifier, text: str = "text", carry:
     shared = docs.sparkSession.sparkContext.broadcast(identifier)
 
     def predict(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = copy(shared.value)  # with a memory of words that ends with the task
         for batch in batches(rows, 4 << 20):
-            found = shared.value.predict(batch.column("_text").to_pylist())
+            found = own.predict(batch.column("_text").to_pylist())
             columns = list(zip(*found, strict=True)) if found else [[]] * len(NAMES)
             kinds = (pa.string(), pa.float64(), pa.float64(), pa.bool_())
             yield beside(batch, names, {n: pa.array(c, k) for n, c, k in zip(NAMES, columns, kinds, strict=True)})

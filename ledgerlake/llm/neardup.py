@@ -64,6 +64,7 @@ PICKS = 3
 AGREE = 3
 ABSORB = 6
 CHUNK = 2048
+BLOOM_BITS = 1 << 26
 
 _SEEDS = mixed(np.arange(1, BANDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 
@@ -190,8 +191,8 @@ def _contents(docs: DataFrame, text: str) -> DataFrame:
     made = "content binary, sketch binary, words int"
 
     def make(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed = WordHashes()
-        for batch in batches(rows):
+        hashed = WordHashes(300_000)
+        for batch in batches(rows, 8 << 20):
             content, parts, sizes = [], [], []
             for data in texts_of(batch.column("_text")):
                 words = words_of(data)
@@ -269,18 +270,54 @@ def _walk_runs(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield flush()
 
 
+def _places(contents: list[bytes], bits: int) -> np.ndarray:
+    """The bits of a Bloom filter that stand for each content, from its two halves."""
+    halves = np.frombuffer(b"".join(contents), "<u8").reshape(-1, 2)
+    step = np.arange(4, dtype=np.uint64)[None, :]
+    return (halves[:, :1] + step * (halves[:, 1:] | np.uint64(1))) & np.uint64(bits - 1)
+
+
+def bloom(contents: DataFrame, bits: int = BLOOM_BITS) -> np.ndarray:
+    """A Bloom filter of fixed size over a column of contents, as 64-bit words."""
+
+    def mark(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.zeros(bits // 64, np.uint64)
+        for batch in rows:
+            at = _places(batch.column("content").to_pylist(), bits).ravel()
+            np.bitwise_or.at(own, (at >> np.uint64(6)).astype(np.int64), np.uint64(1) << (at & np.uint64(63)))
+        some = np.flatnonzero(own)
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(own[some].view(np.int64))], names=["slot", "bits"])
+
+    marked = contents.select("content").mapInArrow(mark, "slot int, bits long")
+    whole = marked.groupBy("slot").agg(F.bit_or("bits").alias("bits")).toArrow()  # a row for each 64 bits at most
+    out = np.zeros(bits // 64, np.uint64)
+    out[whole.column("slot").to_numpy()] = whole.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def may_hold(marks: np.ndarray, contents: list[bytes]) -> np.ndarray:
+    """False only for contents that are not in the filter."""
+    at = _places(contents, len(marks) * 64)
+    return ((marks[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1)).all(axis=1)
+
+
 def told(wanted: DataFrame, docs: DataFrame, text: str) -> DataFrame:
-    """(content, words) for the wanted contents: their whole word sequences as 32-bit hashes."""
+    """(content, words) for the wanted contents: their whole word sequences as 32-bit hashes.
+
+    The others' sequences are not even made: a filter of fixed size stands before the join,
+    which decides. Where far more are wanted than the filter has room for, it only lets more
+    pass.
+    """
+    marks = docs.sparkSession.sparkContext.broadcast(bloom(wanted))
 
     def sequences(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed = WordHashes()
-        for batch in batches(rows):
-            content, words = [], []
-            for data in texts_of(batch.column("_text")):
-                own = words_of(data)
-                if own:
-                    content.append(content_of(own, data))
-                    words.append((hashed(own) & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes())
+        hashed = WordHashes(200_000)
+        for batch in batches(rows, 4 << 20):
+            found = [(own, content_of(own, data)) for data in texts_of(batch.column("_text")) if (own := words_of(data))]
+            passed = may_hold(marks.value, [c for _, c in found])
+            kept = [f for f, ok in zip(found, passed.tolist(), strict=True) if ok]
+            content = [c for _, c in kept]
+            words = [(hashed(own) & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes() for own, _ in kept]
             yield pa.RecordBatch.from_arrays([pa.array(content, pa.binary()), pa.array(words, pa.binary())], names=["content", "words"])
 
     own = prefix(docs, [], text).mapInArrow(sequences, "content binary, words binary")
@@ -291,7 +328,7 @@ def verified(pairs: DataFrame, docs: DataFrame, text: str) -> DataFrame:
     """The pairs that are links, judged on the whole word sequences."""
 
     def confirm(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
+        for batch in batches(rows, 8 << 20):
             x, y = batch.column("x").to_pylist(), batch.column("y").to_pylist()
             kept = [similar(np.frombuffer(a, "<u4"), np.frombuffer(b, "<u4")) for a, b in zip(x, y, strict=True)]
             yield batch.select(["a", "b"]).filter(pa.array(kept, pa.bool_()))

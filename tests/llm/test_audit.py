@@ -14,7 +14,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from ledgerlake.llm import QUERIES, clustering, common, divergence, quality
+from ledgerlake.llm import QUERIES, clustering, common, divergence, neardup, quality
 
 LONG = "Längst word " * 30_000 + "end"
 DOCS = "doc_id long, text string, lang string, source string, value string, rank int, entries string"
@@ -309,3 +309,16 @@ def test_score_is_the_sum_of_table_entries():
     for f, table in enumerate(model.tables):
         bins = np.searchsorted(model.cuts[f], x[:, f], side="right")
         assert abs(table[bins].mean()) < 1e-9
+
+
+# --- the filter in front of the sequences of near duplicates
+
+
+def test_bloom_filter_holds_what_it_was_given(spark):
+    inside = [hashlib.md5(str(i).encode()).digest() for i in range(3000)]
+    outside = [hashlib.md5(str(-1 - i).encode()).digest() for i in range(3000)]
+    df = spark.createDataFrame([(bytearray(c),) for c in inside], "content binary").repartition(5)
+    marks = neardup.bloom(df, 1 << 16)
+    assert neardup.may_hold(marks, inside).all() and neardup.may_hold(marks, outside).mean() < 0.05
+    assert neardup.may_hold(neardup.bloom(df.where("false"), 1 << 16), inside).sum() == 0
+    assert len(neardup.may_hold(marks, [])) == 0
