@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import Numbered, batches, beside, carried, prefix, quoted, schema_of
+from ledgerlake.llm.common import Numbered, batches, beside, carried, carried_text, quoted, schema_of
 from ledgerlake.session import cut_lineage
 
 ORDER = 5
@@ -289,9 +289,10 @@ def identify(docs: DataFrame, identifier: Identifier, text: str = "text", carry:
     def predict(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = copy(shared.value)  # with a memory of words that ends with the task
         for batch in batches(rows, 4 << 20):
-            found = own.predict(batch.column("_text").to_pylist())
+            found = own.predict(batch.column(name).to_pylist())
             columns = list(zip(*found, strict=True)) if found else [[]] * len(NAMES)
             kinds = (pa.string(), pa.float64(), pa.float64(), pa.bool_())
             yield beside(batch, names, {n: pa.array(c, k) for n, c, k in zip(NAMES, columns, kinds, strict=True)})
 
-    return prefix(docs, names, text).mapInArrow(predict, schema_of(docs, names, MADE))
+    given, name = carried_text(docs, names, text)
+    return given.mapInArrow(predict, schema_of(docs, names, MADE))

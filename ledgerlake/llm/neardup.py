@@ -46,6 +46,7 @@ from ledgerlake.llm.common import (
     WordHashes,
     batches,
     beside,
+    carried_text,
     mixed,
     prefix,
     quoted,
@@ -522,10 +523,11 @@ def keep_one(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> Data
 
     def add(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(rows):
-            content = [content_of(words_of(t), t) for t in texts_of(batch.column("_text"))]
+            content = [content_of(words_of(t), t) for t in texts_of(batch.column(name))]
             yield beside(batch, columns, {"_content": pa.array(content, pa.binary())})
 
-    keyed = prefix(docs, columns, text).mapInArrow(add, schema_of(docs, columns, "_content binary"))
+    given, name = carried_text(docs, columns, text)
+    keyed = given.mapInArrow(add, schema_of(docs, columns, "_content binary"))
     alone = keyed.where("_content is null").select(*names)
     row = F.min(F.struct(quoted(ident).isNull(), quoted(ident), F.struct(*names).alias("row"))).alias("best")
     first = keyed.where("_content is not null").groupBy("_content").agg(row)
