@@ -60,18 +60,18 @@ BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def prefix(df: DataFrame, names: Sequence[str], text: str, alias: str = "_text") -> DataFrame:
-    """Only the carried columns and the text, under a name no table uses.
+    """Only the carried columns and the text, under a name no table uses."""
+    return df.select(*[quoted(n) for n in names], quoted(text).cast("string").alias(alias))
+
+
+def carried_text(df: DataFrame, names: Sequence[str], text: str) -> tuple[DataFrame, str]:
+    """The same, but a text that is carried anyway is sent once; and the name it has.
 
     Texts are long rows: where the caller has left Spark's usual 10,000 rows a batch, fewer
     are sent at a time, so that a worker's memory does not follow the length of texts.
     """
     if df.sparkSession.conf.get(BATCH_ROWS) == "10000":
         df.sparkSession.conf.set(BATCH_ROWS, "2000")
-    return df.select(*[quoted(n) for n in names], quoted(text).cast("string").alias(alias))
-
-
-def carried_text(df: DataFrame, names: Sequence[str], text: str) -> tuple[DataFrame, str]:
-    """The same, but a text that is carried anyway is sent once; and the name it has."""
     if text in names and isinstance(df.schema[text].dataType, T.StringType):
         return prefix(df, names, text).drop("_text"), text
     return prefix(df, names, text), "_text"
