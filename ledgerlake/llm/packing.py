@@ -166,13 +166,20 @@ def tokenize(
     end_id: int = END_ID,
     carry: Sequence[str] | None = None,
     keep_ids: bool = True,
+    reuse: bool = True,
 ) -> DataFrame:
-    """A row for each piece of a document: piece, start, length, ids_crc32, and `ids` unless dropped."""
+    """A row for each piece of a document: piece, start, length, ids_crc32, and `ids` unless dropped.
+
+    With `reuse` a worker keeps its encoded words for its next tasks, which saves work;
+    without, a task's memory ends with it, for jobs that go on with something else.
+    """
     names = carried(docs, carry, ["piece", "start", "length", "ids_crc32", "ids"])
     schema = schema_of(docs, names, MADE + (", ids array<int>" if keep_ids else ""))
 
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _ENCODERS.setdefault(tokenizer, Encoder(tokenizer))
+        if reuse and tokenizer not in _ENCODERS:
+            _ENCODERS[tokenizer] = Encoder(tokenizer)
+        encoder = _ENCODERS[tokenizer] if reuse else Encoder(tokenizer)
         for batch in batches(rows):
             row, piece, start, length, crc, ids = [], [], [], [], [], []
             for i, own in enumerate(encoder(texts_of(batch.column("_text")), end_id)):
