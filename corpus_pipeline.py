@@ -48,7 +48,7 @@ def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents with their token ids and their places in training sequences."""
-    return packing.pack(packing.tokenize(docs, tokenizer_path(), carry=["doc_id"]))
+    return packing.pack(packing.tokenize(docs, tokenizer_path(), carry=["doc_id"], reuse=False))
 
 
 STAGES = [
