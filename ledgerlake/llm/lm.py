@@ -1,31 +1,39 @@
-"""Language-model scores by logistic context mixing over the bits of tokens.
-
-A token is coded bit by bit: its bytes, then a blank; the end of a text is a token of its
-own. The bits of a byte are its way down a Huffman tree of the training bytes. Each of
-several contexts (the last one to four and six bytes of the token, and all of it so far) has
-a table of bit counts, found by a hash of the context and the node of the tree. A logistic
-mixer combines the tables' predictions with weights that a gate selects (how much evidence
-the whole token has, and how many of the shorter contexts), and an adaptive table refines
-the mixed probability. The sum of the bits' logarithms is the score; over the bytes it is
-bits per byte.
-
-A token that was seen in training need not be spelled: its share of the training text, less
-a discount, is its probability, and the discounted mass goes to the spelling model. So the
-bits are learnt from all distinct training tokens, which is what a new token resembles, and
-a token costs the same wherever it stands: every distinct one is scored once. Tables have a
-fixed size, as hashed contexts do; counts cover the whole training text. Only the mixer's
-weights and the refinement are fitted on a bounded sample: about `SAMPLE_TOKENS` distinct
-tokens, in one online pass, each left out of the counts that predict it.
-
-Work on Spark: documents are taken in blocks, one for each split of the input files. A pass
-gives the distinct tokens of each block with their training counts; sums over the blocks
-are the vocabulary. Each block then gets the counts and scores of its own tokens and its
-documents are summed up beside them, the tokens read first and the documents streamed, so
-memory follows a block's vocabulary and never a document group.
+"""Language-model scores by logistic context mixing over decisions and bits of whole texts.
+
+A text is coded token by token, and each token in up to three binary decisions: is it drawn
+from the words that followed the last two words in training; if not, from those that
+followed the last one; if not, from all words of the training text. A word drawn in a
+context costs its share of that context; a new word is spelled bit by bit, its bytes being
+ways down a Huffman tree and a blank its end (the end of a text is a token of its own).
+
+Every decision and every spelled bit has several predictors: counts of past outcomes, found
+by a hash of a context (how often the contexts occurred, the count of the word before, how
+the last two tokens were coded; for bits the last one to four and six bytes and all of the
+word so far). A logistic mixer combines them with weights that a gate selects by evidence,
+and an adaptive table refines the mixed probability. The probability of a token is the
+mixture of its shares by the decisions' probabilities, so what the words predict in the
+order in which they stand sums up to one. The sum of all logarithms is the score; over the
+bytes it is bits per byte.
+
+Nothing predicts itself: a training text is scored with each occurrence left out of the
+counts that predict it, as an online coder would have met it. A text that occurs twice is
+therefore told apart from one that occurs once.
+
+Work on Spark: texts are stored in chunks of about `CHUNK_BYTES`. Each chunk sends the sorted
+hashes of its distinct words, pairs and triples of words, with their training counts, in
+slices of the hash range; a slice sums over all chunks and sends back only the sums, in the
+chunk's order. Words have 62 bits; pairs and triples a table of 4,096 slots for each byte of
+text, at least 2**40, so that it grows with the input (a pair shares its slot with another
+once in some ten thousand). A chunk has each hash once, so no slice is hot. Then
+each document holds the counts of its own tokens, and three maps follow: the predictors'
+counts from all training tokens, the mixers' weights (each task one online pass over all its
+training tokens, averaged by visits), and the scores. A spelled word is one that occurs
+nowhere else, so spelling learns from all words of training texts that occur once.
 
 Defined cases: a null or empty text is one end token; repeated rows are counted and scored
-each; without training documents all probabilities are a half a bit's; a null fold is held
-out. Input columns named like an output column are replaced.
+each; without training documents all words are spelled by untrained predictors; a null fold
+is held out. Input columns named like an output column are replaced; any other name may
+occur in the input.
 """
 
 from __future__ import annotations
@@ -33,25 +41,25 @@ from __future__ import annotations
 import heapq
 import math
 import zlib
-from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import batches, beside, carried, quoted, runs, schema_of, texts_of
+from ledgerlake.llm.common import WordHashes, batches, carried, mixed, quoted, runs, schema_of, texts_of
 from ledgerlake.session import cut_lineage
 
 #: bytes looked back (0: the whole token so far), and the logarithm of the table's slots
 CONTEXTS = ((1, 16), (2, 18), (3, 19), (4, 20), (6, 20), (0, 21))
 EVIDENCE = (0.5, 3.5, 15.5, 255.5)  # counts of the whole token that divide the gates
-SAMPLE_TOKENS = 60_000
 END = b"\n"
-MOST_DISTINCT = 1 << 20  # tokens of a block that are held before they are written out
+CHUNK_BYTES = 16 << 20
+SLOTS_A_BYTE, LEAST_SLOTS = 12, 40  # logarithms
 NAMES = ("n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
 MADE = "n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
 
@@ -60,6 +68,9 @@ _ODD = np.uint64(0x9E3779B97F4A7C15)
 _INV = np.uint64(pow(int(_ODD), -1, 1 << 64))
 _PART = 1 << 15  # slots in one row of the summed tables
 _STARTS = np.concatenate(([0], np.cumsum([1 << bits for _, bits in CONTEXTS])))
+_SIZES = (256, 1 << 16, 400)  # slots of a decision's three predictors
+_DECISION = sum(_SIZES)
+_CELLS = 33  # of a refinement
 
 
 def tokens_of(text: bytes | None) -> list[bytes]:
@@ -67,6 +78,201 @@ def tokens_of(text: bytes | None) -> list[bytes]:
     return text.translate(_LOWER).split() if text else []
 
 
+# --- counts of words, pairs and triples
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers of 64 bits, the bytes of one significance together."""
+    return zstandard.ZstdCompressor(level=1).compress(values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes())
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
+    return np.ascontiguousarray(planes.reshape(8, -1).T).view("<u8").ravel()
+
+
+def grams(hashes: np.ndarray, starts: np.ndarray, bits: int) -> list[np.ndarray]:
+    """Keys of each token's word, pair and triple; `starts` are the texts' first tokens."""
+    before = [hashes]
+    for _ in range(2):
+        shifted = np.empty_like(hashes)
+        shifted[1:] = before[-1][:-1]
+        shifted[starts] = np.uint64(0)
+        before.append(shifted)
+    kept = np.uint64(((1 << bits) - 1) << (62 - bits))
+    pair = mixed(before[1] * _ODD + hashes)
+    triple = mixed(mixed(before[2] * _ODD + before[1]) * _INV + hashes)
+    tag = [np.uint64(k << 62) for k in range(3)]
+    return [hashes >> np.uint64(2), tag[1] | ((pair >> np.uint64(2)) & kept), tag[2] | ((triple >> np.uint64(2)) & kept)]
+
+
+def _read(texts: Sequence[bytes | None]) -> tuple[list[bytes], np.ndarray]:
+    """All tokens of some texts, and how many each has."""
+    tokens, many = [], np.empty(len(texts), np.int64)
+    for i, text in enumerate(texts):
+        own = tokens_of(text)
+        tokens += own
+        tokens.append(END)
+        many[i] = len(own) + 1
+    return tokens, many
+
+
+def _starts(many: np.ndarray) -> np.ndarray:
+    return np.cumsum(many) - many
+
+
+def _free(names: Sequence[str], wish: str) -> str:
+    while wish.lower() in {n.lower() for n in names}:
+        wish += "_"
+    return wish
+
+
+def _chunked(rows: Iterator[pa.RecordBatch], text: str, chunk: str, place: str) -> Iterator[pa.RecordBatch]:
+    """Rows with the number of their chunk and their place."""
+    number, size, row = TaskContext.get().partitionId() << 32, 0, 0
+    for batch in batches(rows, CHUNK_BYTES // 4):
+        if size > CHUNK_BYTES:
+            number, size = number + 1, 0
+        size += batch.column(batch.schema.get_field_index(text)).nbytes
+        batch = batch.append_column(chunk, pa.array(np.full(batch.num_rows, number, np.int64)))
+        yield batch.append_column(place, pa.array(np.arange(row, row + batch.num_rows)))
+        row += batch.num_rows
+
+
+def _summed(keys: Sequence[np.ndarray], n: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    found, at = np.unique(np.concatenate(keys), return_inverse=True)
+    return found, np.bincount(at, np.concatenate(n), len(found))
+
+
+def _send(bits: int, slices: int):
+    """Each chunk's sorted keys with their training counts, cut into slices of the key range."""
+
+    def written(chunk: int, held: list[list]) -> Iterator[pa.RecordBatch]:
+        sums = [_summed(*zip(*own, strict=True)) for own in held]
+        keys, n = (np.concatenate(c) for c in zip(*sums, strict=True))
+        slot = ((keys >> np.uint64(32)) * np.uint64(slices) // np.uint64(3 << 30)).astype(np.int64)
+        cuts = np.concatenate(([0], np.flatnonzero(np.diff(slot)) + 1, [len(keys)]))
+        for at, to in zip(cuts[:-1], cuts[1:], strict=True):
+            steps = np.diff(keys[at:to], prepend=np.uint64(0))
+            columns = [[chunk], [int(slot[at])], [packed(steps)], [packed(n[at:to])]]
+            kinds = (pa.int64(), pa.int64(), pa.binary(), pa.binary())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["chunk", "slice", "keys", "n"])
+
+    def send(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held, hashes = None, [[], [], []], WordHashes()
+        for table in runs(batches(rows, CHUNK_BYTES // 4), ["chunk"]):
+            current = table.column("chunk")[0].as_py()
+            for batch in table.to_batches():
+                tokens, many = _read(texts_of(batch.column("text")))
+                learns = np.repeat(batch.column("learns").to_numpy(zero_copy_only=False), many).astype(float)
+                for own, keys in zip(held, grams(hashes(tokens), _starts(many), bits), strict=True):
+                    own.append(_summed([keys], [learns]))
+            yield from written(current, held)
+            held = [[], [], []]
+
+    return send
+
+
+def _sum(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sums of a slice for each chunk, in the chunk's order; and the words and tokens of training."""
+    schema = pa.schema([("chunk", pa.int64()), ("slice", pa.int64()), ("sums", pa.binary()), ("words", pa.int64()), ("tokens", pa.int64())])
+    for table in runs(rows, ["slice"]):
+        place = table.column("slice")[0].as_py()
+        parts: dict[int, list] = {}
+        for chunk, keys, n in zip(*(table.column(c).to_pylist() for c in ("chunk", "keys", "n")), strict=True):
+            parts.setdefault(chunk, []).append((np.cumsum(unpacked(keys), dtype=np.uint64), unpacked(n)))
+        # a chunk that two tasks have read has sent a key twice
+        own = [_summed(*zip(*p, strict=True)) if len(p) > 1 else p[0] for p in parts.values()]
+        found, at = np.unique(np.concatenate([k for k, _ in own]), return_inverse=True)
+        total = np.bincount(at, np.concatenate([n for _, n in own]), len(found))
+        word = total[: np.searchsorted(found, np.uint64(1 << 62))]
+        stats = [[-1], [place], [None], [int((word > 0).sum())], [int(word.sum())]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(stats, schema, strict=True)], schema=schema)
+        start = 0
+        for chunk, (keys, _) in zip(parts, own, strict=True):
+            sums = packed(total[at[start : start + len(keys)]])
+            start += len(keys)
+            row = [[chunk], [place], [sums], [None], [None]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(row, schema, strict=True)], schema=schema)
+
+
+def _kinds(rows: Iterator[pa.RecordBatch], keys: Sequence[str]) -> Iterator[tuple[int, int, pa.RecordBatch]]:
+    """Stretches of one chunk and kind, batch by batch."""
+    for batch in batches(rows):
+        for run in runs(iter([batch]), keys):
+            part = run.combine_chunks().to_batches()[0]
+            yield part.column(keys[0])[0].as_py(), part.column(keys[1])[0].as_py(), part
+
+
+def _placed(names: Sequence[str], own: dict[str, str], bits: int, total: int, words: int):
+    """Documents with the counts of their tokens, from their chunk's sums."""
+    size = math.log10(total + words + 1)
+
+    def flush(sums: list[bytes], docs: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        count = np.concatenate([unpacked(s) for s in sums])
+        read, keys = [], [[], [], []]
+        for part in docs:
+            tokens, many = _read(texts_of(part.column(own["text"])))
+            read.append((tokens, many))
+            for all_, k in zip(keys, grams(hashes(tokens), _starts(many), bits), strict=True):
+                all_.append(k)
+        counts, start = [], 0
+        for all_ in keys:
+            found, at = np.unique(np.concatenate(all_), return_inverse=True)
+            counts.append(count[start : start + len(found)][at])
+            start += len(found)
+        if start != len(count):
+            raise RuntimeError("a chunk's sums are not those of its own keys")
+        start = 0
+        for part, (tokens, many) in zip(docs, read, strict=True):
+            here = [c[start : start + len(tokens)] for c in counts]
+            start += len(tokens)
+            yield counted(part, tokens, many, here)
+
+    def counted(part: pa.RecordBatch, tokens: list[bytes], many: np.ndarray, counts: list[np.ndarray]) -> pa.RecordBatch:
+        learns = part.column(own["learns"]).to_numpy(zero_copy_only=False).astype(bool)
+        base = np.log10(counts[0] + 1.0) - size
+        out = []
+        for learn, at, n in zip(learns.tolist(), _starts(many).tolist(), many.tolist(), strict=True):
+            mine = tokens[at : at + n]
+            new = np.flatnonzero(counts[0][at : at + n] <= learn)
+            out.append(
+                (
+                    n,
+                    int((counts[0][at : at + n] > 0).sum()),
+                    float(base[at : at + n].sum()),
+                    sum(map(len, mine)) + n - 1,
+                    packed(np.concatenate([c[at : at + n] for c in counts])),
+                    [mine[i] for i in new],
+                )
+            )
+        kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.binary(), pa.list_(pa.binary()))
+        kept = [part.column(part.schema.get_field_index(n)) for n in [*names, own["learns"]]]
+        made = [pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)]
+        fields = ("n_tokens", "n_known", "base_score", own["size"], own["counts"], own["new"])
+        return pa.RecordBatch.from_arrays([*kept, *made], names=[*names, own["learns"], *fields])
+
+    def place(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, sums, docs = None, [], []
+        for chunk, kind, part in _kinds(rows, (own["chunk"], own["kind"])):
+            if chunk != current and docs:
+                yield from flush(sums, docs)
+                sums, docs = [], []
+            current = chunk
+            if kind == 0:
+                sums += part.column(own["sums"]).to_pylist()
+            else:
+                docs.append(part)
+        if docs:
+            yield from flush(sums, docs)
+
+    return place
+
+
+# --- spelling
+
+
 class Code:
     """The way of each byte down a Huffman tree: nodes passed and branches taken."""
 
@@ -125,308 +331,367 @@ class Paths:
         return (spread >> np.uint64(64 - bits)).astype(np.int64)
 
 
-@dataclass
-class Mixer:
-    """Predictions of the tables, the gated weights and the refinement."""
+# --- predictors, mixers and refinements
 
-    code: Code
-    zeros: np.ndarray  # counts by slot, the contexts' tables one after another
-    ones: np.ndarray
-    weights: np.ndarray  # by gate and context
-    bias: np.ndarray
-    refine: np.ndarray  # by gate and bucket of the mixed prediction
-
-    @classmethod
-    def untrained(cls, code: Code, zeros: np.ndarray, ones: np.ndarray) -> Mixer:
-        n = len(CONTEXTS)
-        gates = n * (len(EVIDENCE) + 1)
-        grid = 1 / (1 + np.exp(-np.linspace(-8, 8, 33)))
-        return cls(code, zeros, ones, np.full((gates, n), 1.5 / n), np.zeros(gates), np.tile(grid, (gates, 1)))
-
-    def inputs(self, paths: Paths, left_out: bool = False) -> tuple[np.ndarray, np.ndarray]:
-        """Stretched predictions by context and bit, and each bit's gate."""
-        stretched = np.empty((len(CONTEXTS), len(paths.bits)), np.float32)
-        gate = np.zeros(len(paths.bits), np.int64)
-        for k, (look, bits) in enumerate(CONTEXTS):
-            at = paths.slots(look, bits) + _STARTS[k]
-            zeros, ones = self.zeros[at], self.ones[at]
-            if left_out:
-                zeros, ones = np.maximum(zeros - ~paths.bits, 0), np.maximum(ones - paths.bits, 0)
-            stretched[k] = np.log((ones + 0.4) / (zeros + 0.4))
-            seen = zeros + ones
-            gate += seen >= 2 if look else len(CONTEXTS) * np.searchsorted(EVIDENCE, seen)
-        return stretched, gate
+
+class Blend:
+    """Gated weights over predictors, and the refinement of what they give."""
+
+    def __init__(self, gates: int, predictors: int):
+        grid = 1 / (1 + np.exp(-np.linspace(-8, 8, _CELLS)))
+        self.weights = np.full((gates, predictors), 1.5 / predictors)
+        self.bias = np.zeros(gates)
+        self.refine = np.tile(grid, (gates, 1))  # by gate and bucket of the mixed prediction
+        self.moved = np.ones((gates, predictors + 1))
+        self.visits = np.zeros(gates)
 
     def mixed(self, stretched: np.ndarray, gate: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The mixed probability of a one, its refinement, and the refinement's bucket and share."""
         total = self.bias[gate]
-        for k in range(len(CONTEXTS)):
-            total = total + stretched[k] * self.weights[gate, k]
+        for k, each in enumerate(stretched):
+            total = total + each * self.weights[gate, k]
         total = np.clip(total, -12, 12)
         p = 1 / (1 + np.exp(-total))
-        spot = np.clip((total + 8) * 2, 0, 32)
-        low = np.minimum(spot.astype(np.int64), 31)
+        spot = np.clip((total + 8) * 2, 0, _CELLS - 1)
+        low = np.minimum(spot.astype(np.int64), _CELLS - 2)
         share = spot - low
         refined = self.refine[gate, low] * (1 - share) + self.refine[gate, low + 1] * share
         return p, refined, low, share
 
-    def costs(self, tokens: Sequence[bytes]) -> np.ndarray:
-        """log10 of each token's probability."""
+    @staticmethod
+    def final(p: np.ndarray, refined: np.ndarray) -> np.ndarray:
+        """The refinement has its say where its table reaches."""
+        return np.clip(np.where(np.abs(p - 0.5) < 0.4995, (p + refined) / 2, p), 1e-6, 1 - 1e-6)
+
+    def learn(self, stretched: np.ndarray, gate: np.ndarray, target: np.ndarray) -> None:
+        """One online step towards outcomes, or the shares that a decision has in them."""
+        gates = len(self.bias)
+        p, _, low, share = self.mixed(stretched, gate)
+        error = target - p
+        slopes = [np.bincount(gate, error * each, gates) for each in stretched]
+        slope = np.column_stack([*slopes, np.bincount(gate, error, gates)])
+        self.moved += slope**2  # steps shrink with the way a weight has gone
+        step = 0.1 * slope / np.sqrt(self.moved)
+        self.weights += step[:, :-1]
+        self.bias += step[:, -1]
+        self.visits += np.bincount(gate, minlength=gates)
+        flat = np.concatenate([gate * _CELLS + low, gate * _CELLS + low + 1])
+        part = np.concatenate([1 - share, share])
+        seen = np.bincount(flat, part, gates * _CELLS)
+        hit = np.bincount(flat, part * np.tile(target, 2), gates * _CELLS)
+        known = seen > 0
+        cells = self.refine.reshape(-1)
+        cells[known] += np.minimum(seen[known] / 300, 0.5) * (hit[known] / seen[known] - cells[known])
+
+    def numbers(self) -> tuple[np.ndarray, np.ndarray]:
+        """All parameters in one row, and the visits that each has had."""
+        by_gate = self.visits
+        seen = [np.repeat(by_gate, self.weights.shape[1]), by_gate, np.repeat(by_gate, _CELLS)]
+        return np.concatenate([self.weights.ravel(), self.bias, self.refine.ravel()]), np.concatenate(seen)
+
+    def set(self, numbers: np.ndarray) -> None:
+        w, b = self.weights.size, self.bias.size
+        self.weights = numbers[:w].reshape(self.weights.shape)
+        self.bias = numbers[w : w + b]
+        self.refine = numbers[w + b :].reshape(self.refine.shape)
+
+
+def _stretch(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    return np.log((np.maximum(ones, 0) + 0.4) / (np.maximum(zeros, 0) + 0.4))
+
+
+class Spelling:
+    """New words, bit by bit."""
+
+    def __init__(self, code: Code, zeros: np.ndarray, ones: np.ndarray):
+        self.code, self.zeros, self.ones = code, zeros, ones  # counts by slot, the contexts' tables one after another
+        self.blend = Blend(len(CONTEXTS) * (len(EVIDENCE) + 1), len(CONTEXTS))
+
+    def inputs(self, paths: Paths, left_out: np.ndarray | bool = False) -> tuple[np.ndarray, np.ndarray]:
+        """Stretched predictions by context and bit, and each bit's gate."""
+        stretched = np.empty((len(CONTEXTS), len(paths.bits)), np.float32)
+        gate = np.zeros(len(paths.bits), np.int64)
+        for k, (look, bits) in enumerate(CONTEXTS):
+            at = paths.slots(look, bits) + _STARTS[k]
+            zeros = np.maximum(self.zeros[at] - (left_out & ~paths.bits), 0)
+            ones = np.maximum(self.ones[at] - (left_out & paths.bits), 0)
+            stretched[k] = _stretch(zeros, ones)
+            seen = zeros + ones
+            gate += seen >= 2 if look else len(CONTEXTS) * np.searchsorted(EVIDENCE, seen)
+        return stretched, gate
+
+    def costs(self, tokens: Sequence[bytes], left_out: np.ndarray) -> np.ndarray:
+        """log10 of each token's probability; tokens left out have fed the counts once."""
         out = np.zeros(len(tokens))
         for at in range(0, len(tokens), 4096):
             paths = Paths(tokens[at : at + 4096], self.code)
-            p, refined, _, _ = self.mixed(*self.inputs(paths))
-            # the refinement has its say where its table reaches
-            final = np.clip(np.where(np.abs(p - 0.5) < 0.4995, (p + refined) / 2, p), 1e-6, 1 - 1e-6)
+            p, refined, _, _ = self.blend.mixed(*self.inputs(paths, left_out[at : at + 4096][paths.owner]))
+            final = self.blend.final(p, refined)
             each = np.log10(np.where(paths.bits, final, 1 - final))
             out[at : at + 4096] = np.bincount(paths.owner, each, minlength=len(out[at : at + 4096]))
         return out
 
-    def train(self, tokens: Sequence[bytes], batch: int = 64) -> None:
-        """One online pass over sampled occurrences, a batch at a time."""
-        gates = len(self.bias)
-        moved = np.full((gates, len(CONTEXTS) + 1), 1.0)
-        cells = self.refine.ravel()
+    def train(self, tokens: Sequence[bytes], batch: int = 256) -> None:
+        """One online pass over tokens that have fed the counts, a batch at a time."""
         for at in range(0, len(tokens), batch):
             paths = Paths(tokens[at : at + batch], self.code)
             stretched, gate = self.inputs(paths, left_out=True)
-            p, _, low, share = self.mixed(stretched, gate)
-            error = paths.bits - p
-            slopes = [np.bincount(gate, error * stretched[k], gates) for k in range(len(CONTEXTS))]
-            slope = np.column_stack([*slopes, np.bincount(gate, error, gates)])
-            moved += slope**2  # steps shrink with the way a weight has gone
-            step = 0.1 * slope / np.sqrt(moved)
-            self.weights += step[:, :-1]
-            self.bias += step[:, -1]
-            for bucket, part in ((low, 1 - share), (low + 1, share)):
-                flat = gate * 33 + bucket
-                seen = np.bincount(flat, part, gates * 33)
-                hit = np.bincount(flat, part * paths.bits, gates * 33)
-                known = seen > 0
-                pull = np.minimum(seen[known] / 300, 0.5)
-                cells[known] += pull * (hit[known] / seen[known] - cells[known])
-
-
-def _blocks(docs: DataFrame, text: str, names: Sequence[str], training: Column) -> DataFrame:
-    """Documents with the split of the files they come from."""
-    if not docs.inputFiles():
-        docs = cut_lineage(docs, "documents")
-    block = F.xxhash64(F.input_file_name(), F.input_file_block_start())
-    learns = F.coalesce(training, F.lit(False)).alias("_learns")
-    return docs.select(*[quoted(n) for n in names], block.alias("_block"), learns, quoted(text).cast("string").alias("_text"))
-
-
-def _count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Distinct tokens by block, with their training occurrences."""
-
-    def written(block: int, found: Counter) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.full(len(found), block, np.int64)),
-                pa.array(list(found), pa.binary()),
-                pa.array(np.fromiter(found.values(), np.int64, len(found))),
-            ],
-            names=["block", "token", "n"],
-        )
-
-    current, found = None, Counter()
-    for batch in batches(rows):
-        for block, learns, data in zip(
-            batch.column("_block").to_pylist(), batch.column("_learns").to_pylist(), texts_of(batch.column("_text")), strict=True
-        ):
-            if found and (block != current or len(found) > MOST_DISTINCT):
-                yield written(current, found)
-                found = Counter()
-            current = block
-            tokens = tokens_of(data)
-            tokens.append(END)
-            if learns:
-                found.update(tokens)
-            else:
-                for t in tokens:
-                    found.setdefault(t, 0)
-    if found:
-        yield written(current, found)
+            self.blend.learn(stretched, gate, paths.bits.astype(float))
+
+    @staticmethod
+    def tally(tokens: Sequence[bytes], code: Code, zeros: np.ndarray, ones: np.ndarray) -> None:
+        for at in range(0, len(tokens), 16384):
+            paths = Paths(tokens[at : at + 16384], code)
+            for k, (look, bits) in enumerate(CONTEXTS):
+                slots = paths.slots(look, bits) + _STARTS[k]
+                np.add.at(zeros, slots[~paths.bits], 1)
+                np.add.at(ones, slots[paths.bits], 1)
+
+
+class Decisions:
+    """For all tokens of some texts: the shares of their words, and what can tell a decision."""
+
+    def __init__(self, counts: Sequence[np.ndarray], many: np.ndarray, learns: np.ndarray, total: int):
+        self.many, starts = many, _starts(many)
+        self.own = np.repeat(learns, many).astype(float)  # an occurrence that is left out
+        ends = np.repeat(counts[0][starts + many - 1].astype(float), many)  # training texts
+        place = np.arange(len(self.own)) - np.repeat(starts, many)
+
+        def before(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+            return np.where(place > 0, np.concatenate((values[:1], values[:-1])), first)
+
+        n = [c - self.own for c in counts]
+        self.all = [
+            np.full(len(self.own), float(total)) - self.own,
+            before(counts[0].astype(float), ends) - self.own,
+            before(counts[1].astype(float), ends) - self.own,
+        ]
+        self.coded = [a > 0 for a in self.all]
+        self.share = [np.where(a > 0, k / np.maximum(a, 1), 0.0) for k, a in zip(n, self.all, strict=True)]
+        self.seen = [s > 0 for s in self.share]
+        known = self.seen[0].astype(np.int64)
+        way = known + (self.seen[0] & self.seen[1]) + (self.seen[0] & self.seen[1] & self.seen[2])
+        last = before(way, np.full(len(way), 4))
+        self.history = last * 5 + np.where(place > 1, np.concatenate((last[:1], last[:-1])), 4)
+        self.level = [np.minimum(np.log2(np.maximum(a, 0) + 1).astype(np.int64), 15) for a in self.all]
+        word = mixed(np.maximum(self.all[1], 0).astype(np.uint64))
+        self.word = (word >> np.uint64(48)).astype(np.int64)
+
+    def slots(self, order: int) -> list[np.ndarray]:
+        """Of a decision's predictors, in the table of all decisions."""
+        other = self.level[2] if order == 1 else self.level[1]
+        base = order * _DECISION
+        own = (self.level[order] * 16 + other, self.word, self.history * 16 + self.level[order])
+        return [base + sum(_SIZES[:k]) + at for k, at in enumerate(own)]
+
+    def inputs(self, order: int, zeros: np.ndarray, ones: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        hit = self.own * self.seen[order]
+        stretched = [_stretch(zeros[at] - (self.own - hit), ones[at] - hit) for at in self.slots(order)]
+        return np.array(stretched), order * 16 + self.level[order]
+
+    def tally(self, zeros: np.ndarray, ones: np.ndarray) -> None:
+        """Outcomes of training texts by slot."""
+        for order in range(3):
+            for at in self.slots(order):
+                fed = (self.own > 0) & self.coded[order]
+                ones += np.bincount(at[fed & self.seen[order]], minlength=len(ones))
+                zeros += np.bincount(at[fed & ~self.seen[order]], minlength=len(zeros))
+
+
+def decide(d: Decisions, blend: Blend, zeros: np.ndarray, ones: np.ndarray, learn: bool = False) -> np.ndarray:
+    """log10 of each token's probability; of a new word only what comes before its spelling."""
+    out = np.zeros(len(d.own))
+    chance = np.zeros(len(d.own))
+    for order in range(3):
+        stretched, gate = d.inputs(order, zeros, ones)
+        p, refined, _, _ = blend.mixed(stretched, gate)
+        g = np.where(d.coded[order], blend.final(p, refined), 0.0)
+        drawn = g * d.share[order]
+        chance = drawn + (chance * (1 - g) if order else 0)
+        out += np.log10(1 - g)
+        if learn:
+            fed = (d.own > 0) & d.coded[order]
+            # the share that this decision has in the token's probability
+            part = d.seen[0].astype(float) if order == 0 else drawn / np.maximum(chance, 1e-300)
+            blend.learn(stretched[:, fed], gate[fed], part[fed])
+    return np.where(d.seen[0], np.log10(np.maximum(chance, 1e-300)), out)
+
+
+def _decided(batch: pa.RecordBatch, own: dict[str, str], total: int) -> tuple[Decisions, list[bytes], np.ndarray]:
+    """Decisions, new words and their documents, of one batch of counted documents."""
+    many = batch.column("n_tokens").to_numpy().astype(np.int64)
+    learns = batch.column(own["learns"]).to_numpy(zero_copy_only=False).astype(bool)
+    parts = [unpacked(c).reshape(3, -1) for c in batch.column(own["counts"]).to_pylist()]
+    counts = np.concatenate(parts, axis=1)
+    new = batch.column(own["new"])
+    owner = np.repeat(np.arange(len(many)), new.value_lengths().to_numpy())
+    return Decisions(list(counts), many, learns, total), new.flatten().to_pylist(), owner
+
+
+# --- the model
+
+
+@dataclass
+class Model:
+    """What is known of all training texts."""
+
+    total: int  # tokens
+    words: int  # different ones
+    zeros: np.ndarray  # of decisions
+    ones: np.ndarray
+    blend: Blend
+    spelling: Spelling
+
+    def scores(self, batch: pa.RecordBatch, own: dict[str, str]) -> np.ndarray:
+        """log10 of the probability of each text."""
+        d, new, owner = _decided(batch, own, self.total)
+        documents = np.repeat(np.arange(len(d.many)), d.many)
+        cost = np.bincount(documents, decide(d, self.blend, self.zeros, self.ones), len(d.many))
+        left_out = batch.column(own["learns"]).to_numpy(zero_copy_only=False).astype(bool)[owner]
+        return cost + np.bincount(owner, self.spelling.costs(new, left_out), len(d.many))
+
+
+def _parts(counts: np.ndarray, first: int = 0) -> Iterator[pa.RecordBatch]:
+    for i, row in enumerate(counts):
+        if row.any():
+            columns = [pa.array([first + i], pa.int32()), pa.array([zlib.compress(row.astype("<f4").tobytes(), 1)], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["part", "counts"])
 
 
-def _code(vocabulary: DataFrame) -> Code:
-    """The tree for the bytes of all training tokens."""
+def _code(learning: DataFrame, new: str) -> Code:
+    """The tree for the bytes of all words that occur once."""
 
     def tally(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(256)
+        counts = np.zeros(256, np.int64)
         for batch in rows:
-            tokens = batch.column("token").to_pylist()
+            tokens = batch.column(0).flatten().to_pylist()
             counts += np.bincount(np.frombuffer(b"".join(tokens), np.uint8), minlength=256)
             counts[32] += len(tokens)
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(256)), pa.array(counts)], names=["byte", "n"])
 
-    counted = vocabulary.where("n > 0").select("token").mapInArrow(tally, "byte long, n double")
     counts = np.zeros(256)
-    for byte, n in counted.groupBy("byte").agg(F.sum("n")).collect():
+    for byte, n in learning.select(quoted(new)).mapInArrow(tally, "byte long, n long").groupBy("byte").agg(F.sum("n")).collect():
         counts[byte] = n
     return Code(counts)
 
 
-def _tables(vocabulary: DataFrame, code: Code) -> tuple[np.ndarray, np.ndarray]:
-    """Bit counts by slot over all distinct training tokens."""
+def _tables(learning: DataFrame, own: dict[str, str], code: Code, total: int) -> np.ndarray:
+    """Outcomes by slot, zeros and ones, of all decisions and then of all spelled bits."""
+    size = -(-(3 * _DECISION + int(_STARTS[-1])) // _PART) * _PART
 
     def tally(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros((2, _STARTS[-1]))
-        for batch in rows:
-            tokens = batch.column("token").to_pylist()
-            for at in range(0, len(tokens), 16384):
-                paths = Paths(tokens[at : at + 16384], code)
-                for k, (look, bits) in enumerate(CONTEXTS):
-                    slots = paths.slots(look, bits) + _STARTS[k]
-                    np.add.at(counts[0], slots[~paths.bits], 1.0)
-                    np.add.at(counts[1], slots[paths.bits], 1.0)
-        yield from _parts(counts.reshape(-1, _PART))
+        decided, spelled = np.zeros((2, 3 * _DECISION)), np.zeros((2, _STARTS[-1]), np.float32)
+        for batch in batches(rows, 1 << 20):
+            d, new, _ = _decided(batch, own, total)
+            d.tally(*decided)
+            Spelling.tally(new, code, *spelled)
+        for side in range(2):
+            whole = np.zeros(size, np.float32)
+            whole[: 3 * _DECISION] = decided[side]
+            whole[3 * _DECISION : 3 * _DECISION + _STARTS[-1]] = spelled[side]
+            yield from _parts(whole.reshape(-1, _PART), side * (size // _PART))
 
     def add(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, np.ndarray] = {}
+        summed: dict[int, np.ndarray] = {}
         for batch in rows:
             for part, raw in zip(batch.column("part").to_pylist(), batch.column("counts").to_pylist(), strict=True):
-                total[part] = total.get(part, 0) + np.frombuffer(zlib.decompress(raw), "<f4").astype(float)
-        for part, counts in total.items():
+                summed[part] = summed.get(part, 0) + np.frombuffer(zlib.decompress(raw), "<f4").astype(float)
+        for part, counts in summed.items():
             yield from _parts(counts[None, :], part)
 
     schema = "part int, counts binary"
-    parts = vocabulary.where("n > 0").select("token").mapInArrow(tally, schema)
-    summed = parts.repartition("part").mapInArrow(add, schema).toArrow()
-    counts = np.zeros((2 * _STARTS[-1] // _PART, _PART), np.float32)
+    summed = learning.mapInArrow(tally, schema).repartition("part").mapInArrow(add, schema).toArrow()
+    counts = np.zeros((2 * size // _PART, _PART), np.float32)
     for part, raw in zip(summed.column("part").to_pylist(), summed.column("counts").to_pylist(), strict=True):
         counts[part] = np.frombuffer(zlib.decompress(raw), "<f4")
-    zeros, ones = counts.reshape(2, -1)
-    return zeros, ones
-
-
-def _parts(counts: np.ndarray, first: int = 0) -> Iterator[pa.RecordBatch]:
-    for i, row in enumerate(counts):
-        if row.any():
-            columns = [pa.array([first + i], pa.int32()), pa.array([zlib.compress(row.astype("<f4").tobytes(), 1)], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, names=["part", "counts"])
-
-
-@dataclass
-class Model:
-    """Shares of the tokens seen, and the spelling of all others."""
-
-    mixer: Mixer
-    total: int  # training occurrences
-    distinct: int
-    discount: float
-
-    def costs(self, tokens: Sequence[bytes], times: np.ndarray) -> np.ndarray:
-        """log10 of each token's probability."""
-        spelled = self.mixer.costs(tokens)
-        if not self.total:
-            return spelled
-        share = np.maximum(times - self.discount, 0) / self.total
-        rest = math.log10(self.discount * self.distinct / self.total) + spelled
-        return np.logaddexp(np.log(np.maximum(share, 1e-300)), rest * math.log(10)) / math.log(10)
-
-
-def fit(vocabulary: DataFrame, sample_tokens: int = SAMPLE_TOKENS) -> Model:
-    """The model of a vocabulary (token, n), where n counts training occurrences."""
-    seen = F.count(F.when(F.col("n") > 0, 1))
-    once, twice = F.count(F.when(F.col("n") == 1, 1)), F.count(F.when(F.col("n") == 2, 1))
-    total, distinct, ones, twos = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), seen, once, twice).first()
-    discount = min(0.95, max(0.05, ones / (ones + 2 * twos))) if ones else 0.5
-    code = _code(vocabulary)
-    mixer = Mixer.untrained(code, *_tables(vocabulary, code))
-    chance = F.pmod(F.xxhash64("token"), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    drawn = vocabulary.where((F.col("n") > 0) & (chance < sample_tokens / max(distinct, 1)))
-    rows = drawn.orderBy(F.xxhash64(F.lit(3), "token")).select("token").toArrow()
-    mixer.train(rows.column("token").to_pylist())
-    return Model(mixer, total, distinct, discount)
-
-
-def score(
-    docs: DataFrame,
-    training: Column,
-    text: str = "text",
-    carry: Sequence[str] | None = None,
-    sample_tokens: int = SAMPLE_TOKENS,
-) -> DataFrame:
+    return counts.reshape(2, -1)
+
+
+def fit(counted: DataFrame, own: dict[str, str], total: int, words: int) -> Model:
+    """The model of counted documents, from those that are for learning."""
+    learning = counted.where(quoted(own["learns"])).select("n_tokens", *[quoted(own[c]) for c in ("learns", "counts", "new")])
+    code = _code(learning, own["new"])
+    tables = _tables(learning, own, code, total)
+    at = 3 * _DECISION
+    zeros, ones = tables[:, :at]
+    spelling = Spelling(code, *tables[:, at : at + _STARTS[-1]])
+    model = Model(total, words, zeros, ones, Blend(48, len(_SIZES)), spelling)
+    shared = counted.sparkSession.sparkContext.broadcast(model)
+
+    def train(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        untrained = shared.value
+        blend = Blend(48, len(_SIZES))
+        spelling = Spelling(untrained.spelling.code, untrained.spelling.zeros, untrained.spelling.ones)
+        for batch in batches(rows, 1 << 16):
+            d, new, _ = _decided(batch, own, total)
+            decide(d, blend, untrained.zeros, untrained.ones, learn=True)
+            spelling.train(new)
+        value, seen = (np.concatenate(c) for c in zip(blend.numbers(), spelling.blend.numbers(), strict=True))
+        columns = [pa.array(np.arange(len(value))), pa.array(value * seen), pa.array(seen)]
+        yield pa.RecordBatch.from_arrays(columns, names=["at", "value", "seen"])
+
+    trained = learning.mapInArrow(train, "at long, value double, seen double").groupBy("at").agg(F.sum("value"), F.sum("seen"))
+    numbers = np.concatenate([model.blend.numbers()[0], spelling.blend.numbers()[0]])
+    for i, value, seen in trained.collect():
+        if seen:
+            numbers[i] = round(value / seen, 6)  # sums of the tasks come in any order
+    cut = len(model.blend.numbers()[0])
+    model.blend.set(numbers[:cut])
+    spelling.blend.set(numbers[cut:])
+    shared.destroy()
+    return model
+
+
+def count(docs: DataFrame, training: Column, text: str, names: Sequence[str]) -> tuple[DataFrame, dict[str, str], int, int]:
+    """Documents with the training counts of their tokens, their columns' names, tokens and words of training."""
+    taken = [*names, *NAMES]
+    own = {w: _free(taken, f"_{w}") for w in ("text", "learns", "chunk", "kind", "slice", "sums", "size", "counts", "new")}
+    columns = [quoted(n) for n in names]
+    learns = F.coalesce(training, F.lit(False)).alias(own["learns"])
+    plain = docs.select(*columns, learns, quoted(text).cast("string").alias(own["text"]))
+    made = f"`{own['chunk']}` long, `{own['slice']}` long"
+
+    def chunk(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return _chunked(rows, own["text"], own["chunk"], own["slice"])
+
+    stored = cut_lineage(plain.mapInArrow(chunk, schema_of(plain, plain.columns, made)), "texts")
+    length = F.coalesce(F.sum(F.octet_length(quoted(own["text"]))), F.lit(0))
+    chunks, size = stored.agg(F.count_distinct(quoted(own["chunk"])), length).first()
+    bits = min(62, max(LEAST_SLOTS, SLOTS_A_BYTE + size.bit_length()))
+    only = stored.select(*[quoted(own[c]).alias(c) for c in ("chunk", "learns", "text")])
+    sent = only.mapInArrow(_send(bits, max(8, 2 * chunks)), "chunk long, slice long, keys binary, n binary")
+    dealt = sent.repartition("slice").sortWithinPartitions("slice")
+    summed = cut_lineage(dealt.mapInArrow(_sum, "chunk long, slice long, sums binary, words long, tokens long"), "sums")
+    zero = F.lit(0)
+    words, total = summed.agg(F.coalesce(F.sum("words"), zero), F.coalesce(F.sum("tokens"), zero)).first()
+    sums = summed.where("chunk >= 0").select(*[F.col(c).alias(own[c]) for c in ("chunk", "slice", "sums")])
+    both = sums.withColumn(own["kind"], F.lit(0)).unionByName(stored.withColumn(own["kind"], F.lit(1)), allowMissingColumns=True)
+    keys = [quoted(own[c]) for c in ("chunk", "kind", "slice")]
+    beside = both.repartition(keys[0]).sortWithinPartitions(*keys)
+    fields = f"`{own['learns']}` boolean, n_tokens long, n_known long, base_score double"
+    fields += f", `{own['size']}` long, `{own['counts']}` binary, `{own['new']}` array<binary>"
+    placed = beside.mapInArrow(_placed(names, own, bits, total, words), schema_of(docs, names, fields))
+    return cut_lineage(placed, "counted"), own, total, words
+
+
+def score(docs: DataFrame, training: Column, text: str = "text", carry: Sequence[str] | None = None) -> DataFrame:
     """Documents with token counts, the unigram score and the model's score, both as log10."""
     names = carried(docs, carry, NAMES)
-    spark = docs.sparkSession
-    blocks = _blocks(docs, text, names, training)
-    counted = blocks.select("_block", "_learns", "_text").mapInArrow(_count, "block long, token binary, n long")
-    counted = cut_lineage(counted, "tokens")
-    vocabulary = cut_lineage(counted.groupBy("token").agg(F.sum("n").alias("n")), "vocabulary")
-    model = fit(vocabulary, sample_tokens)
-    total, size = model.total, math.log10(model.total + model.distinct + 1)
-    shared = spark.sparkContext.broadcast(model)
+    counted, own, total, words = count(docs, training, text, names)
+    return judged(counted, own, names, fit(counted, own, total, words))
 
-    def judge(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
-            tokens = batch.column("token").to_pylist()
-            key = np.fromiter(map(xxhash.xxh3_64_intdigest, tokens), np.uint64, len(tokens)).view(np.int64)
-            cost = shared.value.costs(tokens, batch.column("n").to_numpy())
-            yield pa.RecordBatch.from_arrays([batch.column("token"), batch.column("n"), pa.array(key), pa.array(cost)], names=["token", "n", "key", "cost"])
-
-    judged = vocabulary.mapInArrow(judge, "token binary, n long, key long, cost double")
-    own = counted.select("block", "token").join(judged, "token").select("block", "key", "n", "cost")
-    docs_side = blocks.drop("_learns").withColumnRenamed("_block", "block").withColumn("kind", F.lit(1))
-    both = own.withColumn("kind", F.lit(0)).unionByName(docs_side, allowMissingColumns=True)
-    dealt = both.repartition("block").sortWithinPartitions("block", "kind")
-
-    def sum_up(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: _Known | None = None
-        for block, kind, part in _kinds(rows):
-            if kind == 0:
-                if known is None or known.block != block:
-                    known = _Known(block)
-                known.add(part)
-            else:
-                yield _summed(part, names, known, total, size)
 
-    return dealt.mapInArrow(sum_up, schema_of(docs, names, MADE))
+def judged(counted: DataFrame, own: dict[str, str], names: Sequence[str], model: Model) -> DataFrame:
+    """Counted documents with their scores."""
+    shared, total = counted.sparkSession.sparkContext.broadcast(model), model.total
 
-
-def _kinds(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, pa.RecordBatch]]:
-    """Stretches of one block and kind, batch by batch."""
-    for batch in batches(rows):
-        for run in runs(iter([batch]), ["block", "kind"]):
-            part = run.combine_chunks().to_batches()[0]
-            yield part.column("block")[0].as_py(), part.column("kind")[0].as_py(), part
-
-
-class _Known:
-    """Counts and costs of one block's tokens."""
-
-    def __init__(self, block: int):
-        self.block = block
-        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        self.rows: dict[bytes, int] | None = None
-
-    def add(self, part: pa.RecordBatch) -> None:
-        self.parts.append(tuple(part.column(n).to_numpy(zero_copy_only=False) for n in ("key", "n", "cost")))
-
-    def find(self, tokens: list[bytes]) -> np.ndarray:
-        if self.rows is None:
-            key, self.n, self.cost = (np.concatenate(c) for c in zip(*self.parts, strict=True))
-            self.parts = []
-            self.key, at = np.unique(key.astype(np.int64), return_index=True)
-            self.n, self.cost = self.n[at], self.cost[at]
-            self.rows = {}
-        missing = list(set(tokens).difference(self.rows))
-        keys = np.fromiter(map(xxhash.xxh3_64_intdigest, missing), np.uint64, len(missing)).view(np.int64)
-        self.rows.update(zip(missing, np.searchsorted(self.key, keys).tolist(), strict=True))
-        return np.fromiter(map(self.rows.__getitem__, tokens), np.int64, len(tokens))
-
-
-def _summed(part: pa.RecordBatch, names: Sequence[str], known: _Known, total: int, size: float) -> pa.RecordBatch:
-    out = []
-    for data in texts_of(part.column("_text")):
-        tokens = tokens_of(data)
-        tokens.append(END)
-        at = known.find(tokens)
-        n, cost = known.n[at], float(known.cost[at].sum())
-        base = float((np.log10(n + 1) - size).sum())
-        length = sum(map(len, tokens)) + len(tokens) - 1
-        out.append((len(tokens), int((n > 0).sum()), total, base, cost, -cost * math.log2(10) / length))
-    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64())
-    columns = zip(*out, strict=True)
-    return beside(part, names, {n: pa.array(c, k) for n, c, k in zip(NAMES, columns, kinds, strict=True)})
+    def judge(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches(rows, 1 << 20):
+            cost = shared.value.scores(batch, own)
+            kept = {n: batch.column(batch.schema.get_field_index(n)) for n in [*names, "n_tokens", "n_known", "base_score"]}
+            bits = -cost * math.log2(10) / np.maximum(batch.column(own["size"]).to_numpy(), 1)
+            made = {"train_tokens": pa.array(np.full(len(cost), total, np.int64)), "score": pa.array(cost), "bits_per_byte": pa.array(bits)}
+            out = {**kept, **made}
+            yield pa.RecordBatch.from_arrays([out[n] for n in [*names, *NAMES]], names=[*names, *NAMES])
+
+    return counted.mapInArrow(judge, schema_of(counted, names, MADE))

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -239,28 +240,139 @@ def test_model_scores_and_base_scores(spark, texts):
 def test_bit_probabilities_of_a_prefix_code_sum_to_one():
     code = lm.Code(np.arange(256.0))
     n = lm._STARTS[-1]
-    mixer = lm.Mixer.untrained(code, np.random.default_rng(1).integers(0, 9, n).astype("f4"), np.ones(n, "f4"))
-    mixer.train([b"abc", b"abd", b"xy"] * 20)
-    spelled = [bytes([b]) for b in range(256)]
-    paths = lm.Paths([b""], code)
-    assert len(paths.bits) == code.size[32]
-    first = {b: 0.0 for b in range(256)}
-    for b in spelled:
-        paths = lm.Paths([b], code)
-        p, refined, _, _ = mixer.mixed(*mixer.inputs(paths))
-        final = np.clip(np.where(np.abs(p - 0.5) < 0.4995, (p + refined) / 2, p), 1e-6, 1 - 1e-6)
-        own = np.where(paths.bits, final, 1 - final)[: code.size[b[0]]]
-        first[b[0]] = float(np.prod(own))
+    spelling = lm.Spelling(code, np.random.default_rng(1).integers(0, 9, n).astype("f4"), np.ones(n, "f4"))
+    spelling.train([b"abc", b"abd", b"xy"] * 20)
+    assert len(lm.Paths([b""], code).bits) == code.size[32]
+    first = {}
+    for b in range(256):
+        paths = lm.Paths([bytes([b])], code)
+        p, refined, _, _ = spelling.blend.mixed(*spelling.inputs(paths))
+        final = spelling.blend.final(p, refined)
+        first[b] = float(np.prod(np.where(paths.bits, final, 1 - final)[: code.size[b]]))
     assert sum(first.values()) == pytest.approx(1.0, abs=1e-6)
 
 
-def test_model_awkward_rows(awkward, nothing):
+def _model(docs, training):
+    """Scores and the model that gave them, by the operator's own steps."""
+    counted, own, total, words = lm.count(docs, training, "text", ["doc_id"])
+    model = lm.fit(counted, own, total, words)
+    return {r.doc_id: r.score for r in lm.judged(counted, own, ["doc_id"], model).collect()}, model
+
+
+def _slow_chance(model, grams, before, token, learns, history):
+    """Probability of one token after others by plain counting; of a new word up to its spelling; and its way."""
+    one, two, three = grams
+    back = [None, None, *before]
+    out = 1.0 if learns else 0.0
+    ends = one[(lm.END,)]
+    every = [
+        sum(one.values()) - out,
+        (one[(back[-1],)] if len(before) else ends) - out,
+        (two[tuple(back[-2:])] if len(before) else ends) - out,
+    ]
+    times = [one[(token,)] - out, two[(back[-1], token)] - out, three[(back[-2], back[-1], token)] - out]
+    seen = [n > 0 and a > 0 for n, a in zip(times, every, strict=True)]
+    level = [min(int(math.log2(max(a, 0) + 1)), 15) for a in every]
+    word = int(lm.mixed(np.array([max(every[1], 0)], np.uint64))[0]) >> 48
+    chance, rest = 0.0, 1.0
+    for order in range(3):
+        if every[order] <= 0:
+            continue
+        other = level[2] if order == 1 else level[1]
+        at = [level[order] * 16 + other, 256 + word, 256 + 65536 + history * 16 + level[order]]
+        gate, total = order * 16 + level[order], 0.0
+        for k, slot in enumerate(at):
+            zeros = max(model.zeros[order * lm._DECISION + slot] - (out and not seen[order]), 0)
+            ones = max(model.ones[order * lm._DECISION + slot] - (out and seen[order]), 0)
+            total += model.blend.weights[gate, k] * math.log((ones + 0.4) / (zeros + 0.4))
+        total = min(max(total + model.blend.bias[gate], -12), 12)
+        p, spot = 1 / (1 + math.exp(-total)), min(max((total + 8) * 2, 0), 32)
+        low = min(int(spot), 31)
+        refined = model.blend.refine[gate, low] * (1 - spot + low) + model.blend.refine[gate, low + 1] * (spot - low)
+        g = min(max((p + refined) / 2 if abs(p - 0.5) < 0.4995 else p, 1e-6), 1 - 1e-6)
+        chance = g * max(times[order], 0) / every[order] + chance * (1 - g)
+        rest *= 1 - g
+    way = sum(seen[0] and (k == 0 or seen[1] and (k == 1 or seen[2])) for k in range(3))
+    return (chance if seen[0] else rest), way, not seen[0]
+
+
+def _grams(tokens):
+    grams = [Counter(), Counter(), Counter()]
+    for own in tokens:
+        back = [None, None, *own]
+        for i in range(len(own)):
+            for k in range(3):
+                grams[k][tuple(back[i + 2 - k : i + 3])] += 1
+    return grams
+
+
+def test_model_agrees_with_plain_counting(spark, texts):
+    docs = spark.createDataFrame([(d, t) for d, t in texts.items() if len(t) < 4000], "doc_id long, text string")
+    training = F.col("doc_id") % 3 != 0
+    scored, model = _model(docs, training)
+    tokens = {d: lm.tokens_of(texts[d].encode()) + [lm.END] for d in scored}
+    grams = _grams([own for d, own in tokens.items() if d % 3])
+    for d, own in list(tokens.items())[:40]:
+        cost, last, earlier = 0.0, 4, 4
+        for i, token in enumerate(own):
+            chance, way, new = _slow_chance(model, grams, own[:i], token, bool(d % 3), last * 5 + earlier)
+            cost += math.log10(chance)
+            if new:
+                cost += float(model.spelling.costs([token], np.array([bool(d % 3)]))[0])
+            last, earlier = way, last
+        assert scored[d] == pytest.approx(cost, rel=1e-5), d
+
+
+def test_known_words_and_the_way_out_sum_to_one(spark, texts):
+    docs = spark.createDataFrame([(d, t) for d, t in list(texts.items())[:40]], "doc_id long, text string")
+    _, model = _model(docs, F.lit(True))
+    grams = _grams([lm.tokens_of(t.encode()) + [lm.END] for t in list(texts.values())[:40]])
+    before = lm.tokens_of(list(texts.values())[3].encode())[:5]
+    known = sum(_slow_chance(model, grams, before, w, False, 24)[0] for (w,) in grams[0])
+    assert known + _slow_chance(model, grams, before, b"\x00new", False, 24)[0] == pytest.approx(1.0, abs=1e-9)
+
+
+def test_model_reads_the_order_of_words_and_leaves_out_what_it_scores(spark, texts):
+    rows = [(d, t, d % 2 == 0) for d, t in texts.items() if len(t.split()) > 60]
+    reverse = [(-d - 1, " ".join(reversed(t.split())), False) for d, t, learns in rows if learns]
+    copies = [(10**6 + d, t, True) for d, t, learns in rows[:20] if learns]
+    docs = spark.createDataFrame(rows + reverse + copies, "doc_id long, text string, learns boolean")
+    found = {r.doc_id: r for r in lm.score(docs, F.col("learns")).collect()}
+    twice = {d for d, _, learns in rows[:20] if learns}
+    assert twice and all(found[d].score == pytest.approx(found[10**6 + d].score) for d in twice)
+    assert all(found[d].score > found[-d - 1].score for d in twice)
+    once = [found[d].bits_per_byte for d, _, learns in rows[20:] if learns]
+    assert max(found[d].bits_per_byte for d in twice) < sorted(once)[len(once) // 2] / 2
+
+
+def test_a_chunk_read_by_two_tasks_keeps_its_counts():
+    keys = [np.array([1, 5, 9], np.uint64), np.array([5, 7], np.uint64)]
+    n = [np.array([1, 2, 1], np.uint64), np.array([3, 1], np.uint64)]
+    other = np.array([5, 8], np.uint64)
+    rows = [(4, 0, keys[0], n[0]), (6, 0, other, np.array([10, 1], np.uint64)), (4, 0, keys[1], n[1])]
+    columns = [[r[0] for r in rows], [r[1] for r in rows]]
+    columns += [[lm.packed(np.diff(r[2], prepend=np.uint64(0))) for r in rows], [lm.packed(r[3]) for r in rows]]
+    batch = pa.RecordBatch.from_pydict(dict(zip(("chunk", "slice", "keys", "n"), columns, strict=True)))
+    out = {r["chunk"]: r for b in lm._sum(iter([batch])) for r in b.to_pylist()}
+    assert lm.unpacked(out[4]["sums"]).tolist() == [1, 15, 1, 1]
+    assert lm.unpacked(out[6]["sums"]).tolist() == [15, 1]
+    assert (out[-1]["words"], out[-1]["tokens"]) == (5, 19)
+
+
+def test_model_awkward_rows(spark, awkward, nothing):
     rows = lm.score(awkward, F.lit(True), carry=["doc_id"]).collect()
     assert Counter(r.doc_id for r in rows) == Counter([r[0] for r in AWKWARD])
     assert [(r.n_tokens, r.n_known) for r in rows if r.doc_id == 2] == [(1, 1)]
     silent = lm.score(awkward, F.lit(False), carry=["doc_id"]).collect()
     assert all(r.train_tokens == 0 and r.base_score == 0 and r.score < 0 for r in silent)
     assert lm.score(nothing, F.lit(True)).count() == 0
+    clash = ["_text", "_learns", "_chunk", "_kind", "_slice", "_sums", "_counts", "_new", "_size", "kind", "block", "cost"]
+    odd = spark.createDataFrame([(1, "a b"), (1, "a b"), (2, None)], "score long, text string")
+    named = odd.select("*", *[F.lit(c).alias(c) for c in clash])
+    out = lm.score(named, F.lit(None).cast("boolean")).collect()
+    assert len(out) == 3 and all(r[c] == c and r.score < 0 for r in out for c in clash)
+    long = spark.createDataFrame([(1, "word other " * 200_000), (2, "x" * 300_000)], "doc_id long, text string")
+    assert [r.n_tokens for r in lm.score(long, F.lit(True)).orderBy("doc_id").collect()] == [400_001, 2]
 
 
 # --- chat
