@@ -58,7 +58,7 @@ from ledgerlake.session import cut_lineage
 CONTEXTS = ((1, 16), (2, 18), (3, 19), (4, 20), (6, 20), (0, 21))
 EVIDENCE = (0.5, 3.5, 15.5, 255.5)  # counts of the whole token that divide the gates
 END = b"\n"
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 6 << 20
 SLOTS_A_BYTE, LEAST_SLOTS = 12, 40  # logarithms
 NAMES = ("n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
 MADE = "n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
@@ -659,7 +659,7 @@ def count(docs: DataFrame, training: Column, text: str, names: Sequence[str]) ->
     chunks, size = stored.agg(F.count_distinct(quoted(own["chunk"])), length).first()
     bits = min(62, max(LEAST_SLOTS, SLOTS_A_BYTE + size.bit_length()))
     only = stored.select(*[quoted(own[c]).alias(c) for c in ("chunk", "learns", "text")])
-    sent = only.mapInArrow(_send(bits, max(8, 2 * chunks)), "chunk long, slice long, keys binary, n binary")
+    sent = only.mapInArrow(_send(bits, max(8, chunks)), "chunk long, slice long, keys binary, n binary")
     dealt = sent.repartition("slice").sortWithinPartitions("slice")
     summed = cut_lineage(dealt.mapInArrow(_sum, "chunk long, slice long, sums binary, words long, tokens long"), "sums")
     zero = F.lit(0)
