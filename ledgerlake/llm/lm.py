@@ -42,7 +42,7 @@ import heapq
 import math
 import zlib
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -400,12 +400,21 @@ def _stretch(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return np.log((np.maximum(ones, 0) + 0.4) / (np.maximum(zeros, 0) + 0.4))
 
 
+@dataclass
 class Spelling:
     """New words, bit by bit."""
 
-    def __init__(self, code: Code, zeros: np.ndarray, ones: np.ndarray):
-        self.code, self.zeros, self.ones = code, zeros, ones  # counts by slot, the contexts' tables one after another
-        self.blend = Blend(len(CONTEXTS) * (len(EVIDENCE) + 1), len(CONTEXTS))
+    code: Code
+    counts: np.ndarray  # zeros and ones by slot as one number, the contexts' tables one after another
+    blend: Blend
+
+    @staticmethod
+    def fresh() -> Blend:
+        return Blend(len(CONTEXTS) * (len(EVIDENCE) + 1), len(CONTEXTS))
+
+    @classmethod
+    def untrained(cls, code: Code, zeros: np.ndarray, ones: np.ndarray) -> Spelling:
+        return cls(code, np.column_stack((zeros, ones)).astype("f4").view(np.complex64).ravel(), cls.fresh())
 
     def inputs(self, paths: Paths, left_out: np.ndarray | bool = False) -> tuple[np.ndarray, np.ndarray]:
         """Stretched predictions by context and bit, and each bit's gate."""
@@ -413,8 +422,9 @@ class Spelling:
         gate = np.zeros(len(paths.bits), np.int64)
         for k, (look, bits) in enumerate(CONTEXTS):
             at = paths.slots(look, bits) + _STARTS[k]
-            zeros = np.maximum(self.zeros[at] - (left_out & ~paths.bits), 0)
-            ones = np.maximum(self.ones[at] - (left_out & paths.bits), 0)
+            both = self.counts.take(at)
+            zeros = np.maximum(both.real - (left_out & ~paths.bits), 0)
+            ones = np.maximum(both.imag - (left_out & paths.bits), 0)
             stretched[k] = _stretch(zeros, ones)
             seen = zeros + ones
             gate += seen >= 2 if look else len(CONTEXTS) * np.searchsorted(EVIDENCE, seen)
@@ -431,7 +441,7 @@ class Spelling:
             out[at : at + 4096] = np.bincount(paths.owner, each, minlength=len(out[at : at + 4096]))
         return out
 
-    def train(self, tokens: Sequence[bytes], batch: int = 256) -> None:
+    def train(self, tokens: Sequence[bytes], batch: int = 1024) -> None:
         """One online pass over tokens that have fed the counts, a batch at a time."""
         for at in range(0, len(tokens), batch):
             paths = Paths(tokens[at : at + batch], self.code)
@@ -443,9 +453,10 @@ class Spelling:
         for at in range(0, len(tokens), 16384):
             paths = Paths(tokens[at : at + 16384], code)
             for k, (look, bits) in enumerate(CONTEXTS):
-                slots = paths.slots(look, bits) + _STARTS[k]
-                np.add.at(zeros, slots[~paths.bits], 1)
-                np.add.at(ones, slots[paths.bits], 1)
+                slots, part = paths.slots(look, bits), slice(_STARTS[k], _STARTS[k + 1])
+                hit = np.bincount(slots, paths.bits, 1 << bits)
+                ones[part] += hit
+                zeros[part] += np.bincount(slots, minlength=1 << bits) - hit
 
 
 class Decisions:
@@ -614,14 +625,14 @@ def fit(counted: DataFrame, own: dict[str, str], total: int, words: int) -> Mode
     tables = _tables(learning, own, code, total)
     at = 3 * _DECISION
     zeros, ones = tables[:, :at]
-    spelling = Spelling(code, *tables[:, at : at + _STARTS[-1]])
+    spelling = Spelling.untrained(code, *tables[:, at : at + _STARTS[-1]])
     model = Model(total, words, zeros, ones, Blend(48, len(_SIZES)), spelling)
     shared = counted.sparkSession.sparkContext.broadcast(model)
 
     def train(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         untrained = shared.value
         blend = Blend(48, len(_SIZES))
-        spelling = Spelling(untrained.spelling.code, untrained.spelling.zeros, untrained.spelling.ones)
+        spelling = replace(untrained.spelling, blend=Spelling.fresh())
         for batch in batches(rows, 1 << 16):
             d, new, _ = _decided(batch, own, total)
             decide(d, blend, untrained.zeros, untrained.ones, learn=True)

@@ -240,7 +240,7 @@ def test_model_scores_and_base_scores(spark, texts):
 def test_bit_probabilities_of_a_prefix_code_sum_to_one():
     code = lm.Code(np.arange(256.0))
     n = lm._STARTS[-1]
-    spelling = lm.Spelling(code, np.random.default_rng(1).integers(0, 9, n).astype("f4"), np.ones(n, "f4"))
+    spelling = lm.Spelling.untrained(code, np.random.default_rng(1).integers(0, 9, n).astype("f4"), np.ones(n, "f4"))
     spelling.train([b"abc", b"abd", b"xy"] * 20)
     assert len(lm.Paths([b""], code).bits) == code.size[32]
     first = {}
