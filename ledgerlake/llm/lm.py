@@ -71,6 +71,7 @@ _STARTS = np.concatenate(([0], np.cumsum([1 << bits for _, bits in CONTEXTS])))
 _SIZES = (256, 1 << 16, 400)  # slots of a decision's three predictors
 _DECISION = sum(_SIZES)
 _CELLS = 33  # of a refinement
+_ZIP, _UNZIP = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
 
 
 def tokens_of(text: bytes | None) -> list[bytes]:
@@ -82,13 +83,16 @@ def tokens_of(text: bytes | None) -> list[bytes]:
 
 
 def packed(values: np.ndarray) -> bytes:
-    """Whole numbers of 64 bits, the bytes of one significance together."""
-    return zstandard.ZstdCompressor(level=1).compress(values.astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes())
+    """Whole numbers, the bytes of one significance together; the first byte is their width."""
+    width = 8 if len(values) and values.max() >= 1 << 32 else 4
+    planes = values.astype(f"<u{width}").view(np.uint8).reshape(-1, width).T
+    return bytes([width]) + _ZIP.compress(planes.tobytes())
 
 
 def unpacked(data: bytes) -> np.ndarray:
-    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8)
-    return np.ascontiguousarray(planes.reshape(8, -1).T).view("<u8").ravel()
+    width = data[0]
+    planes = np.frombuffer(_UNZIP.decompress(data[1:]), np.uint8).reshape(width, -1)
+    return np.ascontiguousarray(planes.T).view(f"<u{width}").ravel().astype(np.uint64)
 
 
 def grams(hashes: np.ndarray, starts: np.ndarray, bits: int) -> list[np.ndarray]:
