@@ -32,6 +32,7 @@ from ledgerlake.llm import (
     urls,
 )
 from ledgerlake.llm.q_models import tokenizer_path
+from ledgerlake.session import cut_lineage
 
 FOLDER = "/root/testdata/sf0.001"
 LONG = "word " * 30_000 + "end"
@@ -209,7 +210,7 @@ def test_language_awkward_rows(spark, awkward, nothing):
 
 def test_language_sample_counts_different_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("lang is not null and text is not null")
-    docs = docs.select("doc_id", "text", "lang").dropDuplicates(["text"]).limit(300).localCheckpoint()
+    docs = cut_lineage(docs.select("doc_id", "text", "lang").dropDuplicates(["text"]).limit(300))
     first = docs.groupBy("lang").agg(F.min_by("text", F.xxhash64("text")).alias("text"))
     copies = first.select(F.explode(F.expr("sequence(9000L, 9100L)")).alias("doc_id"), "text", "lang")
     said = [language.identify(docs, language.learn(d, per_language=40)).collect() for d in (docs, docs.unionByName(copies))]
