@@ -7,7 +7,7 @@ from ledgerlake.catalog.bank import Bank
 from ledgerlake.catalog.registry import query
 from ledgerlake.operators.joins import having_children, orphans
 from ledgerlake.operators.latest import latest_by, top_n_by, value_counts
-from ledgerlake.operators.ranking import sequential_id
+from ledgerlake.operators.ranking import sequential_id, streamed_id
 from ledgerlake.plans import gold
 from ledgerlake.plans.clean import with_card
 
@@ -173,6 +173,25 @@ def sequential_ids(bank: Bank) -> DataFrame:
     return sequential_id(rows, ["customer_id", "transaction_date", "transaction_id"], "id")
 
 
+@query(
+    "sequential_ids_streamed",
+    """SELECT *, row_number() OVER (ORDER BY customer_id NULLS FIRST, transaction_date NULLS FIRST, transaction_id) AS id
+       FROM (SELECT c.customer_id, t.id AS transaction_id, t.transaction_date
+         FROM fx_transactions t JOIN fx_cards c ON t.card_id = c.id
+         UNION ALL SELECT NULL, id, transaction_date FROM fx_transactions) r""",
+)
+def sequential_ids_streamed(bank: Bank) -> DataFrame:
+    """Half of all rows are of one (null) customer, in many slices; nothing is stored."""
+    rows = owned_transactions(bank).select(
+        "customer_id", F.col("id").alias("transaction_id"), "transaction_date"
+    )
+    unowned = bank.transactions.select(
+        F.lit(None).cast("long").alias("customer_id"), F.col("id").alias("transaction_id"), "transaction_date"
+    )
+    order = ["customer_id", "transaction_date", "transaction_id"]
+    return streamed_id(rows.unionByName(unowned), order, "id", rows_per_slice=2_000)
+
+
 @query(
     "latest_change",
     """SELECT id, op, ts_ms, "offset", kind, amount FROM (SELECT *, row_number() OVER (

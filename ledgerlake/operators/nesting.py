@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.latest import top_n_by
-from ledgerlake.operators.ranking import ordinal_in_group
+from ledgerlake.operators.ranking import streamed_ordinal
 
 PAGE_SIZE = 1000
 
@@ -28,7 +28,7 @@ def nest_children(
     A parent with more than `page_size` children continues on further rows, numbered in
     `page`: nothing is dropped, and no array grows with the data.
     """
-    numbered = ordinal_in_group(child, [child_key], order, "_ordinal")
+    numbered = streamed_ordinal(child, [child_key], order, "_ordinal")
     page = F.floor(F.col("_ordinal") / page_size).cast("long")
     arrays = numbered.groupBy(F.col(child_key).alias("_child_key"), page.alias("_page")).agg(
         _ordered_array(F.col("_ordinal"), fields).alias(name)

@@ -19,7 +19,7 @@ from ledgerlake.functions.times import compose_ts
 from ledgerlake.operators.derive import with_card_status
 from ledgerlake.operators.joins import lookup
 from ledgerlake.operators.latest import latest_by, top_n_by
-from ledgerlake.operators.ranking import sequential_id
+from ledgerlake.operators.ranking import streamed_id
 from ledgerlake.schemas import CARDS, CUSTOMERS, TRANSACTIONS, struct
 
 # The columns of the raw transaction file, all read as text.
@@ -142,5 +142,5 @@ def clean_transactions(raw: DataFrame, cards: DataFrame, n: int = NEWEST_PER_CUS
     Carries customer_id besides the Silver columns, as the derived events need it.
     """
     recent = newest(with_card(tidy(raw), cards), n)
-    numbered = sequential_id(recent, ["customer_id", "transaction_date", *TIES], "id")
+    numbered = streamed_id(recent, ["customer_id", "transaction_date", *TIES], "id")
     return numbered.select("customer_id", *TRANSACTIONS.names)

@@ -1,8 +1,17 @@
+import os
+
 from helpers import plan, rows
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.latest import dedup_events, latest_by, mode_by, top_n_by
-from ledgerlake.operators.ranking import _sliced, ordinal_in_group, sequential_id
+from ledgerlake.operators.ranking import (
+    _bucket,
+    _sliced,
+    ordinal_in_group,
+    sequential_id,
+    streamed_id,
+    streamed_ordinal,
+)
 from ledgerlake.plans.gold import latest_notification, primary_os
 
 
@@ -69,3 +78,56 @@ def test_ordinal_in_group_is_dense_and_a_hot_group_spans_slices(spark, many_task
 def test_ordinal_keeps_null_groups(spark):
     df = spark.createDataFrame([(None, 1), (None, 2), (1, 3)], "g int, x int")
     assert rows(ordinal_in_group(df, ["g"], ["x"], "n")) == sorted([(None, 1, 0), (None, 2, 1), (1, 3, 0)], key=repr)
+
+
+def _shown(df):
+    """Rows whose NaN is equal to another NaN."""
+    return rows(df.withColumn("t", F.col("t").cast("string")))
+
+
+def _mixed(spark):
+    """A hot group, null and NaN keys, and repeated rows, for orders of several types."""
+    hot = spark.range(3000).selectExpr("7 AS u", "CAST(id * 37 % 3000 AS double) AS t", "CAST(id AS string) AS x")
+    cold = spark.range(1500).selectExpr(
+        "IF(id % 9 = 0, NULL, CAST(id % 50 AS int)) AS u",
+        "CASE id % 11 WHEN 0 THEN NULL WHEN 1 THEN CAST('NaN' AS double) ELSE id % 13 END AS t",
+        "CAST(id AS string) AS x",
+    )
+    return hot.unionByName(cold).unionByName(cold.where("x < 2"))
+
+
+def test_streamed_id_is_the_stored_one(spark, many_tasks):
+    df = _mixed(spark).repartition(7, "x")
+    ours = streamed_id(df, ["u", "t", "x"], rows_per_slice=100)
+    assert sorted(r.id for r in ours.collect()) == list(range(1, df.count() + 1))
+    assert _shown(ours) == _shown(sequential_id(df, ["u", "t", "x"]))
+    assert _shown(streamed_id(df, ["u", "t", "x"])) == _shown(ours)  # all rows in one slice
+
+
+def test_streamed_id_splits_a_hot_key_and_does_not_depend_on_partitions(spark, many_tasks):
+    df = _mixed(spark)
+    order = ["u", "t", "x"]
+    sizes = df.groupBy(_bucket(df, order, 100).alias("s")).count()
+    assert max(r["count"] for r in sizes.collect()) < 400 and sizes.count() > 30
+    first = streamed_id(df.repartition(3, "t"), order, rows_per_slice=100)
+    assert _shown(first) == _shown(streamed_id(df.repartition(11, "x"), order, rows_per_slice=100))
+
+
+def test_streamed_id_stores_nothing_and_replaces_a_column(spark):
+    before = spark.conf.get("spark.checkpoint.dir")
+    df = _mixed(spark).withColumn("id", F.lit(-1))
+    kept = set(os.listdir(before))
+    got = streamed_id(df, ["u", "t", "x"], rows_per_slice=500)
+    assert got.columns == ["u", "t", "x", "id"] and got.agg(F.max("id")).first()[0] == df.count()
+    assert set(os.listdir(before)) == kept
+
+
+def test_streamed_id_of_an_empty_table(spark):
+    assert streamed_id(spark.range(0).toDF("a"), ["a"], rows_per_slice=1).collect() == []
+
+
+def test_streamed_ordinal_is_the_stored_one(spark, many_tasks):
+    df = _mixed(spark)
+    ours = streamed_ordinal(df, ["u"], ["t", "x"], "n", rows_per_slice=100)
+    assert _shown(ours) == _shown(ordinal_in_group(df, ["u"], ["t", "x"], "n"))
+    assert _shown(streamed_ordinal(df, ["u"], ["t", "x"], "n")) == _shown(ours)
