@@ -34,6 +34,72 @@ def document_scan(bank: Bank) -> DataFrame:
     return nested_to_json(flat)
 
 
+DEVICE_FIELDS = {
+    "_id": ("string", "$._id"),
+    "user_id": ("bigint", "$.user_id"),
+    "os": ("string", "$.device.os"),
+    "version": ("string", "$.device.app.version", "$.device.app.ver", "$.version"),
+    "location": ("string", "$.location"),
+    "score": ("double", "$.score"),
+}
+
+
+@query(
+    "document_variant",
+    """SELECT _id, user_id, CASE WHEN CAST(_id AS BIGINT) % 7 = 0 THEN NULL ELSE os END AS os,
+         app_version AS version, replace(location, ' ', '') AS location,
+         CASE CAST(_id AS BIGINT) % 3 WHEN 0 THEN user_id / 2.0 WHEN 1 THEN user_id END AS score, 'read' AS state
+       FROM fx_devices
+       UNION ALL SELECT _id, NULL, NULL, NULL, NULL, NULL, 'not a JSON document' FROM fx_devices
+         WHERE CAST(_id AS BIGINT) % 10 = 0""",
+)
+def document_variant(bank: Bank) -> DataFrame:
+    """Drifting documents: renamed and missing fields, numbers as text, objects as text, broken lines."""
+    folder = bank.new_folder("documents")
+    number = F.col("_id").cast("long")
+    version = F.concat(F.lit('"'), "app_version", F.lit('"'))
+    app = F.when(number % 2 == 0, F.concat(F.lit('{"app":{"version":'), version, F.lit("}"))).otherwise(
+        F.concat(F.lit('{"app":{"ver":'), version, F.lit("}"))
+    )
+    device = F.concat(app, F.when(number % 7 == 0, F.lit("}")).otherwise(F.concat(F.lit(',"os":"'), "os", F.lit('"}'))))
+    score = (
+        F.when(number % 3 == 0, F.concat(F.lit('"'), (F.col("user_id") / 2).cast("string"), F.lit('"')))
+        .when(number % 3 == 1, F.col("user_id").cast("string"))
+        .otherwise(F.lit('{"kind":"none"}'))
+    )
+    line = F.concat(
+        F.lit('{"_id":'), F.when(number % 5 == 0, F.col("_id")).otherwise(F.concat(F.lit('"'), "_id", F.lit('"'))),
+        F.lit(',"user_id":'), "user_id", F.lit(',"device":'), device, F.lit(',"score":'), score,
+        F.lit(',"location":'),
+        F.when(number % 4 < 2, F.col("location")).otherwise(
+            F.to_json(F.array(F.regexp_replace("location", " ", ""))).substr(F.lit(2), F.length(F.to_json(F.array(F.regexp_replace("location", " ", "")))) - 2)
+        ),
+        F.lit("}"),
+    )
+    bank.devices.select(line.alias("value")).write.text(folder)
+    broken = bank.devices.where(number % 10 == 0).select(F.concat(F.lit('{"_id":'), "_id", F.lit(',"user')).alias("value"))
+    broken.write.mode("append").text(folder)
+    documents = readers.read_variants(bank.spark, folder)
+    flat = readers.flatten(documents, DEVICE_FIELDS).withColumn("state", F.lit("read"))
+    letters = readers.unreadable(documents).select(
+        F.regexp_extract("raw", '"_id":(\\d+)', 1).alias("_id"), F.col("reason").alias("state")
+    )
+    return flat.unionByName(letters, allowMissingColumns=True)
+
+
+@query(
+    "jdbc_ranges",
+    """SELECT t.id, t.part, CAST(1 AS BIGINT) AS met FROM (
+         SELECT id, CASE WHEN l_partkey % 4 = 0 THEN NULL ELSE l_partkey * l_partkey END AS part
+         FROM fx_transactions_raw) t""",
+)
+def jdbc_ranges(bank: Bank) -> DataFrame:
+    """Each row, with new, skewed and null keys, is read by just one of the ranges of an older snapshot."""
+    table = bank.transactions_raw.selectExpr("id", "if(l_partkey % 4 = 0, NULL, l_partkey * l_partkey) AS part")
+    ranges = readers.key_ranges(table.where("part > 100 AND part < 4000000"), "part", 16)
+    return table.withColumn("met", sum(F.coalesce(F.expr(r), F.lit(False)).cast("long") for r in ranges))
+
+
 def bronze_events(bank: Bank) -> str:
     folder = bank.new_folder("bronze")
     events = bank.table("events").select("event_id", "user_id", "event_type", "ts")

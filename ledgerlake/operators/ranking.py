@@ -30,7 +30,8 @@ _PLACE_BITS = 33
 
 ROWS_PER_SLICE = 250_000
 #: Above MAX_SLICES x ROWS_PER_SLICE rows, slices grow instead of their number.
-MAX_SLICES = 8192
+MAX_SLICES = 4096
+_RUNS = 64
 _KEYS_PER_SLICE = 16  # of the sample that gives the bounds
 
 
@@ -144,7 +145,7 @@ def _bounds(rows: DataFrame, order: Sequence[str], key: Column, slices: int, tot
     """Keys at equal steps of a sample, in order; at most MAX_SLICES - 1 reach the driver.
 
     The sample are the keys whose hash is below a limit, about 16 a slice, so it is the same
-    each time and follows the data. It is sorted in one task, at most about 131,000 keys.
+    each time and follows the data. It is sorted in one task, at most about 66,000 keys.
     """
     share = min(1.0, slices * _KEYS_PER_SLICE / total)
     limit = min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63))
@@ -160,7 +161,8 @@ def _bounds(rows: DataFrame, order: Sequence[str], key: Column, slices: int, tot
 def _bucket(rows: DataFrame, order: Sequence[str], rows_per_slice: int) -> Column | None:
     """The number of bounds up to a row's key, or None where one slice holds all rows.
 
-    Bounds are held in groups, so a row is compared with two square roots of their number.
+    A tree of comparisons, which Spark compiles, leads to one of at most 64 runs of bounds;
+    only a row among more bounds than that is compared with those of its run, at most 64.
     """
     total = rows.select(*order).count()
     slices = min(MAX_SLICES, math.ceil(total / rows_per_slice))
@@ -175,8 +177,16 @@ def _bucket(rows: DataFrame, order: Sequence[str], rows_per_slice: int) -> Colum
         F.struct(*[F.lit(value).cast(f.dataType).alias(f.name) for value, f in zip(bound, kinds, strict=True)])
         for bound in bounds
     ]
-    width = math.ceil(math.sqrt(len(literals)))
-    groups = F.array(*[F.array(*literals[at : at + width]) for at in range(0, len(literals), width)])
-    whole = F.size(F.filter(groups, lambda g: F.get(g, F.lit(0)) <= key))
-    inside = F.size(F.filter(F.get(groups, whole - 1), lambda b: b <= key))
-    return F.when(whole > 0, (whole - 1) * width + inside).otherwise(F.lit(0))
+    width = math.ceil(len(literals) / _RUNS)
+    runs = [literals[at : at + width] for at in range(0, len(literals), width)]
+
+    def counted(first: int, last: int) -> Column:
+        """For a key in one of these runs, the bounds up to it in all runs."""
+        if first < last:
+            middle = (first + last + 1) // 2
+            return F.when(runs[middle][0] <= key, counted(middle, last)).otherwise(counted(first, middle - 1))
+        rest = runs[first][1:]  # the first one was compared on the way
+        inside = F.size(F.filter(F.array(*rest), lambda b: b <= key)) if rest else F.lit(0)
+        return F.lit(first * width + 1) + inside
+
+    return F.when(runs[0][0] <= key, counted(0, len(runs) - 1)).otherwise(F.lit(0))

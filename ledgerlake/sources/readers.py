@@ -6,7 +6,7 @@ from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,11 +30,16 @@ def read_jdbc(
     options: Mapping[str, str],
     table: str,
     partition: tuple[str, int, int, int] | None = None,
+    predicates: Sequence[str] = (),
 ) -> DataFrame:
     """Snapshot of a table; `partition` is (column, lower, upper, number of readers).
 
-    Without it one task reads the whole table, which is for small tables only.
+    `predicates`, as `key_ranges` makes them, give each reader its rows instead. With neither,
+    one task reads the whole table, which is for small tables only.
     """
+    if predicates:
+        rest = {k: v for k, v in options.items() if k != "url"}
+        return spark.read.jdbc(options["url"], table, predicates=list(predicates), properties=rest)
     reader = spark.read.format("jdbc").options(**options).option("dbtable", table)
     if partition:
         reader = reader.options(**jdbc_split(*partition))
@@ -51,6 +56,32 @@ def jdbc_split(column: str, lower: int, upper: int, readers: int) -> dict[str, s
     }
 
 
+def key_ranges(known: DataFrame, column: str, readers: int) -> list[str]:
+    """At most `readers` predicates on an integral or date column, disjoint and complete.
+
+    Equal steps between the least and the largest key leave most readers idle where keys are
+    sparse or in clusters, so the bounds are quantiles of the keys in `known`, such as the
+    last snapshot. Every row of the table, also one with a newer, a smaller or a null key,
+    meets exactly one predicate; only how even the ranges are depends on `known`. They are
+    plain comparisons, so a database can use its index.
+    """
+    kind = known.schema[column].dataType
+    if not isinstance(kind, T.IntegralType | T.DateType):
+        raise ValueError(f"{column} is neither integral nor a date")
+    steps = [i / readers for i in range(1, readers)]
+    bounds = []
+    if steps:
+        # more accurate than a reader's share, so that no range takes the keys of several
+        accuracy = max(10_000, 20 * readers)
+        cut = F.percentile_approx(column, steps, accuracy)
+        bounds = sorted(set(known.select(cut.alias("cut")).first().cut or ()))
+    if not bounds:
+        return ["1 = 1"]
+    texts = [f"DATE '{bound}'" if isinstance(kind, T.DateType) else str(bound) for bound in bounds]
+    between = [f"{column} >= {low} AND {column} < {high}" for low, high in zip(texts, texts[1:], strict=False)]
+    return [f"{column} < {texts[0]} OR {column} IS NULL", *between, f"{column} >= {texts[-1]}"]
+
+
 def read_documents(
     spark: SparkSession, location: str | Mapping[str, str], schema: T.StructType | None = None
 ) -> DataFrame:
@@ -61,6 +92,41 @@ def read_documents(
     return reader.json(location)
 
 
+def read_variants(spark: SparkSession, location: str, name: str = "document") -> DataFrame:
+    """Documents of JSON lines as variants in column `name`, beside their text in `raw`.
+
+    A variant keeps whatever a document has, so nothing is inferred from all files before
+    the job starts, and a field that is a number in one document and a text in the next is
+    no error. A line that is not JSON has a null variant and is still there in `raw`.
+    """
+    lines = spark.read.text(location).where("trim(value) <> ''")
+    return lines.select(F.try_parse_json("value").alias(name), F.col("value").alias("raw"))
+
+
+def take(document: Column | str, kind: str, *paths: str) -> Column:
+    """The first of the fields at `paths` that is there and can be read as `kind`, else null.
+
+    Nested values are read as text by `kind` "string", which gives their JSON.
+    """
+    given = F.col(document) if isinstance(document, str) else document
+    return F.coalesce(*[F.try_variant_get(given, path, kind) for path in paths])
+
+
+def flatten(documents: DataFrame, fields: Mapping[str, tuple[str, ...]], name: str = "document") -> DataFrame:
+    """Columns from (type, path, …) of each field; unreadable documents are left out.
+
+    They are counted and set aside by `unreadable`.
+    """
+    readable = documents.where(F.col(name).isNotNull())
+    return readable.select([take(name, kind, *paths).alias(to) for to, (kind, *paths) in fields.items()])
+
+
+def unreadable(documents: DataFrame, name: str = "document") -> DataFrame:
+    """Lines that are no documents, with the reason dead letters are written with."""
+    bad = documents.where(F.col(name).isNull())
+    return bad.select(F.col("raw"), F.lit("not a JSON document").alias("reason"))
+
+
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """CSV with a header and a declared schema, so that codes keep their zeros."""
     return spark.read.schema(schema).option("header", "true").csv(path)

@@ -229,3 +229,39 @@ def test_views(spark):
     readers.register_views({"v_one": spark.range(2)})
     assert spark.sql("SELECT count(*) FROM v_one").first()[0] == 2
     assert ts("2024-01-01").year == 2024
+
+
+def test_key_ranges_are_even_disjoint_and_complete(spark):
+    keys = spark.range(4000).selectExpr("IF(id % 10 = 0, NULL, id * id * 1000) AS k")
+    ranges = readers.key_ranges(keys, "k", 8)
+    assert len(ranges) == 8
+    met = keys.select([F.coalesce(F.expr(r), F.lit(False)).cast("int").alias(f"r{i}") for i, r in enumerate(ranges)])
+    assert met.where(sum(F.col(c) for c in met.columns) != 1).count() == 0
+    sizes = met.agg(*[F.sum(c) for c in met.columns]).first()
+    assert max(sizes[1:]) < 500 and sizes[0] < 900  # the first also reads the 400 null keys
+
+
+def test_key_ranges_of_dates_repeated_keys_and_nothing(spark):
+    days = spark.range(100).selectExpr("date_add(DATE '2024-01-01', CAST(id AS int)) AS d", "7 AS k")
+    assert readers.key_ranges(days, "d", 2) == ["d < DATE '2024-02-19' OR d IS NULL", "d >= DATE '2024-02-19'"]
+    assert readers.key_ranges(days, "k", 4) == ["k < 7 OR k IS NULL", "k >= 7"]
+    assert readers.key_ranges(days.where("false"), "k", 4) == ["1 = 1"] == readers.key_ranges(days, "k", 1)
+
+
+def test_variants_survive_drift_and_broken_lines(spark, tmp_path):
+    lines = [
+        '{"_id":1,"place":{"lat":1.5},"score":7}',
+        '{"_id":"2","place":"Hanoi","score":"8.5"}',
+        '{"_id":"3","where":"Hue","score":{"kind":"none"}}',
+        "{broken",
+        "",
+        "null",
+    ]
+    (tmp_path / "d.json").write_text("\n".join(lines))
+    documents = readers.read_variants(spark, str(tmp_path / "d.json"))
+    fields = {"_id": ("string", "$._id"), "place": ("string", "$.place", "$.where"), "score": ("double", "$.score")}
+    got = sorted(map(tuple, readers.flatten(documents, fields).collect()), key=repr)
+    assert got == sorted(
+        [("1", '{"lat":1.5}', 7.0), ("2", "Hanoi", 8.5), ("3", "Hue", None), (None, None, None)], key=repr
+    )
+    assert [r.raw for r in readers.unreadable(documents).collect()] == ["{broken"]
