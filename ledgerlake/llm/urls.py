@@ -1,10 +1,12 @@
 """URL filter: host-suffix and path-prefix expressions, hash-prefix join, digest check.
 
-Every distinct address is expanded into the expressions a rule could have, that is the last
-labels of its host joined with the head of its path, for the shapes (number of labels,
-length of path) that occur among the rules. Expressions meet the rules in an equi-join on
-the first 32 bits of their SHA-256; the full digest then confirms, and the longest rule
-wins (host and path together; of equal ones a block wins).
+Every distinct host is expanded into its suffixes, which meet the hosts of the rules in an
+equi-join on the first 32 bits of their SHA-256; the full digest confirms. An address of such
+a host is then expanded into the expressions a rule could have: the suffix joined with the
+head of its path, for the lengths that the rules of that suffix have and no others. They
+meet the rules in the same way, and the longest rule wins (host and path together; of equal
+ones a block wins). Work follows the rules that can apply to a host, not the number of
+different shapes in the whole list, which has no limit.
 
 Defined cases: a null address, or one without `://`, has an empty host and path, and only
 the default judges it. Host and path are taken as written, ports and user names included,
@@ -21,8 +23,6 @@ from ledgerlake.llm.common import carried, lower_ascii, quoted
 
 MADE = ("host", "path", "rule", "verdict")
 PREFIX_DIGITS = 8  # hexadecimal digits of the digest that the join compares
-#: Shapes come from the rules, not from the pages; more than this many is taken as an error.
-MAX_SHAPES = 4096
 
 
 def split_address(address: Column) -> tuple[Column, Column]:
@@ -38,45 +38,55 @@ def _digest(text: Column) -> Column:
 
 
 def compiled(rules: DataFrame) -> DataFrame:
-    """Rules (action, host, path) with digest, join key, shape and weight."""
+    """Rules (action, host, path) with digest, join key, host, labels and length of path."""
     host, path = lower_ascii(F.col("host")), F.col("path")
     text = F.concat(host, path)
     return (
         rules.where("action is not null and host is not null and path is not null")
         .select(
             text.alias("rule"),
+            host.alias("host"),
             F.col("action"),
             _digest(text).alias("digest"),
             F.size(F.split(host, "[.]")).alias("labels"),
             F.length(path).alias("reach"),
         )
-        .groupBy("rule", "digest", "labels", "reach")
+        .groupBy("rule", "host", "digest", "labels", "reach")
         .agg(F.max("action").alias("action"))  # of equal rules "block" is above "allow"
         .withColumn("key", F.substring("digest", 1, PREFIX_DIGITS))
     )
 
 
+def _shapes(hosts: DataFrame, ready: DataFrame, most: int) -> DataFrame:
+    """(host, labels, reaches): suffixes that rules have, with the lengths of their paths."""
+    ruled = ready.groupBy("host").agg(F.collect_set("reach").alias("reaches"))
+    ruled = ruled.select(_digest(F.col("host")).alias("full"), "reaches")
+    ruled = ruled.withColumn("key", F.substring("full", 1, PREFIX_DIGITS))
+    labels = F.least(F.size(F.split("host", "[.]")), F.lit(most))
+    suffixes = (
+        hosts.select("host", F.explode(F.sequence(F.lit(1), labels)).alias("labels"))
+        .withColumn("digest", _digest(F.expr("substring_index(host, '.', -labels)")))
+        .withColumn("key", F.substring("digest", 1, PREFIX_DIGITS))
+    )
+    return suffixes.join(ruled, "key").where("digest = full").select("host", "labels", "reaches")
+
+
 def judge(pages: DataFrame, rules: DataFrame, address: str = "url", default: str = "allow") -> DataFrame:
     """The pages with host, path, the rule that decides (else null) and the verdict."""
     names = carried(pages, None, MADE)
     host, path = split_address(quoted(address))
     pages = pages.select(*[quoted(n) for n in names], host.alias("host"), path.alias("path"))
     ready = compiled(rules)
-    shapes = [tuple(r) for r in ready.select("labels", "reach").distinct().limit(MAX_SHAPES + 1).collect()]
-    if len(shapes) > MAX_SHAPES:
-        raise ValueError(f"the rules have more than {MAX_SHAPES} shapes")
-    if not shapes:
+    most = ready.agg(F.max("labels")).first()[0]
+    if most is None:
         return pages.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
-    wanted = F.array(*[F.struct(F.lit(a).alias("labels"), F.lit(b).alias("reach")) for a, b in sorted(shapes)])
+    addresses = pages.select("host", "path").distinct()
+    shapes = _shapes(addresses.select("host").distinct(), ready, most)
+    # a host with very many addresses is split on their side
     expressions = (
-        pages.select("host", "path")
-        .distinct()
-        .withColumn("shape", F.explode(wanted))
-        .where("shape.labels <= size(split(host, '[.]')) and shape.reach <= length(path)")
-        .withColumn(
-            "digest",
-            _digest(F.expr("concat(substring_index(host, '.', -shape.labels), left(path, shape.reach))")),
-        )
+        addresses.join(shapes, "host")
+        .withColumn("reach", F.explode(F.expr("filter(reaches, r -> r <= length(path))")))
+        .withColumn("digest", _digest(F.expr("concat(substring_index(host, '.', -labels), left(path, reach))")))
         .select("host", "path", F.substring("digest", 1, PREFIX_DIGITS).alias("key"), "digest")
     )
     rules_side = ready.select("key", F.col("digest").alias("full"), "rule", "action")

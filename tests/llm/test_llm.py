@@ -669,3 +669,21 @@ def test_repeated_passages_awkward_rows(spark, awkward, nothing):
     assert [(r.n_words, r.n_removed) for r in rows if r.doc_id == 1] == [(17, 17)] * 2
     assert {r.doc_id: r.text for r in rows}[2] is None and {r.doc_id: r.n_removed for r in rows}[4] == 30_000
     assert substrings.remove_repeats(nothing).count() == 0
+
+
+def test_url_rules_of_any_number_of_shapes(spark):
+    """More (labels, length) pairs than a list of shapes could hold; one host has most addresses."""
+    made = [("block" if n % 3 else "allow", ".".join(["s"] * (n % 11)) + ".hot.net".lstrip("." if n % 11 == 0 else ""), "p" * (n // 11)) for n in range(5000)]
+    made = [(a, h.lstrip("."), "/" + p) for a, h, p in made]
+    rules = spark.createDataFrame(made, "action string, host string, path string")
+    hosts = ["hot.net", "s.s.hot.net", "x.s.hot.net", "s.s.s.s.s.s.s.s.s.s.s.hot.net", "hot.com", "shot.net"]
+    pages = [(n, f"http://{hosts[n % 6]}/{'p' * (n * 7 % 500)}?q") for n in range(600)]
+    df = spark.createDataFrame(pages, "page_id long, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in urls.judge(df, rules).collect()}
+    for n, url in pages:
+        host, path = url.removeprefix("http://").removesuffix("?q").split("/", 1)
+        fits = [
+            (len(h + p), a, h + p) for a, h, p in made if (host == h or host.endswith("." + h)) and f"/{path}".startswith(p)
+        ]
+        best = max(fits, default=None)
+        assert got[n] == ((best[2], best[1]) if best else (None, "allow"))
