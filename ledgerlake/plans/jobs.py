@@ -24,14 +24,18 @@ from ledgerlake.schemas import SILVER, Table
 from ledgerlake.session import cut_lineage, tune
 from ledgerlake.sinks.writers import append_bronze, load_serving, sorted_rows, write_dead_letters
 from ledgerlake.sources.readers import (
+    flatten,
     if_exists,
+    key_ranges,
     read_changes,
     read_csv,
     read_documents,
     read_jdbc,
+    read_variants,
     register_views,
     scan_bronze,
     scan_bronze_day,
+    unreadable,
 )
 from ledgerlake.sources.tables import (
     RETENTION_HOURS,
@@ -285,11 +289,23 @@ def stream(
 
 
 def reader(spark: SparkSession, source: Mapping[str, object]) -> Callable[[], DataFrame]:
-    """The reader a job's settings describe: jdbc, documents or csv."""
+    """The reader a job's settings describe: jdbc, documents or csv.
+
+    A jdbc source with `ranges` (column, readers, and the Bronze folder of its snapshots as
+    `known`) is read by quantiles of the keys landed so far, and at the first time, when
+    there are none, by its `partition`. Documents with `fields` (type and paths by column)
+    are read as variants.
+    """
     kind = source["kind"]
     if kind == "jdbc":
         split = source.get("partition")
-        return lambda: read_jdbc(spark, source["options"], source["table"], tuple(split) if split else None)
+        even = tuple(split) if split else None
+        ranges = source.get("ranges")
+        return lambda: read_jdbc(
+            spark, source["options"], source["table"], even, known_ranges(spark, **ranges) if ranges else ()
+        )
+    if kind == "documents" and "fields" in source:
+        return lambda: _fields_of(spark, source)
     if kind == "documents":
         schema = T._parse_datatype_string(source["schema"]) if "schema" in source else None
         return lambda: read_documents(spark, source["location"], schema)
@@ -298,6 +314,27 @@ def reader(spark: SparkSession, source: Mapping[str, object]) -> Callable[[], Da
     raise ValueError(f"unknown kind of source: {kind}")
 
 
+def known_ranges(spark: SparkSession, column: str, readers: int, known: str) -> list[str]:
+    """Predicates for `readers` even ranges by the snapshots in `known`; none without a snapshot."""
+    landed = if_exists(lambda: spark.read.parquet(known).select(column))
+    return key_ranges(landed, column, readers) if landed is not None else []
+
+
+def _fields_of(spark: SparkSession, source: Mapping[str, object]) -> DataFrame:
+    """Columns of documents; lines that are none are noted in the folder `unreadable`.
+
+    The note has a line's digest and length, not its bytes, which stay where they were read.
+    It is of the last run, so that a repeated one does not count them twice.
+    """
+    documents = read_variants(spark, source["location"])
+    if "unreadable" in source:
+        notes = unreadable(documents).select(
+            F.sha2("raw", 256).alias("digest"), F.octet_length("raw").alias("bytes"), "reason"
+        )
+        write_dead_letters(notes, source["unreadable"], "overwrite")
+    return flatten(documents, {to: tuple(field) for to, field in source["fields"].items()})
+
+
 def configured(settings: Mapping[str, object], folders: Mapping[str, str]) -> Lake:
     """A lake with the rules (SQL text by label), policies and serving options of a settings file."""
     rules = {t: {label: F.expr(text) for label, text in own.items()} for t, own in settings.get("rules", {}).items()}

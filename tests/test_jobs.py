@@ -149,3 +149,26 @@ def test_serving_questions(spark):
         "customer_id long, customer_name string, total_transactions long, total_amount_spent double, average_transaction_amount double",
     )
     assert [r[0] for r in gold.top_spenders(summary, 3).collect()] == ["c3", "c7", "c2"]
+
+
+def test_drifting_documents_are_ingested_by_their_fields(spark, lake, tmp_path):
+    folder = tmp_path / "documents"
+    folder.mkdir()
+    (folder / "a.json").write_text('{"_id":"a","place":{"k":1}}\n{"_id":2,"place":"Hue"}\n{"_id":')
+    source = {
+        "kind": "documents", "location": str(folder), "unreadable": str(tmp_path / "notes"),
+        "fields": {"_id": ["string", "$._id"], "place": ["string", "$.place"]},
+    }
+    for _ in range(2):
+        assert jobs.ingest(lake, {"mongo/logins": jobs.reader(spark, source)}, "2024-01-01") == {"mongo/logins": 2}
+    landed = spark.read.parquet(f"{lake.bronze}/mongo/logins")
+    assert rows(landed, "_id", "place") == [("2", "Hue"), ("a", '{"k":1}')]
+    notes = spark.read.parquet(str(tmp_path / "notes"))
+    assert notes.columns == ["digest", "bytes", "reason"] and [r.bytes for r in notes.collect()] == [7]
+
+
+def test_ranges_come_from_the_snapshots_landed_so_far(spark, lake):
+    base = f"{lake.bronze}/postgres/cards"
+    assert jobs.known_ranges(spark, "id", 4, base) == []
+    append_bronze(spark.range(1, 101), base, "2024-01-01")
+    assert jobs.known_ranges(spark, "id", 2, base) == ["id < 50 OR id IS NULL", "id >= 50"]
