@@ -39,6 +39,14 @@ def carried(df: DataFrame, carry: Sequence[str] | None, made: Sequence[str]) ->
     return [name for name in names if name not in set(made)]
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """A name for a helper column that no column of df has."""
+    taken = {column.lower() for column in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def schema_of(df: DataFrame, names: Sequence[str], made: str) -> T.StructType:
     """The types of `names` in df, followed by the columns declared in `made`."""
     kinds = {field.name: field for field in df.schema.fields}

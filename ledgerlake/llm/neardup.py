@@ -53,6 +53,7 @@ from ledgerlake.llm.common import (
     runs,
     schema_of,
     texts_of,
+    unused,
     window_hashes,
 )
 from ledgerlake.llm.decontaminate import words_of
@@ -516,19 +517,20 @@ def keep_one(docs: DataFrame, ident: str = "doc_id", text: str = "text") -> Data
     """
     slim = docs.select(quoted(ident).alias("_id"), quoted(text).cast("string").alias("text"))
     known = _known(_contents(slim, "text"), slim)
+    held = unused(docs, "_content")
     # of the contents that hold the class's smallest id, the smallest
-    chosen = known.where(F.col("least").eqNullSafe(F.col("name"))).groupBy("root").agg(F.min("content").alias("_content"))
+    chosen = known.where(F.col("least").eqNullSafe(F.col("name"))).groupBy("root").agg(F.min("content").alias(held))
     columns = docs.columns
     names = [quoted(n) for n in columns]
 
     def add(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches(rows):
             content = [content_of(words_of(t), t) for t in texts_of(batch.column(name))]
-            yield beside(batch, columns, {"_content": pa.array(content, pa.binary())})
+            yield beside(batch, columns, {held: pa.array(content, pa.binary())})
 
     given, name = carried_text(docs, columns, text)
-    keyed = given.mapInArrow(add, schema_of(docs, columns, "_content binary"))
-    alone = keyed.where("_content is null").select(*names)
+    keyed = given.mapInArrow(add, schema_of(docs, columns, f"{held} binary"))
+    alone = keyed.where(f"{held} is null").select(*names)
     row = F.min(F.struct(quoted(ident).isNull(), quoted(ident), F.struct(*names).alias("row"))).alias("best")
-    first = keyed.where("_content is not null").groupBy("_content").agg(row)
-    return alone.unionByName(first.join(chosen.select("_content"), "_content").select("best.row.*"))
+    first = keyed.where(f"{held} is not null").groupBy(held).agg(row)
+    return alone.unionByName(first.join(chosen.select(held), held).select("best.row.*"))

@@ -51,6 +51,7 @@ from ledgerlake.llm.common import (
     schema_of,
     sliding_min,
     texts_of,
+    unused,
     window_hashes,
 )
 from ledgerlake.session import cut_lineage
@@ -213,6 +214,8 @@ def remove_repeats(
     if window <= PHRASE:
         raise ValueError(f"a window has more than {PHRASE} words")
     names = carried(docs, carry, ["n_words", "n_removed", kept])
+    # helper columns that documents cannot have; `confirmed` uses plain names on its own rows
+    ended, left_over, begun, numbered = (unused(docs, n) for n in ("_done", "_left", "_starts", "_row"))
     context = docs.sparkSession.sparkContext
     shards = [
         (uuid.uuid4().hex, context.broadcast(shard))
@@ -243,22 +246,23 @@ def remove_repeats(
             starts.append(begin.astype("<i4").tobytes() if len(begin) else None)
         made = {
             "n_words": pa.array(size, pa.int64()),
-            "_done": pa.array(done, pa.string()),
-            "_left": pa.array(left, pa.binary()),
-            "_starts": pa.array(starts, pa.binary()),
+            ended: pa.array(done, pa.string()),
+            left_over: pa.array(left, pa.binary()),
+            begun: pa.array(starts, pa.binary()),
         }
         return beside(batch, names, made)
 
-    made = "n_words long, _done string, _left binary, _starts binary"
+    made = f"n_words long, {ended} string, {left_over} binary, {begun} binary"
     sorted_out = prefix(docs, names, text).mapInArrow(locate, schema_of(docs, names, made))
-    stored = cut_lineage(sorted_out.withColumn("_row", F.monotonically_increasing_id()), "located")
-    affected = stored.where("_starts is not null")
-    spans = confirmed(affected.select("_row", "_left", "_starts"), window)
+    stored = cut_lineage(sorted_out.withColumn(numbered, F.monotonically_increasing_id()), "located")
+    affected = stored.where(f"{begun} is not null")
+    slim = affected.select(*[F.col(n).alias(to) for n, to in ((numbered, "_row"), (left_over, "_left"), (begun, "_starts"))])
+    spans = confirmed(slim, window).select(F.col("_row").alias(numbered), F.col("starts").alias(begun))
 
     def cut(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             removed, out = [], []
-            for data, starts in zip(texts_of(batch.column("_left")), batch.column("starts").to_pylist(), strict=True):
+            for data, starts in zip(texts_of(batch.column(left_over)), batch.column(begun).to_pylist(), strict=True):
                 words = data.split()
                 stay = np.ones(len(words), bool)
                 for s in starts or ():
@@ -268,9 +272,9 @@ def remove_repeats(
             yield beside(batch, [*names, "n_words"], {"n_removed": pa.array(removed, pa.int64()), kept: pa.array(out, pa.string())})
 
     schema = schema_of(stored, [*names, "n_words"], f"n_removed long, `{kept}` string")
-    rest = affected.join(spans, "_row", "left").mapInArrow(cut, schema)
-    whole = stored.where("_starts is null").select(
-        *[quoted(n) for n in names], "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("_done").alias(kept)
+    rest = affected.drop(begun).join(spans, numbered, "left").mapInArrow(cut, schema)
+    whole = stored.where(f"{begun} is null").select(
+        *[quoted(n) for n in names], "n_words", F.lit(0).cast("long").alias("n_removed"), F.col(ended).alias(kept)
     )
     return whole.union(rest)
 

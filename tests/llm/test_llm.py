@@ -687,3 +687,18 @@ def test_url_rules_of_any_number_of_shapes(spark):
         ]
         best = max(fits, default=None)
         assert got[n] == ((best[2], best[1]) if best else (None, "allow"))
+
+
+def test_columns_named_like_helpers_come_through(spark):
+    """Columns that op8 and op10 use inside, in any case, keep their values."""
+    words = " ".join(f"w{n}" for n in range(60))
+    data = [(1, words, "a", "b", 7, b"s", "d"), (2, words, "c", "d", 8, None, None), (3, "short text", None, "f", 9, b"", "e")]
+    docs = spark.createDataFrame(
+        data, "doc_id long, text string, _content string, _LEFT string, _row int, _starts binary, _done string"
+    )
+    kept = sorted(map(tuple, neardup.keep_one(docs).collect()))
+    assert kept == [data[0], data[2]]
+    cut = substrings.remove_repeats(docs).orderBy("doc_id")
+    extra = ["_content", "_LEFT", "_row", "_starts", "_done"]
+    assert [tuple(r) for r in cut.select("doc_id", *extra).collect()] == [(d[0], *d[2:]) for d in data]
+    assert [(r.n_words, r.n_removed, r.text) for r in cut.collect()] == [(60, 60, ""), (60, 60, ""), (2, 0, "short text")]
