@@ -36,14 +36,17 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.latest import latest_by
+from ledgerlake.operators.latest import latest_by, top_n_by
 
 SUCCESS = "_SUCCESS"
 DELETED = "_deleted"
-TARGET_BYTES = 1 << 30
+# a file is written by one task, which is sent its rows: several times what they take when stored
+TARGET_BYTES = 32 << 20
 RETENTION_HOURS = 168
 FOLDED = "_folded"
 MOST_BUCKETS = 4096
+# parts of this share of the first write and more are merged with it in one exchange
+MOST_PARTS = 2
 _BUCKET = "_bucket_"
 _WRITE = "_v"
 
@@ -188,28 +191,43 @@ def _live(df: DataFrame) -> DataFrame:
 
 
 def _state(
-    spark: SparkSession, active: Sequence[Version], keys: Sequence[str], order: Sequence[str] | None
+    spark: SparkSession,
+    active: Sequence[Version],
+    keys: Sequence[str],
+    order: Sequence[str] | None,
+    files: int | None = None,
 ) -> DataFrame:
-    """The first write with the others on top; each holds a key once."""
+    """The first write with the others on top; each holds a key once.
+
+    Small parts take their keys' rows out of the first write, which does not move otherwise.
+    With `files` the whole state is spread over so many partitions.
+    """
     base, parts = spark.read.parquet(active[0].path), list(active[1:])
     if not parts:
-        return base.drop(*_bucket_columns(base))
+        base = base.drop(*_bucket_columns(base))
+        return base.repartition(files) if files else base
     if not keys:
         raise ValueError("a table with parts is read by its keys")
     merged = read_parts(spark, parts)
     alone = None
     buckets = _bucket_columns(base)
-    if len(buckets) == 1 and buckets == _bucket_columns(merged):
+    if not files and len(buckets) == 1 and buckets == _bucket_columns(merged):
         # folder names tell which buckets the parts touch; the scan skips the others' files here
         touched = sorted(_buckets_of(spark, parts))
         alone = base.where(~F.col(buckets[0]).isin(touched)).drop(*buckets)
         base = base.where(F.col(buckets[0]).isin(touched))
     base, merged = base.drop(*buckets), merged.drop(*_bucket_columns(merged))
+    if files or _bytes_of(spark, parts) * MOST_PARTS >= _bytes(spark, active[0].path):
+        # most rows are compared or rewritten anyway: all move once, and are sorted only then
+        rows = base.withColumn(_WRITE, F.lit("")).unionByName(merged, allowMissingColumns=True)
+        spread = rows.repartition(files, *keys) if files else rows.repartition(*keys)
+        state = top_n_by(spread, keys, _precedence(order), 1).drop(_WRITE)
+        return state if alone is None else state.unionByName(alone, allowMissingColumns=True)
     changed = merged.select(*keys).distinct()
     untouched = base.join(changed, list(keys), "left_anti")
     contested = base.join(changed, list(keys), "left_semi").withColumn(_WRITE, F.lit(""))
     rows = contested.unionByName(merged, allowMissingColumns=True)
-    newest = latest_by(rows, keys, _precedence(order)).drop(_WRITE)
+    newest = top_n_by(rows, keys, _precedence(order), 1).drop(_WRITE)
     state = untouched.unionByName(newest, allowMissingColumns=True)
     return state if alone is None else state.unionByName(alone, allowMissingColumns=True)
 
@@ -246,12 +264,17 @@ def read_parts(spark: SparkSession, parts: Sequence[Version]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), scans)
 
 
+def _bytes_of(spark: SparkSession, parts: Sequence[Version]) -> int:
+    return sum(_bytes(spark, v.path) for v in parts)
+
+
 def _bytes(spark: SparkSession, path: str) -> int:
     fs, location = _files(spark, path)
     return fs.getContentSummary(location).getLength()
 
 
 def _precedence(order: Sequence[str] | None) -> list[Column]:
+    """Total, as no write holds a key twice: columns that a reader leaves out are not read for it."""
     if not order:  # the last write wins
         return [F.desc(_WRITE)]
     # the newer row wins, whenever it was written; a tie is a repeat of the same change or
@@ -335,7 +358,6 @@ def _write(
     df: DataFrame,
     path: str,
     name: str,
-    files: int | None = None,
     keys: Sequence[str] = (),
     buckets: int | None = None,
 ) -> Written:
@@ -347,8 +369,6 @@ def _write(
         folders = [f"{_BUCKET}{buckets}"]
         # even files: small buckets share a task, a large one is split
         df = df.withColumn(folders[0], bucket_of(keys, buckets)).hint("rebalance", folders[0])
-    elif files:
-        df = df.repartition(files)
     rows = df.observe(seen, F.count(F.lit(1)).alias("rows"))
     rows.write.partitionBy(*folders).mode("overwrite").parquet(f"{path}/{name}")
     return Written(_number(name), seen.get["rows"])
@@ -466,12 +486,11 @@ def compact(
         return DeltaTable.forPath(spark, path).history(1).select("version").first()["version"]
     found = versions(spark, path)
     active = in_force(spark, found)
-    size = sum(_bytes(spark, v.path) for v in active)
-    state = _state(spark, active, keys, order)
+    files = None if buckets else max(1, math.ceil(_bytes_of(spark, active) / target_bytes))
+    state = _state(spark, active, keys, order, files)
     if forget_deleted and DELETED in state.columns:
         state = state.where(~F.col(DELETED))
-    files = max(1, math.ceil(size / target_bytes))
-    return _write_full(state, path, found, files=files, keys=keys, buckets=buckets).version
+    return _write_full(state, path, found, keys=keys, buckets=buckets).version
 
 
 def vacuum(
