@@ -20,7 +20,7 @@ LIVE = f"""SELECT id, kind AS name, amount AS total_debt, epoch_ms(ts_ms) AS cre
 
 def follow(bank: Bank, source: str, path: str, checkpoint: str, dead_letters: str, **more) -> None:
     """Stream the topic folder into the table until its present end is reached."""
-    stream = readers.read_changes(bank.spark, {"path": source, "maxFilesPerTrigger": "2"})
+    stream = readers.read_changes(bank.spark, topic.in_halves(bank, source))
     running = queries.start_upsert(
         stream, path, topic.TABLE, topic.SCHEMAS, checkpoint, dead_letters, queries.ONCE, **more
     )

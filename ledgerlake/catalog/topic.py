@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +14,8 @@ from ledgerlake.streaming.changes import wire_schema
 
 TABLE = SILVER["silver_postgres_customers"]
 FILES = 4
+# a file is one task's work when it is written and again when a stream reads it
+ROWS_PER_FILE = 250_000
 # the second writer version has renamed nothing but no longer sends the amount as text
 FIRST = struct("id long, name string, op string, ts_ms long, created_at long, total_debt string")
 SECOND = struct("id long, name string, total_debt double, op string, ts_ms long, created_at long")
@@ -67,10 +71,20 @@ def messages(bank: Bank) -> DataFrame:
     )
 
 
+def files(bank: Bank) -> int:
+    """How many files the messages are stored in: an even number that grows with the events."""
+    return max(FILES, 2 * math.ceil(bank.table("events").count() / (2 * ROWS_PER_FILE)))
+
+
+def in_halves(bank: Bank, folder: str) -> dict[str, str]:
+    """Reader options for a topic folder of which a stream takes half the files at once."""
+    return {"path": folder, "maxFilesPerTrigger": str(files(bank) // 2)}
+
+
 def write_topic(bank: Bank, folder: str, part: Column | None = None, mode: str = "append") -> str:
     """Store the messages, or those `part` selects, as files a stream can follow."""
     rows = messages(bank) if part is None else messages(bank).where(part)
-    rows.repartitionByRange(FILES, "offset").write.mode(mode).parquet(folder)
+    rows.repartitionByRange(files(bank), "offset").write.mode(mode).parquet(folder)
     return folder
 
 

@@ -43,6 +43,15 @@ def decode(messages: DataFrame, table: Table, schemas: Mapping[int, T.StructType
     return decode_payload(framed, schemas, wire_schema(table), format=format)
 
 
+def lean(decoded: DataFrame, table: Table) -> DataFrame:
+    """Decoded messages to be kept: a good one is its data, only a letter keeps its bytes."""
+    letter = F.col("problem").isNotNull()
+    for key in table.keys:
+        letter = letter | F.col(f"data.{key}").isNull()
+    kept = [name for name in ("key", "value", "payload") if name in decoded.columns]
+    return decoded.withColumns({name: F.when(letter, F.col(name)) for name in kept})
+
+
 def split(decoded: DataFrame, table: Table) -> tuple[DataFrame, DataFrame]:
     """(Silver rows with version columns, messages for the dead-letter folder).
 

@@ -18,7 +18,7 @@ from ledgerlake.schemas import SILVER, Table
 from ledgerlake.sinks.writers import write_dead_letters
 from ledgerlake.sources.readers import TOPIC
 from ledgerlake.sources.tables import upsert_table
-from ledgerlake.streaming.changes import DELETED, VERSION, decode, split
+from ledgerlake.streaming.changes import DELETED, VERSION, decode, lean, split
 
 # Cadence of the Silver streams and the score that raises an alert.
 EVERY_FIVE_MINUTES = {"processingTime": "5 minutes"}
@@ -52,7 +52,7 @@ def merge_batch(
     def apply(messages: DataFrame, batch_id: int) -> None:
         if messages.isEmpty():
             return
-        decoded = decode(messages, table, schemas, format).persist()
+        decoded = lean(decode(messages, table, schemas, format), table).persist()
         try:
             rows, bad = split(decoded, table)
             held = {name: rule | F.col(DELETED) for name, rule in (rules or {}).items()}
