@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.operators.latest import row_hash
 from ledgerlake.operators.quality import Rules, with_reasons
-from ledgerlake.session import new_folder
+from ledgerlake.session import cut_lineage, new_folder
 
 REASONS = "reasons"
 COPIES = "copies"
@@ -80,23 +80,35 @@ class Quarantine:
 def repeated_keys(df: DataFrame, rule: Unique) -> DataFrame:
     """Keys held by several rows, and the order of the row that stays (null if none does)."""
     whole = df.dropna(subset=list(rule.keys))
-    newest = F.max(_rank(df, rule)) if rule.keep is not None else F.lit(None)
+    newest = F.max(_rank(df, rule)) if rule.keep is not None else F.lit(None).cast("boolean")
     held = whole.groupBy(*rule.keys).agg(F.count(F.lit(1)).alias("_n"), newest.alias("_newest"))
     return held.where("_n > 1").drop("_n")
 
 
+def missing_keys(df: DataFrame, rule: Reference) -> DataFrame:
+    """Keys that refer to something which the parent does not have."""
+    known = rule.parent.select(F.col(rule.parent_key).alias(rule.key)).distinct()
+    return df.select(rule.key).dropna().distinct().join(known, rule.key, "left_anti")
+
+
 def _rank(df: DataFrame, rule: Unique) -> Column:
     """Total up to identical rows, so that the choice does not depend on partitions."""
     return F.struct(*[F.col(c).alias(f"o{i}") for i, c in enumerate(rule.keep or ())], row_hash(df).alias("h"))
 
 
 def labelled(df: DataFrame, constraints: Constraints) -> DataFrame:
-    """Every row with its reasons and, where it is the newest of a repeated key, `_contested`."""
+    """Every row with its reasons and, where it is the newest of a repeated key, `_contested`.
+
+    The keys that break a rule are stored first. So their size is known, and where they are
+    few, as they should be, they go to the rows instead of all rows moving once for each rule.
+    `df` is read several times, by the columns a rule needs: a view that is dear to evaluate
+    is better stored before.
+    """
     names = df.columns
     own = with_reasons(df, constraints.rows or {}, REASONS)
     out = own.withColumn("_contested", F.array().cast("array<string>"))
     for i, rule in enumerate(constraints.unique):
-        again = repeated_keys(df, rule).select(
+        again = cut_lineage(repeated_keys(df, rule), "repeated").select(
             *[F.col(k).alias(f"_u{i}_{j}") for j, k in enumerate(rule.keys)],
             F.col("_newest").alias(f"_u{i}_newest"),
             F.lit(True).alias(f"_u{i}"),
@@ -110,10 +122,10 @@ def labelled(df: DataFrame, constraints: Constraints) -> DataFrame:
             _more("_contested", first, rule.label),
         )
     for i, rule in enumerate(constraints.references):
-        known = rule.parent.select(F.col(rule.parent_key).alias(f"_r{i}")).distinct()
-        lost = F.col(rule.key).isNotNull() & F.col(f"_r{i}").isNull()
-        out = out.join(known, F.col(rule.key) == F.col(f"_r{i}"), "left").select(
-            *names, _more(REASONS, lost, rule.label), "_contested"
+        lost = cut_lineage(missing_keys(df, rule), "missing")
+        broken = F.col(f"_r{i}").isNotNull()
+        out = out.join(lost.withColumnRenamed(rule.key, f"_r{i}"), F.col(rule.key) == F.col(f"_r{i}"), "left").select(
+            *names, _more(REASONS, broken, rule.label), "_contested"
         )
     return out
 
