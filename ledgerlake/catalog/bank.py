@@ -11,7 +11,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.latest import latest_by
+from ledgerlake.operators.latest import newest_first, top_n_by
 from ledgerlake.session import new_folder, tune
 
 
@@ -36,13 +36,14 @@ class Bank:
     def new_folder(self, name: str) -> str:
         return new_folder(self.spark, name)
 
+    def placed(self, df: DataFrame, key: str) -> DataFrame:
+        """Rows with their nation and region, joined as files, whose sizes the planner knows."""
+        nations = df.join(self.table("nation"), F.col(key) == F.col("n_nationkey"), "left")
+        return nations.join(self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+
     @cached_property
     def customers(self) -> DataFrame:
-        places = self.table("nation").join(
-            self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left"
-        )
-        joined = self.table("customer").join(places, F.col("c_nationkey") == F.col("n_nationkey"), "left")
-        return joined.selectExpr(
+        return self.placed(self.table("customer"), "c_nationkey").selectExpr(
             "c_custkey AS id",
             "c_name AS name",
             "concat(lower(replace(c_name, '#', '.')), '@example.com') AS email",
@@ -88,13 +89,6 @@ class Bank:
             "timestamp(o_orderdate) AS created_at",
         )
 
-    @cached_property
-    def merchants(self) -> DataFrame:
-        places = self.table("nation").join(
-            self.table("region"), F.col("n_regionkey") == F.col("r_regionkey"), "left"
-        )
-        return self.table("supplier").join(places, F.col("s_nationkey") == F.col("n_nationkey"), "left")
-
     @cached_property
     def lines(self) -> DataFrame:
         """Line items of known merchants, with the id their revisions share."""
@@ -102,9 +96,9 @@ class Bank:
         lines = self.table("lineitem").join(known, "l_suppkey", "left_semi")
         return lines.select("*", F.expr("l_orderkey * 10 + l_linenumber").alias("id"))
 
-    def as_transactions(self, lines: DataFrame) -> DataFrame:
-        joined = lines.join(self.merchants, F.col("l_suppkey") == F.col("s_suppkey"), "inner")
-        return joined.selectExpr(
+    def as_transactions(self, lines: DataFrame, *more: str) -> DataFrame:
+        joined = lines.join(self.table("supplier"), F.col("l_suppkey") == F.col("s_suppkey"), "inner")
+        return self.placed(joined, "s_nationkey").selectExpr(
             "id",
             "l_orderkey AS card_id",
             "year(l_shipdate) AS year",
@@ -125,6 +119,7 @@ class Bank:
             "l_partkey",
             "l_suppkey",
             "l_discount",
+            *more,
         )
 
     @cached_property
@@ -135,7 +130,7 @@ class Bank:
     @cached_property
     def revisions(self) -> DataFrame:
         """Current revision per transaction, found on the narrow rows and then widened."""
-        current = latest_by(self.lines, ["id"], ["l_shipdate"], ["l_partkey", "l_suppkey"])
+        current = top_n_by(self.lines, ["id"], newest_first(self.lines, ("l_shipdate", "l_partkey", "l_suppkey")), 1)
         return self.as_transactions(current)
 
     @cached_property
@@ -229,10 +224,9 @@ class Bank:
     @cached_property
     def bronze_transactions(self) -> DataFrame:
         """All revisions as a source delivers them: text amounts, times in epoch micros."""
-        newest = Window.partitionBy("id").orderBy(
-            F.desc("transaction_date"), F.desc("l_partkey"), F.desc("l_suppkey")
-        )
-        dated = self.transactions_raw.withColumn("_rank", F.row_number().over(newest))
+        newest = Window.partitionBy("id").orderBy(F.desc("l_shipdate"), F.desc("l_partkey"), F.desc("l_suppkey"))
+        # ranked as narrow rows and then widened
+        dated = self.as_transactions(self.lines.withColumn("_rank", F.row_number().over(newest)), "_rank")
         return dated.select(
             *[c for c in self.transactions.columns if c not in ("amount", "transaction_date")],
             F.col("amount").cast("string").alias("amount"),

@@ -135,7 +135,7 @@ def loaded_lake(bank: Bank) -> jobs.Lake:
     lake = jobs.Lake(*(f"{folder}/{layer}" for layer in ("bronze", "silver", "gold", "dead")))
     jobs.run_all(
         {
-            source: (lambda s=source, rows=df: write_days(rows, f"{lake.bronze}/{s}"))
+            source: (lambda s=source, rows=df: write_days(rows, f"{lake.bronze}/{s}", few=True))
             for source, df in bank.bronze().items()
         }
     )

@@ -15,8 +15,11 @@ from pyspark.sql import types as T
 
 from ledgerlake.functions.times import to_ts
 from ledgerlake.operators.conform import first_present
+from ledgerlake.session import cut_lineage
 
 _RANK = "_rank"
+# repeated keys that are sent to all tasks; with more of them all rows are exchanged instead
+MOST_REPEATED = 100_000
 
 
 def newest_first(df: DataFrame, names: Sequence[str]) -> list[Column]:
@@ -41,6 +44,24 @@ def latest_by(
     return top_n_by(df, keys, [*columns, row_hash(df)], 1)
 
 
+def latest_of_few(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], ties: Sequence[str] = ()
+) -> DataFrame:
+    """`latest_by` for rows of which few share a key, as in a table's snapshot; keys are not null.
+
+    The repeated keys are found on the keys alone and stored, so their size is known. While
+    they are few, only their rows are exchanged, and all others stay where they were read. Where
+    they are many, a row of them stands for more than one and all rows are reduced by task.
+    """
+    held = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    repeated = cut_lineage(held.where("_n > 1").select(*keys), "repeated")
+    if repeated.count() > MOST_REPEATED:
+        return latest_by(df, keys, order, ties)
+    known = F.broadcast(repeated)
+    newest = latest_by(df.join(known, list(keys), "left_semi").select(df.columns), keys, order, ties)
+    return df.join(known, list(keys), "left_anti").select(df.columns).unionByName(newest)
+
+
 def row_hash(df: DataFrame) -> Column:
     """A number from all columns of a row; maps, which have no order, by their JSON."""
     return F.xxhash64(

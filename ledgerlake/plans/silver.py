@@ -1,8 +1,8 @@
-"""Bronze rows to Silver rows: latest per key, fixed schema. Pure functions."""
+"""Bronze rows to Silver rows: latest per key, fixed schema."""
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 
@@ -11,17 +11,19 @@ from ledgerlake.operators.latest import event_order, latest_by, newest_first
 from ledgerlake.operators.quality import Rules, apply_pii_policy, check, not_null
 from ledgerlake.schemas import SILVER, Table
 
+Newest = Callable[..., DataFrame]
 META = ("load_date", "_deleted", "offset", "ts_ms")
 
 
-def refine(df: DataFrame, table: Table, keep: tuple[str, ...] = ()) -> DataFrame:
+def refine(df: DataFrame, table: Table, keep: tuple[str, ...] = (), newest: Newest = latest_by) -> DataFrame:
     """Deduplicate and conform one source; the same rules for snapshots and streams.
 
     The later load wins, as it does where days are loaded one by one: a correction may move
-    an event's time back. Within a load the later event wins.
+    an event's time back. Within a load the later event wins. `newest` says how the latest
+    row of a key is found.
     """
     loaded = newest_first(df, ("load_date",))
-    latest = latest_by(df, table.keys, [*loaded, *event_order(df, table.order)])
+    latest = newest(df, table.keys, [*loaded, *event_order(df, table.order)])
     return conform(latest, table.schema, table.renames, keep)
 
 

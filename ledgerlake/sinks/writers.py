@@ -24,10 +24,14 @@ def append_bronze(df: DataFrame, path: str, load_date: str | None = None) -> int
     return _replace_days(df.withColumn("load_date", day), path)
 
 
-def write_days(df: DataFrame, path: str) -> int:
-    """Write rows that carry their load_date, replacing exactly the days they hold."""
-    # files of an even size per day: small days share a task, a large one is split
-    return _replace_days(df.hint("rebalance", "load_date"), path)
+def write_days(df: DataFrame, path: str, few: bool = False) -> int:
+    """Write rows that carry their load_date, replacing exactly the days they hold.
+
+    Files are of an even size per day: small days share a task, a large one is split. Where
+    the caller knows of only a `few` days, each task writes its own rows of them instead, and
+    nothing is exchanged.
+    """
+    return _replace_days(df if few else df.hint("rebalance", "load_date"), path)
 
 
 def _replace_days(df: DataFrame, path: str) -> int:
