@@ -111,6 +111,18 @@ def test_word_memory_encodes_like_whole_texts(some):
         assert ids.tolist() == [*whole.encode(text, add_special_tokens=False).ids, 1]
 
 
+def test_letters_take_no_whole_way_through_the_tokenizer():
+    """Normalizing and cutting were most of a new word's work; runs of letters need neither."""
+    encoder, whole, sent = packing.Encoder(tokenizer_path()), Tokenizer.from_file(tokenizer_path()), []
+    ids_of = encoder._ids
+    encoder._ids = lambda texts: sent.extend(texts) or ids_of(texts)
+    text = "Straße, été ÀÉÎ; naïve haus Haus ångström.\n\n  Ÿ ÿ 漢字 e\u0301"
+    (ids,) = encoder([text.encode()], 1)
+    assert ids.tolist() == [*whole.encode(text, add_special_tokens=False).ids, 1]
+    words = {w for group in sent for w in group.split("<|endoftext|>")}
+    assert words == {",", ";", ".", "Ÿ", "漢字", "e\u0301"}
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(1, 50), max_size=60), st.integers(1, 9), st.sampled_from(["norm", "dot"]))
 def test_best_fit_holds_every_capacity(lengths, most, rule):
