@@ -31,7 +31,7 @@ import os
 import re
 import zlib
 from collections.abc import Iterator, Sequence
-from itertools import chain, islice
+from itertools import chain
 from string import ascii_lowercase
 
 import numpy as np
@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerlake.llm.common import Numbered, batches, beside, carried, prefix, quoted, schema_of
+from ledgerlake.llm.common import batches, beside, carried, prefix, quoted, schema_of
 from ledgerlake.session import cut_lineage
 
 MAX_TOKENS = 4096
@@ -96,6 +96,26 @@ class Stretches:
         return self.ids.values[np.repeat(self.starts.values[rows] - before, size) + np.arange(size.sum())]
 
 
+class Known:
+    """Values in the order they were met, as one Arrow column: a few bytes each beside their own."""
+
+    def __init__(self):
+        self.values = pa.array([], pa.large_binary())
+
+    def __len__(self) -> int:
+        return len(self.values)
+
+    def rows(self, given: pa.Array) -> tuple[np.ndarray, list[bytes]]:
+        """The row of each value, and those that were new, in their order."""
+        met = given.dictionary_encode()
+        found = pc.index_in(met.dictionary, self.values)
+        new = met.dictionary.filter(found.is_null())
+        row = found.fill_null(-1).to_numpy().astype(np.int64)
+        row[row < 0] = len(self) + np.arange(len(new))
+        self.values = pa.concat_arrays([self.values, new])
+        return row[met.indices.to_numpy()], new.to_pylist()
+
+
 class Encoder:
     """Ids of texts, with a bounded memory of the words of earlier ones."""
 
@@ -111,8 +131,8 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.known, self.words = pa.array([], pa.large_binary()), Stretches()
-        self.piece_rows, self.pieces = Numbered(), Stretches()
+        self.known, self.words = Known(), Stretches()
+        self.known_pieces, self.pieces = Known(), Stretches()
 
     def _cuts(self) -> bool:
         """Whether words fall into lower-cased runs of letters, single digits and runs of marks."""
@@ -153,9 +173,8 @@ class Encoder:
     def _encode(self, words: list[bytes]) -> None:
         """Append the ids of words, which are new."""
         cut = [self._cut(w) for w in words] if self.cuts else [[w] for w in words]
-        known = len(self.piece_rows)
-        rows = self.piece_rows.rows(list(chain.from_iterable(cut)))
-        self._learn(list(islice(self.piece_rows, known, None)))
+        rows, new = self.known_pieces.rows(pa.array(list(chain.from_iterable(cut)), pa.large_binary()))
+        self._learn(new)
         sizes = self.pieces.sizes.values[rows]
         ends = np.cumsum(np.fromiter(map(len, cut), np.int64, len(cut)))
         of_word = np.diff(np.r_[0, np.cumsum(sizes)][np.r_[0, ends]])  # an empty word has no piece
@@ -192,17 +211,6 @@ class Encoder:
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _rows(self, words: pa.Array) -> np.ndarray:
-        """The row of each word; new words get one."""
-        met = words.dictionary_encode()
-        found = pc.index_in(met.dictionary, self.known)
-        new = met.dictionary.filter(found.is_null())
-        self._encode(new.to_pylist())
-        row = found.fill_null(-1).to_numpy().astype(np.int64)
-        row[row < 0] = len(self.known) + np.arange(len(new))
-        self.known = pa.concat_arrays([self.known, new])
-        return row[met.indices.to_numpy()]
-
     def __call__(self, texts: pa.Array | Sequence[bytes | None], end: int) -> Iterator[np.ndarray]:
         """The ids of each text, followed by the end id."""
         if len(self.known) > self.most:
@@ -210,7 +218,8 @@ class Encoder:
         column = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_binary())
         split = pc.ascii_split_whitespace(column.cast(pa.large_binary()).view(pa.large_string()))
         many = split.value_lengths().fill_null(0).to_numpy()
-        rows = self._rows(split.flatten().view(pa.large_binary()))
+        rows, new = self.known.rows(split.flatten().view(pa.large_binary()))
+        self._encode(new)
         at = 0
         for n in many.tolist():
             yield np.append(self.words.gathered(rows[at : at + n]), np.uint32(end)).astype("<u4")

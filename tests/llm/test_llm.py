@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import sys
 import zlib
 from collections import Counter
 
@@ -111,6 +112,14 @@ def test_word_memory_encodes_like_whole_texts(some):
         assert ids.tolist() == [*whole.encode(text, add_special_tokens=False).ids, 1]
 
 
+def test_encoded_words_are_no_python_objects():
+    """A worker remembers hundreds of thousands of them beside an executor that is nearly full."""
+    encoder = packing.Encoder(tokenizer_path())
+    before = sys.getallocatedblocks()
+    assert len([*encoder([b" ".join(b"w%dz" % i for i in range(50_000))], 1)]) == 1
+    assert len(encoder.known) == 50_000 and sys.getallocatedblocks() - before < 20_000
+
+
 def test_letters_take_no_whole_way_through_the_tokenizer():
     """Normalizing and cutting were most of a new word's work; runs of letters need neither."""
     encoder, whole, sent = packing.Encoder(tokenizer_path()), Tokenizer.from_file(tokenizer_path()), []
