@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerlake.operators.latest import newest_first, top_n_by
-from ledgerlake.session import new_folder, tune
+from ledgerlake.session import cut_lineage, new_folder, tune
 
 
 # opened tables by session and path: a path is listed and its footer read only once
@@ -33,6 +33,12 @@ class Bank:
             _OPENED[key] = self.spark.read.parquet(path)
         return _OPENED[key]
 
+    def settled(self) -> Bank:
+        """The same tables, the current revisions stored once: for queries that write them several times."""
+        own = Bank(self.spark, self.folder)
+        own.revisions = cut_lineage(self.revisions, "revisions")
+        return own
+
     def new_folder(self, name: str) -> str:
         return new_folder(self.spark, name)
 

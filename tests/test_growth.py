@@ -90,3 +90,14 @@ def test_rows_do_not_move_for_rules_that_few_keys_break(spark, tmp_path):
     assert exchanges(df) == []
     broken = df.where("size(reasons) > 0").select("v", F.array_join("reasons", "; "))
     assert len(rows(broken)) == 2 + 20
+
+
+def test_settled_revisions_are_not_found_again(spark):
+    """Both Gold queries that follow changes write them six times."""
+    bank = Bank(spark, FOLDER)
+    own = bank.settled()
+    for name in ("transactions", "fraud"):
+        plan = getattr(own, name)._jdf.queryExecution().optimizedPlan().toString()
+        assert "Window" not in plan and "Join" not in plan
+        assert getattr(own, name).exceptAll(getattr(bank, name)).isEmpty()
+        assert getattr(bank, name).exceptAll(getattr(own, name)).isEmpty()
