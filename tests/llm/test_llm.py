@@ -6,12 +6,14 @@ import hashlib
 import math
 import random
 import sys
+import tracemalloc
 import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
+import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from oracle import compare, connect
@@ -381,6 +383,44 @@ def test_a_chunk_read_by_two_tasks_keeps_its_counts():
     assert (out[-1]["words"], out[-1]["tokens"]) == (5, 19)
 
 
+def test_tokens_of_a_chunk_are_those_of_its_texts():
+    texts = [None, b"", b" \t\n", b"Ab\x0bC\x0c d\r", b"\x00\x1c \xc3\x84B\xc2\xa0 ab", b"x" * 5000, b"\n\nend"]
+    expected = [t for text in texts for t in [*lm.tokens_of(text), lm.END]]
+    tokens, many = lm._read(texts)
+    assert tokens.to_pylist() == expected
+    assert many.tolist() == [len(lm.tokens_of(t)) + 1 for t in texts]
+    hashes, at = lm._words(tokens)
+    assert len(hashes) == len(set(expected))  # a word that recurs is hashed once
+    assert hashes[at].tolist() == [xxhash.xxh3_64_intdigest(t) for t in expected]
+
+
+def test_marked_keys_are_counted_by_one_sort():
+    keys = np.array([8, 2, 8, 6, 2, 8], np.uint64)
+    found, n = lm._learnt(keys, np.array([1, 0, 1, 1, 0, 0], bool))
+    assert found.tolist() == [2, 6, 8] and n.tolist() == [0, 1, 2]
+    made = lm.grams(np.arange(1, 50, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), np.array([0]), lm.MOST_SLOTS)
+    assert all((k & np.uint64(1) == 0).all() for k in made)
+
+
+def test_a_few_spelled_words_cost_no_pass_over_the_table():
+    code = lm.Code(np.ones(256))
+    counts = np.zeros((lm._STARTS[-1], 2), np.int32)
+    tracemalloc.start()
+    lm.Spelling.tally([b"one", b"two"], code, counts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1 << 20
+    paths = lm.Paths([b"one", b"two"], code)
+    assert counts.sum(axis=0).tolist() == [n * len(lm.CONTEXTS) for n in (int((~paths.bits).sum()), int(paths.bits.sum()))]
+
+
+def test_packed_counts_of_both_widths():
+    few, many = np.arange(6, dtype=np.uint64), np.arange(3, dtype=np.uint64) << np.uint64(40)
+    assert lm._counts_of([lm.packed(few), lm.packed(many)]).tolist() == [[0, 1, 0], [2, 3, 1 << 40], [4, 5, 2 << 40]]
+    assert lm._counts_of([lm.packed(few), lm.packed(few)]).tolist() == [[0, 1, 0, 1], [2, 3, 2, 3], [4, 5, 4, 5]]
+    assert lm.unpacked(lm.packed(np.empty(0, np.uint64))).tolist() == []
+
+
 def test_model_awkward_rows(spark, awkward, nothing):
     rows = lm.score(awkward, F.lit(True), carry=["doc_id"]).collect()
     assert Counter(r.doc_id for r in rows) == Counter([r[0] for r in AWKWARD])
