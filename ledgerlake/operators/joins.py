@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -13,17 +14,20 @@ def left_join_many(left: DataFrame, right: DataFrame, left_key: str, right_key:
 
     Adaptive execution can split a hot key on both sides of an inner join but only on the
     left side of an outer one. So matches come from an inner join, and the rows without one
-    from an anti join on the distinct keys; both share the exchange of `left`.
+    from an outer join on the distinct keys. Both read the same rows and columns of `left`, so
+    that they share its exchange; null keys, which match nothing, are apart for that. An anti
+    join would be moved below renamed columns and would then need an exchange of its own.
     """
     extra = [name for name in right.columns if name != right_key]
     other = right.withColumnRenamed(right_key, "_key")
-    matched = left.join(other, left[left_key] == other["_key"], "inner").drop("_key")
+    keyed = left.where(left[left_key].isNotNull())
+    matched = keyed.join(other, keyed[left_key] == other["_key"], "inner").drop("_key")
     keys = other.select("_key").distinct()
-    alone = left.join(keys, left[left_key] == keys["_key"], "left_anti")
+    alone = keyed.join(keys, keyed[left_key] == keys["_key"], "left").where(keys["_key"].isNull()).drop("_key")
     kinds = {f.name: f.dataType for f in right.schema.fields}
-    return matched.unionByName(
-        alone.select("*", *[F.lit(None).cast(kinds[name]).alias(name) for name in extra])
-    )
+    nothing = [F.lit(None).cast(kinds[name]).alias(name) for name in extra]
+    without = (rows.select("*", *nothing) for rows in (alone, left.where(left[left_key].isNull())))
+    return reduce(DataFrame.unionByName, without, matched)
 
 
 def lookup(df: DataFrame, table: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerlake.catalog import QUERIES, topic
 from ledgerlake.catalog.bank import Bank
+from ledgerlake.operators.joins import left_join_many
 from ledgerlake.operators.latest import latest_by, latest_of_few
 from ledgerlake.operators.relations import Constraints, Reference, Unique, labelled
 from ledgerlake.sources import tables
@@ -101,3 +102,26 @@ def test_settled_revisions_are_not_found_again(spark):
         assert "Window" not in plan and "Join" not in plan
         assert getattr(own, name).exceptAll(getattr(bank, name)).isEmpty()
         assert getattr(bank, name).exceptAll(getattr(own, name)).isEmpty()
+
+
+def test_the_left_side_of_a_join_onto_many_moves_once(spark, tmp_path):
+    """Renamed columns, as Gold has them, and null keys, which stay."""
+    spark.range(2000).selectExpr("if(id = 9, null, id) AS id", "concat('text ', id) AS v").write.parquet(str(tmp_path / "l"))
+    spark.range(0, 2000, 3).selectExpr("id AS k", "id % 7 AS w").write.parquet(str(tmp_path / "r"))
+    right = spark.read.parquet(str(tmp_path / "r"))
+    left = spark.read.parquet(str(tmp_path / "l")).select(F.col("id").alias("k"), "v")
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        joined = left_join_many(left, right.unionByName(right.where("k < 6")), "k", "k")
+        physical = joined._jdf.queryExecution().executedPlan().toString()
+        expected = left.join(right.unionByName(right.where("k < 6")), "k", "left")
+        assert rows(joined, "k", "v", "w") == rows(expected, "k", "v", "w")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(re.findall(r"ReusedExchange \[k#\d+L, v#\d+\]", physical)) == 1
+    moved = re.findall(r"[^d]Exchange hashpartitioning\(k#", physical.replace("], Exchange", "], of"))
+    assert len(moved) == 1
