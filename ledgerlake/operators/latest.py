@@ -7,9 +7,11 @@ per map task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,6 +64,59 @@ def latest_of_few(
     return df.join(known, list(keys), "left_anti").select(df.columns).unionByName(newest)
 
 
+@dataclass(frozen=True)
+class Groups:
+    """Loads or writes by how many of their rows are the newest of their key; those without one are left out."""
+
+    whole: tuple  # only newest rows
+    few_old: tuple  # few others
+    few_new: tuple  # few newest ones
+    many: tuple  # neither is few
+
+    @staticmethod
+    def of(sums: Sequence[Row], group: str) -> Groups:
+        """From rows of `group`, `n` and, of those, `won`; what is few is so for all groups together."""
+        kinds: dict[str, list] = {"whole": [], "few_old": [], "few_new": [], "many": []}
+        left = MOST_REPEATED
+        for row in sorted(sums, key=lambda row: min(row["won"], row["n"] - row["won"])):
+            old, new = row["n"] - row["won"], row["won"]
+            if not new:
+                continue
+            left -= min(old, new)
+            kind = "whole" if not old else "many" if left < 0 else "few_old" if old <= new else "few_new"
+            kinds[kind].append(row[group])
+        return Groups(*(tuple(kinds[k]) for k in ("whole", "few_old", "few_new", "many")))
+
+    @property
+    def live(self) -> tuple:
+        return self.whole + self.few_old + self.few_new + self.many
+
+    def marked(self, group: str, won: str) -> Column:
+        """The rows of the decision that `newest` needs: the fewer ones of each group."""
+        old = among(group, self.few_old) & ~F.col(won)
+        return old | (among(group, self.few_new) & F.col(won))
+
+    def newest(
+        self, pick: Callable[[tuple], DataFrame], marks: DataFrame | None, keys: Sequence[str], group: str, won: str
+    ) -> DataFrame:
+        """The newest rows where no group has many of both kinds: none of them is exchanged."""
+        frames = [pick(self.whole)] if self.whole else []
+        for some, how, wanted in ((self.few_old, "left_anti", False), (self.few_new, "left_semi", True)):
+            if some:
+                rows = pick(some)
+                named = [F.col(name).alias(f"_mark{i}") for i, name in enumerate((*keys, group))]
+                known = marks.where(F.col(won) == wanted).select(named)
+                same = [rows[name].eqNullSafe(known[f"_mark{i}"]) for i, name in enumerate((*keys, group))]
+                frames.append(rows.join(F.broadcast(known), same, how))
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def among(name: str, values: Sequence) -> Column:
+    """Whether a column has one of the values, of which None is one; never null."""
+    found = F.coalesce(F.col(name).isin([v for v in values if v is not None]), F.lit(False))
+    return found | F.col(name).isNull() if None in values else found
+
+
 def row_hash(df: DataFrame) -> Column:
     """A number from all columns of a row; maps, which have no order, by their JSON."""
     return F.xxhash64(

@@ -33,10 +33,11 @@ from collections.abc import Collection, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ledgerlake.operators.latest import latest_by, top_n_by
+from ledgerlake.operators.latest import Groups, latest_by, top_n_by
+from ledgerlake.session import cut_lineage
 
 SUCCESS = "_SUCCESS"
 DELETED = "_deleted"
@@ -232,6 +233,64 @@ def _state(
     return state if alone is None else state.unionByName(alone, allowMissingColumns=True)
 
 
+def _folded(
+    spark: SparkSession,
+    active: Sequence[Version],
+    keys: Sequence[str],
+    order: Sequence[str] | None,
+    target_bytes: int | None,
+) -> DataFrame:
+    """The state in partitions of about `target_bytes`, for a write that folds the others in.
+
+    Which write holds a key's current row is found on the keys and the order alone. Writes
+    that others have replaced whole are not read further, and rows move only where a write
+    has many of both kinds, current and replaced ones, or too few partitions for its files.
+    """
+    live, rows = list(active), None
+    if len(active) > 1 and keys:
+        every = _written(spark, active, active[0])
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy(*_precedence(order)))
+        decided = every.select(*keys, _WRITE, (place == 1).alias("_won"))
+        sums = decided.groupBy(_WRITE).agg(F.count(F.lit(1)).alias("n"), F.count_if("_won").alias("won"))
+        groups = Groups.of(sums.collect(), _WRITE)
+        named = {_name_of(v, active[0]): v for v in active}
+        live = [v for name, v in named.items() if name in groups.live] or list(active[:1])
+        if groups.live and not groups.many:
+            marks = None
+            if groups.few_old or groups.few_new:
+                marks = cut_lineage(decided.where(groups.marked(_WRITE, "_won")), "marks")
+            rows = groups.newest(lambda some: _written(spark, [named[n] for n in some], active[0]), marks, keys, _WRITE, "_won")
+        shape = every.drop(_WRITE).schema
+    files = target_bytes and max(1, math.ceil(_bytes_of(spark, live) / target_bytes))
+    if rows is None:
+        state = _state(spark, live, keys, order, files)
+    elif not files:
+        state = rows
+    elif spark.read.parquet(*[v.path for v in live]).rdd.getNumPartitions() >= files:
+        state = rows.coalesce(files)
+    else:
+        state = rows.repartition(files)
+    if len(active) == 1 or not keys:
+        return state
+    # columns that only replaced writes have stay, and types that they have widened
+    held = set(state.columns)
+    return state.select([(F.col(f.name) if f.name in held else F.lit(None)).cast(f.dataType).alias(f.name) for f in shape.fields])
+
+
+def _name_of(v: Version, first: Version) -> str:
+    """The name a write's rows are told apart by; the first one's comes before all others."""
+    return "" if v == first else v.name.removeprefix("v=")
+
+
+def _written(spark: SparkSession, some: Sequence[Version], first: Version) -> DataFrame:
+    """All rows of some writes, each with the name of the write it came by."""
+    frames = [spark.read.parquet(first.path).withColumn(_WRITE, F.lit(""))] if first in some else []
+    later = [v for v in some if v != first]
+    frames += [read_parts(spark, later)] if later else []
+    rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return rows.drop(*_bucket_columns(rows))
+
+
 def _bucket_columns(df: DataFrame) -> list[str]:
     return [name for name in df.columns if name.startswith(_BUCKET)]
 
@@ -486,8 +545,7 @@ def compact(
         return DeltaTable.forPath(spark, path).history(1).select("version").first()["version"]
     found = versions(spark, path)
     active = in_force(spark, found)
-    files = None if buckets else max(1, math.ceil(_bytes_of(spark, active) / target_bytes))
-    state = _state(spark, active, keys, order, files)
+    state = _folded(spark, active, keys, order, None if buckets else target_bytes)
     if forget_deleted and DELETED in state.columns:
         state = state.where(~F.col(DELETED))
     return _write_full(state, path, found, keys=keys, buckets=buckets).version

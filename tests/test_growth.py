@@ -8,9 +8,12 @@ from pyspark.sql import functions as F
 
 from ledgerlake.catalog import QUERIES, topic
 from ledgerlake.catalog.bank import Bank
+from ledgerlake.operators import latest
 from ledgerlake.operators.joins import left_join_many
 from ledgerlake.operators.latest import latest_by, latest_of_few
 from ledgerlake.operators.relations import Constraints, Reference, Unique, labelled
+from ledgerlake.plans import jobs
+from ledgerlake.session import tune
 from ledgerlake.sources import tables
 from ledgerlake.streaming import changes
 
@@ -125,3 +128,62 @@ def test_the_left_side_of_a_join_onto_many_moves_once(spark, tmp_path):
     assert len(re.findall(r"ReusedExchange \[k#\d+L, v#\d+\]", physical)) == 1
     moved = re.findall(r"[^d]Exchange hashpartitioning\(k#", physical.replace("], Exchange", "], of"))
     assert len(moved) == 1
+
+
+def written(spark, path, ranges):
+    """A table of one write for each range of ids; the number of a write is its version."""
+    for t, (first, last) in enumerate(ranges, 1):
+        df = spark.range(first, last).selectExpr("id", f"{t} AS t", f"concat('write {t}, text ', id) AS name")
+        tables.upsert_table(df, path, ["id"], ["t"])
+    return tables.versions(spark, path)
+
+
+@pytest.mark.parametrize(
+    ("ranges", "moved"),
+    [
+        (((0, 2000), (0, 1500), (0, 2000)), False),  # replaced whole
+        (((0, 2000), (1990, 2100)), False),  # few old rows
+        (((0, 2000), (3, 2000)), False),  # few new rows in the first write
+        (((0, 2000), (1000, 3000)), True),
+        (((0, 2000), (2000, 3000)), False),
+    ],
+)
+def test_a_compaction_leaves_rows_where_they_are(spark, tmp_path, monkeypatch, ranges, moved):
+    monkeypatch.setattr(latest, "MOST_REPEATED", 100)
+    path = str(tmp_path / "t")
+    found = written(spark, path, ranges)
+    expected = rows(tables.read_table(spark, path, ["id"], ["t"]))
+    state = tables._folded(spark, found, ["id"], ["t"], 1 << 30)
+    assert bool(exchanges(state)) == moved
+    assert rows(state) == expected
+    tables.compact(spark, path, ["id"], ["t"])
+    assert rows(tables.read_table(spark, path, ["id"], ["t"])) == expected
+    assert len(tables.in_force(spark, tables.versions(spark, path))) == 1
+
+
+def test_a_compaction_keeps_columns_of_replaced_writes(spark, tmp_path):
+    path = str(tmp_path / "t")
+    tables.upsert_table(spark.sql("SELECT 1L AS id, 1 AS t, 'a' AS gone, 7L AS n"), path, ["id"], ["t"])
+    tables.upsert_table(spark.sql("SELECT 1L AS id, 2 AS t, 7 AS n"), path, ["id"], ["t"])
+    before = tables.read_table(spark, path, ["id"], ["t"])
+    tables.compact(spark, path, ["id"], ["t"])
+    after = tables.read_table(spark, path, ["id"], ["t"])
+    assert after.schema.simpleString() == before.schema.simpleString()
+    assert rows(after) == [(1, 2, None, 7)]
+
+
+def test_what_a_job_has_exchanged_is_removed_when_it_ends(spark, tmp_path):
+    tune(spark)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
+    df = spark.range(1000).selectExpr("id % 10 AS k", "id AS v").groupBy("k").agg(F.sum("v").alias("v"))
+    again = df.orderBy("k")
+    assert again.collect() == again.collect()  # rows that are used twice are exchanged again
+    df.write.parquet(str(tmp_path / "out"))
+    assert rows(spark.read.parquet(str(tmp_path / "out"))) == rows(df)
+
+
+def test_gold_is_joined_once(spark, tmp_path, monkeypatch):
+    seen = []
+    monkeypatch.setattr(jobs, "cut_lineage", lambda df, name: seen.append(name) or df)
+    jobs.laid_out(spark.sql("SELECT 1L AS customer_id, now() AS transaction_date"), "gold_fraud_analysis")
+    assert seen == ["gold_fraud_analysis"]
