@@ -117,6 +117,38 @@ def among(name: str, values: Sequence) -> Column:
     return found | F.col(name).isNull() if None in values else found
 
 
+def latest_of_loads(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], ties: Sequence[str] = (), load: str = "load_date"
+) -> DataFrame:
+    """`latest_by` over all loads of a snapshot, `order` beginning with the later load.
+
+    Which loads hold a key is found on the keys alone. A load whose rows have all been loaded
+    again is left out, and one that holds only newest rows stays where it was read, as in
+    `latest_of_few`. So does one with few other rows, or with few newest ones, which are sent
+    to all tasks. Where a load has many of both, the rows of the loads that still count move.
+    """
+    won, n = "_won", "_n"
+    held = df.groupBy(*keys, load).agg(F.count(F.lit(1)).alias(n))
+    later = Window.partitionBy(*keys).orderBy(F.col(load).desc_nulls_last())
+    decided = held.withColumn(won, F.row_number().over(later) == 1)
+    again = F.col(won) & (F.col(n) > 1)
+    sums = decided.groupBy(load).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(won).alias("won"), F.count_if(again).alias("again")
+    ).collect()
+    groups, repeated = Groups.of(sums, load), sum(row["again"] for row in sums)
+    if not groups.live or groups.many or repeated > MOST_REPEATED:
+        return latest_by(df.where(among(load, groups.live)), keys, order, ties)
+    marks = None
+    if groups.few_old or groups.few_new or repeated:
+        marks = cut_lineage(decided.where(groups.marked(load, won) | again), "marks")
+    newest = groups.newest(lambda some: df.where(among(load, some)), marks, keys, load, won)
+    if not repeated:
+        return newest
+    known = F.broadcast(marks.where(again).select(*keys))
+    one = latest_by(newest.join(known, list(keys), "left_semi").select(df.columns), keys, order, ties)
+    return newest.join(known, list(keys), "left_anti").select(df.columns).unionByName(one)
+
+
 def row_hash(df: DataFrame) -> Column:
     """A number from all columns of a row; maps, which have no order, by their JSON."""
     return F.xxhash64(

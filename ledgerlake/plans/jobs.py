@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerlake.operators.derive import customer_profile
-from ledgerlake.operators.latest import latest_by, latest_of_few
+from ledgerlake.operators.latest import latest_of_few, latest_of_loads
 from ledgerlake.operators.quality import Rules, apply_pii_policy, check, not_null
 from ledgerlake.operators.relations import Constraints
 from ledgerlake.plans import gold
@@ -119,7 +119,7 @@ def silver_table(spark: SparkSession, lake: Lake, table: Table, load_date: str |
         apply_pii_policy(bad, sources), f"{lake.dead_letters}/{table.name}/load_date={load_date or 'all'}", mode="overwrite"
     )
     # a day's snapshot hardly repeats a key, all days together repeat most of them
-    newest = latest_by if load_date is None else latest_of_few
+    newest = latest_of_loads if load_date is None else latest_of_few
     rows = apply_pii_policy(snapshot_versioned(refine(good, table, ("load_date",), newest)), policy or {})
     buckets = lake.buckets.get(table.name)
     return upsert_table(rows, f"{lake.silver}/{table.name}", table.keys, VERSION, unique=True, buckets=buckets)

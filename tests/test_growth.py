@@ -1,16 +1,18 @@
 """What one task or one exchange gets must not grow with a table."""
 
 import re
+from functools import reduce
 
 import pytest
 from helpers import plan, rows
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlake.catalog import QUERIES, topic
 from ledgerlake.catalog.bank import Bank
 from ledgerlake.operators import latest
 from ledgerlake.operators.joins import left_join_many
-from ledgerlake.operators.latest import latest_by, latest_of_few
+from ledgerlake.operators.latest import latest_by, latest_of_few, latest_of_loads
 from ledgerlake.operators.relations import Constraints, Reference, Unique, labelled
 from ledgerlake.plans import jobs
 from ledgerlake.session import tune
@@ -172,6 +174,40 @@ def test_a_compaction_keeps_columns_of_replaced_writes(spark, tmp_path):
     assert rows(after) == [(1, 2, None, 7)]
 
 
+def loads(spark, days):
+    """Snapshots by load date; each row of `days` is (load date, first id, last id, copies)."""
+    frames = [
+        spark.range(first, last).selectExpr("id AS k", f"explode(sequence(1, {copies})) AS t", f"{day} AS load_date", "concat('text ', id) AS v")
+        for day, first, last, copies in days
+    ]
+    return reduce(DataFrame.unionByName, frames)
+
+
+@pytest.mark.parametrize(
+    ("days", "moved"),
+    [
+        ((("'1'", 0, 900, 1), ("'2'", 0, 900, 1)), False),
+        ((("'1'", 0, 903, 1), ("'2'", 0, 900, 1), ("null", 0, 905, 1)), False),
+        ((("'1'", 0, 900, 1), ("'2'", 895, 990, 1)), False),
+        ((("'1'", 0, 900, 1), ("'2'", 0, 900, 1), ("'2'", 3, 9, 2)), False),
+        ((("'1'", 0, 900, 1), ("'2'", 400, 900, 3)), True),
+        ((("'1'", 0, 0, 1),), False),
+    ],
+)
+def test_only_loads_that_are_mixed_move(spark, tmp_path, monkeypatch, days, moved):
+    monkeypatch.setattr(latest, "MOST_REPEATED", 100)
+    path = str(tmp_path / "days")
+    loads(spark, days).write.parquet(path)
+    df = spark.read.parquet(path)
+    order = [F.col("load_date").desc_nulls_last(), F.col("t").desc_nulls_last()]
+    found = latest_of_loads(df, ["k"], order)
+    assert rows(found) == rows(latest_by(df, ["k"], order))
+    few = days[-1] == ("'2'", 3, 9, 2)  # the rows of repeated keys are exchanged, the others are not
+    assert bool(exchanges(found)) == (moved or few)
+    if few:
+        assert "LeftAnti" in plan(found)
+
+
 def test_what_a_job_has_exchanged_is_removed_when_it_ends(spark, tmp_path):
     tune(spark)
     assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "true"
