@@ -47,16 +47,20 @@ def latest_by(
 
 
 def latest_of_few(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], ties: Sequence[str] = ()
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str | Column],
+    ties: Sequence[str] = (),
+    keep: Callable[[DataFrame, str], DataFrame] = cut_lineage,
 ) -> DataFrame:
     """`latest_by` for rows of which few share a key, as in a table's snapshot; keys are not null.
 
-    The repeated keys are found on the keys alone and stored, so their size is known. While
+    The repeated keys are found on the keys alone and stored by `keep`, so their size is known. While
     they are few, only their rows are exchanged, and all others stay where they were read. Where
     they are many, a row of them stands for more than one and all rows are reduced by task.
     """
     held = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    repeated = cut_lineage(held.where("_n > 1").select(*keys), "repeated")
+    repeated = keep(held.where("_n > 1").select(*keys), "repeated")
     if repeated.count() > MOST_REPEATED:
         return latest_by(df, keys, order, ties)
     known = F.broadcast(repeated)

@@ -29,7 +29,7 @@ import math
 import re
 import time
 import uuid
-from collections.abc import Collection, Sequence
+from collections.abc import Callable, Collection, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
@@ -352,10 +352,11 @@ def upsert_table(
     unique: bool = False,
     writer: str | None = None,
     buckets: int | None = None,
+    newest: Callable[..., DataFrame] = latest_by,
 ) -> Written:
     """Merge rows into a table by key, or create it; batch and stream both end here.
 
-    Repeated keys are first reduced to their newest row, unless the caller knows they are
+    Repeated keys are first reduced to their `newest` row, unless the caller knows they are
     `unique`. With `order`, a row that is older than the stored one changes nothing, so a
     replayed or late batch is harmless; an equal one replaces it, so that a load date can be
     redone. A null key is an error. Rows marked `_deleted` delete.
@@ -365,15 +366,17 @@ def upsert_table(
     agree on `buckets`; where they do not, reads compare keys without skipping any.
     """
     spark = df.sparkSession
+    name = None
+    if not delta_available(spark):
+        name = _name(spark, path, "part", writer)
+        done = _complete(spark, path, name)
+        if done is not None:
+            return Written(done.number, spark.read.parquet(done.path).count(), again=True)
     source = _with_keys(df, keys)
     if not unique:
-        source = latest_by(source, keys, list(order or ()), ties)
-    if delta_available(spark):
+        source = newest(source, keys, list(order or ()), ties)
+    if name is None:
         return _upsert_delta(source, path, keys, order)
-    name = _name(spark, path, "part", writer)
-    done = _complete(spark, path, name)
-    if done is not None:
-        return Written(done.number, spark.read.parquet(done.path).count(), again=True)
     return _write(source, path, name, keys=keys, buckets=buckets)
 
 

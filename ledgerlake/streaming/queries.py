@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from contextlib import ExitStack
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,9 +14,11 @@ from pyspark.sql.streaming import StreamingQuery
 from ledgerlake.functions.times import archive_day
 from ledgerlake.functions.text import hash_pii, mask_card
 from ledgerlake.operators.cdc import schema_for
+from ledgerlake.operators.latest import latest_of_few
 from ledgerlake.operators.quality import Rules
 from ledgerlake.plans.silver import settle
 from ledgerlake.schemas import SILVER, Table
+from ledgerlake.session import stored
 from ledgerlake.sinks.writers import write_dead_letters
 from ledgerlake.sources.readers import TOPIC
 from ledgerlake.sources.tables import upsert_table
@@ -24,6 +28,8 @@ from ledgerlake.streaming.changes import DELETED, VERSION, decode, lean, split
 EVERY_FIVE_MINUTES = {"processingTime": "5 minutes"}
 ONCE = {"availableNow": True}
 ALERT_THRESHOLD = 80
+# decoded messages of the batch at work, below their table's folder and gone with the batch
+BATCHES = "_batches"
 
 
 def merge_batch(
@@ -52,20 +58,24 @@ def merge_batch(
     def apply(messages: DataFrame, batch_id: int) -> None:
         if messages.isEmpty():
             return
-        decoded = lean(decode(messages, table, schemas, format), table).persist()
-        try:
+        with ExitStack() as batch:
+
+            def keep(df: DataFrame, name: str) -> DataFrame:
+                return batch.enter_context(stored(df, f"{path}/{BATCHES}", name))
+
+            # stored, as a batch may be larger than the executors' memory
+            decoded = keep(lean(decode(messages, table, schemas, format), table), "decoded")
             rows, bad = split(decoded, table)
             held = {name: rule | F.col(DELETED) for name, rule in (rules or {}).items()}
             good, refused = settle(rows, table.keys, held, pii)
-            upsert_table(good, path, table.keys, VERSION, writer=_batch_name(messages, batch_id), buckets=buckets)
+            name, newest = _batch_name(messages, batch_id), partial(latest_of_few, keep=keep)
+            upsert_table(good, path, table.keys, VERSION, writer=name, buckets=buckets, newest=newest)
             write_dead_letters(_unseen(bad, pii), f"{dead_letters}/messages/batch={batch_id}", mode="overwrite")
             if pii and sealed:
                 raw = bad.select(*[c for c in (*TOPIC.names, "problem") if c in bad.columns])
                 write_dead_letters(raw, f"{sealed}/batch={batch_id}", mode="overwrite")
             if held:
                 write_dead_letters(refused, f"{dead_letters}/rows/batch={batch_id}", mode="overwrite")
-        finally:
-            decoded.unpersist()
 
     return apply
 

@@ -1,7 +1,7 @@
 import json
 
 import pytest
-from helpers import rows, ts
+from helpers import plan, rows, ts
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
@@ -186,3 +186,28 @@ def test_await_any_stops_the_other_queries(spark, lake, tmp_path):
     queries.await_any(spark)
     assert not other.isActive
     spark.streams.resetTerminated()
+
+
+def test_a_batch_needs_no_executor_memory_and_leaves_nothing_behind(spark, lake, monkeypatch):
+    """Decoded messages are stored, not cached; only rows of repeated keys are exchanged."""
+    seen = []
+    write = tables._write
+    monkeypatch.setattr(tables, "_write", lambda df, *a, **more: seen.append(plan(df)) or write(df, *a, **more))
+    publish(spark, lake.topic, [message(1, "c", 10), message(1, "u", 30), message(2, "c", 10), "not json"], 0)
+    apply = queries.merge_batch(TABLE, lake.table, SCHEMAS, lake.dead)
+    apply(spark.read.schema(TOPIC).parquet(lake.topic), 0)
+    assert lake.state() == [(1, "u30"), (2, "c10")]
+    assert len(seen) == 1 and "InMemoryRelation" not in seen[0] and "LeftAnti" in seen[0]
+    assert spark.read.parquet(f"{lake.dead}/messages").count() == 1
+    assert not list((lake.root / "table" / queries.BATCHES).iterdir())
+
+
+def test_a_failed_batch_leaves_nothing_behind(spark, lake, monkeypatch):
+    def fail(*a, **more):
+        raise RuntimeError("no space")
+
+    monkeypatch.setattr(queries, "upsert_table", fail)
+    publish(spark, lake.topic, [message(1, "c", 10)], 0)
+    with pytest.raises(RuntimeError, match="no space"):
+        queries.merge_batch(TABLE, lake.table, SCHEMAS, lake.dead)(spark.read.schema(TOPIC).parquet(lake.topic), 0)
+    assert not list((lake.root / "table" / queries.BATCHES).iterdir())
