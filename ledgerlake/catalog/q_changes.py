@@ -164,6 +164,7 @@ def gold_latest_only(bank: Bank) -> DataFrame:
 @query("ingest_to_gold", "SELECT * FROM fx_gold_summary")
 def ingest_to_gold(bank: Bank) -> DataFrame:
     """Sources read as files by the ingest job, one of them broken, up to a Gold table."""
+    bank = bank.settled()
     folder = bank.new_folder("ingest")
     lake = jobs.Lake(*(f"{folder}/{layer}" for layer in ("bronze", "silver", "gold", "dead")))
     frames = {
@@ -174,7 +175,8 @@ def ingest_to_gold(bank: Bank) -> DataFrame:
     sources = {}
     for name, df in frames.items():
         if name.startswith("mongodb/"):
-            df.write.json(f"{folder}/in/{name}", timestampFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+            form = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS", "compression": "gzip"}
+            df.write.json(f"{folder}/in/{name}", **form)
             sources[name] = jobs.reader(bank.spark, {"kind": "documents", "location": f"{folder}/in/{name}"})
         else:
             df.write.parquet(f"{folder}/in/{name}")

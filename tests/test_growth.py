@@ -2,6 +2,7 @@
 
 import re
 from functools import reduce
+from pathlib import Path
 
 import pytest
 from helpers import plan, rows
@@ -223,3 +224,10 @@ def test_gold_is_joined_once(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(jobs, "cut_lineage", lambda df, name: seen.append(name) or df)
     jobs.laid_out(spark.sql("SELECT 1L AS customer_id, now() AS transaction_date"), "gold_fraud_analysis")
     assert seen == ["gold_fraud_analysis"]
+
+
+def test_documents_of_a_source_are_kept_compressed(spark):
+    QUERIES["ingest_to_gold"](spark, FOLDER).count()
+    made = max(Path(spark.conf.get("spark.checkpoint.dir")).glob("ingest-*"), key=lambda p: p.stat().st_mtime)
+    documents = [f.name for f in (made / "in" / "mongodb").rglob("part-*")]
+    assert documents and all(name.endswith(".json.gz") for name in documents)
