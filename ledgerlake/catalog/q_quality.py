@@ -193,8 +193,9 @@ def customer_profile(bank: Bank) -> DataFrame:
 )
 def clean_transactions(bank: Bank) -> DataFrame:
     """All revisions as a raw file: text amounts, split dates, zips with `.0`, blocked cards unknown."""
-    owner = bank.cards.select(F.col("id").alias("card_id"), F.col("customer_id").alias("User"))
-    raw = bank.transactions_raw.join(owner, "card_id").selectExpr(
+    owner = bank.cards.select(F.col("id").alias("l_orderkey"), F.col("customer_id").alias("User"))
+    # joined as narrow rows and then widened
+    raw = bank.as_transactions(bank.lines.join(owner, "l_orderkey"), "User").selectExpr(
         "string(User) AS User", "string(card_id) AS Card", "string(year) AS Year", "string(month) AS Month",
         "string(day) AS Day", "time AS Time", "concat('$', CAST(amount AS DECIMAL(18,2))) AS Amount",
         "use_chip AS `Use Chip`", "merchant_name AS `Merchant Name`", "merchant_city AS `Merchant City`",

@@ -15,8 +15,8 @@ from ledgerlake.operators import latest
 from ledgerlake.operators.joins import left_join_many
 from ledgerlake.operators.latest import latest_by, latest_of_few, latest_of_loads
 from ledgerlake.operators.relations import Constraints, Reference, Unique, labelled
-from ledgerlake.plans import jobs
-from ledgerlake.session import tune
+from ledgerlake.plans import clean, jobs
+from ledgerlake.session import cut_lineage, tune
 from ledgerlake.sources import tables
 from ledgerlake.streaming import changes
 
@@ -231,3 +231,11 @@ def test_documents_of_a_source_are_kept_compressed(spark):
     made = max(Path(spark.conf.get("spark.checkpoint.dir")).glob("ingest-*"), key=lambda p: p.stat().st_mtime)
     documents = [f.name for f in (made / "in" / "mongodb").rglob("part-*")]
     assert documents and all(name.endswith(".json.gz") for name in documents)
+
+
+def test_cleaned_rows_move_narrow_and_are_stored_before_they_are_numbered(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(clean, "cut_lineage", lambda df, name: seen.append(df) or cut_lineage(df, name))
+    found = QUERIES["clean_transactions"](spark, FOLDER)
+    assert len(seen) == 1 and "description" not in seen[0].columns
+    assert found.where("description is distinct from concat('Payment to ', merchant_name)").isEmpty()
