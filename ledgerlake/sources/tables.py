@@ -274,7 +274,7 @@ def _folded(
         return state
     # columns that only replaced writes have stay, and types that they have widened
     held = set(state.columns)
-    return state.select([(F.col(f.name) if f.name in held else F.lit(None)).cast(f.dataType).alias(f.name) for f in shape.fields])
+    return state.select([(F.col(f"`{f.name}`") if f.name in held else F.lit(None)).cast(f.dataType).alias(f.name) for f in shape.fields])
 
 
 def _name_of(v: Version, first: Version) -> str:
